@@ -15,11 +15,27 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.urls import RULES, filter_urls, rule_table
+
+    return filter_urls(table(spark, sf_dir, "pages"), rule_table(spark, RULES))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op8_urls": op8_urls,
         "op9_quality": op9_quality,
+        "op10_simhash": op10_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from sequoir.llm.urls import rules_sql
+
+    return {"op8_urls": rules_sql()}
