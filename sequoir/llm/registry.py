@@ -15,6 +15,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sequoir.llm.urls import RULES, filter_urls, rule_table
 
@@ -29,6 +35,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_warc": op3_warc,
         "op8_urls": op8_urls,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
@@ -37,5 +44,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     from sequoir.llm.urls import rules_sql
+    from sequoir.llm.warc import round_trip_sql
 
-    return {"op8_urls": rules_sql()}
+    return {"op3_warc": round_trip_sql(), "op8_urls": rules_sql()}
