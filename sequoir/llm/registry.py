@@ -15,6 +15,24 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.tokencount import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.bpe import encode_decode
+
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sequoir.llm.warc import round_trip
 
@@ -35,7 +53,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_tokens": op2_tokens,
         "op3_warc": op3_warc,
+        "op4_bpe": op4_bpe,
         "op8_urls": op8_urls,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
