@@ -21,6 +21,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.langid import language_id
+
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sequoir.llm.tokencount import count_tokens
 
@@ -53,6 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_langid": op1_langid,
         "op2_tokens": op2_tokens,
         "op3_warc": op3_warc,
         "op4_bpe": op4_bpe,
