@@ -39,6 +39,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.htmltext import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sequoir.llm.warc import round_trip
 
@@ -63,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_tokens": op2_tokens,
         "op3_warc": op3_warc,
         "op4_bpe": op4_bpe,
+        "op5_html": op5_html,
         "op8_urls": op8_urls,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
