@@ -51,6 +51,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sequoir.llm.urls import RULES, filter_urls, rule_table
 
@@ -70,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc": op3_warc,
         "op4_bpe": op4_bpe,
         "op5_html": op5_html,
+        "op6_decontaminate": op6_decontaminate,
         "op8_urls": op8_urls,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
