@@ -27,8 +27,8 @@ from sequoir.llm.common import map_arrow, utf8
 END = "Ā"
 #: White space as the tokenizer's normaliser and pre-tokenizer take it (Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Entries and bytes that a worker's table of seen words holds at most; it is then emptied and filled anew.
-MEMO_ENTRIES, MEMO_BYTES = 400_000, 48 << 20
+#: Entries and bytes of a generation of seen words; a worker keeps two.
+MEMO_ENTRIES, MEMO_BYTES = 500_000, 32 << 20
 #: Longer words are not kept.
 MEMO_WORD = 256
 
@@ -109,12 +109,20 @@ class Model:
                 continue
             if i in self.rank or len(body) == 1:
                 self.symbols[key] = i
-        self.length = {i: len(k.rstrip(END)) for k, i in self.symbols.items()}
+        self.symbols = {k: i for k, i in self.symbols.items() if self.naive(k) == [i]}  # the others can't come out of the merges
+        self.length = {i: len(k) for k, i in self.symbols.items()}
+        self.greatest = max(self.length.values())
         self.automaton = ahocorasick.Automaton()
-        for key, i in self.symbols.items():
-            if self.naive(key) == [i]:  # the others can't come out of the merges
-                self.automaton.add_word(key, (len(key), i))
+        #: For every beginning of a token the longest token that it begins with, and for every token the next shorter; -1 if none.
+        self.reach, self.shorter = {"": -1}, {}
+        for key in sorted(self.symbols):
+            self.automaton.add_word(key, self.symbols[key])
+            for n in range(1, len(key) + 1):
+                if key[:n] not in self.reach:
+                    self.reach[key[:n]] = self.symbols.get(key[:n], self.reach[key[: n - 1]])
+            self.shorter[self.symbols[key]] = self.reach[key[:-1]]
         self.automaton.make_automaton()
+        self.bytes_of = [int(i).to_bytes(4, "little") for i in range(self.size)]
         self.fits: dict[tuple[int, int], bool] = {}
 
     def _offsets(self, names: dict[int, str]) -> None:
@@ -170,41 +178,44 @@ class Model:
         self.fits[a, b] = good
         return good
 
+    def longest(self, key: str, at: int) -> int:
+        """The longest token that begins at a place of a word."""
+        size = self.automaton.longest_prefix(key[at : at + self.greatest])
+        return self.reach[key[at : at + size]]
+
     def encode_word(self, word: str) -> list[int]:
         """Tokens of one pre-token (normalised text)."""
         key = word.encode("utf-8", "surrogatepass").decode("latin-1") + END
-        n = len(key)
-        starts: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (size, i) in self.automaton.iter(key):
-            starts[end - size + 1].append((size, i))  # shorter ones come first
-        dead = bytearray(n + 1)
+        n, size, shorter, fits = len(key), self.length, self.shorter, self.fits
+        dead = bytearray(n + 1)  # places from which the rest cannot be encoded
         out: list[int] = []
-        trail: list[int] = []  # which match of its place each token is
-        at = 0
-        choice = len(starts[0]) - 1
-        while at < n:
-            found = starts[at]
-            while choice >= 0:
-                size, i = found[choice]
-                if not dead[at + size] and (not out or self.compatible(out[-1], i)):
-                    break
-                choice -= 1
-            if choice >= 0:
-                out.append(i)
-                trail.append(choice)
-                at += size
-                choice = len(starts[at]) - 1 if at < n else 0
+        at, token = 0, self.longest(key, 0)
+        while True:
+            if token >= 0:
+                after = at + size[token]
+                good = not dead[after]
+                if good and out:
+                    good = fits.get((out[-1], token))
+                    if good is None:
+                        good = self.compatible(out[-1], token)
+                if good:
+                    out.append(token)
+                    if after == n:
+                        return out
+                    at, token = after, self.longest(key, after)
+                else:
+                    token = shorter[token]
             else:
                 dead[at] = 1
                 if not out:
                     raise ValueError(f"no tokens for {word!r}")
-                at -= self.length[out.pop()] + (at == n)
-                choice = trail.pop() - 1
-        return out
+                token = out.pop()
+                at -= size[token]
+                token = shorter[token]
 
     def pieces(self, text: str) -> Iterator[str | int]:
         """Pre-tokens of a text in order; special tokens as their ids."""
-        if self.find_special is not None and any(c in text for c in self.special_start):
+        if self.find_special is not None and any([c in text for c in self.special_start]):
             parts = self.find_special(text)
             if len(parts) > 1:
                 found = regex.findall("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))), text)
@@ -257,21 +268,37 @@ def model_of(text: bytes) -> Model:
 
 
 class Memo:
-    """What was found for words seen before, bounded in entries and bytes."""
+    """What was found for words seen before, bounded in entries and bytes.
+
+    Two generations: when the new one is full it becomes the old one, whose
+    words move back into the new one as they are met again.
+    """
 
     def __init__(self, make) -> None:
-        self.make, self.seen, self.bytes = make, {}, 0
+        self.make, self.seen, self.old, self.bytes = make, {}, {}, 0
 
-    def __call__(self, word: bytes):
-        value, cost = self.make(word)
+    def __call__(self, word):
+        """The value of a word that isn't in `seen`."""
+        value = self.old.get(word)
+        if value is None:
+            value = self.make(word)
         if len(word) <= MEMO_WORD:
             if len(self.seen) >= MEMO_ENTRIES or self.bytes >= MEMO_BYTES:
-                self.seen.clear()
-                self.bytes = 0
+                self.old, self.seen, self.bytes = self.seen, {}, 0
             self.seen[word] = value
-            self.bytes += len(word) + cost
+            self.bytes += len(word) + (len(value) if isinstance(value, bytes) else 0)
         return value
 
+    def all(self, words: list) -> list:
+        """The values of words, in order."""
+        found = list(map(self.seen.get, words))
+        if None in found:
+            for k, x in enumerate(found):
+                if x is None:
+                    x = self.seen.get(words[k])
+                    found[k] = self(words[k]) if x is None else x
+        return found
+
 
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -282,23 +309,14 @@ def _encoder(model: Model):
     Pre-tokens never hold white space and neither NFC nor lower case reach
     across it, so words between spaces are encoded on their own.
     """
-    memo = _words.setdefault(id(model), Memo(lambda w: ((b := np.array(model.encode(w.decode("utf-8")), "<u4").tobytes()), len(b))))
-    get = memo.seen.get
-
-    def encode(text: bytes) -> bytes:
-        words = text.split()
-        found = list(map(get, words))
-        if None in found:
-            for k, x in enumerate(found):
-                if x is None:
-                    x = get(words[k])
-                    found[k] = memo(words[k]) if x is None else x
-        return b"".join(found)
-
-    return encode
+    if model not in _memos:
+        inner = Memo(lambda w: b"".join([model.bytes_of[i] for i in model.encode_word(w)]))
+        _memos[model] = Memo(lambda w: b"".join([model.bytes_of[x] if isinstance(x, int) else inner.seen.get(x) or inner(x) for x in model.pieces(w.decode())]))
+    memo = _memos[model]
+    return lambda text: b"".join(memo.all(text.split()))
 
 
-_words: dict[int, Memo] = {}
+_memos: dict[Model, Memo] = {}
 
 
 def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -126,18 +126,12 @@ def counter(model: Model) -> Callable[[bytes], int]:
     """A function from a whole text (UTF-8) to its number of tokens."""
     if model not in _counters:
         machine = Transducer(model)
-        _counters[model] = Memo(lambda w: (sum(1 if isinstance(x, int) else machine.run(x) for x in model.pieces(w.decode())), 8))
+        inner = Memo(machine.run)
+        _counters[model] = Memo(lambda w: sum([1 if isinstance(x, int) else inner.seen.get(x) or inner(x) for x in model.pieces(w.decode())]))
     memo = _counters[model]
-    get = memo.seen.get
 
     def count(words: list[bytes]) -> int:
-        found = list(map(get, words))
-        if None in found:
-            for k, x in enumerate(found):
-                if x is None:
-                    x = get(words[k])
-                    found[k] = memo(words[k]) if x is None else x
-        return sum(found)
+        return sum(memo.all(words))
 
     def whole(text: bytes) -> int:
         if len(text) <= CHUNK_BYTES:
