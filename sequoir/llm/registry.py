@@ -57,6 +57,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.lm import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sequoir.llm.urls import RULES, filter_urls, rule_table
 
@@ -77,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bpe": op4_bpe,
         "op5_html": op5_html,
         "op6_decontaminate": op6_decontaminate,
+        "op7_lm": op7_lm,
         "op8_urls": op8_urls,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
