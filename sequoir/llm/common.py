@@ -67,6 +67,17 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def keep_rows(df: DataFrame, column: str, verdicts: Callable[[list[bytes]], list[bool]]) -> DataFrame:
+    """The rows of df, with all their columns, whose text passes; verdicts judges the texts of a batch."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(verdicts(utf8(batch.column(at))), pa.bool_()))
+
+    return map_arrow(df, run, df.schema)
+
+
 def crc_mod(column: str, k: int):
     """crc32 of the column's text, modulo k; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % k

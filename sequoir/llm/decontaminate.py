@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sequoir.llm.common import map_arrow, utf8
+from sequoir.llm.common import keep_rows, map_arrow, utf8
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -148,7 +148,7 @@ class Items:
             for start in range(len(words) - m + 1):
                 if words[start] in self.place:
                     self._window(words, start, m, self.of_length[m], best)
-        return [(self.ids[i], start, self.words[i], score) for i, (score, start) in sorted(best.items())]
+        return [(self.ids[i], start, min(self.words[i], len(words)), score) for i, (score, start) in sorted(best.items())]
 
     def _window(self, words: list[bytes], start: int, length: int, items: set[int], best: dict[int, tuple[float, int]]) -> None:
         counts = Counter(shingles(words[start : start + length]))
@@ -197,17 +197,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that hold no passage of the benchmark."""
-    spark = docs.sparkSession
     for items in item_blocks(benchmark):
-        sent = spark.sparkContext.broadcast(items)
-        at = docs.columns.index("text")
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, at=at) -> Iterator[pa.RecordBatch]:
-            own = sent.value
-            for batch in batches:
-                yield batch.filter(pa.array([not own.hits(x) for x in utf8(batch.column(at))], pa.bool_()))
-
-        docs = map_arrow(docs, run, docs.schema)
+        sent = docs.sparkSession.sparkContext.broadcast(items)
+        docs = keep_rows(docs, "text", lambda texts, sent=sent: [not sent.value.hits(x) for x in texts])
     return docs

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sequoir.llm.common import crc_mod, map_arrow, utf8
+from sequoir.llm.common import crc_mod, keep_rows, map_arrow, utf8
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -164,11 +164,12 @@ def training_windows(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) ->
     return np.concatenate(x), [lang for (lang, _, _), part in zip(found, x, strict=True) for _ in range(len(part))]
 
 
-def score_texts(net: Network, steps: list, texts: list[bytes]) -> list[tuple[str, float]]:
+def score_texts(net: Network, steps: list | None, texts: list[bytes]) -> list[tuple[str, float]]:
     """Predicted language and its probability for each text."""
     out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
     if not net.languages:
         return out
+    steps = steps or net.compiled()
     kept = [i for i, x in enumerate(texts) if letter(x.decode("utf-8", "replace"))]
     group: list[int] = []
     held: list[np.ndarray] = []
@@ -218,6 +219,24 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
     return map_arrow(rows, run, PREDICTED)
 
 
+def trained(docs: DataFrame) -> Network:
+    x, labels = training_windows(docs)
+    return train(x, labels) if labels else Network([], [], *[np.zeros(0, np.float32)] * 3)
+
+
+def keep_identified(docs: DataFrame, net: Network | None = None) -> DataFrame:
+    """The rows of docs, with all their columns, whose text is in one of the learned languages, so not `und`.
+
+    Without a network, one is trained on docs itself. If none could be trained,
+    nothing is known of any text, and all rows stay.
+    """
+    net = net or trained(docs)
+    if not net.languages:
+        return docs
+    sent = docs.sparkSession.sparkContext.broadcast(net)
+    return keep_rows(docs, "text", lambda texts: [lang != UNDETERMINED for lang, _ in score_texts(sent.value, None, texts)])
+
+
 def language_id(docs: DataFrame) -> DataFrame:
     """Train on the labelled rows of docs (doc_id, text, lang) outside the held-out fold, and predict every row.
 
@@ -225,6 +244,4 @@ def language_id(docs: DataFrame) -> DataFrame:
     text if no row can be learned from. Rows without a language are predicted
     and not learned from. Repeated rows stay; other columns aren't read.
     """
-    x, labels = training_windows(docs)
-    net = train(x, labels) if labels else Network([], [], *[np.zeros(0, np.float32)] * 3)
-    return identify(docs, net)
+    return identify(docs, trained(docs))

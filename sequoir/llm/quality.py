@@ -14,7 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from sequoir.llm.common import WORD_SPACE, map_arrow, utf8
+from sequoir.llm.common import WORD_SPACE, keep_rows, map_arrow, utf8
 
 #: (from so many bytes, least ratio, greatest ratio); below the first no band holds.
 BANDS = (
@@ -132,3 +132,13 @@ def quality_rules(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names)
 
     return map_arrow(docs.select("doc_id", "text"), run, SCHEMA)
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, that quality_rules() keeps."""
+
+    def verdicts(texts: list[bytes]) -> list[bool]:
+        packer = zstandard.ZstdCompressor(level=LEVEL)
+        return [not base_rules(x)[-1] and compression(x, packer)[-1] is None for x in texts]
+
+    return keep_rows(docs, "text", verdicts)

@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sequoir.llm.common import forget, map_arrow, materialise, utf8
 
@@ -98,6 +99,12 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     return now.select(F.col("dst").alias("node"), F.col("src").alias("root")).unionByName(now.select(F.col("src").alias("node"), F.col("src").alias("root")).distinct())
 
 
+def _roots(marks: DataFrame) -> DataFrame:
+    """marks (fp distinct, more columns) with the column root, the smallest fp of the component."""
+    rooted = components(ball_links(marks.select("fp")))
+    return marks.join(rooted, marks.fp == rooted.node, "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint, component_id of every row of docs (doc_id, text).
 
@@ -107,9 +114,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Other columns aren't read; an empty table gives an empty result.
     """
     marked = materialise(fingerprints(docs), "fingerprints")
-    marks = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    rooted = components(ball_links(marks))
-    roots = marks.join(rooted, marks.fp == rooted.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    roots = _roots(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     smallest = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = roots.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Column that representatives() adds while it works.
+MARK = "_sequoir_fp"
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of docs, with all its columns, of each component: that of its smallest doc_id.
+
+    Of several rows with that doc_id (null last) the one with the smallest
+    fingerprint stays, and of repeated rows one. Columns named fp, root or node
+    pass through.
+    """
+    at = docs.columns.index("text")
+    names = [*docs.columns, MARK]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = np.array([fingerprint(x) for x in utf8(batch.column(at))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks)], names)
+
+    marked = materialise(map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(MARK, T.LongType())])), "marked")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
+    roots = _roots(marked.groupBy(F.col(MARK).alias("fp")).agg(F.min(order).alias("first")))
+    kept = roots.groupBy("root").agg(F.min(F.struct("first", "fp")).alias("k")).select(F.col("k.first.id").alias("_sequoir_id"), F.col("k.fp").alias("_sequoir_kept"))
+    same = (marked["doc_id"].eqNullSafe(kept["_sequoir_id"])) & (marked[MARK] == kept["_sequoir_kept"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", MARK]).select(*docs.columns)
