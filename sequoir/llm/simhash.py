@@ -120,16 +120,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return marked.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Column that representatives() adds while it works.
-MARK = "_sequoir_fp"
+#: Columns that representatives() adds while it works.
+MARK, ROW = "_sequoir_fp", "_sequoir_row"
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """One row of docs, with all its columns, of each component: that of its smallest doc_id.
 
-    Of several rows with that doc_id (null last) the one with the smallest
-    fingerprint stays, and of repeated rows one. Columns named fp, root or node
-    pass through.
+    Rows without a doc_id come last; of several with that doc_id one stays.
+    Columns named fp, root or node pass through.
     """
     at = docs.columns.index("text")
     names = [*docs.columns, MARK]
@@ -139,9 +138,9 @@ def representatives(docs: DataFrame) -> DataFrame:
             marks = np.array([fingerprint(x) for x in utf8(batch.column(at))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks)], names)
 
-    marked = materialise(map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(MARK, T.LongType())])), "marked")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
+    marked = map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(MARK, T.LongType())]))
+    marked = materialise(marked.withColumn(ROW, F.monotonically_increasing_id()), "marked")  # row numbers hold once they are written
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(ROW).alias("row"))
     roots = _roots(marked.groupBy(F.col(MARK).alias("fp")).agg(F.min(order).alias("first")))
-    kept = roots.groupBy("root").agg(F.min(F.struct("first", "fp")).alias("k")).select(F.col("k.first.id").alias("_sequoir_id"), F.col("k.fp").alias("_sequoir_kept"))
-    same = (marked["doc_id"].eqNullSafe(kept["_sequoir_id"])) & (marked[MARK] == kept["_sequoir_kept"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", MARK]).select(*docs.columns)
+    kept = roots.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(ROW))
+    return marked.join(kept, ROW, "left_semi").select(*docs.columns)

@@ -27,7 +27,7 @@ from sequoir.llm.common import WORD_SPACE, map_arrow, utf8
 
 CHUNK_BYTES = 64 << 10
 #: Compiled states that a worker keeps; beyond it, it compiles anew.
-MAX_STATES = 400_000
+MAX_STATES = 200_000
 START = ("", ((-1, 0),))
 
 
