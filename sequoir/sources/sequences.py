@@ -27,9 +27,9 @@ FEATURE = "array<struct<kind:string,location:string,qualifiers:map<string,array<
 def genbank(spark: SparkSession, path: str) -> DataFrame:
     """record, seq, features of GenBank records, each feature with its kind, location and lists of qualifiers."""
     raw = spark.read.option("lineSep", "\n//").text(path).select(F.regexp_replace("value", "\r", "").alias("r")).where(F.col("r").contains("LOCUS"))
-    table = F.regexp_extract("r", r"(?s)\nFEATURES[^\n]*\n(.*?)(?:\nORIGIN|\nCONTIG|\z)", 1)
+    table = F.regexp_extract("r", r"(?s)\nFEATURES[^\n]*((?:\n .*?)?)(?:\nORIGIN|\nCONTIG|\z)", 1)
     seq = F.upper(F.regexp_replace(F.regexp_extract("r", r"(?s)\nORIGIN[^\n]*\n(.*)", 1), r"[^A-Za-z]", ""))
-    parts = F.filter(F.split(F.concat(F.lit("\n"), table), r"\n {5}(?=\S)"), lambda x: F.trim(x) != "")
+    parts = F.filter(F.split(table, r"\n {5}(?=\S)"), lambda x: F.trim(x) != "")
 
     def feature(x):
         flat = F.regexp_replace(x, r"\n {6,}(?=/)", "\u0001")

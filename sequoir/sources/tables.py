@@ -88,9 +88,11 @@ def samplesheet(spark: SparkSession, path: str, schema: str, required: Sequence[
 
 
 def files(spark: SparkSession, pattern: str) -> DataFrame:
-    """path, name, stem (name to its first dot), length of the files of a glob; contents aren't read."""
-    found = spark.read.format("binaryFile").load(pattern).select("path", "length")
-    return found.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.regexp_extract("path", r"([^/.]+)[^/]*$", 1).alias("stem"), "length")
+    """path, name, stem (name to its first dot), length of the files of a glob, empty ones too; they are listed and not opened."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob) or []
+    listed = spark.createDataFrame([(f.getPath().toString(), f.getLen()) for f in found if f.isFile()], "path string, length long")
+    return listed.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.regexp_extract("path", r"([^/.]+)[^/]*$", 1).alias("stem"), "length")
 
 
 def file_pairs(spark: SparkSession, pattern: str, mate: str = r"_R?[12]$") -> DataFrame:

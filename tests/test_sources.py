@@ -1,0 +1,190 @@
+import gzip
+
+import pytest
+
+from sequoir import schemas
+from sequoir.sources import hits, sequences, sinks, tables
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def put(tmp_path, name, text):
+    path = tmp_path / name
+    if name.endswith(".gz"):
+        path.write_bytes(gzip.compress(text.encode()))
+    else:
+        path.write_text(text)
+    return str(path)
+
+
+def test_delimited_is_typed_by_name_and_tolerant(spark, tmp_path):
+    path = put(tmp_path, "a.tsv", "x\tb\ta\n1\tNA\tfoo\nbad\t2.5\t\n")
+    got = tables.delimited(spark, path, "a string, b double")
+    assert rows(got) == rows(spark.createDataFrame([("foo", None), (None, 2.5)], "a string, b double"))
+    text = tables.delimited(spark, path, "b string")
+    assert rows(text) == [("2.5",), ("NA",)]  # NA is a value unless it is asked for as null
+    assert rows(tables.delimited(spark, path, "b string", null="NA")) == [("2.5",), (None,)]
+    with pytest.raises(ValueError, match="no columns"):
+        tables.delimited(spark, path, "zz string")
+
+
+def test_headerless_unnamed_and_absent(spark, tmp_path):
+    path = put(tmp_path, "a.tsv.gz", "x\t1\ny\tNA\n")
+    assert rows(tables.delimited(spark, path, "k string, v long", header=False)) == [("x", 1), ("y", None)]
+    named = put(tmp_path, "e.csv", ",Annotation,integration\ncds1,a,0.9\ncds2,b,NA\n")
+    assert rows(tables.unnamed_first(spark, named, schemas.EMPATHI)) == [("cds1", "a", 0.9), ("cds2", "b", None)]
+    assert tables.read_or_none(spark, str(tmp_path / "none.tsv"), "a string").count() == 0
+    assert tables.read_or_none(spark, None, "a string").columns == ["a"]
+    empty = put(tmp_path, "empty.tsv", "")
+    assert tables.delimited(spark, empty, "a string", header=False).count() == 0
+
+
+def test_preamble(spark, tmp_path):
+    path = put(tmp_path, "p.tsv", "# 1\n# 2\n# 3\n# 4\n# 5\n#Sequence Id\tLocus Tag\tAccession\ns1\tt1\tUniRef50_A\ns1\tt2\t\n")
+    got = tables.with_preamble(spark, path, "`Locus Tag` string, Accession string")
+    assert rows(got) == [("t1", "UniRef50_A"), ("t2", None)]
+
+
+def test_fasta(spark, tmp_path):
+    path = put(tmp_path, "a.fna", ">s1|provirus_1_2 a > b\nACGT\nAC GT\r\n>s2\n\n>s3 x\nTT")
+    want = [("s1|provirus_1_2", "s1|provirus_1_2 a > b", "ACGTACGT"), ("s2", "s2", ""), ("s3", "s3 x", "TT")]
+    assert rows(sequences.fasta(spark, path)) == want
+    assert rows(sequences.fasta(spark, put(tmp_path, "b.fna.gz", ">s1\nAC\n>s2\nGT\n"))) == [("s1", "s1", "AC"), ("s2", "s2", "GT")]
+    assert sequences.fasta(spark, put(tmp_path, "c.fna", "")).count() == 0
+
+
+GENBANK = """LOCUS       rec1  20 bp
+FEATURES             Location/Qualifiers
+     source          1..20
+                     /organism="A virus"
+     CDS             complement(1..9)
+                     /locus_tag="g1"
+                     /db_xref="UniRef:UniRef50_A"
+                     /db_xref="SO:1"
+                     /product="a long
+                     name"
+     CDS             10..20
+                     /locus_tag="g2"
+ORIGIN
+        1 acgtacgtac gtacgtacgt
+//
+LOCUS       rec2  4 bp
+FEATURES             Location/Qualifiers
+ORIGIN
+        1 aaaa
+//
+"""
+
+
+def test_genbank(spark, tmp_path):
+    from sequoir.plans import annotate
+
+    got = sequences.genbank(spark, put(tmp_path, "a.gbk", GENBANK)).orderBy("record").collect()
+    assert [(r.record, r.seq, len(r.features)) for r in got] == [("rec1", "ACGTACGTACGTACGTACGT", 3), ("rec2", "AAAA", 0)]
+    cds = got[0].features[1]
+    assert (cds.kind, cds.location, cds.qualifiers["db_xref"], cds.qualifiers["product"]) == ("CDS", "complement(1..9)", ["UniRef:UniRef50_A", "SO:1"], ["a long name"])
+    proteins = spark.createDataFrame([("g1", "M"), ("g2", "M"), ("g3", "M")], "id string, seq string")
+    assert rows(annotate.no_hit_features(sequences.genbank(spark, str(tmp_path / "a.gbk")), proteins)) == [("g2", "M")]
+
+
+def test_hit_tables(spark, tmp_path):
+    tbl = put(tmp_path, "t.tbl", "# head\n#\nc_1  -  HMM.1  acc  1e-10  50\nc_2 - HMM.2 acc x 50\n")
+    assert rows(hits.hmm_table(spark, tbl)) == [("c_1", "HMM.1", 1e-10), ("c_2", "HMM.2", None)]
+    dom = put(tmp_path, "d.tbl", "# c\n" + " ".join(["g_1", "-", "9", "PF1", "-", "9", "1e-7", "1", "1", "1", "1", "1", "1", "33.5", "1", "1", "1", "12", "99"]) + "\n")
+    assert rows(hits.hmm_domains(spark, dom)) == [("g_1", "PF1", 1e-7, 33.5, "12", 12.0, 99.0)]
+    m8 = put(tmp_path, "h.m8", "a_1\tb_1\t99.0\t10\t0\t0\t1\t10\t1\t10\t1e-5\t50.5\n")
+    assert hits.m8(spark, m8).first().bitscore == 50.5
+    mcl = put(tmp_path, "m.mcl", "a\tb c\n\nd\n")
+    assert rows(hits.cluster_lines(spark, mcl)) == [("a", 1), ("b", 1), ("c", 1), ("d", 3)]
+    matrix = put(tmp_path, "k.csv", "kmer-length: 25 fraction: 1,v1,v2,v3\nquery-samples,5,5,5\nGCF_000001.1_x.fna,1:0.5,3:0.1,\nGCA_2.2,2:1,\n")
+    got = hits.sparse_matrix(spark, matrix)
+    assert rows(got) == [("GCA_2.2", "v2", 1.0), ("GCF_000001.1_x.fna", "v1", 0.5), ("GCF_000001.1_x.fna", "v3", 0.1)]
+    assert {r.a for r in got.select(hits.accession("row").alias("a")).collect()} == {"GCF_000001.1", "GCA_2.2"}
+    table = put(tmp_path, "c.txt", "PF1\t1\t2\t3\t0.1\t0.2\t0.3\t0.4\n")
+    assert rows(hits.classifier_table(spark, table)) == [("PF1", 1, 2, 3, 0.1, 0.2, 0.3, 0.4)]
+
+
+def test_alignments_and_masks(spark, tmp_path):
+    sam = put(tmp_path, "a.sam", "@HD\n" + "\n".join("\t".join(x) for x in [["g1:s1", "0", "t1", "5", "9", "4M", "*", "0", "0", "ACGT", "IIII", "XA:i:0", "MD:Z:2A1", "NM:i:1"], ["g1:s1", "16", "t1", "50", "9", "4M", "*", "0", "0", "AACC", "IIII", "NM:i:2"]]))
+    got = hits.sam(spark, sam).orderBy("start").collect()
+    assert [(r.flag, r.start, r.tags.get("MD"), r.tags["NM"]) for r in got] == [(0, 5, "2A1", "1"), (16, 50, None, "2")]
+    dust = put(tmp_path, "d.txt", ">t1\n0 - 5\n52 - 60\n>t2\n>t3\n1 - 2\n")
+    assert rows(hits.dust(spark, dust)) == [("t1", 0, 5), ("t1", 52, 60), ("t3", 1, 2)]
+    from sequoir.plans import host
+
+    found = host.spacer_hits(hits.sam(spark, sam), hits.dust(spark, dust), 10).orderBy("Start").collect()
+    assert [(r.Start, r.End, r.Strand, r["N mismatches"], r.MD, r.flags) for r in found] == [(5, 8, "+", 1, "2A1", "low_complexity"), (50, 53, "-", 2, "NA", "low_complexity;mismatches")]
+    assert [r.spacer for r in host.oriented(host.spacer_hits(hits.sam(spark, sam), hits.dust(spark, dust))).orderBy("Start").collect()] == ["ACGT", "GGTT"]
+
+
+XML = """<BlastOutput><BlastOutput_iterations>
+<Iteration><Iteration_query-def>q1</Iteration_query-def><Iteration_query-len>100</Iteration_query-len><Iteration_hits>
+<Hit><Hit_def>Some phage</Hit_def><Hit_hsps><Hsp><Hsp_evalue>0</Hsp_evalue><Hsp_query-from>1</Hsp_query-from><Hsp_query-to>60</Hsp_query-to><Hsp_align-len>60</Hsp_align-len><Hsp_identity>50</Hsp_identity></Hsp>
+<Hsp><Hsp_evalue>1e-9</Hsp_evalue><Hsp_query-from>40</Hsp_query-from><Hsp_query-to>90</Hsp_query-to><Hsp_align-len>50</Hsp_align-len><Hsp_identity>50</Hsp_identity></Hsp></Hit_hsps></Hit>
+<Hit><Hit_def>A chromosome</Hit_def><Hit_hsps><Hsp><Hsp_evalue>0</Hsp_evalue><Hsp_query-from>1</Hsp_query-from><Hsp_query-to>95</Hsp_query-to><Hsp_align-len>95</Hsp_align-len><Hsp_identity>90</Hsp_identity></Hsp></Hit_hsps></Hit>
+</Iteration_hits></Iteration>
+<Iteration><Iteration_query-def>q2</Iteration_query-def><Iteration_query-len>100</Iteration_query-len><Iteration_hits>
+<Hit><Hit_def>plasmid x</Hit_def><Hit_hsps><Hsp><Hsp_evalue>5</Hsp_evalue><Hsp_query-from>1</Hsp_query-from><Hsp_query-to>95</Hsp_query-to><Hsp_align-len>95</Hsp_align-len><Hsp_identity>90</Hsp_identity></Hsp></Hit_hsps></Hit>
+</Iteration_hits></Iteration>
+<Iteration><Iteration_query-def>q3</Iteration_query-def><Iteration_query-len>100</Iteration_query-len><Iteration_hits></Iteration_hits></Iteration>
+</BlastOutput_iterations></BlastOutput>"""
+
+
+def test_blast(spark, tmp_path):
+    from sequoir.plans import verify
+
+    hsps = hits.blast_xml(spark, put(tmp_path, "b.xml", XML))
+    got = {r.query: (r.verdict, r.coverage) for r in verify.blast_verdict(hsps).collect()}
+    assert got == {"q1": ("Virus", 0.94), "q2": ("no_significant", None), "q3": ("no_significant", None)}  # 89 of 94 is within the ratio, and a virus decides
+
+
+def test_samplesheet(spark, tmp_path):
+    good = put(tmp_path, "s.csv", "sample,group,fna\na,g,x\nb,g,\n")
+    assert tables.samplesheet(spark, good, "sample string, `group` string, fna string").count() == 2
+    with pytest.raises(ValueError, match="sample twice"):
+        tables.samplesheet(spark, put(tmp_path, "t.csv", "sample,group\na,g\na,g\n"), "sample string, `group` string")
+    with pytest.raises(ValueError, match="empty or spaced group"):
+        tables.samplesheet(spark, put(tmp_path, "u.csv", "sample,group\na,\n"), "sample string, `group` string")
+
+
+def test_files_and_rows(spark, tmp_path):
+    for n in ("x_R1.fq", "x_R2.fq", "y_1.fq"):
+        put(tmp_path, n, "")
+    pairs = {r.stem: [p.rsplit("/", 1)[1] for p in r.paths] for r in tables.file_pairs(spark, f"{tmp_path}/*.fq").collect()}
+    assert pairs == {"x": ["x_R1.fq", "x_R2.fq"], "y": ["y_1.fq"]}
+    assert rows(tables.trimmed_rows(spark, put(tmp_path, "l.csv", "a , b\nc,d \n"), ["p", "q"])) == [("a", "b"), ("c", "d")]
+    assert tables.json_config(spark, put(tmp_path, "c.json", '[{"db": "x", "n": 3}]'), "db string, n int").first().n == 3
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.234, None), ("b", 2.0, "x")], "id string, v double, t string")
+    sinks.write_table(df.coalesce(1), str(tmp_path / "o"), header=False, null="NA", decimals=2)
+    assert sorted(spark.read.text(str(tmp_path / "o")).toPandas().value) == ["a\t1.23\tNA", "b\t2.00\tx"]
+    sinks.write_ids(df, "id", str(tmp_path / "ids.gz"))
+    assert rows(spark.read.text(str(tmp_path / "ids.gz"))) == [("a",), ("b",)]
+    seqs = spark.createDataFrame([("s1", "A" * 75), ("s2", "C")], "id string, seq string")
+    sinks.write_fasta(seqs, str(tmp_path / "f"), width=70)
+    assert [(r.id, r.seq) for r in sequences.fasta(spark, str(tmp_path / "f")).orderBy("id").collect()] == [("s1", "A" * 75), ("s2", "C")]
+    sinks.write_split(df, "t", str(tmp_path / "split"), ["id"])
+    assert (tmp_path / "split" / "t=x").exists()
+    sinks.write_chunks(spark.range(10), ["id"], 4, str(tmp_path / "chunks"))
+    assert [spark.read.parquet(str(tmp_path / "chunks" / f"chunk={k}")).count() for k in range(3)] == [4, 4, 2]
+    sinks.write_release({"a": df}, str(tmp_path / "r1"))
+    sinks.write_release({"a": df}, str(tmp_path / "r2"), str(tmp_path / "r1"))
+    assert spark.read.parquet(str(tmp_path / "r2" / "a")).count() == 4
+    gff = sinks.gff([spark.createDataFrame([("##v",), ("x\t1",)], "value string")] * 2).collect()
+    assert [r.line for r in gff] == ["##v", "##v", "x\t1", "x\t1"]
+    assert [sinks.compression(n) for n in ("a.gz", "a.zst", "a")] == ["gzip", "zstd", "none"]
+    two = [put(tmp_path, f"h{k}.tsv", f"a\tb\n{k}\tx\n") for k in range(2)]
+    assert rows(sinks.concat_tables(spark, two, "a long, b string")) == [(0, "x"), (1, "x")]
+
+
+def test_results_are_remembered(spark, tmp_path):
+    from sequoir.operators.store import once, read_or_empty
+
+    path = str(tmp_path / "memo")
+    assert once(spark.range(3).toDF("n"), path).count() == 3
+    assert once(spark.range(99).toDF("n"), path).count() == 3
+    assert read_or_empty(spark, path, "n long").count() == 3 and read_or_empty(spark, None, "n long").count() == 0
