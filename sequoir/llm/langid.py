@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sequoir.llm.common import crc_mod, keep_rows, map_arrow, utf8
@@ -137,20 +137,19 @@ def training_windows(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) ->
     """Windows and languages of a bounded sample of the labelled rows of docs in the training folds.
 
     Of each language, the distinct texts with the smallest hashes: per_language
-    at most, WINDOWS_PER_TEXT windows of WINDOW bytes of each. That many reach
-    the driver, whatever the input. Ranks are first taken within 64 parts of a
-    language, so that a language with most of the rows is not in one task.
+    at most, WINDOWS_PER_TEXT windows of WINDOW bytes of each. An estimate of
+    how many distinct texts there are bounds the hashes first, with a fifth to
+    spare, so that the driver gets few more than it takes and no task ranks a
+    language.
     """
     able = docs.select("doc_id", "text", "lang").where("lang is not null").where(F.col("text").rlike(r"\p{L}")).where(crc_mod("doc_id", FOLDS) != HELD_OUT)
     hashed = able.select("lang", F.xxhash64("text").alias("order"), "text")
-    rank = F.row_number()
-    part = hashed.select("lang", "order").distinct().withColumn("part", F.pmod("order", F.lit(64)))
-    part = part.withColumn("r", rank.over(Window.partitionBy("lang", "part").orderBy("order"))).where(F.col("r") <= per_language)
-    least = part.withColumn("r", rank.over(Window.partitionBy("lang").orderBy("order"))).where(F.col("r") <= per_language)
-    last = {x.lang: x.last for x in least.groupBy("lang").agg(F.max("order").alias("last")).collect()}
-    if not last:
+    sizes = {r.lang: r.n for r in hashed.groupBy("lang").agg(F.approx_count_distinct("order", 0.02).alias("n")).collect()}
+    if not sizes:
         return np.zeros((0, WINDOW), np.uint8), []
-    limit = F.create_map(*(F.lit(v) for pair in sorted(last.items()) for v in pair))
+    least, most = -(1 << 63), (1 << 63) - 1
+    last = {k: min(most, least + int((1.2 * per_language + 100) / max(1, n) * 2.0**64)) for k, n in sorted(sizes.items())}
+    limit = F.create_map(*(F.lit(v).cast("long" if isinstance(v, int) else "string") for pair in last.items() for v in pair))
     sample = hashed.where(F.col("order") <= limit[F.col("lang")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,10 +157,12 @@ def training_windows(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) ->
             own = [some_windows(x).tobytes() for x in utf8(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.binary())], ["lang", "order", "own"])
 
-    cut = map_arrow(sample, run, "lang string, order long, own binary").dropDuplicates(["lang", "order"])
-    found = sorted((r.lang, r.order, bytes(r.own)) for r in cut.collect())
-    x = [np.frombuffer(own, np.uint8).reshape(-1, WINDOW) for _, _, own in found]
-    return np.concatenate(x), [lang for (lang, _, _), part in zip(found, x, strict=True) for _ in range(len(part))]
+    cut = map_arrow(sample, run, "lang string, order long, own binary").groupBy("lang", "order").agg(F.min("own").alias("own"))
+    taken: dict[str, list[np.ndarray]] = {}
+    for lang, _, own in sorted((r.lang, r.order, bytes(r.own)) for r in cut.collect()):
+        if len(taken.setdefault(lang, [])) < per_language:
+            taken[lang].append(np.frombuffer(own, np.uint8).reshape(-1, WINDOW))
+    return np.concatenate([x for own in taken.values() for x in own]), [lang for lang, own in taken.items() for x in own for _ in range(len(x))]
 
 
 def score_texts(net: Network, steps: list | None, texts: list[bytes]) -> list[tuple[str, float]]:
