@@ -28,7 +28,7 @@ END = "Ā"
 #: White space as the tokenizer's normaliser and pre-tokenizer take it (Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Entries and bytes of a generation of seen words; a worker keeps two.
-MEMO_ENTRIES, MEMO_BYTES = 200_000, 16 << 20
+MEMO_ENTRIES, MEMO_BYTES = 300_000, 24 << 20
 #: Longer words are not kept.
 MEMO_WORD = 256
 
