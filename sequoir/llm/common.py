@@ -2,54 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sequoir.operators.store import settled as materialise
+from sequoir.operators.store import shared_dir
+
+__all__ = ["BATCH_BYTES", "WORD_CLASS", "WORD_SPACE", "crc_mod", "fits", "forget", "keep_rows", "map_arrow", "materialise", "shared_dir", "table", "utf8"]
+
 #: Bytes that separate words: space and U+0009 to U+000D, as bytes.split() has them.
 WORD_SPACE = b" \t\n\r\x0b\x0c"
 #: The same set as a Java or RE2 character class of what words are made of.
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 #: Most bytes of one Arrow batch that goes to Python; a longer text travels alone.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir).
-
-    Only where the session names none, as in local tests, a temporary folder
-    of this machine is made and set.
-    """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='sequoir-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it again.
-
-    Cuts the lineage like a checkpoint, and keeps a columnar copy that lost
-    executors don't take with them.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def forget(df: DataFrame) -> None:
-    """Delete what materialise() wrote for df."""
+    """Delete what materialise(), a written table in the shared folder, left for df."""
     spark = df.sparkSession
     for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(file)
