@@ -11,7 +11,7 @@ from sequoir.config import Thresholds
 from sequoir.functions.exprs import count_true, family_of, flag, genome_of, not_contains_or_null, overlaps, strip_provirus, sum_flags
 from sequoir.operators.rank import top1
 
-#: Accessions of conjugation genes and of the zonular occludens toxin gene may be given by the caller; these are the defaults of the tests.
+#: The flags whose sum classifies a sequence.
 FLAGS = (
     "genomad_virus_score_95",
     "viralverify_virus_score_15",

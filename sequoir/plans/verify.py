@@ -118,3 +118,9 @@ def blast_verdict(hsps: DataFrame, most_evalue: float = 0.01, least_coverage: fl
     judged = best.join(other, "query", "left")
     found = hsps.select("query").distinct().join(judged, "query", "left")
     return found.select("query", F.coalesce("other_kind", "best_kind", F.lit("no_significant")).alias("verdict"), "title", (F.col("covered") / F.col("query_length")).alias("coverage"))
+
+
+def genes_within(genes: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Genes (contig, start, ...) that begin within their contig (id, length); circular contigs were lengthened before genes were called."""
+    own = contigs.select(F.col("id").alias("contig"), F.col("length").alias("_length"))
+    return genes.join(own, "contig").where(F.col("start") <= F.col("_length")).drop("_length")

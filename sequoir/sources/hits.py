@@ -105,3 +105,16 @@ def blast_xml(spark: SparkSession, path: str) -> DataFrame:
     hits = raw.select(F.col("Iteration_query-def").alias("query"), F.col("Iteration_query-len").alias("query_length"), F.posexplode_outer("Iteration_hits.Hit").alias("hit", "h"))
     hsps = hits.select("query", "query_length", "hit", F.col("h.Hit_def").alias("title"), F.explode_outer("h.Hit_hsps.Hsp").alias("s"))
     return hsps.select("query", "query_length", "hit", "title", F.col("s.Hsp_evalue").alias("evalue"), F.col("s.Hsp_query-from").alias("start"), F.col("s.Hsp_query-to").alias("end"), F.col("s.Hsp_align-len").alias("length"), F.col("s.Hsp_identity").alias("identities"))
+
+
+def square_matrix(rows: DataFrame, cols: DataFrame) -> DataFrame:
+    """ordinal, line of a sparse matrix squared up: a header of columns and then row names, a line for every column, then the rows.
+
+    rows: name and its cells as text, in order of `ordinal`; cols: name, ordinal.
+    """
+    names = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ordinal", "name"))), lambda x: x["name"]), ",")
+    both = cols.select(F.col("ordinal"), "name").unionByName(rows.select((F.col("ordinal") + 1_000_000_000).alias("ordinal"), "name"))
+    header = both.agg(F.concat(F.lit(","), names).alias("line")).select(F.lit(-1).cast("long").alias("ordinal"), "line")
+    empty = cols.select(F.col("ordinal").cast("long"), F.concat("name", F.lit(",")).alias("line"))
+    body = rows.select((F.col("ordinal") + 1_000_000_000).cast("long").alias("ordinal"), F.concat_ws(",", "name", "cells").alias("line"))
+    return header.unionByName(empty).unionByName(body).orderBy("ordinal")
