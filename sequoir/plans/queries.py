@@ -197,33 +197,38 @@ def hash_ledger_docs(t):
     return new.select("hash", "doc_id")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, s_name FROM lineitem LEFT JOIN (SELECT DISTINCT p_partkey, s_suppkey, s_name FROM part JOIN supplier ON p_partkey % 100 = s_suppkey % 100) ps ON l_partkey = p_partkey AND l_suppkey = s_suppkey")
+@query("""
+SELECT l.l_orderkey AS l_orderkey, l.l_linenumber AS l_linenumber, l.l_partkey AS l_partkey, returned FROM lineitem l
+LEFT JOIN (SELECT l_partkey, l_suppkey, count(*) AS returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL) r ON l.l_partkey = r.l_partkey AND l.l_suppkey = r.l_suppkey
+""")
 def left_join_composite(t):
-    ps = t("part").join(t("supplier"), F.col("p_partkey") % 100 == F.col("s_suppkey") % 100).select(F.col("p_partkey").alias("l_partkey"), F.col("s_suppkey").alias("l_suppkey"), "s_name").distinct()
-    return t("lineitem").join(ps, ["l_partkey", "l_suppkey"], "left").select("l_orderkey", "l_linenumber", "l_partkey", "s_name")
+    """Left join on two keys, null where the pair is unknown."""
+    lines = t("lineitem")
+    returned = lines.where("l_returnflag = 'R'").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("returned"))
+    return lines.join(returned, ["l_partkey", "l_suppkey"], "left").select("l_orderkey", "l_linenumber", "l_partkey", "returned")
 
 
 @query("""
-SELECT c.k AS cust_nation, c.n AS customers, s.n AS suppliers FROM (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_nationkey < 15 GROUP BY 1) c
-FULL JOIN (SELECT s_nationkey AS k, count(*) AS n FROM supplier WHERE s_nationkey > 9 GROUP BY 1) s ON c.k = s.k
+SELECT c.k AS cust_nation, c.n AS customers, s.n AS suppliers FROM (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_acctbal < -900 GROUP BY 1) c
+FULL JOIN (SELECT s_nationkey AS k, count(*) AS n FROM supplier WHERE s_acctbal > 8000 GROUP BY 1) s ON c.k = s.k
 """)
 def full_outer_pair(t):
     """Full join that keeps the left key, null where only the right side has it."""
-    a = t("customer").where("c_nationkey < 15").groupBy(F.col("c_nationkey").alias("cust_nation")).agg(F.count("*").alias("customers"))
-    b = t("supplier").where("s_nationkey > 9").groupBy("s_nationkey").agg(F.count("*").alias("suppliers"))
+    a = t("customer").where("c_acctbal < -900").groupBy(F.col("c_nationkey").alias("cust_nation")).agg(F.count("*").alias("customers"))
+    b = t("supplier").where("s_acctbal > 8000").groupBy("s_nationkey").agg(F.count("*").alias("suppliers"))
     return a.join(b, F.col("cust_nation") == F.col("s_nationkey"), "full").drop("s_nationkey")
 
 
 @query("""
-WITH a AS (SELECT c_nationkey AS k, count(*) AS n_c FROM customer WHERE c_nationkey < 12 GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) AS n_s FROM supplier WHERE s_nationkey > 6 GROUP BY 1),
-c AS (SELECT n_nationkey AS k, n_regionkey AS r FROM nation WHERE n_nationkey > 9) SELECT k, n_c, n_s, r FROM a FULL JOIN b USING (k) FULL JOIN c USING (k)
+WITH a AS (SELECT c_nationkey AS k, count(*) AS n_c FROM customer WHERE c_acctbal < -900 GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) AS n_s FROM supplier WHERE s_acctbal > 8000 GROUP BY 1),
+c AS (SELECT n_nationkey AS k, n_regionkey AS r FROM nation WHERE n_name >= 'I') SELECT k, n_c, n_s, r FROM a FULL JOIN b USING (k) FULL JOIN c USING (k)
 """)
 def full_outer_chain(t):
     from sequoir.plans.annotate import full_chain
 
-    a = t("customer").where("c_nationkey < 12").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n_c"))
-    b = t("supplier").where("s_nationkey > 6").groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("n_s"))
-    return full_chain([a, b, t("nation").where("n_nationkey > 9").select(F.col("n_nationkey").alias("k"), F.col("n_regionkey").alias("r"))], "k")
+    a = t("customer").where("c_acctbal < -900").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n_c"))
+    b = t("supplier").where("s_acctbal > 8000").groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("n_s"))
+    return full_chain([a, b, t("nation").where("n_name >= 'I'").select(F.col("n_nationkey").alias("k"), F.col("n_regionkey").alias("r"))], "k")
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
@@ -278,17 +283,20 @@ def kmer_containment(t):
 def _nation_edges(t):
     """Nations by how much they trade; the weight is the number of lines."""
     rows = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    return rows.where("o_totalprice > 250000").groupBy(F.col("c_nationkey").alias("src"), F.col("s_nationkey").alias("dst")).agg(F.count("*").alias("w"), F.min("o_orderkey").alias("first"))
+    return rows.groupBy(F.col("c_nationkey").alias("src"), F.col("s_nationkey").alias("dst")).agg(F.count("*").alias("w"))
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT c_nationkey AS src, s_nationkey AS dst FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON o_orderkey = l_orderkey JOIN supplier ON l_suppkey = s_suppkey WHERE o_totalprice > 250000 GROUP BY ALL HAVING min(o_orderkey) % 11 = 0),
+WITH RECURSIVE w AS (SELECT c_nationkey AS src, s_nationkey AS dst, count(*) AS w FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON o_orderkey = l_orderkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL),
+e AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY w DESC, dst) AS k FROM w WHERE src <> dst) WHERE k = 1),
 u AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
 r AS (SELECT src AS node, src AS reach FROM u UNION SELECT r.node, u.dst FROM r JOIN u ON r.reach = u.src)
 SELECT node, min(reach) AS component FROM r GROUP BY node
 """)
 def cluster_components(t):
-    return graph.components(_nation_edges(t).where("first % 11 = 0").select("src", "dst"))
+    """Components of nations that are linked to the one they trade most with."""
+    most = rank.top1(_nation_edges(t).where("src <> dst"), ["src"], [F.col("w").desc()], ["dst"])
+    return graph.components(most.select("src", "dst"))
 
 
 @query()
@@ -300,13 +308,13 @@ def markov_clusters_nations(t):
 
 
 @query()
-def greedy_clusters_parts(t):
-    """Greedy clusters of parts that are bought in the same orders; sequential by nature, so held against a loop in the tests."""
-    bought = t("lineitem").select("l_orderkey", "l_partkey").distinct().where(F.col("l_partkey") % 10 < 2)
-    pairs = bought.join(bought.withColumnRenamed("l_partkey", "other"), "l_orderkey").where("l_partkey < other")
-    edges = pairs.select(F.col("l_partkey").cast("string").alias("src"), F.col("other").cast("string").alias("dst")).distinct()
-    nodes = t("part").where(F.col("p_partkey") % 10 < 2).select(F.col("p_partkey").cast("string").alias("member"), F.col("p_size").cast("long").alias("length"))
-    return graph.greedy_clusters(nodes, edges)
+def greedy_clusters_nations(t):
+    """Greedy clusters of nations that trade more than the average; sequential by nature, so held against a loop in the tests."""
+    edges = _nation_edges(t)
+    mean = edges.agg(F.avg("w")).first()[0] or 0.0
+    near = edges.where(F.col("w") >= 1.15 * mean).select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
+    nodes = t("customer").groupBy(F.col("c_nationkey").cast("string").alias("member")).agg(F.count("*").alias("length"))
+    return graph.greedy_clusters(nodes, near)
 
 
 @query("""
@@ -319,10 +327,11 @@ def cascade_residual(t):
     return found.unionByName(rest.withColumn("step", F.lit("residual")))
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 = 0")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_totalprice > 100000")
 def union_strict(t):
-    o = t("orders").select("o_orderkey", "o_custkey")
-    return dataflow.mix(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0"))
+    """Both inputs' rows, those of both twice."""
+    o = t("orders")
+    return dataflow.mix(o.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey"), o.where("o_totalprice > 100000").select("o_orderkey", "o_custkey"))
 
 
 @query("SELECT DISTINCT o_custkey, o_orderstatus FROM orders")

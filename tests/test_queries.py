@@ -37,7 +37,7 @@ def test_query_and_its_sql_agree(spark, con, small, name):
 def test_iterative_queries(spark, small):
     nations = queries.QUERIES["markov_clusters_nations"](spark, small).collect()
     assert len({r.member for r in nations}) == len(nations) > 0
-    parts = {r.member: r.representative for r in queries.QUERIES["greedy_clusters_parts"](spark, small).collect()}
+    parts = {r.member: r.representative for r in queries.QUERIES["greedy_clusters_nations"](spark, small).collect()}
     assert all(parts[r] == r for r in parts.values())
 
 
