@@ -38,6 +38,8 @@ BAD_NAMES = frozenset(
     "contentinfo complementary".split()
 )
 GOOD_NAMES = frozenset("content article post entry story main articlebody postbody maintext".split())
+#: A class like has-sidebar or no-comments tells of the page's layout and names nothing.
+LAYOUT = frozenset(("has", "with", "no"))
 #: Of an article's own names only these make it boilerplate.
 ARTICLE_BAD = frozenset("comment comments reply ad ads advert advertisement sponsored promo teaser related widget".split())
 
@@ -79,8 +81,10 @@ def _named(attributes: str) -> tuple[frozenset[str], bool]:
         elif key == "style":
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         elif key != "aria-hidden":
-            names.update(x.lower() for x in _parts.findall(value))
-            names.update(x.lower() for x in value.split())
+            for word in value.split():
+                parts = {x.lower() for x in _parts.findall(word)}
+                if not parts & LAYOUT:
+                    names |= parts | {word.lower()}
     return frozenset(names), hidden
 
 

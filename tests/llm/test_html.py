@@ -59,6 +59,11 @@ def test_articles_are_whole_whatever_their_blocks():
         assert main(page) == "\n\n".join(parts)
 
 
+def test_layout_classes_name_nothing():
+    assert main('<div class="page has-sidebar no-comments"><article><p>Kept.</p></article></div>') == "Kept."
+    assert main('<div class="sidebar"><article><p>Gone.</p></article></div><article><p>Kept.</p></article>') == "Kept."
+
+
 def test_tree_learns_its_table():
     rows = H.labelled()
     assert sum(H.classify(TREE, r[:-1]) == bool(r[-1]) for r in rows) / len(rows) > 0.99
