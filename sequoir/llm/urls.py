@@ -34,8 +34,10 @@ def host_path(url: Column) -> tuple[Column, Column]:
 
 
 def rule_table(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """(verdict, host, path) rules as a table."""
-    return spark.createDataFrame([tuple(x) for x in rules], "list_verdict string, list_host string, list_path string")
+    """(verdict, host, path) rules as a table of literals."""
+    rows = [F.struct(*(F.lit(v).cast("string").alias(n) for v, n in zip(r, ("list_verdict", "list_host", "list_path"), strict=True))) for r in rules]
+    listed = F.array(*rows).cast("array<struct<list_verdict:string,list_host:string,list_path:string>>")
+    return spark.range(1).select(F.inline(listed))
 
 
 def _block(key: Column, blocks: int) -> Column:
