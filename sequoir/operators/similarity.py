@@ -44,8 +44,16 @@ def kmers(seq: Column | str, k: int) -> Column:
 
 
 def word_grams(words: Column, n: int) -> Column:
-    """All runs of n words of a list, joined by a space."""
-    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    """All runs of n words of a list, joined by a space.
+
+    Shifted lists are zipped, so that `words` is worked out n times and not
+    once for every run.
+    """
+    count = F.size(words) - (n - 1)
+    runs = F.slice(words, 1, F.greatest(count, F.lit(0)))
+    for k in range(1, n):
+        runs = F.zip_with(runs, F.slice(words, k + 1, F.greatest(count, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+    return F.when(count > 0, runs).otherwise(F.array().cast("array<string>"))
 
 
 def containment(queries: DataFrame, targets: DataFrame, query: str, target: str, grams: str, least_shared: int = 1, least: float = 0.2, fraction: int = 1) -> DataFrame:
