@@ -48,3 +48,15 @@ def read_or_empty(spark: SparkSession, path: str | None, schema: T.StructType |
     if path and exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A table as it is read, dealt over all cores if it has fewer splits than there are cores.
+
+    A small file of one row group would otherwise be one task's work. Inputs
+    with a split for every core are left as they are, so nothing that is large
+    is shuffled by this.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan.repartition(cores) if splits < cores else scan

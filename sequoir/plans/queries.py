@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sequoir.functions import exprs
 from sequoir.operators import dataflow, dedup, graph, intervals, rank, similarity, vote
-from sequoir.operators.store import shared_dir
+from sequoir.operators.store import shared_dir, spread
 from sequoir.plans import classify
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -277,7 +277,7 @@ WHERE shared >= 2 AND CAST(shared AS DOUBLE) / least(nd.n, nb.n) >= 0.2
 def kmer_containment(t):
     """Word trigrams that documents share with benchmark items, as a share of the smaller set."""
     grams = lambda df, name: df.select(name, similarity.word_grams(F.split("text", " "), 3).alias("grams"))
-    return similarity.containment(grams(t("documents"), "doc_id"), grams(t("benchmark"), "item_id"), "doc_id", "item_id", "grams", 2, 0.2)
+    return similarity.containment(grams(spread(t("documents")), "doc_id"), grams(t("benchmark"), "item_id"), "doc_id", "item_id", "grams", 2, 0.2)
 
 
 def _nation_edges(t):
