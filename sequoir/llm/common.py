@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sequoir.operators.store import settled as materialise
-from sequoir.operators.store import shared_dir
+from sequoir.operators.store import shared_dir, spread
 
 __all__ = ["BATCH_BYTES", "WORD_CLASS", "WORD_SPACE", "crc_mod", "fits", "forget", "keep_rows", "map_arrow", "materialise", "shared_dir", "table", "utf8"]
 
@@ -22,7 +22,7 @@ BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def forget(df: DataFrame) -> None:
