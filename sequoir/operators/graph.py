@@ -54,8 +54,9 @@ def markov_clusters(edges: DataFrame, inflation: float = 2.0, rounds: int = 50,
     The matrix is a table (row, col, v): columns get self-loops of their
     greatest weight and sum to one; every round squares it by a join, drops
     entries under `floor`, raises what is left to `inflation` and rescales. It
-    ends when no entry moves by more than `settle`, or after `rounds`. A node
-    goes to the attractor with the greatest flow, ties to the smallest; sets of
+    ends when no entry moves by more than its share `settle`, or after `rounds`. A
+    node goes to the attractor with the greatest flow, ties (within `settle`, so
+    that rounding makes none) to the smallest; sets of
     nodes that share attractors are clusters. Ids are numbered from 1 by size,
     largest first, then by smallest member.
     """
@@ -73,11 +74,13 @@ def markov_clusters(edges: DataFrame, inflation: float = 2.0, rounds: int = 50,
         right = m.select(F.col("row").alias("mid"), "col", F.col("v").alias("b"))
         squared = left.join(right, "mid").groupBy("row", "col").agg(F.sum(F.col("a") * F.col("b")).alias("v"))
         after = settled(scaled(squared.where(F.col("v") >= floor).withColumn("v", F.pow("v", F.lit(inflation)))), "flow")
-        moved = after.withColumnRenamed("v", "n").join(m, ["row", "col"], "full").where(F.abs(F.coalesce("n", F.lit(0.0)) - F.coalesce("v", F.lit(0.0))) > settle)
+        was, now = F.coalesce("v", F.lit(0.0)), F.coalesce("n", F.lit(0.0))
+        moved = after.withColumnRenamed("v", "n").join(m, ["row", "col"], "full").where(F.abs(now - was) > settle * F.greatest(now, was))
         m = after
         if moved.limit(1).count() == 0:
             break
-    flows = m.where(F.col("v") > 0.1).select(F.col("row").alias("src"), F.col("col").alias("dst"))
+    most = m.groupBy("col").agg(F.max("v").alias("most"))
+    flows = m.join(most, "col").where(F.col("v") >= F.col("most") * (1 - settle)).groupBy(F.col("col").alias("dst")).agg(F.min("row").alias("src"))
     named = components(flows)
     sizes = named.groupBy("component").agg(F.count("*").alias("n"))
     ids = numbered(sizes.withColumn("_small", -F.col("n")), ["_small", "component"], "cluster_id").select("component", "cluster_id")

@@ -156,6 +156,14 @@ def test_markov_clusters_against_a_dense_matrix(spark):
     assert {x.member: x.cluster_id for x in more.collect() if x.member in ("zz", "aa")} == {"aa": len(groups) + 1, "zz": len(groups) + 2}
 
 
+@pytest.mark.parametrize(("n", "least"), [(12, 1.0), (40, 1.0), (40, 0.99)])
+def test_markov_clusters_keep_large_cliques(spark, n, least):
+    r = random.Random(n)
+    edges = [(f"{g}{a:02d}", f"{g}{b:02d}", r.uniform(least, 1.0)) for g in "pq" for a in range(n) for b in range(a + 1, n)]
+    got = graph.markov_clusters(spark.createDataFrame(edges, "src string, dst string, w double")).collect()
+    assert {x.member: x.cluster_id for x in got} == {f"{g}{a:02d}": k for k, g in enumerate("pq", 1) for a in range(n)} and len(got) == 2 * n
+
+
 def test_greedy_clusters_against_a_loop(spark):
     r = random.Random(3)
     nodes = [(f"s{k:02d}", r.randint(1, 20)) for k in range(40)]
