@@ -2,8 +2,8 @@
 
 The filter holds unigrams and bigrams of the training documents with their
 counts in powers of two: one that was seen c times is entered with the marks 1
-to floor(log2(c)), so that asking for mark after mark until one is missing
-gives back its level. Once-seen n-grams are not entered. An n-gram's marks all
+to 1 + floor(log2(c)), so that asking for mark after mark until one is missing
+gives back its level, floor(log2(c)). An n-gram's marks all
 lie in one segment of the filter; segments are built by their own tasks, sized
 by what was counted, and sent to the workers as long as they fit the bound. A
 larger filter is sent in shards, one pass over the documents each.
@@ -141,7 +141,7 @@ def count_tokens(train: DataFrame) -> DataFrame:
 
 
 def count_bigrams(train: DataFrame) -> DataFrame:
-    """h, c of the bigrams of train (text) that were seen twice or more."""
+    """h, c of the bigrams of train (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary()
@@ -153,12 +153,12 @@ def count_bigrams(train: DataFrame) -> DataFrame:
                 h, c = np.unique(Encoded(texts[part], vocabulary).bigrams(), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int32))], ["h", "c"])
 
-    return map_arrow(train.select("text"), run, "h long, c int").groupBy("h").agg(F.sum("c").alias("c")).where("c >= 2")
+    return map_arrow(train.select("text"), run, "h long, c int").groupBy("h").agg(F.sum("c").alias("c"))
 
 
 def middle(levels: np.ndarray) -> np.ndarray:
     """The count that a level stands for: the middle of its range; 0 for none."""
-    return np.where(levels > 0, 1.5 * np.exp2(levels.astype(np.float64)) - 0.5, 0.0)
+    return np.where(levels >= 0, 1.5 * np.exp2(levels.astype(np.float64)) - 0.5, 0.0)
 
 
 def _halves(h: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray]:
@@ -182,8 +182,8 @@ class LogFrequencyFilter:
         self.segments, self.first, self.bits = segments, first, bits  # bits: uint8, packed
 
     def levels(self, h: np.ndarray) -> np.ndarray:
-        """Levels of n-grams, 0 for what isn't in these segments: marks are asked for until one is missing."""
-        found = np.zeros(len(h), np.int64)
+        """Levels of n-grams, -1 for what isn't in these segments: marks are asked for until one is missing."""
+        found = np.full(len(h), -1, np.int64)
         own = segment(h, self.segments) - self.first
         active = np.flatnonzero((own >= 0) & (own < len(self.bits) * 8 // SEGMENT_BITS))
         mark = 1
@@ -194,14 +194,14 @@ class LogFrequencyFilter:
                 at = base + _bit(low, high, k)
                 kept = np.flatnonzero((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
                 active, base, low, high = active[kept], base[kept], low[kept], high[kept]
-            found[active] = mark
+            found[active] = mark - 1
             mark += 1
         return found
 
 
 def build_filter(entries: DataFrame) -> tuple[int, DataFrame]:
     """Number of segments, and segment, bits of entries (h, c); empty segments have no row."""
-    marked = entries.select("h", F.floor(F.log2("c") + F.lit(1e-9)).cast("int").alias("q"))
+    marked = entries.select("h", (F.floor(F.log2("c") + F.lit(1e-9)) + 1).cast("int").alias("q"))
     marks = marked.agg(F.sum("q")).first()[0] or 0
     segments = max(1, -(-marks * BITS_PER_MARK // SEGMENT_BITS))
     placed = marked.withColumn("segment", F.pmod(F.shiftrightunsigned("h", 20), F.lit(segments)))
@@ -327,7 +327,7 @@ def score(docs: DataFrame, sent_tokens: int = SENT_TOKENS, filter_bytes: int = F
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(token_hashes(batch.column(0).to_pylist()).view(np.int64)), batch.column(1)], ["h", "c"])
 
-    entries = map_arrow(unigrams.where("c >= 2"), hashed, "h long, c long").unionByName(count_bigrams(train))
+    entries = map_arrow(unigrams, hashed, "h long, c long").unionByName(count_bigrams(train))
     entries = materialise(entries, "ngrams")
     segments, rows = build_filter(entries)
     rows = materialise(rows, "filter")

@@ -1,0 +1,39 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sequoir.llm import lm
+from tests.llm.cases import frame
+from tests.llm.test_lm import data
+
+
+@pytest.mark.parametrize("more", [{}, {"filter_bytes": 1 << 16}])
+def test_once_seen_ngrams_count(spark, more, monkeypatch):
+    monkeypatch.setattr(lm, "BITS_PER_MARK", 500 if more else 64)
+    docs = data()
+    toks = [lm.tokens((r[1] or "").encode()) for r in docs]
+    got = lm.score(frame(spark, docs), **more).collect()
+    held = {r.doc_id for r in got if r.held_out}
+    train = [w for r, w in zip(docs, toks, strict=True) if r[0] not in held]
+    one, two = Counter(x for w in train for x in w), Counter(p for w in train for p in zip([None, *w[:-1]], w, strict=True))
+    total, distinct = sum(one.values()), len(one)
+    mid = lambda c: 1.5 * 2 ** math.floor(math.log2(c)) - 0.5 if c else 0.0
+    want = []
+    for r, w in zip(docs, toks, strict=True):
+        score = 0.0
+        for v, x in zip([None, *w[:-1]], w, strict=True):
+            pair, before = mid(two[v, x]), len(train) if v is None else mid(one[v])
+            score += math.log10((pair + lm.PRIOR * (mid(one[x]) + 1) / (total + distinct + 1)) / (max(before, pair) + lm.PRIOR))
+        want.append((str(r[0]), len(w), score))
+    for a, b in zip(sorted((str(r.doc_id), r.n_tokens, r.score) for r in got), sorted(want), strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=2e-3)
+
+
+def test_filter_holds_counts_of_one(spark):
+    h = np.random.default_rng(2).integers(0, 1 << 63, 2000, dtype=np.int64)
+    segments, built = lm.build_filter(spark.createDataFrame([(int(x), 1) for x in h], "h long, c long"))
+    part = next(lm.shards(segments, built))
+    assert (lm.middle(part.levels(h.view(np.uint64))) >= 1).all() and (part.levels(h.view(np.uint64)) == 0).mean() > 0.98
+    assert (part.levels(np.arange(5000, dtype=np.uint64)) >= 0).mean() < 0.02
