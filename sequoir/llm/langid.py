@@ -1,7 +1,9 @@
 """Language identification by a byte convolutional network, trained in numpy.
 
 A window of bytes goes through filters of several widths, each filter's greatest
-response in the window is kept, and softmax classifies those. As the input is
+response in the window is kept, and softmax classifies those: into the labelled
+languages and noise, which is made of the training windows and lets the score
+of a text in no known language fall. As the input is
 one-hot, a filter is a table of weights by offset and byte, and a convolution a
 sum of table rows; for scoring, two neighbouring offsets make one table over
 byte pairs. Texts are cut into fixed-length windows, all of which are scored,
@@ -10,7 +12,7 @@ in batches; a document has the mean of its windows, weighted by their letters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,10 +35,18 @@ EPOCHS = 8
 RATE = 6e-3
 SEED = 7
 UNDETERMINED = "und"
+#: Windows of noise at least.
+NOISE = 1000
 FOLDS, HELD_OUT = 5, 0
-#: Codes of bytes: 0 for space and all ASCII but letters, 1 to 26 for letters in either case, the rest for bytes of other letters.
-CODES = 128
-CODE = bytes((c | 32) - 96 if chr(c).isalpha() and c < 128 else 0 if c < 128 else 27 + (c - 128) % 101 for c in range(256))
+#: Score under which the filter takes a text for no learned language.
+LEAST_SCORE = 0.2
+#: Languages that are learned at most: those with the most distinct texts.
+LANGUAGES = 200
+#: A code is a byte, A-Z in lower case; windows are padded with spaces.
+CODES = 256
+SPACE = 32
+#: Which codes count as letters when windows are weighed: a-z and the bytes of letters beyond ASCII.
+LETTERS = np.array([chr(c).isalpha() if c < 128 else True for c in range(CODES)])
 letter = regex.compile(r"\p{L}").search
 
 
@@ -45,7 +55,7 @@ class Network:
     languages: list[str]
     tables: list[np.ndarray]  # for each width: (width, CODES, FILTERS)
     bias: np.ndarray  # (widths * FILTERS,)
-    out: np.ndarray  # (widths * FILTERS, languages)
+    out: np.ndarray  # (widths * FILTERS, languages + 1): the last is noise
     out_bias: np.ndarray
 
     def compiled(self) -> list[list[tuple[int, bool, np.ndarray]]]:
@@ -57,7 +67,7 @@ class Network:
         return found
 
     def probabilities(self, x: np.ndarray, steps: list | None = None) -> np.ndarray:
-        """(n, languages) for windows x of codes, (n, WINDOW)."""
+        """(n, languages + 1) for windows x of codes, (n, WINDOW); the last is noise."""
         single = x.astype(np.int32)
         pair = single[:, :-1] * CODES + single[:, 1:]
         pooled = []
@@ -73,10 +83,19 @@ class Network:
 
 
 def windows(text: bytes) -> np.ndarray:
-    """All windows of a text as codes, (n, WINDOW), with one space for what isn't a letter and padded with spaces."""
-    read = b"\0" + b"\0".join(x for x in text.translate(CODE).split(b"\0") if x) + b"\0"
+    """All windows of a text as codes, (n, WINDOW); there is a space before and after it."""
+    read = b" " + text.lower() + b" "
     n = -(-len(read) // WINDOW)
-    return np.frombuffer(read.ljust(n * WINDOW, b"\0"), np.uint8).reshape(n, WINDOW)
+    return np.frombuffer(read.ljust(n * WINDOW), np.uint8).reshape(n, WINDOW)
+
+
+def noise(x: np.ndarray, random: np.random.Generator) -> np.ndarray:
+    """Windows that are no language: those of x with their codes in any order, and such of any codes."""
+    mixed = random.permuted(x, axis=1)
+    anything = random.random(len(x)) < 0.5
+    share = random.random((len(x), 1))
+    drawn = random.integers(0, CODES, x.shape).astype(np.uint8)
+    return np.where(anything[:, None] & (random.random(x.shape) < share), drawn, mixed)
 
 
 def some_windows(text: bytes, most: int = WINDOWS_PER_TEXT) -> np.ndarray:
@@ -85,14 +104,19 @@ def some_windows(text: bytes, most: int = WINDOWS_PER_TEXT) -> np.ndarray:
 
 
 def train(x: np.ndarray, labels: list[str], epochs: int = EPOCHS, seed: int = SEED) -> Network:
-    """A network for the labels of windows x, by Adam on the cross entropy; the same input gives the same network."""
+    """A network for the labels of windows x and for noise made of them, by Adam on the cross entropy.
+
+    The same input gives the same network.
+    """
     languages = sorted(set(labels))
-    y = np.array([languages.index(v) for v in labels])
     random = np.random.default_rng(seed)
-    weight = (len(y) / (len(languages) * np.bincount(y, minlength=len(languages))))[y].astype(np.float32)
+    other = noise(x[random.integers(0, len(x), max(NOISE, len(x) // len(languages)))], random)
+    y = np.array([languages.index(v) for v in labels] + [len(languages)] * len(other))
+    x = np.concatenate([x, other])
+    weight = (len(y) / ((len(languages) + 1) * np.bincount(y)))[y].astype(np.float32)
     hidden = len(WIDTHS) * FILTERS
     tables = [random.normal(0, 0.3, (w, CODES, FILTERS)).astype(np.float32) for w in WIDTHS]
-    net = Network(languages, tables, np.zeros(hidden, np.float32), random.normal(0, 0.2, (hidden, len(languages))).astype(np.float32), np.zeros(len(languages), np.float32))
+    net = Network(languages, tables, np.zeros(hidden, np.float32), random.normal(0, 0.2, (hidden, len(languages) + 1)).astype(np.float32), np.zeros(len(languages) + 1, np.float32))
     values = [*net.tables, net.bias, net.out, net.out_bias]
     mean, square = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values]
     filters, step = np.arange(FILTERS), 0
@@ -136,7 +160,7 @@ def train(x: np.ndarray, labels: list[str], epochs: int = EPOCHS, seed: int = SE
 def training_windows(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> tuple[np.ndarray, list[str]]:
     """Windows and languages of a bounded sample of the labelled rows of docs in the training folds.
 
-    Of each language, the distinct texts with the smallest hashes: per_language
+    Of each of LANGUAGES languages at most, the distinct texts with the smallest hashes: per_language
     at most, WINDOWS_PER_TEXT windows of WINDOW bytes of each. An estimate of
     how many distinct texts there are bounds the hashes first, with a fifth to
     spare, so that the driver gets few more than it takes and no task ranks a
@@ -144,7 +168,7 @@ def training_windows(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) ->
     """
     able = docs.select("doc_id", "text", "lang").where("lang is not null").where(F.col("text").rlike(r"\p{L}")).where(crc_mod("doc_id", FOLDS) != HELD_OUT)
     hashed = able.select("lang", F.xxhash64("text").alias("order"), "text")
-    sizes = {r.lang: r.n for r in hashed.groupBy("lang").agg(F.approx_count_distinct("order", 0.02).alias("n")).collect()}
+    sizes = {r.lang: r.n for r in hashed.groupBy("lang").agg(F.approx_count_distinct("order", 0.02).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not sizes:
         return np.zeros((0, WINDOW), np.uint8), []
     least, most = -(1 << 63), (1 << 63) - 1
@@ -166,7 +190,7 @@ def training_windows(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) ->
 
 
 def score_texts(net: Network, steps: list | None, texts: list[bytes]) -> list[tuple[str, float]]:
-    """Predicted language and its probability for each text."""
+    """Predicted language and its probability, noise being another answer, for each text."""
     out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
     if not net.languages:
         return out
@@ -179,11 +203,11 @@ def score_texts(net: Network, steps: list | None, texts: list[bytes]) -> list[tu
         sizes = np.array([len(x) for x in held])
         x = np.concatenate(held)
         p = np.concatenate([net.probabilities(x[at : at + BATCH], steps) for at in range(0, len(x), BATCH)])
-        weight = (x > 0).sum(axis=1)[:, None].astype(np.float64)
+        weight = LETTERS[x].sum(axis=1)[:, None].astype(np.float64)
         starts = np.r_[0, np.cumsum(sizes)[:-1]]
         total = np.add.reduceat(p * weight, starts, axis=0) / np.maximum(np.add.reduceat(weight, starts, axis=0), 1)
         for i, row in zip(group, total, strict=True):
-            best = int(row.argmax())
+            best = int(row[:-1].argmax())
             out[i] = net.languages[best], float(min(1.0, row[best]))
         group.clear()
         held.clear()
@@ -225,17 +249,20 @@ def trained(docs: DataFrame) -> Network:
     return train(x, labels) if labels else Network([], [], *[np.zeros(0, np.float32)] * 3)
 
 
-def keep_identified(docs: DataFrame, net: Network | None = None) -> DataFrame:
-    """The rows of docs, with all their columns, whose text is in one of the learned languages, so not `und`.
+def keep_identified(docs: DataFrame, net: Network | None = None, languages: Collection[str] | None = None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of docs, with all their columns, whose text is predicted with a score of at least `least`.
 
+    languages: the wanted ones, all learned ones if None. Texts without letters
+    go, as do texts that are noise or in another language to the network.
     Without a network, one is trained on docs itself. If none could be trained,
     nothing is known of any text, and all rows stay.
     """
     net = net or trained(docs)
     if not net.languages:
         return docs
+    wanted = frozenset(net.languages if languages is None else languages)
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    return keep_rows(docs, "text", lambda texts: [lang != UNDETERMINED for lang, _ in score_texts(sent.value, None, texts)])
+    return keep_rows(docs, "text", lambda texts: [lang in wanted and score >= least for lang, score in score_texts(sent.value, None, texts)])
 
 
 def language_id(docs: DataFrame) -> DataFrame:

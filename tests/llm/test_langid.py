@@ -55,7 +55,8 @@ def test_compiled_tables_score_as_a_convolution():
 def test_windows_cover_the_whole_text():
     text = ("Wörter " * 500).encode()
     own = langid.windows(text)
-    assert (own > 0).sum() == 500 * 7  # six letters, one of two bytes
+    assert (own != 32).sum() == 500 * 7  # six letters, one of two bytes
+    assert own.tobytes().strip() == text.strip().lower()
     assert langid.windows(b"").shape == (1, langid.WINDOW)
 
 
@@ -79,3 +80,48 @@ def test_stage_keeps_what_is_a_language(spark):
     assert {5, 8, 10, 11} <= {r.doc_id for r in kept.collect()}
     assert langid.keep_identified(frame(spark, [])).count() == 0
     assert langid.keep_identified(frame(spark, [(1, "text", None, *[None] * 6)])).count() == 1
+
+
+def slow_score(net, text):
+    """A whole document's answer, window by window and place by place."""
+    read = b" " + bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode()) + b" "
+    total, weight = np.zeros(len(net.languages) + 1), 0
+    for at in range(0, len(read), langid.WINDOW):
+        part = read[at : at + langid.WINDOW].ljust(langid.WINDOW, b" ")
+        pooled = []
+        for t in net.tables:
+            w = len(t)
+            pooled.append(np.max([sum(t[k, part[i + k]] for k in range(w)) for i in range(langid.WINDOW - w + 1)], axis=0))
+        z = np.maximum(np.concatenate(pooled) + net.bias, 0) @ net.out + net.out_bias
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        own = sum(97 <= b <= 122 or b > 127 for b in part)
+        total, weight = total + p * own, weight + own
+    p = total / weight
+    best = int(np.argmax(p[:-1]))
+    return net.languages[best], p[best]
+
+
+FOREIGN = ["Это русский текст о погоде и о природе в большой стране", "これは日本語の文章です。天気が良いので散歩に行きます。", "xqzvjk wpfgh zzxcvb qwrtp mnbvc lkjhg fdsq " * 4]
+
+
+def test_whole_documents_against_a_slow_version(spark):
+    data = labelled(120)
+    net = langid.trained(frame(spark, data))
+    texts = [t for _, t, *_ in data[:12]] + FOREIGN + [" ".join(SETS["de"]) * 20]
+    for (lang, score), text in zip(langid.score_texts(net, None, [t.encode() for t in texts]), texts, strict=True):
+        want = slow_score(net, text)
+        assert lang == want[0] and abs(score - want[1]) < 1e-4
+
+
+def test_filter_drops_other_languages_and_noise(spark):
+    """The network's answer decides: foreign texts have letters, and still go."""
+    data = labelled(200)
+    odd = [(1000 + k, t, None, "s", 0, None, None, None, None) for k, t in enumerate(FOREIGN)]
+    docs = frame(spark, data + odd)
+    net = langid.trained(docs)
+    kept = {r.doc_id for r in langid.keep_identified(docs, net).collect()}
+    assert kept == {k for k, t, *_ in data + odd if slow_score(net, t)[1] >= langid.LEAST_SCORE}
+    assert kept == {k for k, *_ in data}
+    german = {r.doc_id for r in langid.keep_identified(docs, net, languages=["de"]).collect()}
+    assert german == {k for k in kept if slow_score(net, dict((a, b) for a, b, *_ in data)[k])[0] == "de"}
+    assert 0 < len(german) < len(kept)
