@@ -3,18 +3,26 @@
 The filter holds unigrams and bigrams of the training documents with their
 counts in powers of two: one that was seen c times is entered with the marks 1
 to 1 + floor(log2(c)), so that asking for mark after mark until one is missing
-gives back its level, floor(log2(c)). An n-gram's marks all
-lie in one segment of the filter; segments are built by their own tasks, sized
-by what was counted, and sent to the workers as long as they fit the bound. A
-larger filter is sent in shards, one pass over the documents each.
-
-Beside it, exact unigram counts give the base score.
+gives back its level, floor(log2(c)). N-grams fall into buckets by the first
+bits of their hash; a bucket is counted and built by one task, holds no more
+than a few MB, and is a filter of its own, sized by what it holds.
+
+A filter within SENT_BYTES goes to the workers, which probe it. Beyond that the
+probes go to the buckets: every slice of documents sends its distinct hashes,
+and gets their levels and counts back. Exact unigram counts, by 64-bit hash,
+give the base score.
+
+A bigram's count is taken at the least and its context's at the most that their
+levels allow, so the probabilities of all tokens in a context add up to at most
+one, but for false positives.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import pickle
+import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sequoir.llm.common import crc_mod, map_arrow, materialise, utf8
+from sequoir.llm.common import crc_mod, forget, map_arrow, materialise, utf8
 
 FOLDS, HELD_OUT = 7, 2
 #: Token of the end of a text; words are never empty.
@@ -31,18 +39,17 @@ END = b""
 START = np.uint64(0x5851F42D4C957F2D)
 MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Bits for each entered mark, and bits that a mark sets.
-BITS_PER_MARK, PROBES = 16, 5
-SEGMENT_BITS = 1 << 19
-#: Most bytes of filter that are sent to the workers at once.
-FILTER_BYTES = 128 << 20
-#: Most distinct training tokens whose exact counts are sent to the workers (12 bytes each); more are joined by shuffle.
-SENT_TOKENS = 8_000_000
+BITS_PER_MARK, PROBES = 12, 5
+#: Bytes of text whose n-grams share a bucket, about.
+BUCKET_BYTES = 4 << 20
+#: Most bytes of filter and exact counts that are sent to the workers.
+SENT_BYTES = 192 << 20
 #: Weight of the unigram estimate in the bigram's (Dirichlet smoothing).
 PRIOR = 4.0
-#: Bytes of text that are counted or scored at once, so that a worker's arrays stay small.
-COUNT_BYTES, SCORE_BYTES = 8 << 20, 3 << 20
-#: Entries that a task counts before it passes them on.
-HELD_ENTRIES = 200_000
+#: Bytes of text that are encoded at once, so that a worker's arrays stay small.
+SLICE_BYTES = 3 << 20
+#: Distinct words that a task keeps, and bigrams that it gathers before it passes them on.
+HELD_WORDS, HELD_BIGRAMS = 200_000, 3_000_000
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -103,7 +110,7 @@ class Encoded:
         parts = [np.array(list(map(get, tokens(text))), np.int32) for text in texts]
         self.vocabulary.settle()
         self.sizes = np.array([len(x) for x in parts], np.int64)
-        self.starts = np.r_[0, np.cumsum(self.sizes)[:-1]].astype(np.int64)
+        self.starts = np.r_[0, np.cumsum(self.sizes)[:-1]].astype(np.int64)[: len(parts)]
         self.ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
     def bigrams(self) -> np.ndarray:
@@ -119,46 +126,69 @@ class Encoded:
         return np.add.reduceat(values, self.starts) if len(self.starts) else np.zeros(0, values.dtype)
 
 
-def count_tokens(train: DataFrame) -> DataFrame:
-    """token (binary), c: exact counts over all rows of train (text)."""
+COUNTED = "bucket long, gram int, h binary, c binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
 
-        def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["token", "c"])
-            held.clear()
-            return batch
+def _cut(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that sorted hashes fall into, and where each begins, with the end."""
+    bucket = h >> np.uint64(64 - bits)
+    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(h) else np.zeros(0, np.int64)
+    return bucket[first].astype(np.int64), np.r_[first, len(h)]
 
-        for batch in batches:
-            for text in utf8(batch.column(0)):
-                held.update(tokens(text))
-                if len(held) >= HELD_ENTRIES:
-                    yield out()
-        yield out()
 
-    return map_arrow(train.select("text"), run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
+def _blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """values, cut at ends, as binary values."""
+    offsets = (ends * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
 
+def count_ngrams(train: DataFrame, bits: int) -> DataFrame:
+    """Counts of the n-grams of train (text), as each task has met them: sorted hashes and counts by bucket."""
+    most, held_words, held_bigrams = SLICE_BYTES, HELD_WORDS, HELD_BIGRAMS
 
-def count_bigrams(train: DataFrame) -> DataFrame:
-    """h, c of the bigrams of train (text)."""
+    def batch_of(gram: int, h: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+        buckets, ends = _cut(h, bits)
+        columns = [pa.array(buckets), pa.array(np.full(len(buckets), gram, np.int32)), _blobs(h, ends), _blobs(c.astype(np.uint32), ends)]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "gram", "h", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
+        vocabulary, counts, pairs, held = Vocabulary(), np.zeros(0, np.int64), [], 0
+
+        def singles() -> pa.RecordBatch:
+            order = np.argsort(vocabulary.hashes)
+            return batch_of(1, vocabulary.hashes[order], counts[order])
+
         for batch in batches:
             texts = utf8(batch.column(0))
-            for part in slices(texts, COUNT_BYTES):
-                if len(vocabulary) > HELD_ENTRIES:
-                    vocabulary = Vocabulary()
-                h, c = np.unique(Encoded(texts[part], vocabulary).bigrams(), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int32))], ["h", "c"])
+            for part in slices(texts, most):
+                if len(vocabulary) > held_words:
+                    yield singles()
+                    vocabulary, counts = Vocabulary(), np.zeros(0, np.int64)
+                own = Encoded(texts[part], vocabulary)
+                more = np.bincount(own.ids, minlength=len(vocabulary))
+                more[: len(counts)] += counts
+                counts = more
+                pairs.append(own.bigrams())
+                held += len(own.ids)
+                if held >= held_bigrams:
+                    yield batch_of(2, *np.unique(np.concatenate(pairs), return_counts=True))
+                    pairs, held = [], 0
+        if held:
+            yield batch_of(2, *np.unique(np.concatenate(pairs), return_counts=True))
+        if len(vocabulary):
+            yield singles()
+
+    return map_arrow(train.select("text"), run, COUNTED)
 
-    return map_arrow(train.select("text"), run, "h long, c int").groupBy("h").agg(F.sum("c").alias("c"))
 
+def least_count(levels: np.ndarray) -> np.ndarray:
+    """The least count of a level; 0 for none."""
+    return np.where(levels >= 0, np.exp2(levels.astype(np.float64)), 0.0)
 
-def middle(levels: np.ndarray) -> np.ndarray:
-    """The count that a level stands for: the middle of its range; 0 for none."""
-    return np.where(levels >= 0, 1.5 * np.exp2(levels.astype(np.float64)) - 0.5, 0.0)
+
+def most_count(levels: np.ndarray) -> np.ndarray:
+    """The greatest count of a level; 0 for none."""
+    return np.where(levels >= 0, np.exp2(levels + 1.0) - 1, 0.0)
 
 
 def _halves(h: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray]:
@@ -166,230 +196,248 @@ def _halves(h: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray]:
     return a & np.uint64(0xFFFFFFFF), (a >> np.uint64(32)) | np.uint64(1)
 
 
-def _bit(low: np.ndarray, high: np.ndarray, k: int) -> np.ndarray:
-    """The k-th bit of a segment that a mark sets."""
-    return ((low + np.uint64(k) * high) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64)
+def _bit(low: np.ndarray, high: np.ndarray, k: int, size: np.ndarray | int) -> np.ndarray:
+    """The k-th of a bucket's bits that a mark sets; size: the bucket's bits, under 2**32."""
+    return ((((low + np.uint64(k) * high) & np.uint64(0xFFFFFFFF)) * np.asarray(size, np.uint64)) >> np.uint64(32)).astype(np.int64)
+
+
+def bucket_bits(h: np.ndarray, c: np.ndarray, bits_per_mark: int) -> bytes:
+    """The filter of a bucket that holds n-grams h with their counts c."""
+    marks = np.frexp(c.astype(np.float64))[1]  # 1 + floor(log2(c))
+    size = max(64, -(-int(marks.sum()) * bits_per_mark // 64) * 64)
+    bits = np.zeros(size, bool)
+    for mark in range(1, int(marks.max(initial=0)) + 1):
+        low, high = _halves(h[marks >= mark], mark)
+        for k in range(PROBES):
+            bits[_bit(low, high, k, size)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+BUILT = "bucket long, distinct long, total long, texts long, bits binary, h binary, c binary"
+
 
+def build_filter(counted: DataFrame) -> DataFrame:
+    """A row for each bucket of counted: its filter, and its unigrams with their exact counts.
 
-def segment(h: np.ndarray, segments: int) -> np.ndarray:
-    return ((h >> np.uint64(20)) % np.uint64(segments)).astype(np.int64)
+    distinct, total: unigrams and their occurrences; texts: those of the end.
+    """
+    end, bits_per_mark = token_hashes([END])[0], BITS_PER_MARK
+
+    def build(group: pa.Table) -> pa.Table:
+        gram = group.column("gram").to_numpy()
+        h, c = (group.column(k).to_pylist() for k in ("h", "c"))
+
+        def summed(n: int) -> tuple[np.ndarray, np.ndarray]:
+            at = np.flatnonzero(gram == n).tolist()
+            own = np.frombuffer(b"".join([h[i] for i in at]), np.uint64)
+            found, back = np.unique(own, return_inverse=True)
+            return found, np.bincount(back, np.frombuffer(b"".join([c[i] for i in at]), np.uint32), len(found)).astype(np.int64)
+
+        (one, ones), (two, twos) = summed(1), summed(2)
+        row = [group.column("bucket")[0].as_py(), len(one), int(ones.sum()), int(ones[one == end].sum()), bucket_bits(np.r_[one, two], np.r_[ones, twos], bits_per_mark), one.tobytes(), ones.tobytes()]
+        kinds = [pa.int64()] * 4 + [pa.binary()] * 3
+        return pa.table({x.split()[0]: pa.array([v], k) for x, v, k in zip(BUILT.split(", "), row, kinds, strict=True)})
+
+    return counted.groupBy("bucket").applyInArrow(build, BUILT)
 
 
 class LogFrequencyFilter:
-    """Segments [first, first + n) of a filter of `segments` segments."""
+    """The filters of buckets (ascending) of 2**bits: where each begins in `data`, in bytes, and all their bits, packed."""
 
-    def __init__(self, segments: int, first: int, bits: np.ndarray) -> None:
-        self.segments, self.first, self.bits = segments, first, bits  # bits: uint8, packed
+    def __init__(self, bits: int, buckets: np.ndarray, starts: np.ndarray, data: np.ndarray) -> None:
+        self.bits, self.buckets, self.starts, self.data = bits, buckets, starts, data
 
     def levels(self, h: np.ndarray) -> np.ndarray:
-        """Levels of n-grams, -1 for what isn't in these segments: marks are asked for until one is missing."""
-        found = np.full(len(h), -1, np.int64)
-        own = segment(h, self.segments) - self.first
-        active = np.flatnonzero((own >= 0) & (own < len(self.bits) * 8 // SEGMENT_BITS))
+        """Levels of n-grams, -1 for what was never seen: marks are asked for until one is missing."""
+        found = np.full(len(h), -1, np.int8)
+        if not len(self.buckets):
+            return found
+        bucket = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        own = np.minimum(np.searchsorted(self.buckets, bucket), len(self.buckets) - 1)
+        active = np.flatnonzero(self.buckets[own] == bucket)
+        base = self.starts[own[active]] * 8
+        size = self.starts[own[active] + 1] * 8 - base
         mark = 1
         while len(active):
-            base = own[active] * SEGMENT_BITS
             low, high = _halves(h[active], mark)
             for k in range(PROBES):  # the first bit that is missing ends it
-                at = base + _bit(low, high, k)
-                kept = np.flatnonzero((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
-                active, base, low, high = active[kept], base[kept], low[kept], high[kept]
+                at = base + _bit(low, high, k, size)
+                kept = np.flatnonzero((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
+                active, base, size, low, high = active[kept], base[kept], size[kept], low[kept], high[kept]
             found[active] = mark - 1
             mark += 1
         return found
 
 
-def build_filter(entries: DataFrame) -> tuple[int, DataFrame]:
-    """Number of segments, and segment, bits of entries (h, c); empty segments have no row."""
-    marked = entries.select("h", (F.floor(F.log2("c") + F.lit(1e-9)) + 1).cast("int").alias("q"))
-    marks = marked.agg(F.sum("q")).first()[0] or 0
-    segments = max(1, -(-marks * BITS_PER_MARK // SEGMENT_BITS))
-    placed = marked.withColumn("segment", F.pmod(F.shiftrightunsigned("h", 20), F.lit(segments)))
+class Counts:
+    """Exact counts of unigrams by hash, sorted."""
 
-    def build(group: pa.Table) -> pa.Table:
-        h = group.column("h").to_numpy().view(np.uint64)
-        q = group.column("q").to_numpy()
-        bits = np.zeros(SEGMENT_BITS, bool)
-        for mark in range(1, int(q.max()) + 1):
-            low, high = _halves(h[q >= mark], mark)
-            for k in range(PROBES):
-                bits[_bit(low, high, k)] = True
-        return pa.table({"segment": group.column("segment")[:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
-
-    return segments, placed.groupBy("segment").applyInArrow(build, "segment long, bits binary")
-
-
-def shards(segments: int, rows: DataFrame, most: int = FILTER_BYTES) -> Iterator[LogFrequencyFilter]:
-    """The filter in parts of `most` bytes at most, each gathered on the driver when it is asked for."""
-    step = max(1, most * 8 // SEGMENT_BITS)
-    for first in range(0, segments, step):
-        n = min(step, segments - first)
-        bits = np.zeros(n * SEGMENT_BITS // 8, np.uint8)
-        for row in rows.where((F.col("segment") >= first) & (F.col("segment") < first + n)).toLocalIterator():
-            at = (row.segment - first) * (SEGMENT_BITS // 8)
-            bits[at : at + SEGMENT_BITS // 8] = np.frombuffer(row.bits, np.uint8)
-        yield LogFrequencyFilter(segments, first, bits)
+    def __init__(self, h: np.ndarray, c: np.ndarray) -> None:
+        self.h, self.c = h, c
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.h):
+            return np.zeros(len(h), np.int64)
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        return np.where(self.h[at] == h, self.c[at], 0).astype(np.int64)
+
+
+def gathered(built: DataFrame, bits: int, n: int, filter_bytes: int, distinct: int) -> tuple[LogFrequencyFilter, Counts]:
+    """The n rows of built, bucket by bucket, as one filter and one table of counts, of sizes that are known."""
+    data, buckets, sizes = np.zeros(filter_bytes, np.uint8), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    at, one, ones, most, got = 0, np.zeros(distinct, np.uint64), np.zeros(distinct, np.int64), 0, 0
+    rows = built.select("bucket", "bits", "h", "c").orderBy("bucket").toLocalIterator()
+    for k, row in enumerate(rows):
+        data[at : at + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+        own = len(row.h) // 8
+        one[got : got + own], ones[got : got + own] = np.frombuffer(row.h, np.uint64), np.frombuffer(row.c, np.int64)
+        buckets[k], sizes[k] = row.bucket, len(row.bits)
+        at, got, most = at + len(row.bits), got + own, max(most, int(ones[got : got + own].max(initial=0)))
+    return LogFrequencyFilter(bits, buckets, np.r_[0, np.cumsum(sizes)], data), Counts(one, ones.astype(np.uint32) if most < 1 << 32 else ones)
+
+
+class Totals(NamedTuple):
+    """Of the training documents: tokens, distinct tokens, texts."""
+
+    tokens: int
+    distinct: int
+    texts: int
+
+    def base(self, count: np.ndarray) -> np.ndarray:
+        return np.log10((count + 1.0) / (self.tokens + self.distinct + 1))
+
+
+def log_probability(own: np.ndarray, pair: np.ndarray, starts: np.ndarray, totals: Totals) -> np.ndarray:
+    """log10 of the smoothed probability of every place's token after the one before it, from levels of tokens and bigrams."""
+    before = np.empty(len(own))
+    before[1:] = most_count(own[:-1])
+    before[starts] = totals.texts
+    alone = (least_count(own) + 1) / (totals.tokens + totals.distinct + 1)
+    seen = least_count(pair)
+    return np.log10((seen + PRIOR * alone) / (np.maximum(before, seen) + PRIOR))
 
 
 class Measured:
-    """A vocabulary with what the model knows of each token: its level, and its base score if exact counts are at hand."""
+    """A vocabulary with what the model knows of each token: level, base score, and whether it is known."""
 
-    def __init__(self, part: LogFrequencyFilter | None, counts: tuple[np.ndarray, np.ndarray] | None, size: int) -> None:
-        self.part, self.counts, self.size = part, counts, size
+    def __init__(self, part: LogFrequencyFilter, counts: Counts, totals: Totals, held_words: int = HELD_WORDS) -> None:
+        self.part, self.counts, self.totals, self.held_words = part, counts, totals, held_words
         self.restart()
 
     def restart(self) -> None:
         self.vocabulary = Vocabulary()
         self.level, self.base, self.known = np.zeros(0, np.int8), np.zeros(0), np.zeros(0, np.int64)
 
-    def encode(self, texts: list[bytes]) -> Encoded:
-        if len(self.vocabulary) > HELD_ENTRIES:
+    def scores(self, texts: list[bytes]) -> list[np.ndarray]:
+        """n_tokens, n_known, base_score, score of each text."""
+        if len(self.vocabulary) > self.held_words:
             self.restart()
         own = Encoded(texts, self.vocabulary)
         h = self.vocabulary.hashes[len(self.base) :]
-        count = np.zeros(len(h))
-        if self.counts is not None and len(self.counts[0]):
-            at = np.minimum(np.searchsorted(self.counts[0], h), len(self.counts[0]) - 1)
-            count = np.where(self.counts[0][at] == h, self.counts[1][at], 0).astype(np.float64)
-        self.base = np.concatenate([self.base, np.log10((count + 1) / self.size)])
+        count = self.counts.of(h)
+        self.base = np.concatenate([self.base, self.totals.base(count)])
         self.known = np.concatenate([self.known, (count > 0).astype(np.int64)])
-        if self.part is not None:
-            self.level = np.concatenate([self.level, self.part.levels(h).astype(np.int8)])
-        return own
-
-    def levels(self, own: Encoded) -> np.ndarray:
-        """(2, places): levels of each place's token and bigram."""
+        self.level = np.concatenate([self.level, self.part.levels(h)])
         pairs, back = np.unique(own.bigrams(), return_inverse=True)
-        return np.stack([self.level[own.ids], self.part.levels(pairs).astype(np.int8)[back]])
+        score = log_probability(self.level[own.ids], self.part.levels(pairs)[back], own.starts, self.totals)
+        return [own.sizes, own.sums(self.known[own.ids]), own.sums(self.base[own.ids]), own.sums(score)]
 
 
-def log_probability(levels: np.ndarray, starts: np.ndarray, train_texts: int, total: int, distinct: int) -> np.ndarray:
-    """log10 of the smoothed probability of every place's token after the one before it."""
-    own, pair = middle(levels[0]), middle(levels[1])
-    before = np.empty_like(own)
-    before[1:] = own[:-1]
-    before[starts] = train_texts
-    alone = (own + 1) / (total + distinct + 1)
-    return np.log10((pair + PRIOR * alone) / (np.maximum(before, pair) + PRIOR))
+def _scored_rows(doc_id: pa.Array, held_out: pa.Array, values: list[np.ndarray], totals: Totals) -> pa.RecordBatch:
+    sizes, known, base, score = values
+    columns = [doc_id.cast(pa.int64()), held_out, pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), totals.tokens, np.int64)), pa.array(base), pa.array(score)]
+    return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SCORED.split(", ")])
 
 
-def _small_counts(unigrams: DataFrame, distinct: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the training tokens and their counts, for a vocabulary within SENT_TOKENS."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = token_hashes(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array([h.tobytes()], pa.binary()), pa.array([batch.column(1).to_numpy().astype(np.int64).tobytes()], pa.binary())], ["h", "c"])
-
-    h, c, at = np.empty(distinct, np.uint64), np.empty(distinct, np.int64), 0
-    for row in map_arrow(unigrams, run, "h binary, c binary").toLocalIterator():
-        n = len(row.h) // 8
-        h[at : at + n], c[at : at + n] = np.frombuffer(row.h, np.uint64), np.frombuffer(row.c, np.int64)
-        at += n
-    if distinct and c.max() < 1 << 32:
-        c = c.astype(np.uint32)
-    order = np.argsort(h)
-    return h[order], c[order]
-
-
-def _base_by_join(marked: DataFrame, unigrams: DataFrame, total: int, distinct: int) -> DataFrame:
-    """row, base_score, n_known by a join on tokens; Spark splits what a frequent token brings together."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
-                held = Counter(tokens(text))
-                yield pa.RecordBatch.from_arrays([pa.array([row] * len(held), pa.string()), pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["row", "token", "n"])
-
-    asked = map_arrow(marked.select("row", "text"), run, "row string, token binary, n long")
-    c = F.coalesce("c", F.lit(0))
-    value = F.col("n") * F.log10((c + 1) / F.lit(float(total + distinct + 1)))
-    return asked.join(unigrams, "token", "left").groupBy("row").agg(F.sum(value).alias("base_score"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"))
-
-
-def score(docs: DataFrame, sent_tokens: int = SENT_TOKENS, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+def score(docs: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
     """Scores of every row of docs (doc_id, text) under a model of the rows outside the held-out fold.
 
     base_score: sum of log10((c + 1) / (N + V + 1)) over the tokens, c their
-    exact counts, N all and V distinct training tokens. score: log10 of the
-    smoothed bigram probability. Null text is the end alone. Repeated rows stay
-    and count as often as they occur. Without training rows N and V are 0.
-    Other columns aren't read; an empty table gives an empty result.
+    exact counts, N all and V distinct training tokens; two tokens of one
+    64-bit hash would count as one. score: log10 of the smoothed bigram
+    probability. Null text is the end alone. Repeated rows stay and count as
+    often as they occur. Without training rows N and V are 0. Other columns
+    aren't read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     fold = crc_mod("doc_id", FOLDS)
     train = docs.where(fold != HELD_OUT).select("text")
-    unigrams = materialise(count_tokens(train), "unigrams")
-    sums = unigrams.agg(F.sum("c"), F.count("*"), F.sum(F.when(F.length("token") == 0, F.col("c")))).first()
-    total, distinct, train_texts = sums[0] or 0, sums[1], sums[2] or 0
+    size = train.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    bits = max(1, (size // BUCKET_BYTES).bit_length())
+    built = materialise(build_filter(count_ngrams(train, bits)), "filter")
+    found = built.agg(F.sum("total"), F.sum("distinct"), F.sum("texts"), F.count("*"), F.sum(F.length("bits"))).first()
+    totals, n, filter_bytes = Totals(*(int(x or 0) for x in found[:3])), found[3], int(found[4] or 0)
+    marked = docs.select("doc_id", "text", (fold == HELD_OUT).alias("held_out"))
+    if filter_bytes + 12 * totals.distinct > sent_bytes:
+        return _asked(marked, built, bits, totals)
+    sent = spark.sparkContext.broadcast(gathered(built, bits, n, filter_bytes, totals.distinct))
+    forget(built)
+    most, held_words = SLICE_BYTES, HELD_WORDS
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Measured(*sent.value, totals, held_words)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(token_hashes(batch.column(0).to_pylist()).view(np.int64)), batch.column(1)], ["h", "c"])
+            texts = utf8(batch.column(1))
+            parts = [model.scores(texts[s]) for s in slices(texts, most)]
+            if parts:
+                yield _scored_rows(batch.column(0), batch.column(2), [np.concatenate(x) for x in zip(*parts, strict=True)], totals)
 
-    entries = map_arrow(unigrams, hashed, "h long, c long").unionByName(count_bigrams(train))
-    entries = materialise(entries, "ngrams")
-    segments, rows = build_filter(entries)
-    rows = materialise(rows, "filter")
+    return map_arrow(marked, run, SCORED)
 
-    marked = docs.select("doc_id", "text", (fold == HELD_OUT).alias("held_out"))
-    exact = None
-    if distinct <= sent_tokens:
-        exact = spark.sparkContext.broadcast(_small_counts(unigrams, distinct))
-    one_part = segments * SEGMENT_BITS // 8 <= filter_bytes
-    if exact is None or not one_part:
-        marked = materialise(marked.withColumn("row", F.expr("uuid()")), "rows")
-    if not one_part:
-        marked = _leveled(marked, segments, rows, filter_bytes)
-    filter_ = spark.sparkContext.broadcast(next(shards(segments, rows, filter_bytes))) if one_part else None
-    has_levels, has_row = not one_part, "row" in marked.columns
-
-    def scores(model: Measured, texts: list[bytes], kept: list[bytes] | None) -> list[np.ndarray]:
-        own = model.encode(texts)
-        levels = model.levels(own) if kept is None else np.concatenate([np.frombuffer(x, np.int8).reshape(2, -1) for x in kept], axis=1)
-        score = own.sums(log_probability(levels, own.starts, train_texts, total, distinct))
-        return [own.sizes, own.sums(model.known[own.ids]), own.sums(model.base[own.ids]), score]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Measured(filter_ and filter_.value, exact and exact.value, total + distinct + 1)
+ASKED = "slice string, bucket long, gram int, h binary, body binary"
+ANSWERED = "slice string, bucket long, gram int, body binary"
+
+
+def _asked(marked: DataFrame, built: DataFrame, bits: int, totals: Totals) -> DataFrame:
+    """score() by sending the distinct hashes of every slice of documents to the buckets, and what these know back.
+
+    Hashes are sorted, so the answers of a slice, joined in the order of
+    buckets, are in the order of its hashes. A slice's body (rows and places as
+    numbers) waits under the bucket -1.
+    """
+    most = SLICE_BYTES
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            texts = utf8(known["text"])
-            kept = known["levels"].to_pylist() if has_levels else None
-            parts = [scores(model, texts[s], kept[s] if kept else None) for s in slices(texts, SCORE_BYTES)]
-            sizes, n_known, base, score = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)] * 2
-            columns = [known["doc_id"].cast(pa.int64()), known["held_out"], pa.array(sizes), pa.array(n_known), pa.array(np.full(len(sizes), total, np.int64)), pa.array(base), pa.array(score)]
-            names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-            if has_row:
-                columns, names = [*columns, known["row"].cast(pa.string())], [*names, "row"]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    scored = map_arrow(marked, run, SCORED + ", row string" * has_row)
-    if exact is None:
-        joined = _base_by_join(marked, unigrams, total, distinct)
-        scored = scored.drop("base_score", "n_known").join(joined, "row")
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
-
-
-def _leveled(marked: DataFrame, segments: int, rows: DataFrame, filter_bytes: int) -> DataFrame:
-    """marked with the column levels, filled in by one pass for each shard of the filter."""
-    columns = [*marked.columns, "levels"]
-    marked = marked.withColumn("levels", F.lit(None).cast("binary"))
-    at = columns.index("text")
-    for part in shards(segments, rows, filter_bytes):
-        sent = marked.sparkSession.sparkContext.broadcast(part)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            model = Measured(sent.value, None, 1)
-            for batch in batches:
-                texts, before, out = utf8(batch.column(at)), batch.column(len(columns) - 1).to_pylist(), []
-                for span in slices(texts, SCORE_BYTES):
-                    own = model.encode(texts[span])
-                    levels = model.levels(own)
-                    for start, size, old in zip(own.starts.tolist(), own.sizes.tolist(), before[span], strict=True):
-                        new = levels[:, start : start + size]
-                        out.append((new if old is None else np.maximum(new, np.frombuffer(old, np.int8).reshape(2, -1))).tobytes())
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary())], columns)
-
-        marked = materialise(map_arrow(marked, run, marked.schema), "levels")
-    return marked
+            texts = utf8(batch.column(1))
+            for part in slices(texts, most):
+                name, own = uuid.uuid4().hex, Encoded(texts[part])
+                one, at = np.unique(own.vocabulary.hashes, return_inverse=True)
+                two, back = np.unique(own.bigrams(), return_inverse=True)
+                rows = batch.select([0, 2]).slice(part.start, part.stop - part.start)
+                body = pickle.dumps((rows.column(0).to_pylist(), rows.column(1).to_pylist(), own.sizes, at[own.ids].astype(np.int32), back.astype(np.int32)))
+                for gram, h in ((1, one), (2, two)):
+                    buckets, ends = _cut(h, bits)
+                    k = len(buckets)
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * k), pa.array(buckets), pa.array(np.full(k, gram, np.int32)), _blobs(h, ends), pa.nulls(k, pa.binary())], ["slice", "bucket", "gram", "h", "body"])
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([-1]), pa.array([0], pa.int32()), pa.nulls(1, pa.binary()), pa.array([body], pa.binary())], ["slice", "bucket", "gram", "h", "body"])
+
+    def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
+        part, counts = None, Counts(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        out = []
+        if own.num_rows:
+            row = own.to_pylist()[0]
+            part = LogFrequencyFilter(bits, np.array([row["bucket"]]), np.array([0, len(row["bits"])]), np.frombuffer(row["bits"], np.uint8))
+            counts = Counts(np.frombuffer(row["h"], np.uint64), np.frombuffer(row["c"], np.int64))
+        for gram, blob in zip(asked.column("gram").to_pylist(), asked.column("h").to_pylist(), strict=True):
+            h = np.frombuffer(blob, np.uint64)
+            level = part.levels(h) if part else np.full(len(h), -1, np.int8)
+            out.append(pickle.dumps((level, counts.of(h) if gram == 1 else None)))
+        return pa.table([asked.column("slice"), asked.column("bucket"), asked.column("gram"), pa.array(out, pa.binary())], ["slice", "bucket", "gram", "body"])
+
+    def finish(group: pa.Table) -> pa.Table:
+        rows = sorted(zip(group.column("gram").to_pylist(), group.column("bucket").to_pylist(), group.column("body").to_pylist(), strict=True))
+        ids, held, sizes, one, two = pickle.loads(rows[0][2])
+        known = [[pickle.loads(x) for g, _, x in rows if g == gram] for gram in (1, 2)]
+        count = np.concatenate([c for _, c in known[0]])[one]
+        own, pair = (np.concatenate([x for x, _ in part])[at] for part, at in zip(known, (one, two), strict=True))
+        starts = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
+        sums = [np.add.reduceat(x, starts) for x in ((count > 0).astype(np.int64), totals.base(count), log_probability(own, pair, starts, totals))]
+        return pa.Table.from_batches([_scored_rows(pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), [sizes, *sums], totals)])
+
+    asked = materialise(map_arrow(marked, ask, ASKED), "asked")
+    probes = asked.where("bucket >= 0").select("slice", "bucket", "gram", "h")
+    answers = probes.groupBy("bucket").cogroup(built.groupBy("bucket")).applyInArrow(answer, ANSWERED)
+    bodies = asked.where("bucket < 0").select("slice", "bucket", "gram", "body")
+    return bodies.unionByName(answers).groupBy("slice").applyInArrow(finish, SCORED)

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sequoir.llm import lm
@@ -13,52 +14,110 @@ def data():
     return rows() + [(100 + k, prose(40 + k, k % 9), "en", "s", 0, None, None, None, None) for k in range(60)]
 
 
-def slow(docs):
-    held = lambda k: zlib.crc32(("" if k is None else str(k)).encode()) % 7 == 2
-    toks = [lm.tokens((t or "").encode()) for _, t, *_ in docs]
-    train = [w for (k, *_), w in zip(docs, toks, strict=True) if not held(k)]
+def held(k):
+    return zlib.crc32(("" if k is None else str(k)).encode()) % 7 == 2
+
+
+def counts(docs):
+    """Of the training rows: N, V, texts, unigrams, bigrams."""
+    train = [lm.tokens((t or "").encode()) for k, t, *_ in docs if not held(k)]
     one, two = Counter(x for w in train for x in w), Counter(p for w in train for p in zip([None, *w[:-1]], w, strict=True))
-    total, distinct = sum(one.values()), len(one)
-    mid = lambda c: 1.5 * 2 ** math.floor(math.log2(c)) - 0.5 if c >= 2 else 0.0
+    return sum(one.values()), len(one), len(train), one, two
+
+
+def least(c):
+    return 2 ** math.floor(math.log2(c)) if c else 0
+
+
+def most(c):
+    return 2 * least(c) - 1 if c else 0
+
+
+def probability(before, word, total, distinct, texts, one, two):
+    """Every n-gram counts, also one that was seen once."""
+    context = texts if before is None else most(one[before])
+    return (least(two[before, word]) + lm.PRIOR * (least(one[word]) + 1) / (total + distinct + 1)) / (context + lm.PRIOR)
+
+
+def slow(docs):
+    total, distinct, texts, one, two = counts(docs)
     out = []
-    for (k, *_), w in zip(docs, toks, strict=True):
+    for k, t, *_ in docs:
+        w = lm.tokens((t or "").encode())
         base = sum(math.log10((one[x] + 1) / (total + distinct + 1)) for x in w)
-        score = 0.0
-        for v, x in zip([None, *w[:-1]], w, strict=True):
-            pair, before = mid(two[v, x]), len(train) if v is None else mid(one[v])
-            score += math.log10((pair + lm.PRIOR * (mid(one[x]) + 1) / (total + distinct + 1)) / (max(before, pair) + lm.PRIOR))
+        score = sum(math.log10(probability(v, x, total, distinct, texts, one, two)) for v, x in zip([None, *w[:-1]], w, strict=True))
         out.append((k, held(k), len(w), sum(one[x] > 0 for x in w), total, base, score))
     return out
 
 
-@pytest.mark.parametrize("more", [{}, {"sent_tokens": 3}, {"filter_bytes": 1 << 16}, {"sent_tokens": 3, "filter_bytes": 1 << 16}])
-def test_against_slow_version(spark, more, monkeypatch):
-    monkeypatch.setattr(lm, "BITS_PER_MARK", 500 if "filter_bytes" in more else 64)  # few false positives; several shards
-    monkeypatch.setattr(lm, "SCORE_BYTES", 5000)
-    got = sorted((tuple(r) for r in lm.score(frame(spark, data()), **more).collect()), key=str)
-    want = sorted(slow(data()), key=str)
+@pytest.mark.parametrize("sent", [lm.SENT_BYTES, 100])
+def test_against_slow_version(spark, sent, monkeypatch):
+    """By broadcast, and by sending the probes to the buckets; in several slices and buckets."""
+    monkeypatch.setattr(lm, "BITS_PER_MARK", 200)  # few false positives
+    monkeypatch.setattr(lm, "SLICE_BYTES", 5000)
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 1000)
+    monkeypatch.setattr(lm, "HELD_BIGRAMS", 300)
+    monkeypatch.setattr(lm, "HELD_WORDS", 100)
+    got = [tuple(r) for r in lm.score(frame(spark, data()), sent_bytes=sent).collect()]
     key = lambda r: (str(r[0]), r[2])
-    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+    for a, b in zip(sorted(got, key=key), sorted(slow(data()), key=key), strict=True):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9)
         assert a[6] == pytest.approx(b[6], rel=2e-3)
 
 
+def test_probabilities_of_a_context_add_up_to_at_most_one(spark):
+    """Over all known tokens and one that is unknown, after every context."""
+    docs = data()
+    total, distinct, texts, one, two = counts(docs)
+    words = [*one, b"never-seen"]
+    for before in [None, *words]:
+        assert sum(probability(before, w, total, distinct, texts, one, two) for w in words) <= 1 + 1e-12
+    # the operator's own arithmetic, over all tokens after one context
+    level = lambda c: math.floor(math.log2(c)) if c else -1
+    totals = lm.Totals(total, distinct, texts)
+    for before in list(one)[:20]:
+        own = np.array([v for w in words for v in (level(one[before]), level(one[w]))], np.int8)
+        pair = np.array([v for w in words for v in (-1, level(two[before, w]))], np.int8)
+        p = 10 ** lm.log_probability(own, pair, np.arange(0, len(own), 2), totals)[1::2]
+        assert p.sum() <= 1 + 1e-9
+        assert p[0] == pytest.approx(probability(before, words[0], total, distinct, texts, one, two))
+
+
+def built(spark, h, c):
+    order = np.argsort(h)
+    rows = []
+    buckets, ends = lm._cut(h[order], 3)
+    for b, i, j in zip(buckets.tolist(), ends, ends[1:], strict=False):
+        rows.append((b, 2, bytearray(h[order][i:j].tobytes()), bytearray(c[order][i:j].astype(np.uint32).tobytes())))
+    made = lm.build_filter(spark.createDataFrame(rows, lm.COUNTED))
+    return lm.gathered(made, 3, made.count(), sum(len(r.bits) for r in made.collect()), 0)[0]
+
+
 def test_filter_gives_levels_back(spark):
     r = np.random.default_rng(1)
-    h = r.integers(0, 1 << 63, 3000, dtype=np.int64)
-    c = r.integers(2, 5000, 3000)
-    segments, built = lm.build_filter(spark.createDataFrame([(int(a), int(b)) for a, b in zip(h, c, strict=True)], "h long, c long"))
-    part = next(lm.shards(segments, built))
-    got = part.levels(h.view(np.uint64))
-    want = np.floor(np.log2(c)).astype(int)
-    assert (got >= want).all() and (got == want).mean() > 0.99
-    assert (part.levels(r.integers(0, 1 << 63, 5000).astype(np.uint64)) > 0).mean() < 0.02
-
-
-def test_no_rows_and_no_training(spark):
-    assert lm.score(frame(spark, [])).count() == 0
-    held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
-    only = lm.score(frame(spark, [(held, "a b", *[None] * 7)])).collect()
+    h = np.unique(r.integers(0, 1 << 63, 3000).astype(np.uint64) * np.uint64(2))
+    c = r.integers(1, 5000, len(h))
+    c[:1500] = 1
+    part = built(spark, h, c)
+    got, want = part.levels(h), np.floor(np.log2(c)).astype(int)
+    assert (got >= want).all() and (got == want).mean() > 0.98
+    assert (part.levels(np.unique(r.integers(0, 1 << 63, 9000).astype(np.uint64) * np.uint64(2) + np.uint64(1))) >= 0).mean() < 0.02
+
+
+def test_buckets_cut_without_loss():
+    h = np.sort(np.random.default_rng(2).integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2))
+    buckets, ends = lm._cut(h, 4)
+    blobs = lm._blobs(h, ends)
+    assert b"".join(blobs.to_pylist()) == h.tobytes() and len(blobs) == len(buckets)
+    assert all((np.frombuffer(x, np.uint64) >> np.uint64(60) == b).all() for b, x in zip(buckets.tolist(), blobs.to_pylist(), strict=True))
+    assert lm._cut(h[:0], 4)[1].tolist() == [0] and isinstance(lm._blobs(h[:0], np.array([0])), pa.Array)
+
+
+@pytest.mark.parametrize("sent", [lm.SENT_BYTES, -1])
+def test_no_rows_and_no_training(spark, sent):
+    assert lm.score(frame(spark, []), sent).count() == 0
+    k = next(k for k in range(100) if held(k))
+    only = lm.score(frame(spark, [(k, "a b", *[None] * 7)]), sent).collect()
     assert [(r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in only] == [(True, 3, 0, 0, 0.0)]
     assert math.isfinite(only[0].score)
 
