@@ -2,7 +2,9 @@
 
 zstandard's ratio (compressed bytes by bytes) of the whole document and of its
 fixed chunks must lie in a band: below it a text repeats itself, above it it is
-noise. The bands depend on the length, as short texts compress less.
+noise. The bands depend on the length, as short texts compress less; the last
+chunk, which may be shorter, has the band of its own length. A document's bad
+chunks may hold a share of its bytes.
 """
 
 from __future__ import annotations
@@ -16,8 +18,12 @@ from pyspark.sql import DataFrame
 
 from sequoir.llm.common import WORD_SPACE, keep_rows, map_arrow, utf8
 
-#: (from so many bytes, least ratio, greatest ratio); below the first no band holds.
+#: (from so many bytes, least ratio, greatest ratio). Under 16 bytes the frame outweighs the text, and any ratio is in the band.
 BANDS = (
+    (1, 0.00, 16.0),
+    (16, 0.80, 2.20),
+    (32, 0.60, 1.50),
+    (64, 0.40, 1.25),
     (128, 0.40, 1.00),
     (256, 0.36, 0.86),
     (512, 0.32, 0.80),
@@ -27,9 +33,9 @@ BANDS = (
     (16384, 0.18, 0.64),
 )
 CHUNK_BYTES = 2048
-#: Band of a whole chunk, and the share of chunks outside it that is still kept.
+#: Band of a whole chunk, and the share of a document's bytes in bad chunks that is still kept.
 CHUNK_BAND = (0.22, 0.72)
-BAD_CHUNK_SHARE = 0.3
+BAD_SHARE = 0.3
 LEVEL = 3
 SYMBOLS = b"#*$%&|<>"
 
@@ -89,22 +95,25 @@ def band(n_bytes: int) -> tuple[float, float] | None:
 
 
 def compression(text: bytes, packer: zstandard.ZstdCompressor) -> tuple[float | None, int, int, str | None]:
-    """Ratio of the whole, number of whole chunks, those out of the band, and why it is rejected."""
+    """Ratio of the whole, number of chunks, those out of their band, and why it is rejected. An empty text has no ratio."""
     limits = band(len(text))
     if limits is None:
         return None, 0, 0, None
     ratio = len(packer.compress(text)) / len(text)
-    chunks = bad = 0
-    for at in range(0, len(text) - CHUNK_BYTES + 1, CHUNK_BYTES):
-        part = len(packer.compress(text[at : at + CHUNK_BYTES])) / CHUNK_BYTES
+    chunks = bad = bad_bytes = 0
+    for at in range(0, len(text), CHUNK_BYTES):
+        part = text[at : at + CHUNK_BYTES]
+        low, high = CHUNK_BAND if len(part) == CHUNK_BYTES else band(len(part))
+        own = ratio if len(part) == len(text) else len(packer.compress(part)) / len(part)
         chunks += 1
-        bad += not CHUNK_BAND[0] <= part <= CHUNK_BAND[1]
+        if not low <= own <= high:
+            bad, bad_bytes = bad + 1, bad_bytes + len(part)
     reason = None
     if ratio < limits[0]:
         reason = "repetitive"
     elif ratio > limits[1]:
         reason = "incompressible"
-    elif bad > BAD_CHUNK_SHARE * chunks:
+    elif bad_bytes > BAD_SHARE * len(text):
         reason = "chunks"
     return ratio, chunks, bad, reason
 
@@ -112,8 +121,8 @@ def compression(text: bytes, packer: zstandard.ZstdCompressor) -> tuple[float |
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per row of docs (doc_id, text), with base counts and the verdict.
 
-    Null text counts as no text (no words, base_failed). Texts under 128 bytes
-    have no band: the base rules alone decide. Repeated rows and ids stay as
+    Null text counts as no text (no words, base_failed) and has no ratio. Every
+    byte of a text is in a chunk that is judged. Repeated rows and ids stay as
     they are; other columns are not read. An empty table gives an empty result.
     """
 
