@@ -1,15 +1,18 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
 Of every benchmark item and of every window of a document that has as many
-words, the five-word shingles make a SimHash. Fingerprints are cut into blocks;
-within the radius, some block differs in few bits at most, so tables over the
-blocks' values find every item within the radius. The candidates are verified
-by the exact weighted similarity: shingles weigh as often as they occur, and
-what both have is divided by what either has.
-
-A window can only be similar enough if most of its shingles occur in the
-benchmark at all. That bound, which loses nothing, is taken first over whole
-documents, so that almost no window needs a fingerprint.
+words, the five-word shingles make a SimHash. Fingerprints are cut into four
+blocks of 16 bits: within radius 19, some block differs in four bits at most.
+Items are entered under their blocks' values and those one flip away, a window
+asks under its values and those up to three flips away, so it finds every item
+within the radius. Those are the candidates, and are verified by the exact
+weighted similarity: shingles weigh as often as they occur, and what both have
+is divided by what either has.
+
+Similarity 0.8 makes about 10 differing bits and more than 19 in one of 1,000
+cases; an unrelated item shares a block with one window in seven. Windows in
+which too few shingles occur in any item for that similarity, which is bounded
+over whole documents first and loses nothing, aren't fingerprinted.
 """
 
 from __future__ import annotations
@@ -30,12 +33,14 @@ from sequoir.llm.common import keep_rows, map_arrow, utf8
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BITS = 64
-#: Most differing bits of a candidate; similarity 0.8 makes about 10.
-RADIUS = 20
-BLOCKS = 8
+#: Most differing bits of a candidate.
+RADIUS = 19
+BLOCKS = 4
 BLOCK_BITS = BITS // BLOCKS
-#: Words of the benchmark that go to the workers at once; a larger benchmark takes several passes.
-WORDS_AT_ONCE = 2_000_000
+#: Bits that are flipped in an item's block; the window flips the others.
+ITEM_FLIPS = 1
+#: Words and items of the benchmark that go to the workers at once (an item has 68 entries of 4 bytes); a larger benchmark takes several passes.
+WORDS_AT_ONCE, ITEMS_AT_ONCE = 2_000_000, 100_000
 SEED = 42
 
 
@@ -61,6 +66,11 @@ def similarity(a: Counter, b: Counter) -> float:
     return both / either if either else 0.0
 
 
+def flips(n: int) -> np.ndarray:
+    """All values of a block with n bits set at most."""
+    return np.array([sum(1 << b for b in c) for k in range(n + 1) for c in combinations(range(BLOCK_BITS), k)], np.int64)
+
+
 class Items:
     """Benchmark items, indexed for windows of documents."""
 
@@ -73,13 +83,10 @@ class Items:
                 self.ids.append(item_id)
                 self.words.append(len(words))
                 self.counts.append(Counter(shingles(words)))
-        self.marks = [simhash(c) for c in self.counts]
+        self.marks = np.array([simhash(c) for c in self.counts], np.uint64)
         vocabulary = sorted({w for c in self.counts for x in c for w in x.split(b" ")})
         self.place = {w: i for i, w in enumerate(vocabulary)}
         self.sizes = [sum(c.values()) for c in self.counts]
-        self.of_length: dict[int, set[int]] = defaultdict(set)
-        for i, n in enumerate(self.words):
-            self.of_length[n].add(i)
         holders: dict[int, list[int]] = defaultdict(list)
         for i, (n, c) in enumerate(zip(self.words, self.counts, strict=True)):
             for key in {int(self._keys(np.array([self.place[w] for w in x.split(b" ")]))[0]) for x in c} if n >= SHINGLE_WORDS else ():
@@ -87,15 +94,18 @@ class Items:
         self.keys = np.array(sorted(holders), np.uint64)
         self.holders = [holders[k] for k in self.keys.tolist()]
         self.short = sorted({n for n in self.words if n < SHINGLE_WORDS})
-        near = [v for k in range(radius // BLOCKS + 1) for v in (sum(1 << b for b in c) for c in combinations(range(BLOCK_BITS), k))]
-        self.blocks: list[dict[int, list[int]]] = []
-        for k in range(BLOCKS):
-            table: dict[int, list[int]] = defaultdict(list)
-            for i, mark in enumerate(self.marks):
-                value = mark >> (k * BLOCK_BITS) & (1 << BLOCK_BITS) - 1
-                for flip in near:
-                    table[value ^ flip].append(i)
-            self.blocks.append(table)
+        most = radius // BLOCKS
+        own = flips(min(ITEM_FLIPS, most))
+        self.asked = flips(most - min(ITEM_FLIPS, most))
+        entries = np.concatenate([(values[:, None] ^ own) + (k << BLOCK_BITS) for k, values in enumerate(self._values(self.marks))]).ravel()
+        order = np.argsort(entries, kind="stable")
+        self.entered = (order // len(own) % max(1, len(self.marks))).astype(np.int32)
+        self.begins = np.searchsorted(entries[order], np.arange((BLOCKS << BLOCK_BITS) + 1)).astype(np.int32)
+
+    @staticmethod
+    def _values(marks: np.ndarray) -> list[np.ndarray]:
+        """The blocks' values of fingerprints."""
+        return [((marks >> np.uint64(k * BLOCK_BITS)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64) for k in range(BLOCKS)]
 
     @staticmethod
     def _keys(places: np.ndarray) -> np.ndarray:
@@ -106,12 +116,16 @@ class Items:
             key = (key * np.uint64(0x9E3779B97F4A7C15)) ^ (places[k : k + n].astype(np.uint64) + np.uint64(1))
         return key
 
-    def within(self, mark: int) -> set[int]:
-        """Every item whose fingerprint lies within the radius."""
-        found = set()
-        for k in range(BLOCKS):
-            found.update(self.blocks[k].get(mark >> (k * BLOCK_BITS) & (1 << BLOCK_BITS) - 1, ()))
-        return {i for i in found if (self.marks[i] ^ mark).bit_count() <= self.radius}
+    def within(self, mark: int) -> list[int]:
+        """Every item whose fingerprint lies within the radius, by the blocks' index."""
+        values = self._values(np.array([mark], np.uint64))
+        keys = np.concatenate([(v ^ self.asked) + (k << BLOCK_BITS) for k, v in enumerate(values)])
+        begin, end = self.begins[keys], self.begins[keys + 1]
+        some = np.flatnonzero(end > begin).tolist()
+        if not some:
+            return []
+        found = np.unique(np.concatenate([self.entered[begin[j] : end[j]] for j in some]))
+        return found[np.bitwise_count(self.marks[found] ^ np.uint64(mark)) <= self.radius].tolist()
 
     def hits(self, text: bytes) -> list[tuple[int | None, int, int, float]]:
         """item_id, first word, words, similarity of the best window of every item that is in the text."""
@@ -133,37 +147,37 @@ class Items:
                 for spot, key in zip(at[same].tolist(), rank[same].tolist(), strict=True):
                     for i in self.holders[key]:
                         spots[i].append(spot)
-                todo: dict[tuple[int, int], set[int]] = defaultdict(set)
+                todo: set[tuple[int, int]] = set()
                 for i, own in spots.items():
                     size = min(self.sizes[i], n)  # a document shorter than the item is one window
                     need = math.ceil((self.sizes[i] + size) * self.least / (1 + self.least) - 1e-9)
                     if len(own) >= need:
                         for first, last in zip(own, own[need - 1 :], strict=False):  # so many spots in a row must lie in the window
                             if last - first < size:
-                                for start in range(max(0, last - size + 1), min(first, n - size) + 1):
-                                    todo[start, size].add(i)
+                                todo.update((start, size) for start in range(max(0, last - size + 1), min(first, n - size) + 1))
                 for start, size in sorted(todo):
-                    self._window(words, start, size + SHINGLE_WORDS - 1, todo[start, size], best)
+                    self._window(words, start, size + SHINGLE_WORDS - 1, best)
         for m in self.short:  # items of fewer words are one shingle each
             for start in range(len(words) - m + 1):
                 if words[start] in self.place:
-                    self._window(words, start, m, self.of_length[m], best)
+                    self._window(words, start, m, best)
         return [(self.ids[i], start, min(self.words[i], len(words)), score) for i, (score, start) in sorted(best.items())]
 
-    def _window(self, words: list[bytes], start: int, length: int, items: set[int], best: dict[int, tuple[float, int]]) -> None:
+    def _window(self, words: list[bytes], start: int, length: int, best: dict[int, tuple[float, int]]) -> None:
         counts = Counter(shingles(words[start : start + length]))
-        for i in self.within(simhash(counts)) & items:
-            score = similarity(counts, self.counts[i])
-            if score >= self.least - 1e-12 and score > best.get(i, (0.0, 0))[0]:
-                best[i] = score, start
+        for i in self.within(simhash(counts)):
+            if min(self.words[i], len(words)) == length:
+                score = similarity(counts, self.counts[i])
+                if score >= self.least - 1e-12 and score > best.get(i, (0.0, 0))[0]:
+                    best[i] = score, start
 
 
-def item_blocks(benchmark: DataFrame, at_once: int = WORDS_AT_ONCE) -> Iterator[Items]:
+def item_blocks(benchmark: DataFrame, at_once: int = WORDS_AT_ONCE, items: int = ITEMS_AT_ONCE) -> Iterator[Items]:
     """The benchmark (item_id, text) as indexes of bounded size, one after another. Null texts are no items."""
     rows = benchmark.select("item_id", "text").where("text is not null").distinct()
     sized = rows.withColumn("n", F.size(F.split("text", r"[\x20\x09-\x0D]+")))
-    total = sized.agg(F.sum("n")).first()[0] or 0
-    parts = -(-total // at_once) or 1
+    total, count = sized.agg(F.sum("n"), F.count("*")).first()
+    parts = max(1, -(-(total or 0) // at_once), -(-count // items))
     for k in range(parts):
         part = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
         yield Items(sorted(((r.item_id, r.text.encode()) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1])))

@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 from sequoir.llm import decontaminate as D
 from tests.llm.cases import frame, prose, rows
 
@@ -50,10 +52,10 @@ def test_multi_index_finds_all_within_the_radius():
     r = random.Random(7)
     index = D.Items([(k, prose(30, 100 + k).encode()) for k in range(150)])
     for _ in range(400):
-        mark = r.choice(index.marks)
+        mark = r.choice(index.marks.tolist())
         for bit in r.sample(range(64), r.randint(0, 26)):
             mark ^= 1 << bit
-        assert index.within(mark) == {i for i, m in enumerate(index.marks) if (m ^ mark).bit_count() <= D.RADIUS}
+        assert index.within(mark) == [i for i, m in enumerate(index.marks.tolist()) if (m ^ mark).bit_count() <= D.RADIUS]
 
 
 def docs():
@@ -80,3 +82,35 @@ def test_stage_keeps_clean_rows(spark):
     assert kept.schema == frame(spark).schema
     assert kept.count() == len(docs()) - 4
     assert D.keep_clean(frame(spark, []), bench(spark)).count() == 0
+
+
+def test_the_index_finds_what_lies_within_the_radius():
+    """Every item within the radius, and hardly any pair of similarity 0.8 lies beyond it."""
+    r = np.random.default_rng(1)
+    words = [b"w%d" % k for k in range(4000)]
+    texts = [b" ".join(r.choice(words, 60)) for _ in range(400)]
+    items = D.Items(list(enumerate(texts)))
+    marks = items.marks.tolist()
+    for mark in [*marks[:20], *(m ^ sum(1 << int(b) for b in r.choice(64, n, replace=False)) for m in marks[:30] for n in (4, 12, 19, 20)), *r.integers(0, 1 << 63, 50).tolist()]:
+        assert items.within(mark) == [i for i, m in enumerate(marks) if (m ^ mark).bit_count() <= 19]
+    found = n = 0
+    for _ in range(400):
+        x = [b"%d" % v for v in r.integers(0, 1 << 40, 90)]
+        a, b = D.Counter(x[:81]), D.Counter(x[9:])
+        assert D.similarity(a, b) == 0.8
+        found, n = found + ((D.simhash(a) ^ D.simhash(b)).bit_count() <= D.RADIUS), n + 1
+    assert found / n >= 0.98
+
+
+def test_candidates_come_from_the_index(monkeypatch):
+    text = b" ".join(b"w%d" % k for k in range(50))
+    items = D.Items([(1, text)])
+    assert items.hits(b"some words before " + text)
+    monkeypatch.setattr(D.Items, "within", lambda self, mark: [])
+    assert not items.hits(b"some words before " + text)
+
+
+def test_many_items_take_several_passes(spark):
+    bench = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(9))) for k in range(30)], "item_id long, text string")
+    parts = list(D.item_blocks(bench, items=8))
+    assert len(parts) == 4 and sorted(i for p in parts for i in p.ids) == list(range(30))
