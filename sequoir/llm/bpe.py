@@ -1,7 +1,7 @@
 """BPE encoding and decoding for tokenizer.json models with word ends.
 
-Encoding a word: an Aho-Corasick automaton finds all tokens in it; the longest
-at each place is tried first and kept if it may follow the token before it, as
+Encoding a word: an Aho-Corasick automaton reads it once and finds all tokens
+in it; the longest at each place is tried first and kept if it may follow the token before it, as
 the pair-compatibility table says; else the next shorter, else one step back. A
 place that led nowhere is never tried again, so the work is linear in the word.
 A row of tokens in which all neighbours are compatible is the merges' result.
@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -111,16 +112,15 @@ class Model:
                 self.symbols[key] = i
         self.symbols = {k: i for k, i in self.symbols.items() if self.naive(k) == [i]}  # the others can't come out of the merges
         self.length = {i: len(k) for k, i in self.symbols.items()}
-        self.greatest = max(self.length.values())
         self.automaton = ahocorasick.Automaton()
-        #: For every beginning of a token the longest token that it begins with, and for every token the next shorter; -1 if none.
-        self.reach, self.shorter = {"": -1}, {}
+        #: For every token the next shorter one that it begins with; -1 if none.
+        self.shorter, reach = {}, {"": -1}
         for key in sorted(self.symbols):
             self.automaton.add_word(key, self.symbols[key])
             for n in range(1, len(key) + 1):
-                if key[:n] not in self.reach:
-                    self.reach[key[:n]] = self.symbols.get(key[:n], self.reach[key[: n - 1]])
-            self.shorter[self.symbols[key]] = self.reach[key[:-1]]
+                if key[:n] not in reach:
+                    reach[key[:n]] = self.symbols.get(key[:n], reach[key[: n - 1]])
+            self.shorter[self.symbols[key]] = reach[key[:-1]]
         self.automaton.make_automaton()
         self.bytes_of = [int(i).to_bytes(4, "little") for i in range(self.size)]
         self.fits: dict[tuple[int, int], bool] = {}
@@ -178,10 +178,12 @@ class Model:
         self.fits[a, b] = good
         return good
 
-    def longest(self, key: str, at: int) -> int:
-        """The longest token that begins at a place of a word."""
-        size = self.automaton.longest_prefix(key[at : at + self.greatest])
-        return self.reach[key[at : at + size]]
+    def longest(self, key: str) -> array:
+        """The longest token that begins at each place of a word, by one pass of the automaton; -1 if none."""
+        best, size = array("i", [-1]) * len(key), self.length
+        for end, token in self.automaton.iter(key):  # a later end is a longer token
+            best[end - size[token] + 1] = token
+        return best
 
     def encode_word(self, word: str) -> list[int]:
         """Tokens of one pre-token (normalised text)."""
@@ -189,7 +191,8 @@ class Model:
         n, size, shorter, fits = len(key), self.length, self.shorter, self.fits
         dead = bytearray(n + 1)  # places from which the rest cannot be encoded
         out: list[int] = []
-        at, token = 0, self.longest(key, 0)
+        longest = self.longest(key)
+        at, token = 0, longest[0]
         while True:
             if token >= 0:
                 after = at + size[token]
@@ -202,7 +205,7 @@ class Model:
                     out.append(token)
                     if after == n:
                         return out
-                    at, token = after, self.longest(key, after)
+                    at, token = after, longest[after]
                 else:
                     token = shorter[token]
             else:
