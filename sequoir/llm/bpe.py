@@ -77,9 +77,18 @@ class Model:
         if [x["type"] for x in steps] != ["Split", "ByteLevel"] or not steps[0]["invert"] or steps[1]["use_regex"] or steps[1]["add_prefix_space"]:
             raise Unsupported("pre-tokenizers")
         pattern = steps[0]["pattern"]["Regex"].replace(r"\s", SPACE)
-        for group, later in LATER.items():
-            pattern = pattern.replace(rf"\p{{{group}}}", rf"[\p{{{group}}}--[{later.replace(' ', '')}]]")
+        classes = {group: rf"[\p{{{group}}}--[{later.replace(' ', '')}]]" for group, later in LATER.items()}
+        for group, own in classes.items():
+            pattern = pattern.replace(rf"\p{{{group}}}", own)
         self.words = regex.compile(pattern, regex.V1).findall
+        #: The pattern's parts: contractions, and runs of letters, numbers, white space and the rest.
+        *short, letters, number, rest = steps[0]["pattern"]["Regex"].split("|")
+        if (letters, number, rest) != (r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+") or any(x[0] != "'" or not 2 <= len(x) <= 3 for x in short):
+            raise Unsupported("pattern")
+        self.contractions = frozenset(short)
+        self.letters, self.number, self.spaces, self.rest = (
+            regex.compile(x, regex.V1).match for x in (f"[{classes['L']}]+", f"[{classes['N']}]", f"[{SPACE}]+", f"[^{SPACE}{classes['L']}{classes['N']}]+")
+        )
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         if any(x["normalized"] or x["lstrip"] or x["rstrip"] or x["single_word"] for x in spec["added_tokens"]):
             raise Unsupported("added tokens")

@@ -57,17 +57,66 @@ def test_transducer_with_small_chunks(model, library, monkeypatch):
         assert count(text.encode()) == len(library.encode(text, add_special_tokens=False).ids)
 
 
-def test_chunk_maps_compose_in_any_order():
-    count = lambda words: sum(map(len, words))
-    data = b"ab cd  efg\th ijklmnop q r stuvw"
-    whole = tokencount.chunk_map(data, count)
-    for size in (1, 2, 3, 5, 8):
-        maps = [tokencount.chunk_map(data[i : i + size], count) for i in range(0, len(data), size)]
-        assert tokencount.prefix_scan(maps, count)[-1] == whole
-        left = maps[0]
-        for m in maps[1:]:
-            left = tokencount.compose(left, m, count)
-        assert left == whole
+def chunked(model, data, size):
+    tokencount.counter(model)
+    reader, memo = tokencount._counters[model]
+    return tokencount.Chunks(data, reader, lambda words: sum(memo.all(words)), size)
+
+
+def test_chunk_maps_compose_in_any_order(model):
+    """Maps of states: from any state, the composed map does what the chunks do one after another."""
+    r = random.Random(5)
+    for text in [x for x in made(4, 300, 14) if "<|endoftext|>" not in x and x] + ["ab cd's efg\th ijklmnop 'r 're q''s stuvw", "nospacehere" * 9]:
+        data = text.encode()
+        for size in (1, 2, 3, 5, 8):
+            chunks = chunked(model, data, size)
+            left = chunks.maps[0]
+            for m in chunks.maps[1:]:
+                left = chunks.compose(left, m)
+            top = chunks.sweep()[-1][0]
+            assert (top.start, top.stop, top.count, top.out) == tuple(left)
+            start = chunks.reader.read(tokencount.BETWEEN, "".join(r.choice("abc'r1!") for _ in range(r.randint(0, 5))))[0]
+            state, total = start, 0
+            for m in chunks.maps:
+                state, added = chunks.apply(m, state)
+                total += added
+            assert chunks.apply(top, start) == (state, total)
+
+
+def test_scan_has_the_count_at_every_chunk(model, library):
+    """At a chunk's end: the tokens up to there, once the word is closed there."""
+    for text in ["it's a  long-ish text, with 12 numbers; and 'quotes' 're here " * 3, "unspaced'reallythatis'so" * 4]:
+        chunks = chunked(model, text.encode(), 6)
+        found = chunks.scan()
+        for end, (state, total) in zip(chunks.ends, found, strict=True):
+            assert total + chunks.reader.close(state) == len(library.encode(text[:end], add_special_tokens=False).ids)
+        assert found[-1][1] + chunks.reader.close(found[-1][0]) == chunks.total()
+
+
+def test_reading_is_cut_where_normalisation_does_not_reach():
+    data = "a\u0301\u0301가\u1161\u11a8e\u0301xyz中\u0301".encode()
+    for size in range(1, 12):
+        ends = [0, *tokencount.cuts(data, size)]
+        parts = [data[i:j].decode() for i, j in zip(ends, ends[1:], strict=False)]
+        assert "".join(map(bpe.normalise, parts)) == bpe.normalise(data.decode())
+
+
+def test_long_texts_without_a_space(model, library):
+    """Time and memory in proportion to the length."""
+    import tracemalloc
+
+    count = tokencount.counter(model)
+    small = "xyzzyé中" * 3000
+    assert count(small.encode()) == len(library.encode(small, add_special_tokens=False).ids)
+    for unit in ("a", "word!9", "é中"):
+        long = (unit * (3_000_000 // len(unit.encode()))).encode()
+        few = len(library.encode(unit * 4000, add_special_tokens=False).ids)
+        tracemalloc.start()
+        n = count(long)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 15_000_000
+        assert abs(n / len(long) - few / (4000 * len(unit.encode()))) < 0.01
 
 
 def test_counts_of_every_row(spark, library):
