@@ -5,7 +5,8 @@ revisited. The index sorts captures by reversed-host URL key into compressed
 blocks. Every index file ends with its sparse block directory, and a small top
 table names the files with their first and last keys. A lookup searches the top
 table, then a directory, by bisection, and reads only the blocks and records it
-needs, by range.
+needs, by range. What it finds is blocks first, which are dealt out anew: a URL
+with very many captures is read by many tasks.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sequoir.llm.common import map_arrow, materialise, shared_dir
+from sequoir.llm.common import forget, map_arrow, materialise, shared_dir
 
 #: Records of payloads under so many bytes are all responses.
 MIN_REVISIT_BYTES = 0
@@ -35,6 +36,10 @@ ARCHIVE_BYTES = 256 << 20
 BLOCK_CAPTURES = 512
 BLOCK_BYTES = 64 << 10
 GZIP_LEVEL = 1
+#: Repeated payloads whose digests are broadcast (under 100 bytes each); more are joined by a shuffle.
+SENT_REPEATS = 200_000
+#: Bytes of an archive that are read back by one task in a row.
+READ_BYTES = 16 << 20
 DATE = "2024-01-01T00:00:00Z"
 
 CAPTURES = "surt string, url string, page_id long, digest string, record_type string, archive string, start long, length long"
@@ -128,10 +133,14 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
     copy has a page_id. Archive names are new with each attempt of a task, and
     only those of the attempts that Spark commits are in the captures.
     """
-    body = F.coalesce(F.col("html"), F.lit(""))
-    hashed = pages.select("page_id", "url", body.cast("binary").alias("payload"), F.sha1(body.cast("binary")).alias("sha"))
-    first = hashed.groupBy("sha").agg(F.min("page_id").alias("keeper"))
-    ready = hashed.join(first, "sha").select("page_id", "url", "payload", F.when((F.length("payload") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper")).alias("refers_to"))
+    body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    repeats = pages.select("page_id", F.sha1(body).alias("sha")).groupBy("sha").agg(F.min("page_id").alias("keeper"), F.count("*").alias("n"))
+    repeats = materialise(repeats.where("n > 1").select("sha", "keeper"), "repeats")  # payloads don't travel for those that occur once
+    if repeats.count() <= SENT_REPEATS:
+        repeats = F.broadcast(repeats)
+    hashed = pages.select("page_id", "url", body.alias("payload"), F.sha1(body).alias("sha")).join(repeats, "sha", "left")
+    again = (F.length("payload") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("keeper"))
+    ready = hashed.select("page_id", "url", "payload", F.when(again, F.col("keeper")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = _open(folder)
@@ -201,36 +210,90 @@ def build_index(captures: DataFrame, folder: str) -> DataFrame:
     return map_arrow(ranged.select("surt", "url", "page_id", "digest", "record_type", "archive", "start", "length"), run, TOP)
 
 
-def _block(files: _Archives, index_file: str, start: int, length: int) -> list[list]:
-    text = zstandard.ZstdDecompressor().decompress(files.read(index_file, start, length)).decode()
-    return [json.loads(x) for x in text.split("\n")]
-
-
-def _directory(files: _Archives, index_file: str, start: int, length: int) -> list[list]:
-    return json.loads(zstandard.ZstdDecompressor().decompress(files.read(index_file, start, length)))
+def _unpacked(files: _Archives, uri: str, start: int, length: int) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(files.read(uri, start, length))
 
 
 def all_captures(top: DataFrame) -> DataFrame:
-    """Every capture of the index, read block by block."""
+    """Every capture of the index, read block by block; an index file is one task's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = _Archives()
         for batch in batches:
             for row in batch.to_pylist():
-                for _, _, _, start, length in _directory(files, row["index_file"], row["directory_start"], row["directory_length"]):
-                    yield _rows([tuple(x) for x in _block(files, row["index_file"], start, length)], CAPTURES)
+                uri = row["index_file"]
+                for *_, start, length in json.loads(_unpacked(files, uri, row["directory_start"], row["directory_length"])):
+                    yield _rows([tuple(json.loads(x)) for x in _unpacked(files, uri, start, length).decode().split("\n")], CAPTURES)
+        files.close()
+
+    return map_arrow(top.repartition(_cores(top), "index_file"), run, CAPTURES)
+
+
+def lookup(urls: DataFrame, top: DataFrame) -> DataFrame:
+    """Captures of urls (url) by their key, each once: bisection in the top table and in a directory, then range reads.
+
+    The top table has a row for each index file (as many as the index had
+    partitions), so it goes to every task.
+    """
+    table = sorted((r.first_key, r.last_key, r.index_file, r.directory_start, r.directory_length) for r in top.collect())
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([surt(x) for x in batch.column(0).to_pylist()], pa.string())], ["surt"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, lasts, at, directory = _Archives(), [x[1] for x in table], "", []
+        for batch in batches:
+            rows = []
+            for key in batch.column(0).to_pylist():
+                for first, _, index_file, start, length in table[bisect_left(lasts, key) :]:
+                    if first > key:
+                        break
+                    if index_file != at:
+                        at, directory = index_file, json.loads(_unpacked(files, index_file, start, length))
+                    k = bisect_left(directory, key, key=lambda x: x[1])
+                    while k < len(directory) and directory[k][0] <= key:
+                        rows.append((key, index_file, *directory[k][3:5]))
+                        k += 1
+            yield _rows(rows, BLOCKS)
+        files.close()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, held, block = _Archives(), None, {}
+        for batch in batches:
+            rows = []
+            for key, index_file, start, length in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if (index_file, start) != held:
+                    held, block = (index_file, start), {}
+                    for line in _unpacked(files, index_file, start, length).decode().split("\n"):
+                        line = json.loads(line)
+                        block.setdefault(line[0], []).append(tuple(line))
+                rows += block.get(key, [])
+            yield _rows(rows, CAPTURES)
         files.close()
 
-    return map_arrow(top.repartition("index_file"), run, CAPTURES)
+    asked = map_arrow(urls.select("url"), keys, "surt string").distinct()
+    sorted_ = asked.repartitionByRange("surt").sortWithinPartitions("surt")
+    blocks = map_arrow(sorted_, find, BLOCKS)
+    return map_arrow(blocks.repartition(_cores(urls), "index_file", "start").sortWithinPartitions("index_file", "start"), read, CAPTURES)
+
+
+BLOCKS = "surt string, index_file string, start long, length long"
+
+
+def _cores(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def read_payloads(captures: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of the captures' records, read from the archives.
+def read_records(captures: DataFrame) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to as the captures' records have them, read by range.
 
-    Length and digest of a response are those of the payload that was read; a
-    revisit has them in its headers.
+    Length and digest of a response are those of the payload that was read; of
+    a revisit, which has none, those that its headers state.
     """
-    ordered = captures.select("archive", "start", "length").repartition("archive").sortWithinPartitions("archive", "start")
+    dealt = captures.select("archive", "start", "length", F.floor(F.col("start") / READ_BYTES).alias("part"))
+    dealt = dealt.repartition(_cores(captures), "archive", "part").sortWithinPartitions("archive", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = _Archives()
@@ -246,56 +309,54 @@ def read_payloads(captures: DataFrame) -> DataFrame:
             yield _rows(rows, PAYLOADS)
         files.close()
 
-    return map_arrow(ordered, run, PAYLOADS)
+    return map_arrow(dealt, run, PAYLOADS)
 
 
-def lookup(urls: DataFrame, top: DataFrame) -> DataFrame:
-    """Captures of urls (url) by their key: bisection in the top table and a directory, then range reads.
+def resolved(records: DataFrame) -> DataFrame:
+    """records, with each revisit's length and digest taken from the response that it refers to.
 
-    The top table has a row for each index file (as many as the index had
-    partitions), so it goes to every task.
+    Fails if a revisit has no response or another digest than it.
     """
-    table = sorted((r.first_key, r.last_key, r.index_file, r.directory_start, r.directory_length) for r in top.collect())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, lasts = _Archives(), [x[1] for x in table]
-        for batch in batches:
-            rows = []
-            for url in batch.column(0).to_pylist():
-                key = surt(url)
-                for first, _, index_file, at, size in table[bisect_left(lasts, key) :]:
-                    if first > key:
-                        break
-                    directory = _directory(files, index_file, at, size)
-                    for low, _, _, start, length in directory[bisect_left([x[1] for x in directory], key) :]:
-                        if low > key:
-                            break
-                        rows += [tuple(x) for x in _block(files, index_file, start, length) if x[0] == key]
-            yield _rows(rows, CAPTURES)
-        files.close()
-
-    return map_arrow(urls.select("url").distinct(), run, CAPTURES)
+    read = records.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("read_digest")).agg(F.min("payload_bytes").alias("read_bytes"))
+    again = records.where("record_type = 'revisit'").join(read, (records.refers_to == read.refers_to) & (records.payload_digest == read.read_digest), "left")
+    damaged = F.raise_error(F.concat(F.lit("no response for the revisit of page "), records.refers_to.cast("string"))).cast("long")
+    again = again.select("page_id", F.coalesce("read_bytes", damaged).alias("payload_bytes"), F.col("read_digest").alias("payload_digest"), "record_type", records.refers_to)
+    return records.where("record_type = 'response'").unionByName(again)
 
 
-def archive(spark: SparkSession, pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> tuple[DataFrame, DataFrame]:
-    """Write archives and their index into the shared folder: captures and the top table."""
+def new_folder(spark: SparkSession) -> str:
+    """A folder for archives and index files in the shared folder."""
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     if "://" not in folder:
         folder = f"file://{folder}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    return folder
+
+
+def archive(spark: SparkSession, pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write archives and their index into a folder, a new one in the shared folder if none is named: captures and the top table."""
+    folder = folder or new_folder(spark)
     captures = materialise(write_archives(pages, folder, min_bytes), "captures")
     return captures, materialise(build_index(captures, folder), "index-top")
 
 
 def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """Write pages (page_id, url, html) as archives, then read every record back through the index.
+    """Write pages (page_id, url, html) as archives, then look every page's URL up in the index and read its records back.
 
     One row per row of pages, also for null and repeated page_ids, null URLs
-    and empty tables; other columns aren't read.
+    and empty tables; other columns aren't read. Archives and index are deleted
+    once they are read.
     """
-    _, top = archive(pages.sparkSession, pages, min_bytes)
-    return read_payloads(all_captures(top))
+    spark = pages.sparkSession
+    folder = new_folder(spark)
+    captures, top = archive(spark, pages, min_bytes, folder)
+    records = materialise(read_records(lookup(pages, top)), "records")
+    forget(captures)
+    forget(top)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return resolved(records)
 
 
 def round_trip_sql() -> str:

@@ -83,3 +83,29 @@ def test_damage_is_seen():
     with pytest.raises(ValueError):
         warc.parse_record(good[:-1])
     assert b"body" not in warc.record(2, None, b"body", sha("body"), 1, True)
+
+
+def test_the_query_goes_through_the_index(spark, monkeypatch):
+    """Records are found by the URLs of the pages; archives and index are gone afterwards."""
+    import os
+
+    df, rows = pages(spark)
+    asked, folders = [], []
+    monkeypatch.setattr(warc, "lookup", lambda urls, top, f=warc.lookup: asked.append(top.count()) or f(urls, top))
+    monkeypatch.setattr(warc, "new_folder", lambda s, f=warc.new_folder: folders.append(f(s)) or folders[-1])
+    assert warc.round_trip(df).count() == len(rows)
+    assert asked and not os.path.exists(folders[0].removeprefix("file://"))
+
+
+def test_many_repeats_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SENT_REPEATS", 0)
+    df, rows = pages(spark)
+    assert sorted((tuple(r) for r in warc.round_trip(df).collect()), key=str) == slow(rows)
+
+
+def test_a_revisit_needs_its_response(spark):
+    rows = [(1, 4, "A", "response", None), (2, 4, "A", "revisit", 1), (3, 4, "A", "revisit", 9)]
+    with pytest.raises(Exception, match="no response for the revisit of page 9"):
+        warc.resolved(spark.createDataFrame(rows, warc.PAYLOADS)).collect()
+    good = warc.resolved(spark.createDataFrame(rows[:2], warc.PAYLOADS)).collect()
+    assert sorted(tuple(r) for r in good) == rows[:2]
