@@ -2,9 +2,11 @@
 passes possible hits on to an exact hash join.
 
 A listed entry is a host and a path prefix; its canonical form is the two put
-together, like `example.com/en/`. A page asks with every canonical form that
-could fit it: suffixes of its host at label borders, prefixes of its path in
-the lengths that the list has. All of it is DataFrame expressions.
+together, like `example.com/en/`. A page's host asks first, with its suffixes at
+label borders, which path lengths are listed under each. The page then asks with
+the canonical forms of those lengths alone, so that the number of asks follows
+what is listed for its host and not the whole list. All of it is DataFrame
+expressions; nothing of the list goes to the driver but its number of rows.
 """
 
 from __future__ import annotations
@@ -15,8 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sequoir.llm.common import fits
-
 #: Words of a block, of 32 bits each; every entry sets one bit in each word.
 WORDS = 8
 #: Bits of the filter for each listed entry.
@@ -73,24 +73,22 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
         .groupBy("canonical", "list_host", "list_path")
         .agg(F.min("list_verdict").alias("list_verdict"))
     )
-    # what forms the list has: as many as there are label counts (127 at most in a host name) and path lengths
-    forms = listed.select(F.size(F.split("list_host", r"\.")).alias("labels"), F.length("list_path").alias("chars")).distinct()
-    shapes = sorted((r.labels, r.chars) for r in forms.collect())
-    if not shapes:
-        return asked.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    blocks = max(1, listed.count() * BITS_PER_ENTRY // (32 * WORDS))
+    entries = listed.count()
+    blocks = max(1, entries * BITS_PER_ENTRY // (32 * WORDS))
     bloom = blocked_bloom(listed, blocks)
-    small = fits(listed, BROADCAST_ROWS)
-    near = F.broadcast if small else (lambda x: x)
+    near = F.broadcast if entries <= BROADCAST_ROWS else (lambda x: x)
 
-    shape = F.array(*(F.struct(F.lit(n).alias("labels"), F.lit(k).alias("chars")) for n, k in shapes))
-    labels = F.size(F.split("host", r"\."))
-    possible = F.filter(shape, lambda s: (s.labels <= labels) & (s.chars <= F.length("path")))
+    lengths = listed.groupBy("list_host").agg(F.collect_set(F.length("list_path")).alias("lengths"))
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n))
+    hosts = asked.select("host").distinct().select("host", F.explode(suffixes).alias("ask_host"))
+    hosts = hosts.join(near(lengths), F.col("ask_host") == F.col("list_host")).select("host", "ask_host", "lengths")
     asks = (
         asked.select("host", "path")
         .distinct()
-        .withColumn("form", F.explode(possible))
-        .select("host", "path", F.expr("substring_index(host, '.', -form.labels)").alias("ask_host"), F.expr("left(path, form.chars)").alias("ask_path"))
+        .join(hosts, "host")
+        .select("host", "path", "ask_host", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("chars"))
+        .select("host", "path", "ask_host", F.expr("left(path, chars)").alias("ask_path"))
         .withColumn("ask", F.concat("ask_host", "ask_path"))
         .withColumn("block", _block(F.col("ask"), blocks))
     )

@@ -88,3 +88,19 @@ def test_sql_has_the_same_rules(url):
     con.execute("INSERT INTO pages VALUES (1, ?)", [url])
     row = con.execute(urls.rules_sql()).fetchall()[0]
     assert tuple(row[1:]) == slow(url, urls.RULES)
+
+
+def test_a_list_of_many_path_lengths(spark):
+    """100,000 rules of 2,000 path lengths: a page asks for the lengths of its own hosts alone."""
+    from pyspark.sql import functions as F
+
+    rules = spark.range(100_000).select(
+        F.when(F.col("id") % 2 == 0, "allow").otherwise("block").alias("list_verdict"),
+        F.concat(F.lit("h"), F.col("id"), F.lit(".example")).alias("list_host"),
+        F.concat(F.lit("/"), F.repeat(F.lit("x"), (F.col("id") % 2000).cast("int"))).alias("list_path"),
+    )
+    pages = spark.range(0, 100_000, 37).select(F.col("id").alias("page_id"), F.concat(F.lit("http://www.h"), F.col("id"), F.lit(".example/"), F.repeat(F.lit("x"), (F.col("id") % 2000).cast("int") + 5)).alias("url"))
+    found = urls.filter_urls(pages, rules)
+    assert found.where("rule is null").count() == 0
+    wrong = found.where((F.col("verdict") == "allow") != (F.col("page_id") % 2 == 0))
+    assert wrong.count() == 0 and found.count() == pages.count()
