@@ -4,7 +4,9 @@ A page becomes a flat list of text blocks. Each has its word count and link
 density, those of the blocks before and after it, and what its place in the
 page says: inside an article, inside navigation, forms and the like, or under a
 class or id that names boilerplate or content. A decision tree, trained on the
-small labelled table below, says which blocks are main text.
+small labelled table below, says which blocks are main text. It asks for link
+density and words first; the place is asked where these leave it open, as with
+reader comments, which are prose like the article's, or a list's short items.
 """
 
 from __future__ import annotations
@@ -52,6 +54,10 @@ _ends = {x: re.compile(rf"</{x}(?=[\s/>]|$)", re.I) for x in SKIPPED}
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "article", "framed", "chrome", "bad", "good", "heading")
 
 
+#: So many of them are of the text, and the others of its place; depth of the questions about the text alone, and rows that settle it.
+TEXT_FEATURES, TEXT_DEPTH, SETTLED = 6, 3, 20
+
+
 @dataclass
 class Block:
     text: str
@@ -97,7 +103,8 @@ def blocks(html: str) -> list[Block]:
     opened: dict[str, int] = {}
     state = [False, False, False, False]  # of the innermost container
     own_bad = heading = False
-    anchors = 0
+    anchors = depth = 0  # whether a link is open, and how many containers were when it began
+    inside = within = False  # whether a block that isn't a container is open, and was when the link began
     quoted = True  # until a quote in a tag is found never to end
     at, size = 0, len(html)
 
@@ -168,7 +175,7 @@ def blocks(html: str) -> list[Block]:
             text(" ")
         elif name in CONTAINERS:
             flush()
-            anchors = 0
+            inside = False
             if closing:
                 if opened.get(name):
                     while stack:
@@ -177,6 +184,8 @@ def blocks(html: str) -> list[Block]:
                         if top[0] == name:
                             break
                     state = list(stack[-1][1:]) if stack else [False] * 4
+                if len(stack) < depth:  # a link may hold blocks, but ends with what it is in
+                    anchors = 0
             elif not (attributes.endswith("/") and name not in ("div", "section")):
                 names, hidden = _named(attributes)
                 article, chrome, bad, good = state
@@ -192,13 +201,15 @@ def blocks(html: str) -> list[Block]:
                 opened[name] = opened.get(name, 0) + 1
         elif name in BLOCKS:
             flush()
-            anchors = 0
+            if within:
+                anchors = 0
+            inside = not closing
             if not closing:
                 names, hidden = _named(attributes)
                 own_bad = hidden or bool(names & BAD_NAMES)
                 heading = name in HEADINGS
         elif name == "a":
-            anchors = 0 if closing else 1
+            anchors, depth, within = (0, 0, False) if closing else (1, len(stack), inside)
         elif name in ("br", "img", "input", "wbr"):
             if name != "wbr":
                 text(" ")
@@ -214,7 +225,31 @@ def features(page: list[Block]) -> np.ndarray:
     return np.array([[words[i + 1], links[i + 1], words[i], links[i], words[i + 2], links[i + 2], b.article, framed, b.chrome, b.bad, b.good, b.heading] for i, b in enumerate(page)], float).reshape(-1, len(FEATURES))
 
 
-#: The labelled table, fixed values. First, surroundings: words, links, words before, links before, words after, links after.
+#: The labelled table: pages as rows of blocks, fixed values. A block is + (main text) or -, then what its place says
+#: (a: article, c: chrome, b: bad name, g: good name, h: heading), words, /linked words, x how many of it in a row.
+PAGES = """
+-c1/1x7 -b8 +ah7 +a30 +a64 +a18 +a2 +a110 +a9 +a27 +a5 +a1 -c5 -c3
+-c1/1x6 -c2/2x4 -b14 +ah4 +a45 +a22/3 +a7 +a80 +a3x4 +a12 +a140/4 -ac4 -ac3/3x3 -ab2 -ab16 -ab31 -ab4/4 -c2/2x5 -c9
+-c3 -c1/1x8 +ah11 +a3/2 +a95 +ah3 +a6 +a1 +a50 +a14 +a300/6 +a2 -ab24 -ab60 -ab11 -b5/5x4 -b18 -c20 -c40
+-c1/1x5 -30 -5/5x4 +a4 +a60 +a8 +a15 +a10/10 +a42 +a1/1 +a7 +a3/3 +a2 +a60/60 +a33/9 -ah3/3 -a4/4x5 -c1/1x6 -c35 -12 -50 -2
+-c2/2x6 -b45 -b5 +ah2 +a1 +a3 +a5 +a11 +a2 +a21 +a1 -ac60 -ac1 -ac15/2 -acb12 -acb70 -cb30 -cb4/4 -b90 -c80
+-b1/1x6 -b6 +ga6 +ga70 +ga4 +ga24/2 +gah5 +ga1 -gac7 -gab22 -gab48 -g12 -g3/3x4 -g40 -6/6x3 -c6
+-1/1x6 -2/2x3 +h6 +60 +85/4 +35 +24 +9 +120/12 +18 +300/4 +5 +40 -4/4x6 -9/9x2 -7
+-1/1x9 -3 +h9 +40 +8 +70 +33/3 +3 +55 -h2 -5/5x5 -12/12 -b11 -b34 -c6 -c3/3x4
+-c1/1x5 +h4 +25 +48 +16/2 +90 +7 +60 -c2/2x4 -c30 -b26 -b3/3x5
+-c1/1x6 +gh5 +g12 +g60 +g3 +g25/5 +g2 +g140 +gh3 +g6 +g1 -gb9 -gb40 -gc20 -gc2/2x4 -g3/3x5 -b8/7x4 -c12
+-b1/1x5 -2 +gh7 +g34 +g4 +g300/9 +g45/2 +g8 +g19 -gb4 -gb28 -gb3/3x3 -cb18 -c5 -6
+-1/1x7 -8 -5 -4/4x3 -2/2x6 -6 -9 -3/3x4
+-c1/1x8 -3 -12/12x5 -6/6x4 -c7
++90 +60
++30
++h3 +50
++a1/1
+-c1/1x4 +ah3 +a2/2 -c1/1x4
+"""
+
+
+#: Blocks by what their place says, fixed values. First, surroundings: words, links, words before, links before, words after, links after.
 SURROUNDINGS = """
 1 0 0 0 60 0
 1 0 45 0 1 0
@@ -232,6 +267,8 @@ SURROUNDINGS = """
 300 0.02 80 0 300 0
 6 0.6 70 0 8 1
 30 0.8 9 0.9 25 0.7
+3 1 40 0 20 0
+1 1 0 0 1 0
 """
 #: Second, places: article, framed, chrome, bad, good; main text or not, in any surroundings.
 PLACES = """
@@ -294,16 +331,31 @@ UNPLACED = """
 """
 
 
+def page_rows() -> np.ndarray:
+    """FEATURES of the blocks of PAGES and whether they are main text."""
+    rows = []
+    for line in PAGES.strip().splitlines():
+        page, main = [], []
+        for label, place, words, linked, times in re.findall(r"([+-])([a-z]*?)(\d+)(?:/(\d+))?(?:x(\d+))?(?:\s|$)", line):
+            for _ in range(int(times or 1)):
+                page.append(Block("", int(words), int(linked or 0), *(x in place for x in "acbgh")))
+                main.append(label == "+")
+        rows.append(np.column_stack([features(page), main]))
+    return np.concatenate(rows).astype(float)
+
+
 def labelled() -> np.ndarray:
-    """All labelled rows: FEATURES and whether the block is main text."""
+    """FEATURES of blocks by what their place says, and whether they are main text: a block of links among such isn't, in any place."""
     read = lambda table: [[float(v) for v in x.split()] for x in table.strip().splitlines()]
-    rows = [[*around, *place, heading, main] for *place, main in read(PLACES) for around in read(SURROUNDINGS) for heading in (0.0, 1.0)]
+    menu = lambda around: around[1] > 0.77 and max(around[3], around[5]) > 0.5
+    rows = [[*around, *place, heading, main and not menu(around)] for *place, main in read(PLACES) for around in read(SURROUNDINGS) for heading in (0.0, 1.0)]
     return np.array(rows + [[*around, 0, 0, 0, 0, good, heading, main] for *around, good, heading, main in read(UNPLACED)])
 
 
 @dataclass
 class Leaf:
     main: bool
+    rows: int = 0  # those of the table that it has, if all are alike
 
 
 @dataclass
@@ -322,7 +374,7 @@ def _gini(y: np.ndarray) -> float:
 def grow(x: np.ndarray, y: np.ndarray, depth: int = 12) -> Leaf | Split:
     """A classification tree by least Gini impurity; of equal splits the first feature, then the lowest limit."""
     if depth == 0 or y.min() == y.max():
-        return Leaf(bool(2 * y.sum() > len(y)))
+        return Leaf(bool(2 * y.sum() > len(y)), len(y) if y.min() == y.max() else 0)
     best: tuple[float, int, float] | None = None
     for f in range(x.shape[1]):
         values = np.unique(x[:, f])
@@ -338,8 +390,25 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 12) -> Leaf | Split:
 
 
 def train() -> Leaf | Split:
-    rows = labelled()
-    return grow(rows[:, :-1], rows[:, -1].astype(int))
+    """The tree: a few questions about the text, grown on the pages; where they don't settle it, all questions."""
+    pages, rows = page_rows(), labelled()
+    below = grow(rows[:, :-1], rows[:, -1].astype(int))
+
+    def settled(node: Leaf | Split) -> Leaf | Split:
+        if isinstance(node, Split):
+            return Split(node.feature, node.limit, settled(node.low), settled(node.high))
+        return node if node.rows >= SETTLED else below
+
+    return settled(grow(pages[:, :TEXT_FEATURES], pages[:, -1].astype(int), TEXT_DEPTH))
+
+
+def path(tree: Leaf | Split, row: np.ndarray) -> list[str]:
+    """The features that decide a row, in order."""
+    found = []
+    while isinstance(tree, Split):
+        found.append(FEATURES[tree.feature])
+        tree = tree.low if row[tree.feature] <= tree.limit else tree.high
+    return found
 
 
 def classify(tree: Leaf | Split, row: np.ndarray) -> bool:

@@ -77,3 +77,115 @@ def test_rows(spark):
     assert {r.page_id: r.text for r in found}[2] == ""
     assert max(r.n_chars for r in found) == 50_000 * 11 - 2
     assert H.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+def slow_blocks(html):
+    """Text blocks of a page's article by the standard library's parser: what is in article, and in no chrome or named boilerplate."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.now, self.stack, self.skip = [], [], [], 0
+
+        def end(self):
+            text = " ".join("".join(self.now).split())
+            if text and any(n == "article" for n, _ in self.stack) and not any(bad for _, bad in self.stack):
+                self.out.append(text)
+            self.now = []
+
+        def handle_starttag(self, name, attrs):
+            if name in ("script", "style", "title"):
+                self.skip += 1
+                return
+            if name in ("p", "h1", "h2", "h3", "li", "div", "article", "nav", "footer", "aside", "section", "form", "header", "ul", "body", "html", "head"):
+                self.end()
+            if name in ("br", "img", "input"):
+                self.now.append(" ")
+            if name in ("div", "article", "nav", "footer", "aside", "section", "form", "header", "ul"):
+                names = " ".join(v or "" for k, v in attrs if k in ("class", "id")).split()
+                self.stack.append((name, name in ("nav", "footer", "aside", "form") or any(x in ("ad", "comments", "cookie", "notice", "sidebar", "share") for x in names)))
+
+        def handle_endtag(self, name):
+            if name in ("script", "style", "title"):
+                self.skip -= 1
+                return
+            if name in ("p", "h1", "h2", "h3", "li", "div", "article", "nav", "footer", "aside", "section", "form", "header", "ul", "body", "html", "head"):
+                self.end()
+            if any(n == name for n, _ in self.stack):
+                while self.stack.pop()[0] != name:
+                    pass
+
+        def handle_data(self, data):
+            if not self.skip:
+                self.now.append(data)
+
+    reader = Reader()
+    reader.feed(html or "")
+    reader.close()
+    reader.end()
+    return reader.out
+
+
+def test_every_page_against_a_slow_version(spark, small):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
+    found = {r.page_id: r.text for r in H.extract(spark.read.parquet(f"{small}/pages.parquet")).collect()}
+    assert found == {k: "\n\n".join(slow_blocks(html)) for k, html in pages.items()}
+
+
+def test_share_that_text_decides(spark, small):
+    """Link density is asked of every block, and with the neighbours' it settles a fifth of them or more without the place."""
+    rows = [row for r in spark.read.parquet(f"{small}/pages.parquet").collect() for row in H.features(H.blocks(r.html))]
+    paths = [H.path(TREE, row) for row in rows]
+    text = H.FEATURES[: H.TEXT_FEATURES]
+    assert all(p[0] in text for p in paths)
+    assert sum(all(x in text for x in p) for p in paths) / len(paths) > 0.2
+
+
+LONG = "This is a paragraph with quite a few words that tells of something at some length, as an author would. "
+#: Pages without articles and telling names; lines are blocks: + main text or not, then the markup.
+VARIED = [
+    """- <table><tr><td><a href=1>Start</a></td><td><a href=2>News</a></td><td><a href=3>About us</a></td></tr></table>
++ <div><h1>What happened on the river</h1>
++ <p>{L}{L}</p>
++ <p>{L}<a href=x>a source</a></p>
++ <p>{L}{L}{L}</p></div>
+- <div><a href=1>Older entry</a> <a href=2>Newer entry</a></div>
+- <div><a href=1>Terms of use</a></div>""",
+    """- <ul><li><a href=1>One</a></li>
+- <li><a href=2>Two</a></li>
+- <li><a href=3>Three things</a></li></ul>
++ <div class=x1><div class=x2>{L}{L}</div>
++ <div class=x2>{L}</div>
++ <div class=x2>{L}{L}{L}{L}</div></div>
+- <div class=x3><a href=4>You may like this one too</a></div>
+- <div class=x3><a href=5>And this one as well</a></div>
+- <div class=x4>(c) 2024 Somebody</div>""",
+    """- <div><a href=/><div>Logo and name</div></a></div>
+- <div><a href=/a><div>Section one</div></a></div>
+- <div><a href=/b><div>Section two</div></a></div>
++ <h2>A heading of some words</h2>
++ <p>{L}</p>
++ <p>{L}{L}</p>
++ <h3>Another</h3>
++ <p>{L}{L}</p>
++ <p>A short line.</p>
++ <p>{L}{L}{L}</p>
+- <p><a href=z>Imprint</a> <a href=y>Contact</a> <a href=q>Help</a></p>""",
+]
+
+
+def test_accuracy_on_pages_that_name_nothing():
+    right = n = 0
+    for lines in VARIED:
+        lines = [x.split(" ", 1) for x in lines.replace("{L}", LONG).splitlines()]
+        page = H.blocks("\n".join(x for _, x in lines))
+        want = [label == "+" for label, x in lines for _ in range(len(H.blocks(x)))]
+        got = [H.classify(TREE, row) for row in H.features(page)]
+        assert len(want) == len(got)
+        right, n = right + sum(a == b for a, b in zip(want, got, strict=True)), n + len(got)
+    assert right / n >= 0.9
+
+
+def test_links_that_hold_blocks_count():
+    assert [b.links for b in H.blocks("<div><a href=1><div>all of it</div></a></div><p>not this <a>but</a> here<p>and <a href=x>open<p>not here")] == [1.0, 0.25, 0.5, 0.0]
