@@ -148,7 +148,8 @@ def canonical_circular_hash(seq: Column | str, k: int = 31) -> Column:
     s = F.upper(col(seq))
     n = F.least(F.lit(k), F.length(s))
     around = F.concat(s, F.substring(s, F.lit(1), n - 1))
-    mers = F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.substring(around, i, n))
+    bytes_ = around.cast("binary")  # letters of one byte: parts are cut without walking to their place
+    mers = F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.substring(bytes_, i, n).cast("string"))
     both = F.transform(mers, lambda m: F.least(m, reverse_complement(m)))
     return F.when(F.length(s) > 0, F.md5(F.array_join(F.array_sort(both), ",")))
 

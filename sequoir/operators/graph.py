@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sequoir.operators.rank import numbered, top1
-from sequoir.operators.store import settled
+from sequoir.operators.store import forget, settled
 
 
 def prune(edges: DataFrame, clusters: DataFrame, threshold: float) -> DataFrame:
@@ -22,30 +23,74 @@ def prune(edges: DataFrame, clusters: DataFrame, threshold: float) -> DataFrame:
     return kept.where(F.col("src_cluster") == F.col("dst_cluster")).select("src", "dst", "w", "src_cluster", "dst_cluster")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, component (its smallest node) of every node of edges (src, dst).
+#: Links that one task connects; more are connected by alternating stars.
+FEW_LINKS = 100_000
 
-    Every round links each node to the smallest node it or its neighbours know,
-    and then to what that one knows; rounds are tables in the shared folder. It
-    ends when no label changes.
+
+def components(edges: DataFrame, few: int = FEW_LINKS) -> DataFrame:
+    """node, component (its smallest node) of every node of edges (src, dst); edges with a null end are none.
+
+    Alternating large and small stars: every node points its larger neighbours
+    at the smallest node that it knows, then its smaller ones. Rounds are tables
+    in the shared folder, each deleted once the next is there, and as many as
+    the logarithm of the longest path makes. What is few, from the start or
+    after a round, is connected by one task.
     """
-    pairs = edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    both = settled(pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "both")
-    labels = settled(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("node")).alias("component")), "labels")
-    for _ in range(rounds):
-        named = labels.select(F.col("node").alias("dst"), "component")
-        near = both.join(named, "dst").groupBy(F.col("src").alias("node")).agg(F.min("component").alias("near"))
-        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("far"))
-        step = labels.join(near, "node").join(jump, "component", "left").select("node", F.col("component").alias("was"), F.least("component", "near", "far").alias("component"))
-        step = settled(step, "labels")
-        labels = step.select("node", "component")
-        if step.where("was <> component").limit(1).count() == 0:
-            return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
-
-
-def _components_named(edges: DataFrame) -> DataFrame:
-    return edges.join(components(edges).withColumnRenamed("node", "src"), "src")
+    ends = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    now = settled(ends.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(), "links")
+    alone = now.where("src = dst").select(F.col("src").alias("node"), F.col("src").alias("component"))
+    links, first, mark = now.where("src <> dst"), now, None
+    while True:
+        state = links.agg(F.count("*"), F.bit_xor(F.xxhash64("src", "dst")), F.sum(F.xxhash64("dst", "src").cast("decimal(38,0)"))).first()
+        if state == mark:
+            rooted = links.select(F.col("dst").alias("node"), F.col("src").alias("component"))
+            break
+        if state[0] <= few:
+            rooted = _connected(links)
+            break
+        mark = state
+        both = links.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(links.select(F.col("dst").alias("u"), F.col("src").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        lower = down.groupBy("u").agg(F.min("v").alias("m"))
+        star = F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))
+        small = down.join(lower, "u").select(F.explode(star).alias("e")).where("e.a <> e.b")
+        after = settled(small.select(F.least("e.a", "e.b").alias("src"), F.greatest("e.a", "e.b").alias("dst")).distinct(), "links")
+        if now is not first:
+            forget(now)
+        now = links = after
+    roots = rooted.select(F.col("component").alias("node"), "component").distinct()
+    found = settled(rooted.unionByName(roots).unionByName(alone).groupBy("node").agg(F.min("component").alias("component")), "components")
+    for table in {id(now): now, id(first): first}.values():
+        forget(table)
+    return found
+
+
+def _connected(links: DataFrame) -> DataFrame:
+    """node, component of every link's larger end that has a smaller node in its component; by one task."""
+    kind = links.schema["src"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        types = None
+        for batch in batches:
+            types = types or batch.schema.field("src").type
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = sorted((find(a), find(b)))
+                root[b] = a
+        if types is not None:
+            nodes = [x for x in root if find(x) != x]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, types), pa.array([find(x) for x in nodes], types)], ["node", "component"])
+
+    return links.select("src", "dst").coalesce(1).mapInArrow(run, f"node {kind}, component {kind}")
 
 
 def markov_clusters(edges: DataFrame, inflation: float = 2.0, rounds: int = 50, floor: float = 1e-5, settle: float = 1e-4) -> DataFrame:

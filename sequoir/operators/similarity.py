@@ -38,9 +38,17 @@ def norm_score(hits: DataFrame, selfs: DataFrame, min_score: float) -> DataFrame
 
 
 def kmers(seq: Column | str, k: int) -> Column:
-    """All k-letter parts of a text; none if it is shorter."""
+    """All k-letter parts of a text; none if it is shorter.
+
+    Parts of a text of one-byte letters are cut from its bytes, as finding a
+    place in a text means to walk there: time is linear in its length.
+    """
     s = F.col(seq) if isinstance(seq, str) else seq
-    return F.when(F.length(s) >= k, F.transform(F.sequence(F.lit(1), F.length(s) - (k - 1)), lambda i: F.substring(s, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    places = F.sequence(F.lit(1), F.length(s) - (k - 1))
+    by_byte = F.transform(places, lambda i: F.substring(s.cast("binary"), i, F.lit(k)).cast("string"))
+    by_letter = F.transform(places, lambda i: F.substring(s, i, F.lit(k)))
+    none = F.array().cast("array<string>")
+    return F.when(F.length(s) < k, none).when(F.octet_length(s) == F.length(s), by_byte).when(F.length(s) >= k, by_letter).otherwise(none)
 
 
 def word_grams(words: Column, n: int) -> Column:
@@ -59,14 +67,15 @@ def word_grams(words: Column, n: int) -> Column:
 def containment(queries: DataFrame, targets: DataFrame, query: str, target: str, grams: str, least_shared: int = 1, least: float = 0.2, fraction: int = 1) -> DataFrame:
     """Pairs of queries and targets by distinct shared grams: shared count and its share of the smaller set.
 
-    queries and targets have an id and a list of grams. A gram's rows meet by a
-    join on the gram, which Spark splits where one is frequent; pairs are then
-    counted, combining before the shuffle. fraction f keeps the grams whose
-    hash is divisible by f, alike on both sides.
+    queries and targets have an id and a list of grams. Grams meet as 64-bit
+    hashes (two that share one would count as shared: once in some billions of
+    pairs of a million grams) by a join, which Spark splits where one is
+    frequent; pairs are then counted, combining before the shuffle. fraction f
+    keeps the grams whose hash is divisible by f, alike on both sides.
     """
-    distinct = F.array_distinct(grams)
-    chosen = distinct if fraction == 1 else F.filter(distinct, lambda g: F.pmod(F.xxhash64(g), F.lit(fraction)) == 0)
+    hashed = F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
+    chosen = hashed if fraction == 1 else F.filter(hashed, lambda h: F.pmod(h, F.lit(fraction)) == 0)
     kept = lambda df, name, n: df.select(name, chosen.alias("g")).select(name, F.size("g").alias(n), F.explode("g").alias("gram"))
     a, b = kept(queries, query, "n_query"), kept(targets, target, "n_target")
-    shared = a.join(b, "gram").groupBy(query, target, "n_query", "n_target").agg(F.count("*").alias("shared")).where(F.col("shared") >= least_shared)
-    return shared.withColumn("containment", F.col("shared") / F.least("n_query", "n_target")).where(F.col("containment") >= least).select(query, target, "shared", "containment")
+    shared = a.join(b, "gram").groupBy(query, target).agg(F.count("*").alias("shared"), F.least(F.max("n_query"), F.max("n_target")).alias("n")).where(F.col("shared") >= least_shared)
+    return shared.withColumn("containment", F.col("shared") / F.col("n")).where(F.col("containment") >= least).select(query, target, "shared", "containment")

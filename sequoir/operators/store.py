@@ -6,6 +6,7 @@ executors share, so that a lost executor takes nothing with it.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,14 +15,29 @@ from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset, as in local tests, a new temporary folder that is then set."""
+    """spark.checkpoint.dir of the session.
+
+    Where it is unset, a new temporary folder that is then set if all runs on
+    this machine; on a cluster, whose executors would each write to a disk of
+    their own, it is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='sequoir-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+def forget(df: DataFrame) -> None:
+    """Delete what settled(), a written table in the shared folder, left for df."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settled(df: DataFrame, name: str = "settled") -> DataFrame:
     """df written as Parquet into the shared folder and read again: a cut lineage."""
     spark = df.sparkSession
@@ -50,13 +66,20 @@ def read_or_empty(spark: SparkSession, path: str | None, schema: T.StructType |
     return spark.createDataFrame([], schema)
 
 
+#: Bytes of input that spread() shuffles at most.
+SPREAD_BYTES = 1 << 30
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A table as it is read, dealt over all cores if it has fewer splits than there are cores.
 
     A small file of one row group would otherwise be one task's work. Inputs
-    with a split for every core are left as they are, so nothing that is large
-    is shuffled by this.
+    with a split for every core, and inputs of more than SPREAD_BYTES, are left
+    as they are, so nothing that is large is shuffled by this.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
-    return scan.repartition(cores) if splits < cores else scan
+    query = scan._jdf.queryExecution()
+    if query.toRdd().getNumPartitions() >= cores:
+        return scan
+    size = query.optimizedPlan().stats().sizeInBytes()
+    return scan.repartition(cores) if size.bitLength() < 63 and size.longValue() <= SPREAD_BYTES else scan

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sequoir.operators.graph import sequential
 from sequoir.operators.intervals import covered
 from sequoir.operators.rank import top1
 
@@ -15,18 +13,12 @@ def chosen_domains(domains: DataFrame) -> DataFrame:
     """gene, hmm of the domains that stay: in the order of score, then of the start as text, greatest first.
 
     The first stays. A later one stays if it doesn't overlap the first; it is
-    compared with no other. A gene's domains are few, so each gene is one group.
+    compared with no other.
     """
-
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        ranked = frame.sort_values(["score", "start_text", "hmm"], ascending=[False, False, True], kind="stable")
-        first = ranked.iloc[0]
-        apart = (ranked["end"] <= first["start"]) | (ranked["start"] >= first["end"])
-        keep = apart.to_numpy()
-        keep[0] = True
-        return ranked[keep][["gene", "hmm"]]
-
-    return sequential(domains.select("gene", "hmm", "score", "start_text", "start", "end"), ["gene"], one, "gene string, hmm string")
+    order = Window.partitionBy("gene").orderBy(F.col("score").desc_nulls_last(), F.col("start_text").desc_nulls_last(), F.col("hmm").asc_nulls_last())
+    first = lambda c: F.first(c).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = domains.select("gene", "hmm", "start", "end", F.row_number().over(order).alias("place"), first("start").alias("first_start"), first("end").alias("first_end"))
+    return ranked.where("place = 1 or end <= first_start or start >= first_end").select("gene", "hmm")
 
 
 def naive_bayes(contig_hmms: DataFrame, table: DataFrame, threshold: float = 7.0) -> DataFrame:
@@ -64,8 +56,9 @@ def verify(contigs: DataFrame, domains: DataFrame, table: DataFrame, threshold:
 
 
 def with_blast(verdicts: DataFrame, blast: DataFrame) -> DataFrame:
-    """verdicts with the best BLAST hit (query, hit), `No BLAST hits` for none."""
-    return verdicts.join(blast.select(F.col("query").alias("Contig name"), "hit"), "Contig name", "left").withColumn("hit", F.coalesce("hit", F.lit("No BLAST hits")))
+    """verdicts with the BLAST hit (query, hit) of their contig, the smallest of several, `No BLAST hits` for none."""
+    best = blast.groupBy(F.col("query").alias("Contig name")).agg(F.min("hit").alias("hit"))
+    return verdicts.join(best, "Contig name", "left").withColumn("hit", F.coalesce("hit", F.lit("No BLAST hits")))
 
 
 def train(hits: DataFrame, hmms: DataFrame, pseudo: float = 0.01, most_evalue: float = 1e-6, least: int = 10) -> DataFrame:
@@ -109,7 +102,7 @@ def blast_verdict(hsps: DataFrame, most_evalue: float = 0.01, least_coverage: fl
     """
     good = hsps.where(F.col("evalue") < most_evalue)
     lengths = covered(good, ["query", "hit"], "start", "end")
-    shown = good.groupBy("query", "hit").agg(F.first("title").alias("title"), F.first("query_length").alias("query_length"))
+    shown = good.groupBy("query", "hit").agg(F.min("title").alias("title"), F.min("query_length").alias("query_length"))
     aligned = shown.join(lengths, ["query", "hit"]).where(F.col("covered") >= least_coverage * F.col("query_length")).withColumn("kind", title_kind("title"))
     order = [F.col("covered").desc(), F.col("title").desc()]
     best = top1(aligned, ["query"], order, ["hit"]).select("query", F.col("kind").alias("best_kind"), "title", "covered", "query_length")

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sequoir import schemas
+from sequoir.operators.rank import numbered
 from sequoir.sources.tables import delimited
 
 
@@ -45,19 +43,12 @@ def classifier_table(spark: SparkSession, path: str) -> DataFrame:
 def cluster_lines(spark: SparkSession, path: str) -> DataFrame:
     """member, cluster_id of a list with a cluster in each line; the id is the line's number from 1.
 
-    A file's lines are counted by one task, which passes them on as it reads;
-    clusters of such a list may hold many members, but lines are short beside a
-    task's memory.
+    Lines are numbered in the order of their files, splits and places in these:
+    every task numbers its own, and the counts before them are added.
     """
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = 0
-        for frame in frames:
-            yield pd.DataFrame({"line": frame["value"], "cluster_id": range(n + 1, n + len(frame) + 1)})
-            n += len(frame)
-
-    lines = spark.read.text(path).coalesce(1).mapInPandas(run, "line string, cluster_id long")
-    return lines.select(F.explode(F.split(F.trim("line"), r"\s+")).alias("member"), "cluster_id").where("member <> ''")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    ids = numbered(lines, ["file", "block", "place"], "cluster_id")
+    return ids.select(F.explode(F.split(F.trim("value"), r"\s+")).alias("member"), "cluster_id").where("member <> ''")
 
 
 def sparse_matrix(spark: SparkSession, path: str) -> DataFrame:

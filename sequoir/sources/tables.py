@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,12 +53,17 @@ def unnamed_first(spark: SparkSession, path: str, schema: str | T.StructType, se
 def with_preamble(spark: SparkSession, path: str, schema: str | T.StructType, skip: int = 5, sep: str = "\t", null: str | None = None) -> DataFrame:
     """A table after `skip` lines of preamble and a header line; the schema names columns of the header.
 
-    A file is read as one text, as the lines are counted from its beginning.
+    Empty lines don't count. Preamble and header must lie in a file's first
+    split; lines are read as they come, and only those first ones are ranked.
     """
     own = _schema(schema)
-    lines = F.filter(F.split(F.regexp_replace("value", "\r\n?", "\n"), "\n"), lambda x: x != "")
-    body = spark.read.text(path, wholetext=True).select(lines.alias("lines"))
-    cells = body.select(F.split(F.get("lines", F.lit(skip)), sep).alias("names"), F.explode(F.slice("lines", skip + 2, F.greatest(F.size("lines"), F.lit(1)))).alias("line")).select("names", F.split("line", sep).alias("cells"))
+    line = F.regexp_replace("value", "\r$", "").alias("line")
+    lines = spark.read.text(path).select(line, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place")).where("line <> ''")
+    rank = F.row_number().over(Window.partitionBy("file").orderBy("place"))
+    header = lines.where("block = 0").withColumn("rank", rank).where(F.col("rank") <= skip + 1).where(F.col("rank") == skip + 1)
+    names = header.select("file", F.split("line", sep).alias("names"), F.col("place").alias("header"))
+    body = lines.join(names, "file").where("block > 0 or place > header")
+    cells = body.select("names", F.split("line", sep).alias("cells"))
     value = lambda f: F.get("cells", (F.array_position("names", f.name) - 1).cast("int"))
     clean = lambda c: F.when((c == "") | (c == null if null is not None else F.lit(False)), None).otherwise(c)
     return cells.select(*(clean(value(f)).try_cast(f.dataType).alias(f.name) for f in own))

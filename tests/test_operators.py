@@ -230,3 +230,29 @@ def test_long_lists_are_not_multiplied(spark, monkeypatch):
     monkeypatch.setattr(dataflow, "SHORT_LIST", 3)
     with pytest.raises(ValueError, match="key to combine"):
         dataflow.combine(spark.range(2), spark.range(4).withColumnRenamed("id", "n"))
+
+
+def test_components_of_a_long_path(spark):
+    """The smallest node at the far end; by stars alone, and by one task."""
+    n = 10_000
+    path = spark.range(1, n).select(F.col("id").alias("src"), F.when(F.col("id") == n - 1, 0).otherwise(F.col("id") + 1).alias("dst"))
+    assert graph.components(path).where("component = 0").count() == n
+    short = spark.range(1, 300).select(F.col("id").alias("src"), F.when(F.col("id") == 299, 0).otherwise(F.col("id") + 1).alias("dst"))
+    assert graph.components(short, few=-1).where("component = 0").count() == 300
+
+
+def test_components_of_names_and_loops(spark):
+    edges = spark.createDataFrame([("b", "a"), ("c", "c"), ("d", "b"), (None, "x"), ("f", "e")], "src string, dst string")
+    for few in (-1, 100):
+        assert sorted(map(tuple, graph.components(edges, few).collect())) == [("a", "a"), ("b", "a"), ("c", "c"), ("d", "a"), ("e", "e"), ("f", "e")]
+
+
+def test_kmers_take_time_in_proportion(spark):
+    import time
+
+    df = spark.range(1).select(F.repeat(F.lit("ACGTTGCA"), 60_000).alias("seq"))
+    began = time.time()
+    assert df.select(F.size(similarity.kmers("seq", 25)).alias("n")).first().n == 480_000 - 24
+    assert time.time() - began < 30
+    other = spark.createDataFrame([("äbcdé", ["äbc", "bcd", "cdé"]), ("ab", []), ("abcd", ["abc", "bcd"]), (None, [])], "seq string, want array<string>")
+    assert all(r.got == r.want for r in other.select(similarity.kmers("seq", 3).alias("got"), "want").collect())
