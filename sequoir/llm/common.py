@@ -8,10 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sequoir.operators.store import forget, shared_dir, spread
 from sequoir.operators.store import settled as materialise
-from sequoir.operators.store import shared_dir, spread
 
-__all__ = ["BATCH_BYTES", "WORD_CLASS", "WORD_SPACE", "crc_mod", "fits", "forget", "keep_rows", "map_arrow", "materialise", "shared_dir", "table", "utf8"]
+__all__ = ["BATCH_BYTES", "WORD_CLASS", "WORD_SPACE", "crc_mod", "forget", "keep_rows", "map_arrow", "materialise", "shared_dir", "table", "utf8"]
 
 #: Bytes that separate words: space and U+0009 to U+000D, as bytes.split() has them.
 WORD_SPACE = b" \t\n\r\x0b\x0c"
@@ -25,14 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def forget(df: DataFrame) -> None:
-    """Delete what materialise(), a written table in the shared folder, left for df."""
-    spark = df.sparkSession
-    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with batches bounded in bytes, so that long texts don't pile up."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -58,8 +50,3 @@ def keep_rows(df: DataFrame, column: str, verdicts: Callable[[list[bytes]], list
 def crc_mod(column: str, k: int):
     """crc32 of the column's text, modulo k; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % k
-
-
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether df has so many rows at most; looks no further than that."""
-    return df.limit(rows + 1).count() <= rows

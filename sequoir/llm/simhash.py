@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sequoir.llm.common import forget, map_arrow, materialise, utf8
+from sequoir.llm.common import map_arrow, materialise, utf8
+from sequoir.operators import graph
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -72,31 +73,9 @@ def ball_links(marks: DataFrame) -> DataFrame:
     return near.select(F.col("other").alias("src"), F.col("fp").alias("dst")).distinct()
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, root (the smallest node reachable) of every node of links (src, dst), both long.
-
-    Alternating large and small stars; every round is a table in the shared
-    folder. Ends when a round changes nothing.
-    """
-    now = materialise(links.select("src", "dst").where("src <> dst").distinct(), "links")
-    mark = None
-    for _ in range(rounds):
-        both = now.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(now.select(F.col("dst").alias("u"), F.col("src").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        lower = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(lower, "u").select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e"))
-        after = materialise(small.select(F.greatest("e.a", "e.b").alias("dst"), F.least("e.a", "e.b").alias("src")).where("src <> dst").select("src", "dst").distinct(), "links")
-        forget(now)
-        now = after
-        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("src", "dst")), F.sum(F.xxhash64("dst", "src").cast("decimal(38,0)"))).first()
-        if state == mark:
-            break
-        mark = state
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return now.select(F.col("dst").alias("node"), F.col("src").alias("root")).unionByName(now.select(F.col("src").alias("node"), F.col("src").alias("root")).distinct())
+def components(links: DataFrame) -> DataFrame:
+    """node, root (the smallest node reachable) of every node of links (src, dst)."""
+    return graph.components(links).withColumnRenamed("component", "root")
 
 
 def _roots(marks: DataFrame) -> DataFrame:
