@@ -81,5 +81,5 @@ def spread(scan: DataFrame) -> DataFrame:
     query = scan._jdf.queryExecution()
     if query.toRdd().getNumPartitions() >= cores:
         return scan
-    size = query.optimizedPlan().stats().sizeInBytes()
-    return scan.repartition(cores) if size.bitLength() < 63 and size.longValue() <= SPREAD_BYTES else scan
+    size = int(str(query.optimizedPlan().stats().sizeInBytes()))
+    return scan.repartition(cores) if size <= SPREAD_BYTES else scan

@@ -513,3 +513,6 @@ def stream_ledger(t):
     hashed = dedup.with_hash(stream, "text").select("doc_id", "hash")
     grow_ledger(hashed, out, f"{out}/checkpoint", "hash", "doc_id").awaitTermination()
     return spark.read.parquet(f"{out}/new").select("hash", "doc_id")
+
+
+from sequoir.plans import composites, tables  # noqa: E402, F401 - they register themselves
