@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,6 +16,12 @@ from sequoir.operators.rank import numbered, top1
 from sequoir.operators.store import forget, settled
 
 
+#: Links that one task connects or goes through; more are worked on in rounds.
+FEW_LINKS = 100_000
+#: Nodes of a component that Markov clustering takes as one matrix (32 MB).
+DENSE_NODES = 2000
+
+
 def prune(edges: DataFrame, clusters: DataFrame, threshold: float) -> DataFrame:
     """Edges (src, dst, w) within a cluster and of weight `threshold` or more; clusters: member, cluster_id.
 
@@ -23,10 +32,6 @@ def prune(edges: DataFrame, clusters: DataFrame, threshold: float) -> DataFrame:
     return kept.where(F.col("src_cluster") == F.col("dst_cluster")).select("src", "dst", "w", "src_cluster", "dst_cluster")
 
 
-#: Links that one task connects; more are connected by alternating stars.
-FEW_LINKS = 100_000
-
-
 def components(edges: DataFrame, few: int = FEW_LINKS) -> DataFrame:
     """node, component (its smallest node) of every node of edges (src, dst); edges with a null end are none.
 
@@ -93,22 +98,69 @@ def _connected(links: DataFrame) -> DataFrame:
     return links.select("src", "dst").coalesce(1).mapInArrow(run, f"node {kind}, component {kind}")
 
 
-def markov_clusters(edges: DataFrame, inflation: float = 2.0, rounds: int = 50, floor: float = 1e-5, settle: float = 1e-4) -> DataFrame:
+def markov_clusters(edges: DataFrame, inflation: float = 2.0, rounds: int = 50, floor: float = 1e-5, settle: float = 1e-4, dense: int = DENSE_NODES) -> DataFrame:
     """member, cluster_id of a weighted graph (src, dst, w), by Markov clustering.
 
-    The matrix is a table (row, col, v): columns get self-loops of their
-    greatest weight and sum to one; every round squares it by a join, drops
-    entries under `floor`, raises what is left to `inflation` and rescales. It
-    ends when no entry moves by more than its share `settle`, or after `rounds`. A
-    node goes to the attractor with the greatest flow, ties (within `settle`, so
-    that rounding makes none) to the smallest; sets of
-    nodes that share attractors are clusters. Ids are numbered from 1 by size,
-    largest first, then by smallest member.
+    Columns get self-loops of their greatest weight and sum to one; every round
+    squares the matrix, drops entries under `floor`, raises what is left to
+    `inflation` and rescales. It ends when no entry moves by more than its
+    share `settle`, or after `rounds`, with a warning. What isn't connected has
+    nothing to do with each other: a component of up to `dense` nodes is one
+    task's matrix, larger ones are tables (row, col, v) that are squared by a
+    join. A node goes to the attractor with the greatest flow, ties (within
+    `settle`, so that rounding makes none) to the smallest; sets of nodes that
+    share attractors are clusters. Ids are numbered from 1 by size, largest
+    first, then by smallest member.
     """
-    flat = edges.where("src <> dst").select(F.col("dst").alias("row"), F.col("src").alias("col"), F.col("w").cast("double").alias("v")).where("v > 0")
+    known = edges.select("src", "dst", F.col("w").cast("double").alias("w"))
+    named = components(known)
+    sizes = settled(named.join(named.groupBy("component").agg(F.count("*").alias("n")), "component"), "sizes")
+    placed = known.join(sizes.select(F.col("node").alias("src"), "component", "n"), "src")
+    kind = edges.schema["src"].dataType.simpleString()
+
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        nodes = sorted(set(frame["src"]) | set(frame["dst"]))
+        best = _dense_flows(frame, {x: i for i, x in enumerate(nodes)}, inflation, rounds, floor, settle)
+        return pd.DataFrame({"src": [nodes[i] for i in best], "dst": nodes})
+
+    flows = placed.where(F.col("n") <= dense).select("src", "dst", "w", "component").groupBy("component").applyInPandas(one, f"src {kind}, dst {kind}")
+    if sizes.where(F.col("n") > dense).limit(1).count():
+        flows = flows.unionByName(_table_flows(placed.where(F.col("n") > dense).select("src", "dst", "w"), inflation, rounds, floor, settle))
+    clusters = components(flows)
+    counted = clusters.groupBy("component").agg(F.count("*").alias("n"))
+    ids = numbered(counted.withColumn("_small", -F.col("n")), ["_small", "component"], "cluster_id").select("component", "cluster_id")
+    return clusters.join(ids, "component").select(F.col("node").alias("member"), "cluster_id")
+
+
+def _dense_flows(frame: pd.DataFrame, at: dict, inflation: float, rounds: int, floor: float, settle: float) -> np.ndarray:
+    """The attractor of each node of one component, by number."""
+    m = np.zeros((len(at), len(at)))
+    for a, b, w in zip(frame["src"].map(at), frame["dst"].map(at), frame["w"], strict=True):
+        if a != b and w > 0:
+            m[a, b] = m[b, a] = max(m[a, b], w)
+    most = m.max(axis=0)
+    m[np.diag_indices(len(at))] = np.where(most > 0, most, 1.0)
+    m /= m.sum(axis=0)
+    for _ in range(rounds):
+        after = m @ m
+        after = np.where(after >= floor, after, 0.0) ** inflation
+        after /= after.sum(axis=0)
+        moved = np.abs(after - m) > settle * np.maximum(after, m)
+        m = after
+        if not moved.any():
+            break
+    else:
+        warnings.warn(f"Markov clustering of {len(at)} nodes did not settle in {rounds} rounds", stacklevel=1)
+    return (m >= m.max(axis=0) * (1 - settle)).argmax(axis=0)
+
+
+def _table_flows(edges: DataFrame, inflation: float, rounds: int, floor: float, settle: float) -> DataFrame:
+    """src (attractor), dst (node) of the nodes of large components, by tables."""
+    flat = edges.where("src <> dst").select(F.col("dst").alias("row"), F.col("src").alias("col"), F.col("w").alias("v")).where("v > 0")
     flat = flat.unionByName(flat.select(F.col("col").alias("row"), F.col("row").alias("col"), "v")).groupBy("row", "col").agg(F.max("v").alias("v"))
     loops = flat.groupBy("col").agg(F.max("v").alias("v")).select(F.col("col").alias("row"), "col", "v")
-    alone = edges.where("src = dst").select(F.col("src").alias("row"), F.col("src").alias("col"), F.lit(1.0).alias("v")).distinct().join(loops.select("col"), "col", "left_anti").select("row", "col", "v")
+    every = edges.select(F.col("src").alias("col")).unionByName(edges.select(F.col("dst").alias("col"))).distinct()
+    alone = every.join(loops.select("col"), "col", "left_anti").select(F.col("col").alias("row"), "col", F.lit(1.0).alias("v"))
 
     def scaled(m: DataFrame) -> DataFrame:
         return m.join(m.groupBy("col").agg(F.sum("v").alias("s")), "col").select("row", "col", (F.col("v") / F.col("s")).alias("v"))
@@ -120,16 +172,15 @@ def markov_clusters(edges: DataFrame, inflation: float = 2.0, rounds: int = 50,
         squared = left.join(right, "mid").groupBy("row", "col").agg(F.sum(F.col("a") * F.col("b")).alias("v"))
         after = settled(scaled(squared.where(F.col("v") >= floor).withColumn("v", F.pow("v", F.lit(inflation)))), "flow")
         was, now = F.coalesce("v", F.lit(0.0)), F.coalesce("n", F.lit(0.0))
-        moved = after.withColumnRenamed("v", "n").join(m, ["row", "col"], "full").where(F.abs(now - was) > settle * F.greatest(now, was))
+        moved = after.withColumnRenamed("v", "n").join(m, ["row", "col"], "full").where(F.abs(now - was) > settle * F.greatest(now, was)).limit(1).count()
+        forget(m)
         m = after
-        if moved.limit(1).count() == 0:
+        if moved == 0:
             break
+    else:
+        warnings.warn(f"Markov clustering did not settle in {rounds} rounds", stacklevel=2)
     most = m.groupBy("col").agg(F.max("v").alias("most"))
-    flows = m.join(most, "col").where(F.col("v") >= F.col("most") * (1 - settle)).groupBy(F.col("col").alias("dst")).agg(F.min("row").alias("src"))
-    named = components(flows)
-    sizes = named.groupBy("component").agg(F.count("*").alias("n"))
-    ids = numbered(sizes.withColumn("_small", -F.col("n")), ["_small", "component"], "cluster_id").select("component", "cluster_id")
-    return named.join(ids, "component").select(F.col("node").alias("member"), "cluster_id")
+    return m.join(most, "col").where(F.col("v") >= F.col("most") * (1 - settle)).groupBy(F.col("col").alias("dst")).agg(F.min("row").alias("src")).select("src", "dst")
 
 
 def with_singletons(clusters: DataFrame, ids: DataFrame) -> DataFrame:
@@ -139,36 +190,54 @@ def with_singletons(clusters: DataFrame, ids: DataFrame) -> DataFrame:
     return clusters.select("member", "cluster_id").unionByName(numbered(rest, ["member"], "cluster_id", last + 1).select("member", "cluster_id"))
 
 
-def greedy_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def greedy_clusters(nodes: DataFrame, edges: DataFrame, few: int = FEW_LINKS) -> DataFrame:
     """member, representative by greedy incremental clustering; nodes: member, length; edges: src, dst.
 
     Longest first, ties by id: a node joins the first representative that it
     has an edge with, or becomes one. Worked out in rounds: a node is settled
-    once all longer neighbours are, and only tables are kept between rounds.
+    once all longer neighbours are; each round adds a table of its own. Once
+    few edges are open, one task goes through them in order.
     """
     rank = F.struct((-F.col("length")).alias("n"), F.col("member").alias("id"))
-    ranked = nodes.select("member", rank.alias("rank"))
+    ranked = settled(nodes.select("member", rank.alias("rank")), "ranked")
     pairs = edges.where("src <> dst").select("src", "dst")
     pairs = pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     up = pairs.join(ranked.select(F.col("member").alias("src"), F.col("rank").alias("own")), "src").join(ranked.select(F.col("member").alias("dst"), F.col("rank").alias("other")), "dst")
-    up = settled(up.where("other < own").select(F.col("src").alias("member"), F.col("dst").alias("longer"), "other"), "up")
-    open_ = settled(ranked.select("member"), "open")
-    done = None
-    while open_.limit(1).count():
-        if done is None:
-            state = open_.select(F.col("member").alias("longer"), F.lit("open").alias("state"))
-        else:
-            state = open_.select(F.col("member").alias("longer"), F.lit("open").alias("state")).unionByName(done.select(F.col("member").alias("longer"), F.when(F.col("member") == F.col("representative"), "rep").otherwise("joined").alias("state")))
-        seen = open_.join(up, "member", "left").join(state, "longer", "left")
-        first = F.min(F.when(F.col("state") == "rep", F.col("other")))
-        waits = F.min(F.when(F.col("state") == "open", F.col("other")))
-        tally = seen.groupBy("member").agg(first.alias("rep"), waits.alias("wait"))
+    up = settled(up.where("other < own").select(F.col("src").alias("member"), "own", F.col("dst").alias("longer"), "other"), "up")
+    done = [settled(ranked.join(up.select("member"), "member", "left_anti").select("member", F.col("member").alias("representative")), "greedy")]
+    fixed = lambda: reduce(DataFrame.unionByName, done).select(F.col("member").alias("longer"), F.col("representative").alias("rep"))
+    while up.limit(few + 1).count() > few:
+        seen = up.join(fixed(), "longer", "left")
+        first = F.min(F.when(F.col("rep") == F.col("longer"), F.col("other")))
+        waits = F.min(F.when(F.col("rep").isNull(), F.col("other")))
+        tally = seen.groupBy("member").agg(first.alias("first"), waits.alias("wait"))
         # a node can be settled when nothing before its first representative is still open
-        ready = tally.where(F.col("wait").isNull() | F.col("rep").isNotNull() & (F.col("rep") < F.col("wait")))
-        new = ready.select("member", F.coalesce(F.col("rep.id"), F.col("member")).alias("representative"))
-        done = settled(new if done is None else done.unionByName(new), "greedy")
-        open_ = settled(open_.join(done, "member", "left_anti"), "open")
-    return done if done is not None else nodes.select("member", F.col("member").alias("representative")).limit(0)
+        ready = tally.where(F.col("wait").isNull() | F.col("first").isNotNull() & (F.col("first") < F.col("wait")))
+        new = settled(ready.select("member", F.coalesce(F.col("first.id"), F.col("member")).alias("representative")), "greedy")
+        # what stays open keeps its edges, but for those to nodes that have joined another
+        left = seen.join(new.select("member"), "member", "left_anti").where("rep is null or rep = longer").drop("rep")
+        done.append(new)
+        up, old = settled(left.select("member", "own", "longer", "other"), "up"), up
+        forget(old)
+    kind = nodes.schema["member"].dataType.simpleString()
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges_of: dict = {}
+        types = None
+        for batch in batches:
+            types = types or batch.schema.field("member").type
+            for row in batch.to_pylist():
+                edges_of.setdefault((row["n"], row["member"]), []).append((row["m"], row["longer"], row["rep"]))
+        chosen: dict = {}
+        for (_, member), longer in sorted(edges_of.items()):
+            found = (x for _, x, rep in sorted(longer, key=lambda e: e[:2]) if (chosen.get(x) if rep is None else rep) == x)
+            chosen[member] = next(found, member)
+        if types is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(list(chosen), types), pa.array(list(chosen.values()), types)], ["member", "representative"])
+
+    open_ = up.join(fixed(), "longer", "left").select("member", F.col("own.n").alias("n"), F.col("other.n").alias("m"), "longer", "rep")
+    last = open_.coalesce(1).mapInArrow(rest, f"member {kind}, representative {kind}")
+    return reduce(DataFrame.unionByName, done).unionByName(last)
 
 
 def ladder(edges: DataFrame, thresholds: tuple[float, ...] = (5.5, 32.0, 65.0, 80.0), inflation: float = 2.0) -> dict[float, DataFrame]:

@@ -14,7 +14,7 @@ def top1(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ties: Sequ
     As a running rank with a limit, so that Spark keeps one row of a group in
     each task before it shuffles.
     """
-    own = "_rank"
+    own = "_sequoir_rank"
     by = Window.partitionBy(*keys).orderBy(*order, *(F.col(t).asc_nulls_last() for t in ties))
     return df.withColumn(own, F.row_number().over(by)).where(F.col(own) == 1).drop(own)
 

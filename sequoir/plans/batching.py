@@ -7,26 +7,20 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sequoir.operators.dataflow import collate, mix
+from sequoir.operators.rank import numbered
 
 #: How many times the base size a batch of a source has; others have it once.
 FACTORS = {"ATB": 10, "ENA": 10, "LOGAN": 5}
 
 
 def source_batches(items: DataFrame, size: int = 1000, factors: Mapping[str, int] = FACTORS) -> DataFrame:
-    """id, source_db, batch, urls: items (sample, source_db, fna) with a url, in batches of their source."""
-    known = items.where(F.col("fna").isNotNull() & F.col("source_db").isNotNull())
-    out = []
+    """id, source_db, batch, urls: items (sample, source_db, fna) with a url, in batches of their source, by sample."""
+    known = items.where(F.col("fna").isNotNull() & F.col("source_db").isNotNull()).select("source_db", "sample", "fna")
+    listed = numbered(known, ["source_db", "sample", "fna"], "ordinal")
+    first = listed.groupBy("source_db").agg(F.min("ordinal").alias("first"))
+    own = F.lit(size)
     for source, factor in factors.items():
-        out.append(_batched(known.where(F.col("source_db") == source), size * factor))
-    rest = known.where(~F.col("source_db").isin(*factors))
-    for row in rest.select("source_db").distinct().collect():  # sources are few
-        out.append(_batched(rest.where(F.col("source_db") == row.source_db), size))
-    return mix(*out)
-
-
-def _batched(items: DataFrame, size: int) -> DataFrame:
-    source = items.select("source_db").first()
-    name = F.lit(source.source_db if source else None).cast("string")
-    lists = collate(items.withColumn("_pair", F.struct("sample", "fna")), ["sample", "fna"], size, "_pair", "urls")
-    return lists.select(F.concat_ws("_", name, F.col("batch").cast("string")).alias("id"), name.alias("source_db"), "batch", "urls")
+        own = F.when(F.col("source_db") == source, size * factor).otherwise(own)
+    dealt = listed.join(first, "source_db").withColumn("batch", F.floor((F.col("ordinal") - F.col("first")) / own).cast("long"))
+    lists = dealt.groupBy("source_db", "batch").agg(F.sort_array(F.collect_list(F.struct("sample", "fna"))).alias("urls"))
+    return lists.select(F.concat_ws("_", "source_db", F.col("batch").cast("string")).alias("id"), "source_db", "batch", "urls")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sequoir.operators.dedup import ledger_update
@@ -11,20 +12,22 @@ from sequoir.operators.store import exists
 
 
 def grow_ledger(stream: DataFrame, folder: str, checkpoint: str, key: str = "hash", id_: str = "original_id") -> StreamingQuery:
-    """Write rows with hashes that no batch had before to folder/new, and all hashes to folder/ledger.
+    """Write rows with hashes that no batch had before to folder/new, and those hashes to folder/ledger.
 
-    A batch's files are named by its number and overwritten if it runs again,
-    and what it compares with are the batches before it; so a batch that is
-    repeated after a failure leaves what it would have left.
+    The ledger is one table with a folder for each batch, of new hashes alone,
+    so it grows with what is new and not with what comes. A batch's files are
+    named by its number and overwritten if it runs again, and what it compares
+    with are the batches before it; so a batch that is repeated after a failure
+    leaves what it would have left.
     """
 
     def batch(df: DataFrame, number: int) -> None:
         spark = df.sparkSession
-        before = [f"{folder}/ledger/batch={n}" for n in range(number) if exists(spark, f"{folder}/ledger/batch={n}")]
-        ledger = spark.read.schema(df.schema).parquet(*before) if before else spark.createDataFrame([], df.schema)
-        new, _ = ledger_update(df, ledger, key, [id_])
+        schema = T.StructType([df.schema[key], T.StructField("batch", T.LongType())])
+        seen = spark.read.schema(schema).parquet(f"{folder}/ledger") if exists(spark, f"{folder}/ledger") else spark.createDataFrame([], schema)
+        new, _ = ledger_update(df, seen.where(F.col("batch") < number).select(key), key, [id_])
         new.write.mode("overwrite").parquet(f"{folder}/new/batch={number}")
-        df.write.mode("overwrite").parquet(f"{folder}/ledger/batch={number}")
+        spark.read.schema(df.schema).parquet(f"{folder}/new/batch={number}").select(key).write.mode("overwrite").parquet(f"{folder}/ledger/batch={number}")
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

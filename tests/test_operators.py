@@ -141,10 +141,11 @@ def dense_mcl(edges, inflation=2.0, rounds=50):
     return find_all(links)
 
 
-def test_markov_clusters_against_a_dense_matrix(spark):
+@pytest.mark.parametrize("dense", [graph.DENSE_NODES, 0])
+def test_markov_clusters_against_a_dense_matrix(spark, dense):
     r = random.Random(2)
     edges = [(f"n{a}", f"n{b}", r.uniform(0.9, 1.0)) for g in range(4) for a in range(g * 5, g * 5 + 5) for b in range(a + 1, g * 5 + 5)] + [("n4", "n5", 0.05), ("n9", "n10", 0.05)]
-    got = graph.markov_clusters(spark.createDataFrame(edges, "src string, dst string, w double"))
+    got = graph.markov_clusters(spark.createDataFrame(edges, "src string, dst string, w double"), dense=dense)
     groups = {}
     for x in got.collect():
         groups.setdefault(x.cluster_id, set()).add(x.member)
@@ -174,8 +175,9 @@ def test_greedy_clusters_against_a_loop(spark):
         want[name] = next((p for p in reps if frozenset((p, name)) in near), name)
         if want[name] == name:
             reps.append(name)
-    got = graph.greedy_clusters(spark.createDataFrame(nodes, "member string, length long"), spark.createDataFrame(edges, "src string, dst string"))
-    assert {x.member: x.representative for x in got.collect()} == want
+    for few in (graph.FEW_LINKS, 0):
+        got = graph.greedy_clusters(spark.createDataFrame(nodes, "member string, length long"), spark.createDataFrame(edges, "src string, dst string"), few).collect()
+        assert {x.member: x.representative for x in got} == want and len(got) == len(want)
 
 
 def test_ladder_nests(spark):
@@ -256,3 +258,9 @@ def test_kmers_take_time_in_proportion(spark):
     assert time.time() - began < 30
     other = spark.createDataFrame([("äbcdé", ["äbc", "bcd", "cdé"]), ("ab", []), ("abcd", ["abc", "bcd"]), (None, [])], "seq string, want array<string>")
     assert all(r.got == r.want for r in other.select(similarity.kmers("seq", 3).alias("got"), "want").collect())
+
+
+def test_markov_clusters_say_when_they_do_not_settle(spark):
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "c", 0.9), ("c", "d", 1.0)], "src string, dst string, w double")
+    with pytest.warns(UserWarning, match="did not settle in 1 rounds"):
+        assert graph.markov_clusters(edges, rounds=1, dense=0).count() == 4
