@@ -79,6 +79,19 @@ CASE n_nationkey % 4 WHEN 0 THEN 'L: AB1234' || CAST(n_nationkey AS STRING) || '
 }
 
 
+INPUTS |= {
+    "detections": """SELECT p_partkey AS id, CAST(p_size AS DOUBLE) * 0.02 AS virus_score, p_size * 400 AS length,
+CASE p_partkey % 5 WHEN 0 THEN 'Viruses;A;B;C;Caudoviricetes' WHEN 1 THEN 'Viruses;Inoviridae' WHEN 2 THEN 'Unclassified' WHEN 3 THEN 'x;Faserviricetes;Inoviridae' ELSE 'Viruses;Anelloviridae' END AS taxonomy FROM {part}""",
+    "checked": """SELECT p_partkey AS id, CAST(p_size * 2 AS DOUBLE) AS aai_completeness, CAST(p_partkey % 9 AS DOUBLE) * 0.2 AS kmer_freq, p_size * 300 AS contig_length,
+CASE WHEN p_partkey % 7 = 0 THEN 'NA' WHEN p_partkey % 11 = 0 THEN '0' ELSE CAST(p_partkey % 40 * 200 AS STRING) END AS aai_expected_length FROM {part}""",
+    "ani": """SELECT 's' || CAST(l_suppkey AS STRING) AS query, 's' || CAST(l_partkey % 40 AS STRING) AS reference, 1.0 - CAST(l_discount AS DOUBLE) AS ani, CAST(l_linenumber AS DOUBLE) * 0.15 AS qcov, CAST(l_tax AS DOUBLE) * 12 AS rcov FROM {lineitem}""",
+    "marks": "SELECT p_partkey AS id, p_size % 3 AS PLASMID_HALLMARK, p_partkey % 4 AS VIRUS_HALLMARK FROM {part}",
+    "repeats": """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN substr(md5(c_name), 1, 22 + CAST(c_custkey % 5 AS INT)) || md5(c_mktsegment || c_name) || substr(md5(c_name), 1, 22 + CAST(c_custkey % 5 AS INT)) ELSE md5(c_name) || md5(c_mktsegment || c_name) END AS seq FROM {customer}""",
+    "called": "SELECT 'c' || CAST(l_orderkey AS STRING) AS contig, l_linenumber AS number, l_partkey AS start FROM {lineitem}",
+    "headers": """SELECT 'UniRef90_P' || CAST(p_partkey AS STRING) || CASE p_size % 3 WHEN 0 THEN ' Uncharacterized protein n=' WHEN 1 THEN ' Tail fiber n=' ELSE ' Phage protein n=' END || CAST(p_size AS STRING) || ' Tax=T TaxID=1 RepID=R' || CAST(p_partkey AS STRING) AS description FROM {part}""",
+}
+
+
 def composite(*inputs: str, sql: str):
     """Register a function of (reader of derived tables) under its name, with SQL that follows the inputs as CTEs."""
 
@@ -410,3 +423,69 @@ def c30_release(t):
     first = release.update(spark, {"hashes": old}, Config(release="1", output=base))
     second = release.update(spark, {"hashes": new}, Config(release="2", output=base, previous=first))
     return spark.read.schema(new.schema).parquet(f"{second}/hashes")
+
+
+@composite("detections", sql="""
+d AS (SELECT *, contains(taxonomy, 'Inoviridae') AS ino FROM detections)
+SELECT id FROM d WHERE ((virus_score >= 0.7 AND length >= 2000) OR ino) AND NOT (contains(taxonomy, 'Caudoviricetes') AND length < 10000) AND NOT (ino AND (length < 4500 OR length > 12500))
+AND taxonomy <> 'Unclassified' AND (contains(taxonomy, 'viricetes') OR contains(taxonomy, 'Anelloviridae'))""")
+def filter_coarse(t):
+    """Which detections go on."""
+    return t("detections").where(classify.coarse_filter()).select("id")
+
+
+@composite("checked", sql="SELECT id FROM checked WHERE aai_completeness >= 50 AND kmer_freq <= 1.2 AND TRY_CAST(aai_expected_length AS DOUBLE) > 0 AND contig_length / TRY_CAST(aai_expected_length AS DOUBLE) <= 1.5")
+def filter_completeness(t):
+    return t("checked").where(classify.completeness_filter()).select("id")
+
+
+@composite("ani", sql="SELECT query AS src, reference AS dst, ani AS w FROM ani WHERE ani >= 0.95 AND (qcov >= 0.85 OR rcov >= 0.85) AND query <> reference")
+def edges_ani(t):
+    """Edges between genomes by their alignments."""
+    from sequoir.plans.cluster import ani_edges
+
+    return ani_edges(t("ani"))
+
+
+@composite("marks", sql="SELECT id FROM marks WHERE PLASMID_HALLMARK = 1 OR VIRUS_HALLMARK = 1")
+def filter_hallmark(t):
+    return t("marks").where(classify.hallmark_filter()).select("id")
+
+
+@composite("repeats", sql="""
+k AS (SELECT id, seq, unnest(range(20, CAST(length(seq) // 2 AS BIGINT) + 1)) AS n FROM repeats)
+SELECT r.id, CAST(coalesce(max(CASE WHEN left(k.seq, k.n) = right(k.seq, k.n) THEN k.n END), 0) AS INTEGER) AS repeat_length FROM repeats r LEFT JOIN k ON r.id = k.id GROUP BY 1""")
+def terminal_repeats(t):
+    """The longest beginning of a sequence that is its end too."""
+    from sequoir.functions.exprs import terminal_repeat
+
+    return t("repeats").select("id", terminal_repeat("seq").cast("int").alias("repeat_length"))
+
+
+@composite("repeats", sql="SELECT id, CASE WHEN id % 3 = 0 THEN seq || substr(seq, CAST(22 + id % 5 + 1 AS BIGINT), CAST(60 - (22 + id % 5) AS BIGINT)) ELSE seq END AS longer FROM repeats")
+def circular_extension(t):
+    """Circular sequences lengthened by what follows their overlap."""
+    from sequoir.functions.exprs import circular_extended
+
+    overlap = F.when(F.col("id") % 3 == 0, (22 + F.col("id") % 5).cast("int"))
+    return t("repeats").select("id", circular_extended("seq", overlap, 60).alias("longer"))
+
+
+@composite("called", "contigs", sql="SELECT contig, number, start FROM called JOIN contigs ON contig = id WHERE start <= length")
+def genes_within_contigs(t):
+    return verify.genes_within(t("called"), t("contigs").select("id", "length")).select("contig", "number", "start")
+
+
+@composite("headers", sql="""
+SELECT description, regexp_extract(description, '^(\\S+)', 1) || ' 30~~~80~~~80~~~' || regexp_extract(description, 'RepID=(\\S+)', 1) || '~~~' || CASE WHEN contains(description, 'Tail') THEN 'Tail fiber' ELSE 'hypothetical protein' END
+  || '~~~UniRef:' || regexp_extract(description, '^(\\S+)', 1) AS header FROM headers""")
+def protein_headers(t):
+    """Headers of reference proteins as annotators read them."""
+    return t("headers").select("description", taxonomy.protein_header().alias("header"))
+
+
+@composite("sequences", sql="SELECT id, replace(replace(seq, ' ', '_'), '-', '_') || '-' || CASE WHEN id LIKE '%3' THEN '' ELSE 'L' END || '-' || id AS header FROM sequences")
+def species_headers(t):
+    """Header ids of reference sequences: species, segment, accession."""
+    rows = t("sequences").select("id", F.col("seq").alias("Species"), F.when(~F.col("id").endswith("3"), "L").alias("Segment_Name"), F.col("id").alias("Accession"))
+    return rows.select("id", taxonomy.fasta_header().alias("header"))

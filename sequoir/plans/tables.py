@@ -182,3 +182,68 @@ def source_classifier(t):
     df = t("part")
     line = F.concat_ws(" ", F.concat(F.lit("D"), s("p_partkey")), s("p_size"), F.lit("1"), (F.col("p_size") + 1).cast("string"), F.lit("0.1"), F.lit("0.2"), (F.col("p_size") * 0.5).cast("string"), F.lit("0.3"))
     return hits.classifier_table(df.sparkSession, _text(df, line, "# hmm")).select("hmm", "n_plasmid", "n_viral", "p_viral")
+
+
+@query("SELECT 'q' || CAST(n_nationkey AS VARCHAR) AS query, 1000 AS query_length, CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE n_name END AS title, CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE CAST(n_regionkey + 1 AS BIGINT) END AS start FROM nation")
+def source_blast_xml(t):
+    """A report with an iteration for each query, some without hits."""
+    df = t("nation")
+    hsp = F.concat(F.lit("<Hit_hsps><Hsp><Hsp_evalue>0.001</Hsp_evalue><Hsp_query-from>"), (F.col("n_regionkey") + 1).cast("string"), F.lit("</Hsp_query-from><Hsp_query-to>50</Hsp_query-to></Hsp></Hit_hsps>"))
+    hit = F.when(F.col("n_nationkey") % 4 == 0, "").otherwise(F.concat(F.lit("<Hit><Hit_def>"), "n_name", F.lit("</Hit_def>"), hsp, F.lit("</Hit>")))
+    line = F.concat(F.lit("<Iteration><Iteration_query-def>q"), s("n_nationkey"), F.lit("</Iteration_query-def><Iteration_query-len>1000</Iteration_query-len><Iteration_hits>"), hit, F.lit("</Iteration_hits></Iteration>"))
+    path = _text(df, line, "<BlastOutput><BlastOutput_iterations>")
+    return hits.blast_xml(df.sparkSession, path).select("query", F.col("query_length").cast("int").alias("query_length"), "title", "start")
+
+
+@query("SELECT 'r' || CAST(n_nationkey AS VARCHAR) AS record, 'ACGT' AS seq, 'tag_' || CAST(n_nationkey AS VARCHAR) AS tag, CASE WHEN n_nationkey % 2 = 0 THEN 'UniRef:X' ELSE NULL END AS ref FROM nation")
+def source_genbank(t):
+    """Records with a feature each, some with a cross-reference."""
+    df = t("nation")
+    number = s("n_nationkey")
+    ref = F.when(F.col("n_nationkey") % 2 == 0, '\n                     /db_xref="UniRef:X"').otherwise("")
+    line = F.concat(F.lit("LOCUS       r"), number, F.lit(" 4 bp\nFEATURES             Location/Qualifiers\n     CDS             1..4\n                     /locus_tag=\"tag_"), number, F.lit('"'), ref, F.lit("\nORIGIN\n        1 acgt\n//"))
+    found = sequences.genbank(df.sparkSession, _text(df, line)).select("record", "seq", F.explode("features").alias("f"))
+    value = lambda k: F.get(F.col("f.qualifiers")[k], F.lit(0))
+    return found.select("record", "seq", value("locus_tag").alias("tag"), value("db_xref").alias("ref"))
+
+
+@query("SELECT 's' || CAST(c_custkey AS VARCHAR) AS sample, 'g' || CAST(c_nationkey AS VARCHAR) AS grp FROM customer")
+def source_samplesheet(t):
+    """A samplesheet that is valid."""
+    df = t("customer").select(F.concat(F.lit("s"), s("c_custkey")).alias("sample"), F.concat(F.lit("g"), s("c_nationkey")).alias("group"))
+    path = _path(df, ".csv")
+    sinks.write_table(df, path, sep=",")
+    return tables.samplesheet(df.sparkSession, path, "sample string, `group` string").withColumnRenamed("group", "grp")
+
+
+@query("SELECT n_nationkey AS key FROM nation WHERE false")
+def source_absent(t):
+    """A table that isn't there has no rows."""
+    df = t("nation")
+    return tables.read_or_none(df.sparkSession, _path(df), "key bigint").select(F.col("key").cast("int").alias("key"))
+
+
+@query("SELECT c_custkey AS id FROM customer WHERE c_custkey <= 10")
+def sink_once(t):
+    """A result that is remembered by its path: the second one isn't written."""
+    from sequoir.operators.store import once
+
+    df = t("customer").select(F.col("c_custkey").alias("id"))
+    path = _path(df)
+    once(df.where("id <= 10"), path)
+    return once(df, path)
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS label FROM orders WHERE o_orderstatus IN ('F', 'P')")
+def channel_demux(t):
+    """A shared stage's output taken apart by label, and two parts put together again."""
+    from sequoir.operators.dataflow import demux, mix
+
+    parts = demux(t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("label")), "label", ["F", "O", "P"])
+    return mix(parts["F"], parts["P"])
+
+
+@query("SELECT o_orderkey AS id FROM (SELECT * FROM orders ORDER BY o_orderstatus = 'F' DESC, o_totalprice DESC, o_orderkey LIMIT 50)")
+def sorted_head(t):
+    """The first rows by a derived flag, a number downwards, and an id."""
+    return t("orders").orderBy((F.col("o_orderstatus") == "F").desc(), F.col("o_totalprice").desc(), "o_orderkey").limit(50).select(F.col("o_orderkey").alias("id"))

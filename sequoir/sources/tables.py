@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import io
+import re
+import zipfile
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,6 +75,57 @@ def with_preamble(spark: SparkSession, path: str, schema: str | T.StructType, sk
     return cells.select(*(clean(value(f)).try_cast(f.dataType).alias(f.name) for f in own))
 
 
+def workbook(spark: SparkSession, path: str, sheet: str, schema: str | T.StructType) -> DataFrame:
+    """A sheet of an Excel workbook (.xlsx), by its name or a pattern of it; the schema names columns of its first row.
+
+    A workbook is one zip archive of at most 1,048,576 rows a sheet, so it is
+    one task's. A cell that is not of its column's type is null; the first
+    sheet that fits is read; a missing sheet or column is an error.
+    """
+    own = _schema(schema)
+    names = [f.name for f in own]
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+    def run(batches):
+        for batch in batches:
+            for content in batch.column(0).to_pylist():
+                rows = _sheet_rows(content, sheet, names)
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(len(names))], names)
+
+    read = spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, text)
+    return read.select(*(typed(f"`{f.name}`", f.dataType).alias(f.name) for f in own))
+
+
+def _sheet_rows(content: bytes, sheet: str, names: Sequence[str]) -> list[list[str | None]]:
+    """Rows of a sheet below its header, the named columns in order."""
+    space = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        tree = lambda name: ElementTree.fromstring(archive.read(name))
+        targets = {r.get("Id"): r.get("Target").removeprefix("/xl/") for r in tree("xl/_rels/workbook.xml.rels")}
+        sheets = [(x.get("name"), x.get("{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id")) for x in tree("xl/workbook.xml").iter(f"{space}sheet")]
+        chosen = next((i for n, i in sheets if n == sheet or re.search(sheet, n)), None)
+        if chosen is None:
+            raise ValueError(f"no sheet {sheet!r} among {[n for n, _ in sheets]}")
+        texts = lambda x: "".join(t.text or "" for t in x.iter(f"{space}t"))
+        shared = [texts(x) for x in tree("xl/sharedStrings.xml").iter(f"{space}si")] if "xl/sharedStrings.xml" in archive.namelist() else []
+        rows = []
+        for row in tree(f"xl/{targets[chosen]}").iter(f"{space}row"):
+            cells: dict[int, str | None] = {}
+            for k, cell in enumerate(row.iter(f"{space}c")):
+                letters = re.match("[A-Z]*", cell.get("r") or "")[0]
+                at = reduce(lambda n, c: n * 26 + ord(c) - 64, letters, 0) - 1 if letters else k
+                value = cell.find(f"{space}v")
+                kind = cell.get("t")
+                text = texts(cell) if kind == "inlineStr" else None if value is None else shared[int(value.text)] if kind == "s" else value.text
+                cells[at] = text or None
+            rows.append(cells)
+    header = {v: k for k, v in (rows[0] if rows else {}).items()}
+    missing = [n for n in names if n not in header]
+    if missing:
+        raise ValueError(f"no columns {missing} in sheet {sheet!r}")
+    return [[r.get(header[n]) for n in names] for r in rows[1:] if any(r.values())]
+
+
 def read_or_none(spark: SparkSession, path: str | None, schema: str | T.StructType, **options) -> DataFrame:
     """delimited(), or no rows if the path is none or there is no such file."""
     if path and exists(spark, path):

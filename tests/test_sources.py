@@ -188,3 +188,22 @@ def test_results_are_remembered(spark, tmp_path):
     assert once(spark.range(3).toDF("n"), path).count() == 3
     assert once(spark.range(99).toDF("n"), path).count() == 3
     assert read_or_empty(spark, path, "n long").count() == 3 and read_or_empty(spark, None, "n long").count() == 0
+
+
+def test_workbook(spark, tmp_path):
+    import zipfile
+
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    sheet = "<worksheet {0}><sheetData><row><c r='A1' t='s'><v>0</v></c><c r='C1' t='inlineStr'><is><t>Sort</t></is></c></row><row><c r='A2' t='s'><v>1</v></c><c r='C2'><v>7</v></c></row><row><c r='C3' t='s'><v>0</v></c></row><row></row></sheetData></worksheet>"
+    with zipfile.ZipFile(tmp_path / "book.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f"<workbook {ns}><sheets><sheet name='Version' r:id='r1'/><sheet name='VMR MSL40' r:id='r2'/></sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", "<Relationships><Relationship Id='r1' Target='worksheets/a.xml'/><Relationship Id='r2' Target='/xl/worksheets/b.xml'/></Relationships>")
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>Name</t></si><si><r><t>Vi</t></r><r><t>rus</t></r></si></sst>")
+        z.writestr("xl/worksheets/a.xml", sheet.format(ns).replace("Sort", "Other"))
+        z.writestr("xl/worksheets/b.xml", sheet.format(ns))
+    path = str(tmp_path / "book.xlsx")
+    got = tables.workbook(spark, path, "^VMR M", "Sort long, Name string").collect()
+    assert [tuple(r) for r in got] == [(7, "Virus"), (None, None)]
+    for name, schema in (("nothing", "Name string"), ("VMR MSL40", "Gone string")):
+        with pytest.raises(Exception, match="no sheet|no columns"):
+            tables.workbook(spark, path, name, schema).collect()
