@@ -47,9 +47,9 @@ SENT_BYTES = 192 << 20
 #: Weight of the unigram estimate in the bigram's (Dirichlet smoothing).
 PRIOR = 4.0
 #: Bytes of text that are encoded at once, so that a worker's arrays stay small.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 #: Distinct words that a task keeps, and bigrams that it gathers before it passes them on.
-HELD_WORDS, HELD_BIGRAMS = 150_000, 1_000_000
+HELD_WORDS, HELD_BIGRAMS = 100_000, 1_000_000
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
