@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sequoir.operators.store import forget, shared_dir, spread
 from sequoir.operators.store import settled as materialise
 
-__all__ = ["BATCH_BYTES", "WORD_CLASS", "WORD_SPACE", "crc_mod", "forget", "keep_rows", "map_arrow", "materialise", "shared_dir", "table", "utf8"]
+__all__ = ["BATCH_BYTES", "WORD_CLASS", "WORD_SPACE", "crc_mod", "forget", "free_names", "keep_rows", "map_arrow", "materialise", "shared_dir", "table", "utf8"]
 
 #: Bytes that separate words: space and U+0009 to U+000D, as bytes.split() has them.
 WORD_SPACE = b" \t\n\r\x0b\x0c"
@@ -47,6 +47,17 @@ def keep_rows(df: DataFrame, column: str, verdicts: Callable[[list[bytes]], list
     return map_arrow(df, run, df.schema)
 
 
+def free_names(names: Sequence[str], taken: Sequence[str]) -> list[str]:
+    """names for columns of one's own, lengthened until none is taken in any case of its letters."""
+    used = {x.lower() for x in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def crc_mod(column: str, k: int):
     """crc32 of the column's text, modulo k; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % k

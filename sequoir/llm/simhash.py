@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sequoir.llm.common import map_arrow, materialise, utf8
+from sequoir.llm.common import free_names, map_arrow, materialise, utf8
 from sequoir.operators import graph
 
 SHINGLE_WORDS = 3
@@ -99,8 +99,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return marked.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Columns that representatives() adds while it works.
-MARK, ROW = "_sequoir_fp", "_sequoir_row"
+#: Columns that representatives() adds while it works, under other names if docs has them.
+OWN = ("_sequoir_fp", "_sequoir_row")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
@@ -110,16 +110,17 @@ def representatives(docs: DataFrame) -> DataFrame:
     Columns named fp, root or node pass through.
     """
     at = docs.columns.index("text")
-    names = [*docs.columns, MARK]
+    mark, row = free_names(OWN, docs.columns)
+    names = [*docs.columns, mark]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = np.array([fingerprint(x) for x in utf8(batch.column(at))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks)], names)
 
-    marked = map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(MARK, T.LongType())]))
-    marked = materialise(marked.withColumn(ROW, F.monotonically_increasing_id()), "marked")  # row numbers hold once they are written
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(ROW).alias("row"))
-    roots = _roots(marked.groupBy(F.col(MARK).alias("fp")).agg(F.min(order).alias("first")))
-    kept = roots.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(ROW))
-    return marked.join(kept, ROW, "left_semi").select(*docs.columns)
+    marked = map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())]))
+    marked = materialise(marked.withColumn(row, F.monotonically_increasing_id()), "marked")  # row numbers hold once they are written
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    roots = _roots(marked.groupBy(F.col(mark).alias("fp")).agg(F.min(order).alias("first")))
+    kept = roots.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return marked.join(kept, row, "left_semi").select(*docs.columns)

@@ -94,3 +94,11 @@ def test_representatives(spark):
     assert kept.count() == len({g if g is not None else p for g, (_, p) in zip(groups, prints, strict=True)})
     assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == {g for g in groups if g is not None}
     assert S.representatives(frame(spark, [])).count() == 0
+
+
+def test_columns_of_any_name_pass_through(spark):
+    from pyspark.sql import functions as F
+
+    docs = frame(spark).withColumns({x: F.lit(k) for k, x in enumerate([*S.OWN, S.OWN[-1] + "_", "node", "root", "first", "id"])})
+    kept = S.representatives(docs)
+    assert kept.columns == docs.columns and kept.count() == S.representatives(frame(spark)).count()
