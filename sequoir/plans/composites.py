@@ -489,3 +489,21 @@ def species_headers(t):
     """Header ids of reference sequences: species, segment, accession."""
     rows = t("sequences").select("id", F.col("seq").alias("Species"), F.when(~F.col("id").endswith("3"), "L").alias("Segment_Name"), F.col("id").alias("Accession"))
     return rows.select("id", taxonomy.fasta_header().alias("header"))
+
+
+def retroelements(nations: DataFrame) -> DataFrame:
+    """id, seq: made-up sequences, each with a template of 14 codons AAC among others and a copy of it that has GAC for them."""
+    letters = lambda *salt: F.translate(F.concat(*(F.md5(F.concat("n_name", F.lit(x))) for x in salt)), "0123456789abcdef", "ACGTACGTACGTACGT")
+    copy = lambda codon: F.concat(*(x for k in range(14) for x in (F.lit(codon), F.substring(letters(*"abc"), 6 * k + 1, 6))))
+    return nations.select(F.col("n_name").alias("id"), F.concat(letters(*"efgh"), copy("AAC"), letters(*"ijklm"), copy("GAC"), letters(*"nopq")).alias("seq"))
+
+
+def c25_dgr_scan(spark, sf_dir: str) -> DataFrame:
+    """Template and variable repeats in sequences. Alignments are beyond SQL; a test holds it against all pairs of places."""
+    from sequoir.operators import dgr
+
+    found = dgr.scan(retroelements(spark.read.parquet(f"{sf_dir}/nation.parquet")))
+    return found.select("id", "strand", "template_begin", "template_end", "variable_begin", "variable_end", "length", "mismatches", "at_a", "at_t")
+
+
+QUERIES["c25_dgr_scan"] = c25_dgr_scan

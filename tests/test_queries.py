@@ -44,3 +44,23 @@ def test_iterative_queries(spark, small):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and set(queries.SQL) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_retroelements_against_all_places(spark, small):
+    """Every planted pair is found where it is; what is found is a pair, letter by letter."""
+    from sequoir.plans import composites
+
+    sequences = {r.id: r.seq for r in composites.retroelements(spark.read.parquet(f"{small}/nation.parquet")).collect()}
+    found = {}
+    for r in queries.QUERIES["c25_dgr_scan"](spark, small).collect():
+        found.setdefault(r.id, []).append(r)
+    assert set(found) == set(sequences)
+    for name, seq in sequences.items():
+        template, variable = seq[128:254], seq[414:540]
+        assert {template[i] for i in range(126) if template[i] != variable[i]} == {"A"}
+        planted = [r for r in found[name] if r.strand == "+" and r.variable_begin - r.template_begin == 286 and r.length >= 100 and r.at_a >= 11]
+        assert planted, name
+        for r in planted:
+            a, b = seq[r.template_begin - 1 : r.template_end - 1], seq[r.variable_begin - 1 : r.variable_end - 1]
+            wrong = [x for x, y in zip(a, b, strict=True) if x != y]
+            assert (r.mismatches, r.at_a, r.at_t) == (len(wrong), wrong.count("A"), wrong.count("T")) and r.at_a >= max(7, 0.7 * r.mismatches)
