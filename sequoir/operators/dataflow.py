@@ -34,7 +34,7 @@ def combine(left: DataFrame, right: DataFrame, by: Sequence[str] | None = None)
     if not rows:
         return left.join(right, F.lit(False))
     listed = F.array(*(F.struct(*(F.lit(r[c]).cast(t).alias(c) for c, t in right.dtypes)) for r in rows))
-    return left.withColumn("_other", F.explode(listed)).select(*left.columns, *(F.col(f"_other.{c}").alias(c) for c in right.columns))
+    return left.withColumn("_sequoir_other", F.explode(listed)).select(*left.columns, *(F.col(f"_sequoir_other.{c}").alias(c) for c in right.columns))
 
 
 def combine_all(items: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:
@@ -44,15 +44,15 @@ def combine_all(items: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:
 
 def group_tuple(df: DataFrame, keys: Sequence[str], values: Sequence[str], more_than: int = 0) -> DataFrame:
     """Values of each key as sorted lists, of groups of more than so many."""
-    grouped = df.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.sort_array(F.collect_list(v)).alias(v) for v in values))
-    return grouped.where(F.col("_n") > more_than).drop("_n")
+    grouped = df.groupBy(*keys).agg(F.count("*").alias("_sequoir_n"), *(F.sort_array(F.collect_list(v)).alias(v) for v in values))
+    return grouped.where(F.col("_sequoir_n") > more_than).drop("_sequoir_n")
 
 
 def collate(df: DataFrame, order: Sequence[str], size: int, value: str, name: str = "items") -> DataFrame:
     """Batches of `size` items in order: batch, items."""
     dealt = batches(df, order, size)
-    pairs = F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("_value"))))
-    return dealt.groupBy("batch").agg(F.transform(pairs, lambda x: x["_value"]).alias(name))
+    pairs = F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("_sequoir_value"))))
+    return dealt.groupBy("batch").agg(F.transform(pairs, lambda x: x["_sequoir_value"]).alias(name))
 
 
 def fork(df: DataFrame, outputs: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
@@ -67,7 +67,7 @@ def demux(df: DataFrame, column: str, labels: Sequence[str]) -> dict[str, DataFr
 
 def non_empty(items: DataFrame, records: DataFrame, key: str, least: int = 1) -> DataFrame:
     """Items whose file has `least` records or more."""
-    return items.join(records.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") >= least), key, "left_semi")
+    return items.join(records.groupBy(key).agg(F.count("*").alias("_sequoir_n")).where(F.col("_sequoir_n") >= least), key, "left_semi")
 
 
 def invalid_groups(df: DataFrame, key: str, same: Sequence[str], distinct: Sequence[str]) -> DataFrame:

@@ -31,13 +31,13 @@ def numbered(df: DataFrame, order: Sequence[str], name: str, start: int = 1) ->
     of the ranges before it are added. Only those sizes meet in one place, so
     no task sees all rows. The order must be total for a result that repeats.
     """
-    ranged = df.repartitionByRange(*(F.col(c) for c in order)).withColumn("_part", F.spark_partition_id())
+    ranged = df.repartitionByRange(*(F.col(c) for c in order)).withColumn("_sequoir_part", F.spark_partition_id())
     ranged = _settled(ranged)
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("_part", before.alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return ranged.withColumn("_row", within).join(F.broadcast(starts), "_part").withColumn(name, (F.col("_row") + F.col("_before") + (start - 1)).cast("long")).drop("_part", "_row", "_before")
+    sizes = ranged.groupBy("_sequoir_part").agg(F.count("*").alias("_sequoir_n"))
+    before = F.coalesce(F.sum("_sequoir_n").over(Window.orderBy("_sequoir_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_sequoir_part", before.alias("_sequoir_before"))
+    within = F.row_number().over(Window.partitionBy("_sequoir_part").orderBy(*order))
+    return ranged.withColumn("_sequoir_row", within).join(F.broadcast(starts), "_sequoir_part").withColumn(name, (F.col("_sequoir_row") + F.col("_sequoir_before") + (start - 1)).cast("long")).drop("_sequoir_part", "_sequoir_row", "_sequoir_before")
 
 
 def _settled(df: DataFrame) -> DataFrame:
@@ -49,4 +49,4 @@ def _settled(df: DataFrame) -> DataFrame:
 
 def batches(df: DataFrame, order: Sequence[str], size: int, name: str = "batch") -> DataFrame:
     """Rows numbered and put into batches of `size`, from 0."""
-    return numbered(df, order, "_ordinal").withColumn(name, F.floor((F.col("_ordinal") - 1) / size).cast("long")).drop("_ordinal")
+    return numbered(df, order, "_sequoir_ordinal").withColumn(name, F.floor((F.col("_sequoir_ordinal") - 1) / size).cast("long")).drop("_sequoir_ordinal")
