@@ -75,6 +75,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.alignment import align_corpus
+
+    return align_corpus(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.quantise import quantise
+
+    return quantise(table(spark, sf_dir, "embeddings"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequoir.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid": op1_langid,
@@ -87,11 +105,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_urls": op8_urls,
         "op9_quality": op9_quality,
         "op10_simhash": op10_simhash,
+        "op11_alignment": op11_alignment,
+        "op12_codes": op12_codes,
+        "op13_secrets": op13_secrets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    from sequoir.llm.quantise import quantise_sql
+    from sequoir.llm.secrets import scan_sql
     from sequoir.llm.urls import rules_sql
     from sequoir.llm.warc import round_trip_sql
 
-    return {"op3_warc": round_trip_sql(), "op8_urls": rules_sql()}
+    return {"op3_warc": round_trip_sql(), "op8_urls": rules_sql(), "op12_codes": quantise_sql(), "op13_secrets": scan_sql()}
