@@ -16,7 +16,6 @@ import hashlib
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate
@@ -24,6 +23,7 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +34,13 @@ from sequoir.llm.common import forget, map_arrow, materialise
 #: Characters that a cut may precede, if the second vocabulary allows it.
 CUTS = " \n\t"
 #: Bytes of text after which a chunk ends; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 16 << 20
 #: Characters from which a text's segments are read one by one.
 LONG = 1 << 20
 #: Segments that are tokenised at once.
 AT_ONCE = 2_000
+#: So many pairs of linked ids at most are sent to all workers, 20 bytes each; more are joined to the segments by a shuffle.
+PAIRS_SENT = 2_000_000
 #: What stands before a segment while the second model reads it; its tokens are taken off again.
 BEFORE = "a"
 
@@ -136,7 +138,6 @@ def chunked(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         size, chunk = 0, first
 
         def flush() -> Iterator[pa.RecordBatch]:
-            kind = np.dtype("<u2" if len(local) <= 1 << 16 else "<u4")
             n = np.zeros(len(local), np.int64)
             for s in seqs:
                 if s is not None:
@@ -144,7 +145,7 @@ def chunked(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             none = lambda k, t: pa.nulls(k, t)
             d, k = len(ids), len(local)
             yield pa.record_batch(
-                [pa.array(np.full(d, chunk)), pa.array(ids, pa.int64()), pa.array([b"" if s is None else s.astype(kind).tobytes() for s in seqs], pa.binary()), pa.array([s is not None for s in seqs], pa.bool_()), none(d, pa.int32()), none(d, pa.string()), pa.array(np.full(d, kind.itemsize))],
+                [pa.array(np.full(d, chunk)), pa.array(ids, pa.int64()), pa.array([None if s is None else packed(s) for s in seqs], pa.binary()), pa.array([s is not None for s in seqs], pa.bool_()), none(d, pa.int32()), none(d, pa.string()), none(d, pa.int64())],
                 schema=schema,
             )
             yield pa.record_batch([pa.array(np.full(k, chunk)), none(k, pa.int64()), none(k, pa.binary()), none(k, pa.bool_()), pa.array(np.arange(k, dtype=np.int32)), pa.array(list(local), pa.string()), pa.array(n)], schema=schema)
@@ -189,21 +190,62 @@ def aligned(segments: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 
 def linked(segments: DataFrame) -> DataFrame:
-    """sid, a, b, times of the pairs of ids that a segment links."""
+    """a, b, count of all pairs of ids that segments (links_a, links_b, n) link, as often as they occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int, int, int]] = []
-            for sid, xs, ys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out += [(sid, a, b, k) for (a, b), k in Counter(zip(xs, ys, strict=True)).items()]
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int32(), pa.int64()], strict=True)], names=["sid", "a", "b", "times"])
+            times = np.repeat(batch.column(2).to_numpy(), batch.column(0).value_lengths().to_numpy())
+            key, at = np.unique(_key(batch.column(0), batch.column(1)), return_inverse=True)
+            count = np.zeros(len(key), np.int64)
+            np.add.at(count, at, times)
+            yield pa.record_batch([pa.array((key >> 32).astype(np.int32)), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(count)], names=["a", "b", "count"])
 
-    return map_arrow(segments.select("sid", "links_a", "links_b"), run, "sid long, a int, b int, times long")
+    parts = map_arrow(segments.select("links_a", "links_b", "n"), run, "a int, b int, count long")
+    return parts.groupBy("a", "b").agg(F.sum("count").alias("count"))
 
 
-def sequences(docs: pd.DataFrame) -> list[np.ndarray]:
-    return [np.frombuffer(s, f"<u{n}") for s, n in zip(docs["seq"], docs["n"], strict=True)]
+def _key(a: pa.ListArray, b: pa.ListArray) -> np.ndarray:
+    return a.flatten().to_numpy().astype(np.int64) << 32 | b.flatten().to_numpy()
+
+
+RATED = "segment string, ok boolean, n_a int, n_b int, n_groups int, groups string, n_best long, count_sum long"
+
+
+def rated(segments: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Segments with n_best and count_sum, by the counts of pairs (a, b, count)."""
+    best = pairs.groupBy("b").agg(F.max("count").alias("best"))
+    marked = pairs.join(best, "b").select("a", "b", "count", (F.col("count") == F.col("best")).alias("is_best"))
+    if pairs.count() > PAIRS_SENT:
+        each = segments.select("sid", F.explode(F.arrays_zip("links_a", "links_b")).alias("x")).select("sid", F.col("x.links_a").alias("a"), F.col("x.links_b").alias("b"))
+        each = each.groupBy("sid", "a", "b").agg(F.count("*").alias("times")).join(marked, ["a", "b"])
+        sums = each.groupBy("sid").agg(F.sum(F.col("times") * F.col("is_best").cast("long")).alias("n_best"), F.sum(F.col("times") * F.col("count")).alias("count_sum"))
+        zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_best", "count_sum")]
+        return segments.join(sums, "sid", "left").select("segment", "ok", "n_a", "n_b", "n_groups", "groups", *zero)
+    table = marked.toArrow()
+    keys = table["a"].to_numpy().astype(np.int64) << 32 | table["b"].to_numpy()
+    order = np.argsort(keys)
+    sent = segments.sparkSession.sparkContext.broadcast((keys[order], table["count"].to_numpy()[order], table["is_best"].to_numpy(zero_copy_only=False)[order]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, is_best = sent.value
+        for batch in batches:
+            a, b = batch.column(6), batch.column(7)
+            at = np.searchsorted(keys, _key(a, b))
+            ends = np.cumsum(a.value_lengths().to_numpy())
+            starts = np.concatenate([[0], ends[:-1]]).astype(int)
+            sums = [np.concatenate([[0], np.cumsum(x[at] if len(at) else [])]).astype(np.int64) for x in (is_best, counts)]
+            yield pa.record_batch([*batch.columns[:6], *(pa.array(x[ends] - x[starts]) for x in sums)], names=[c.split()[0] for c in RATED.split(", ")])
+
+    return map_arrow(segments.select("segment", "ok", "n_a", "n_b", "n_groups", "groups", "links_a", "links_b"), run, RATED)
+
+
+def packed(seq: np.ndarray) -> bytes:
+    """Numbers by planes of their bytes, as high bytes are mostly alike, compressed."""
+    return zstandard.compress(seq.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def sequences(column: pd.Series) -> list[np.ndarray | None]:
+    return [None if s is None else np.ascontiguousarray(np.frombuffer(zstandard.decompress(s), np.uint8).reshape(4, -1).T).view("<u4").ravel() for s in column]
 
 
 def lost(docs: DataFrame, bad: DataFrame) -> DataFrame:
@@ -211,7 +253,7 @@ def lost(docs: DataFrame, bad: DataFrame) -> DataFrame:
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         without = right["local"].to_numpy()
-        hit = [s for s in sequences(left) if np.isin(s, without).any()]
+        hit = [s for s in sequences(left["seq"]) if s is not None and np.isin(s, without).any()]
         local, n = np.unique(np.concatenate(hit), return_counts=True) if hit else ([], [])
         return pd.DataFrame({"chunk": np.full(len(local), right["chunk"].iloc[0] if len(right) else 0), "local": local, "lost": n}).astype({"chunk": "int64", "local": "int32", "lost": "int64"})
 
@@ -228,8 +270,8 @@ def compose(docs: DataFrame, parts: DataFrame, with_groups: bool = False) -> Dat
         numbers = right[["n_a", "n_b", "n_groups", "n_best", "count_sum"]].to_numpy(np.int64)
         groups = right["groups"].to_numpy(object)
         rows = []
-        for doc_id, has, seq in zip(left["doc_id"], left["has_tokens"], sequences(left), strict=True):
-            if not has or not ok[seq].all():
+        for doc_id, seq in zip(left["doc_id"], sequences(left["seq"]), strict=True):
+            if seq is None or not ok[seq].all():
                 rows.append((doc_id, 0, 0, 0, 0, 0, 0, "") + (None,) * with_groups)
                 continue
             a, b, g, best, total = (int(x) for x in numbers[seq].sum(axis=0))
@@ -257,29 +299,22 @@ def align_corpus(docs: DataFrame, path_a: str, path_b: str, with_groups: bool =
     distinct segments.
     """
     chunks = materialise(chunked(docs, path_a, path_b), "chunks")
-    texts = chunks.where("seq is not null").select("chunk", "doc_id", "seq", "has_tokens", "n")
+    texts = chunks.where("has_tokens is not null").select("chunk", "doc_id", "seq")
     names = chunks.where("segment is not null").select(*(F.col(c).alias(c) for c in ("chunk", "local", "segment", "n")))
     distinct = names.groupBy("segment").agg(F.sum("n").alias("n"))
     known = materialise(aligned(distinct, path_a, path_b).withColumn("sid", F.monotonically_increasing_id()), "segments")
 
-    counts = known.where("ok").select("sid", "n")
+    counted, less = known.where("ok"), None
     bad = known.where("not ok").select("segment")
-    less = None
     if bad.take(1):
         without = names.join(bad, "segment", "left_semi").select("chunk", "local")
         less = materialise(lost(texts, without).join(names, ["chunk", "local"]).groupBy("segment").agg(F.sum("lost").alias("lost")), "lost")
-        counts = known.where("ok").join(less, "segment", "left").select("sid", (F.col("n") - F.coalesce("lost", F.lit(0))).alias("n"))
+        counted = counted.join(less, "segment", "left").withColumn("n", F.col("n") - F.coalesce("lost", F.lit(0)))
 
-    links = materialise(linked(known.where("ok")), "links")
-    pairs = materialise(links.join(counts, "sid").groupBy("a", "b").agg(F.sum(F.col("times") * F.col("n")).alias("count")), "pairs")
-    best = pairs.groupBy("b").agg(F.max("count").alias("best"))
-    rated = pairs.join(best, "b").select("a", "b", "count", (F.col("count") == F.col("best")).cast("long").alias("is_best"))
-    sums = links.join(rated, ["a", "b"]).groupBy("sid").agg(F.sum(F.col("times") * F.col("is_best")).alias("n_best"), F.sum(F.col("times") * F.col("count")).alias("count_sum"))
-    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_best", "count_sum")]
-    whole = known.join(sums, "sid", "left").select("segment", "ok", "n_a", "n_b", "n_groups", "groups", *zero)
-    parts = names.join(whole, "segment").drop("segment", "n")
+    pairs = materialise(linked(counted), "pairs")
+    parts = names.join(rated(known, pairs), "segment").drop("segment", "n")
     out = materialise(compose(texts, parts, with_groups), "alignments")
-    for df in (chunks, known, links, pairs, *([less] if less is not None else [])):
+    for df in (chunks, known, pairs, *([less] if less is not None else [])):
         forget(df)
     return out
 

@@ -100,9 +100,10 @@ def test_links_against_all_pairs(pair):
         assert (alignment.written(groups), sorted(links)) == (";".join(want[0]), sorted(want[1]))
 
 
-@pytest.mark.parametrize("size", [1, 5_000, 2 << 20])
-def test_every_row(spark, pair, monkeypatch, size):
+@pytest.mark.parametrize(("size", "sent"), [(1, 0), (5_000, 1 << 20), (2 << 20, 0), (2 << 20, 1 << 20)])
+def test_every_row(spark, pair, monkeypatch, size, sent):
     monkeypatch.setattr(alignment, "CHUNK_BYTES", size)
+    monkeypatch.setattr(alignment, "PAIRS_SENT", sent)
     monkeypatch.setattr(alignment, "LONG", 10_000)
     data = [r[:1] + ((r[1] or "")[:30_000] if r[1] else r[1],) + r[2:] for r in rows()]
     data += [(1000 + k, t, None, "s", None, None, 7, "r", "c") for k, t in enumerate(ODD + made(60, 3) + [prose(200, 1)] * 5)]
