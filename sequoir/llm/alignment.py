@@ -34,7 +34,7 @@ from sequoir.llm.common import forget, map_arrow, materialise
 #: Characters that a cut may precede, if the second vocabulary allows it.
 CUTS = " \n\t"
 #: Bytes of text after which a chunk ends; a longer text is a chunk of its own.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 32 << 20
 #: Characters from which a text's segments are read one by one.
 LONG = 1 << 20
 #: Segments that are tokenised at once.
@@ -70,6 +70,9 @@ class Pair:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.cuts = cuts([p.replace("▁", " ") for i, p in enumerate(pieces) if not self.b.is_byte(i)])
         self.before = len(self.b.encode(BEFORE))
+        #: Numbers that a group list is written in: `|` and `;`, then the ids.
+        self.kind = np.dtype("<u2" if max(self.a.get_vocab_size(), len(pieces)) + 2 <= 1 << 16 else "<u4")
+        self.names = ["|", ";", *map(str, range(max(max(self.bytes_a) + 1, len(pieces))))]
         #: White space, then no white space, and on over white space that no cut may precede.
         no_cut = rf"[^\S{re.escape(self.cuts)}]" if self.cuts else r"\s"
         self.segment = re.compile(rf"\s*\S*(?:{no_cut}\s*\S*)*")
@@ -105,23 +108,31 @@ class Pair:
                 start, other = i, j
         return groups, links
 
+    def coded(self, groups: list[tuple[list[int], list[int]]]) -> bytes:
+        """Groups as numbers."""
+        out: list[int] = []
+        for x, y in groups:
+            out += [*(i + 2 for i in x), 0, *(i + 2 for i in y), 1]
+        return np.array(out[:-1], self.kind).tobytes()
+
+    def written(self, coded: bytes) -> str:
+        """Groups as text: `a1,a2|b1;a3|b2,b3`."""
+        text = ",".join(map(self.names.__getitem__, np.frombuffer(coded, self.kind).tolist()))
+        return text.replace(",|,", "|").replace(",;,", ";")
+
 
 def cuts(pieces: list[str]) -> str:
     """Those of CUTS that no piece has after a character that isn't white space."""
     return "".join(c for c in CUTS if not any(re.search(rf"\S{c}", p) for p in pieces if c in p))
 
 
-def written(groups: list[tuple[list[int], list[int]]]) -> str:
-    return ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-
-
 @cache
 def pair_of(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)
 
 
 CHUNKS = "chunk long, doc_id long, seq binary, has_tokens boolean, local int, segment string, n long"
-ALIGNED = "segment string, n long, ok boolean, n_a int, n_b int, n_groups int, groups string, links_a array<int>, links_b array<int>"
+ALIGNED = "segment string, n long, ok boolean, groups binary, links_a array<int>, links_b array<int>"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -180,10 +191,10 @@ def aligned(segments: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 rows = []
                 for _, x, y in pair.tokens(batch.column(0).to_pylist()):
                     groups, links = pair.align(x, y)
-                    rows.append((bool(x), len(x), len(y), len(groups), written(groups), [a for a, _ in links], [b for _, b in links]))
-                kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+                    rows.append((bool(x), pair.coded(groups), [a for a, _ in links], [b for _, b in links]))
+                kinds = [pa.bool_(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-                names = ["segment", "n", "ok", "n_a", "n_b", "n_groups", "groups", "links_a", "links_b"]
+                names = ["segment", "n", "ok", "groups", "links_a", "links_b"]
                 yield pa.record_batch([batch.column(0), batch.column(1), *columns], names=names)
 
     return map_arrow(segments, run, ALIGNED)
@@ -208,19 +219,24 @@ def _key(a: pa.ListArray, b: pa.ListArray) -> np.ndarray:
     return a.flatten().to_numpy().astype(np.int64) << 32 | b.flatten().to_numpy()
 
 
-RATED = "segment string, ok boolean, n_a int, n_b int, n_groups int, groups string, n_best long, count_sum long"
+RATED = "segment string, part binary"
 
 
 def rated(segments: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Segments with n_best and count_sum, by the counts of pairs (a, b, count)."""
+    """segment, part: what a document needs of each segment, its n_best, count_sum and groups, by the counts of pairs (a, b, count)."""
     best = pairs.groupBy("b").agg(F.max("count").alias("best"))
     marked = pairs.join(best, "b").select("a", "b", "count", (F.col("count") == F.col("best")).alias("is_best"))
     if pairs.count() > PAIRS_SENT:
         each = segments.select("sid", F.explode(F.arrays_zip("links_a", "links_b")).alias("x")).select("sid", F.col("x.links_a").alias("a"), F.col("x.links_b").alias("b"))
         each = each.groupBy("sid", "a", "b").agg(F.count("*").alias("times")).join(marked, ["a", "b"])
         sums = each.groupBy("sid").agg(F.sum(F.col("times") * F.col("is_best").cast("long")).alias("n_best"), F.sum(F.col("times") * F.col("count")).alias("count_sum"))
-        zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_best", "count_sum")]
-        return segments.join(sums, "sid", "left").select("segment", "ok", "n_a", "n_b", "n_groups", "groups", *zero)
+        found = segments.join(sums, "sid", "left").select("segment", "groups", F.coalesce("n_best", F.lit(0)), F.coalesce("count_sum", F.lit(0)))
+
+        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.record_batch([batch.column(0), _parts(*batch.columns[1:])], names=["segment", "part"])
+
+        return map_arrow(found, join, RATED)
     table = marked.toArrow()
     keys = table["a"].to_numpy().astype(np.int64) << 32 | table["b"].to_numpy()
     order = np.argsort(keys)
@@ -229,14 +245,28 @@ def rated(segments: DataFrame, pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, is_best = sent.value
         for batch in batches:
-            a, b = batch.column(6), batch.column(7)
+            a, b = batch.column(2), batch.column(3)
             at = np.searchsorted(keys, _key(a, b))
             ends = np.cumsum(a.value_lengths().to_numpy())
             starts = np.concatenate([[0], ends[:-1]]).astype(int)
             sums = [np.concatenate([[0], np.cumsum(x[at] if len(at) else [])]).astype(np.int64) for x in (is_best, counts)]
-            yield pa.record_batch([*batch.columns[:6], *(pa.array(x[ends] - x[starts]) for x in sums)], names=[c.split()[0] for c in RATED.split(", ")])
+            yield pa.record_batch([batch.column(0), _parts(batch.column(1), *(pa.array(x[ends] - x[starts]) for x in sums))], names=["segment", "part"])
+
+    return map_arrow(segments.select("segment", "groups", "links_a", "links_b"), run, RATED)
+
+
+def _parts(groups: pa.Array, n_best: pa.Array, count_sum: pa.Array) -> pa.Array:
+    """Two numbers, each after a byte with its length, and the groups; nothing for a segment without tokens."""
+    number = lambda x: (n := (x.bit_length() + 7) // 8).to_bytes(1, "little") + x.to_bytes(n, "little")
+    rows = zip(groups.to_pylist(), n_best.to_pylist(), count_sum.to_pylist(), strict=True)
+    return pa.array([number(b) + number(c) + g if g else b"" for g, b, c in rows], pa.binary())
 
-    return map_arrow(segments.select("segment", "ok", "n_a", "n_b", "n_groups", "groups", "links_a", "links_b"), run, RATED)
+
+def _opened(part: bytes) -> tuple[int, int, bytes]:
+    """n_best, count_sum and groups of a part."""
+    at = 1 + part[0]
+    end = at + 1 + part[at]
+    return int.from_bytes(part[1:at], "little"), int.from_bytes(part[at + 1 : end], "little"), part[end:]
 
 
 def packed(seq: np.ndarray) -> bytes:
@@ -261,14 +291,21 @@ def lost(docs: DataFrame, bad: DataFrame) -> DataFrame:
     return touched.groupBy("chunk").cogroup(bad.groupBy("chunk")).applyInPandas(run, "chunk long, local int, lost long")
 
 
-def compose(docs: DataFrame, parts: DataFrame, with_groups: bool = False) -> DataFrame:
-    """Documents of each chunk put together from the alignments of its segments; with_groups adds the groups as text."""
+def compose(docs: DataFrame, parts: DataFrame, path_a: str, path_b: str, with_groups: bool = False) -> DataFrame:
+    """Documents of each chunk put together from the parts (chunk, local, part) of its segments; with_groups adds the groups as text."""
+    schema = RESULT + ", groups string" * with_groups
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right = right.sort_values("local")
-        ok = right["ok"].to_numpy(bool)
-        numbers = right[["n_a", "n_b", "n_groups", "n_best", "count_sum"]].to_numpy(np.int64)
-        groups = right["groups"].to_numpy(object)
+        pair = pair_of(path_a, path_b)
+        numbers = np.zeros((len(right), 5), np.int64)  # n_a, n_b, n_groups, n_best, count_sum
+        groups, ok = np.empty(len(right), object), np.zeros(len(right), bool)
+        for k, part in zip(right["local"], right["part"], strict=True):
+            if part:
+                best, total, coded = _opened(part)
+                text = groups[k] = pair.written(coded)
+                n, both = text.count("|"), text.count(",")
+                a = text.count(",", 0, text.index("|")) if n == 1 else sum(g.partition("|")[0].count(",") for g in text.split(";"))
+                numbers[k], ok[k] = (a + n, both - a + n, n, best, total), True
         rows = []
         for doc_id, seq in zip(left["doc_id"], sequences(left["seq"]), strict=True):
             if seq is None or not ok[seq].all():
@@ -279,7 +316,6 @@ def compose(docs: DataFrame, parts: DataFrame, with_groups: bool = False) -> Dat
             rows.append((doc_id, a, b, g, a + b - g, best, total, hashlib.sha256(text.encode()).hexdigest()) + (text,) * with_groups)
         return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")]).astype({"doc_id": "Int64"})
 
-    schema = RESULT + ", groups string" * with_groups
     return docs.groupBy("chunk").cogroup(parts.groupBy("chunk")).applyInPandas(run, schema)
 
 
@@ -313,16 +349,24 @@ def align_corpus(docs: DataFrame, path_a: str, path_b: str, with_groups: bool =
 
     pairs = materialise(linked(counted), "pairs")
     parts = names.join(rated(known, pairs), "segment").drop("segment", "n")
-    out = materialise(compose(texts, parts, with_groups), "alignments")
+    out = materialise(compose(texts, parts, path_a, path_b, with_groups), "alignments")
     for df in (chunks, known, pairs, *([less] if less is not None else [])):
         forget(df)
     return out
 
 
 def segment_alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """segment, n, ok, n_a, n_b, n_groups, groups, links_a, links_b of the distinct segments of docs' texts, n being how often each occurs."""
+    """segment, n, ok, groups (as text), links_a, links_b of the distinct segments of docs' texts, n being how often each occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = pair_of(path_a, path_b)
+        for batch in batches:
+            text = pa.array([pair.written(x) for x in batch.column("groups").to_pylist()], pa.string())
+            yield batch.set_column(batch.schema.get_field_index("groups"), "groups", text)
+
     names = chunked(docs, path_a, path_b).where("segment is not null")
-    return aligned(names.groupBy("segment").agg(F.sum("n").alias("n")), path_a, path_b)
+    known = aligned(names.groupBy("segment").agg(F.sum("n").alias("n")), path_a, path_b)
+    return map_arrow(known, run, ALIGNED.replace("groups binary", "groups string"))
 
 
 __all__ = ["Pair", "align_corpus", "aligned", "chunked", "compose", "cuts", "pair_of", "segment_alignments"]
