@@ -117,15 +117,6 @@ def fasta_record(name: Column | str, seq: Column | str, width: int | None = None
     return F.concat(F.lit(">"), col(name), F.lit("\n"), wrapped(seq, width) if width else col(seq))
 
 
-def terminal_repeat(seq: Column | str, least: int = 20, most: int = 2000) -> Column:
-    """Length of the longest direct terminal repeat: a beginning that is also the end and covers half at most; 0 if none."""
-    s = col(seq)
-    longest = F.least(F.lit(most), F.floor(F.length(s) / 2).cast("int"))
-    sizes = F.when(longest >= least, F.sequence(longest, F.lit(least), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    hits = F.filter(sizes, lambda k: F.left(s, k) == F.right(s, k))
-    return F.coalesce(F.get(hits, 0), F.lit(0))
-
-
 def circular_overlap(seq: Column | str, least: int = 51, most: int = 200, min_length: int = 500) -> Column:
     """The greatest k from most down to least for which the first and last k letters are equal; null if none or too short."""
     s = col(seq)
@@ -139,21 +130,6 @@ def circular_extended(seq: Column | str, overlap: Column | str, most: int = 5000
     return F.when(k.isNull(), s).otherwise(F.concat(s, F.substring(s, k + 1, F.lit(most) - k)))
 
 
-def canonical_circular_hash(seq: Column | str, k: int = 31) -> Column:
-    """One hash for all rotations and both strands of a circular sequence.
-
-    MD5 of the sorted distinct hashes of its circular k-mers, each k-mer taken
-    with its reverse complement, the smaller of the two.
-    """
-    s = F.upper(col(seq))
-    n = F.least(F.lit(k), F.length(s))
-    around = F.concat(s, F.substring(s, F.lit(1), n - 1))
-    bytes_ = around.cast("binary")  # letters of one byte: parts are cut without walking to their place
-    mers = F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.substring(bytes_, i, n).cast("string"))
-    both = F.transform(mers, lambda m: F.least(m, reverse_complement(m)))
-    return F.when(F.length(s) > 0, F.md5(F.array_join(F.array_sort(both), ",")))
-
-
 def strand(sam_flag: Column | str) -> Column:
     """+ for flag 0 and - for flag 16; any other is an error."""
     f = col(sam_flag)

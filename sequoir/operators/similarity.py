@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sequoir.functions.exprs import genome_of_numbered
+from sequoir.operators.store import settled
 
 
 def self_score(hits: DataFrame) -> DataFrame:
@@ -64,18 +65,63 @@ def word_grams(words: Column, n: int) -> Column:
     return F.when(count > 0, runs).otherwise(F.array().cast("array<string>"))
 
 
+def hashed_sets(df: DataFrame, name: str, grams: Column | str, own: str, fraction: int = 1) -> DataFrame:
+    """own (the id) and grams: the distinct 64-bit hashes of a row's grams, written once; fraction f keeps those divisible by f."""
+    hashed = F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
+    chosen = hashed if fraction == 1 else F.filter(hashed, lambda h: F.pmod(h, F.lit(fraction)) == 0)
+    return settled(df.select(F.col(name).alias(own), chosen.alias("grams")), own)
+
+
+def _each(sets: DataFrame, own: str) -> DataFrame:
+    return sets.select(own, F.size("grams").alias(f"n_{own}"), F.explode("grams").alias("gram"))
+
+
+def _rarest(sets: DataFrame, own: str, pairs: DataFrame, least_shared: int, least: float) -> DataFrame:
+    """The grams by which a set finds sets that are no smaller.
+
+    pairs: gram, pairs of those that both sides have. A pair must share t
+    grams, so it shares one of the smaller set's without its t - 1 most
+    frequent ones. What the other side lacks is rarer than all, so places are
+    counted among what it has.
+    """
+    rows = _each(sets, own).join(pairs, "gram")
+    needed = F.greatest(F.lit(least_shared), F.ceil(F.col(f"n_{own}") * least - 1e-9), F.lit(1))
+    place = F.row_number().over(Window.partitionBy(own).orderBy("pairs", "gram"))
+    last = F.count("*").over(Window.partitionBy(own)) - needed + 1
+    return rows.withColumn("place", place).withColumn("last", last).where("place <= last").select(own, f"n_{own}", "gram")
+
+
+def _counted(proposed: DataFrame, a: DataFrame, b: DataFrame, least_shared: int, least: float) -> DataFrame:
+    """Pairs (q, t) with the shared grams of their sets and their share of the smaller one, where enough."""
+    both = proposed.distinct().join(a.withColumnRenamed("grams", "grams_q"), "q").join(b.withColumnRenamed("grams", "grams_t"), "t")
+    counted = both.select("q", "t", F.size(F.array_intersect("grams_q", "grams_t")).cast("long").alias("shared"), F.least(F.size("grams_q"), F.size("grams_t")).alias("n"))
+    found = counted.where(F.col("shared") >= least_shared).withColumn("containment", F.col("shared") / F.col("n")).where(F.col("containment") >= least)
+    return found.select("q", "t", "shared", "containment")
+
+
 def containment(queries: DataFrame, targets: DataFrame, query: str, target: str, grams: str, least_shared: int = 1, least: float = 0.2, fraction: int = 1) -> DataFrame:
     """Pairs of queries and targets by distinct shared grams: shared count and its share of the smaller set.
 
-    queries and targets have an id and a list of grams. Grams meet as 64-bit
-    hashes (two that share one would count as shared: once in some billions of
-    pairs of a million grams) by a join, which Spark splits where one is
-    frequent; pairs are then counted, combining before the shuffle. fraction f
-    keeps the grams whose hash is divisible by f, alike on both sides.
+    queries and targets have an id and a list of grams. Grams are 64-bit hashes
+    (two that share one would count as shared: once in some billions of pairs
+    of a million grams). Pairs are proposed by the smaller set's rarest grams
+    alone and then counted exactly: a gram that nearly all rows have makes no
+    pairs. fraction f keeps the grams whose hash is divisible by f, alike on both sides.
     """
-    hashed = F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
-    chosen = hashed if fraction == 1 else F.filter(hashed, lambda h: F.pmod(h, F.lit(fraction)) == 0)
-    kept = lambda df, name, n: df.select(name, chosen.alias("g")).select(name, F.size("g").alias(n), F.explode("g").alias("gram"))
-    a, b = kept(queries, query, "n_query"), kept(targets, target, "n_target")
-    shared = a.join(b, "gram").groupBy(query, target).agg(F.count("*").alias("shared"), F.least(F.max("n_query"), F.max("n_target")).alias("n")).where(F.col("shared") >= least_shared)
-    return shared.withColumn("containment", F.col("shared") / F.col("n")).where(F.col("containment") >= least).select(query, target, "shared", "containment")
+    a, b = hashed_sets(queries, query, grams, "q", fraction), hashed_sets(targets, target, grams, "t", fraction)
+    held = lambda df, own, name: _each(df, own).groupBy("gram").agg(F.count("*").alias(name))
+    common = held(a, "q", "in_q").join(held(b, "t", "in_t"), "gram").select("gram", (F.col("in_q") * F.col("in_t")).alias("pairs"))
+    small_query = _rarest(a, "q", common, least_shared, least).join(_each(b, "t"), "gram").where("n_q <= n_t")
+    small_target = _rarest(b, "t", common, least_shared, least).join(_each(a, "q"), "gram").where("n_t < n_q")
+    found = _counted(small_query.select("q", "t").unionByName(small_target.select("q", "t")), a, b, least_shared, least)
+    return found.select(F.col("q").alias(query), F.col("t").alias(target), "shared", "containment")
+
+
+def similar_pairs(rows: DataFrame, name: str, grams: Column | str, least_shared: int = 1, least: float = 0.2, fraction: int = 1) -> DataFrame:
+    """src < dst, shared, containment of the pairs within rows (an id, a list of grams), as containment() has them; each pair once and no row with itself."""
+    a = hashed_sets(rows, name, grams, "q", fraction)
+    b = a.select(F.col("q").alias("t"), F.col("grams").alias("grams"))
+    common = _each(a, "q").groupBy("gram").agg(F.count("*").alias("pairs")).where("pairs > 1")
+    met = _rarest(a, "q", common, least_shared, least).join(_each(b, "t"), "gram").where("n_q < n_t or n_q = n_t and q < t")
+    found = _counted(met.select(F.least("q", "t").alias("q"), F.greatest("q", "t").alias("t")), a, b, least_shared, least)
+    return found.select(F.col("q").alias("src"), F.col("t").alias("dst"), "shared", "containment")

@@ -38,11 +38,11 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def settled(df: DataFrame, name: str = "settled") -> DataFrame:
+def settled(df: DataFrame, name: str = "settled", compression: str | None = None) -> DataFrame:
     """df written as Parquet into the shared folder and read again: a cut lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,6 +51,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def write_whole(spark: SparkSession, text: str, path: str) -> None:
+    """A small text at a path, put there by one rename, so that nobody reads half of it; FileExistsError if the path is taken."""
+    half = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    whole = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = whole.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(half)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(whole) or not fs.rename(half, whole):
+        fs.delete(half, False)
+        raise FileExistsError(path)
+
+
 def once(df: DataFrame, path: str) -> DataFrame:
     """df materialised at a path unless a whole result is there already: results are remembered by path."""
     spark = df.sparkSession

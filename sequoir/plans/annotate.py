@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sequoir.operators.dataflow import residuals
+from sequoir.operators.store import settled
 from sequoir.sources.tables import renamed
 
 TAG = "Locus Tag"
@@ -46,12 +47,21 @@ def no_hit_proteins(proteins: DataFrame, annotations: DataFrame) -> DataFrame:
     return proteins.join(open_, "id", "left_semi")
 
 
-def no_hit_features(records: DataFrame, proteins: DataFrame) -> DataFrame:
-    """Proteins (id) whose feature in GenBank records has no cross-reference to a database of proteins."""
-    features = records.select(F.explode("features").alias("f")).where("f.kind = 'CDS'")
-    refs = F.coalesce(F.col("f.qualifiers")["db_xref"], F.array().cast("array<string>"))
-    bare = features.where(~F.exists(refs, lambda x: x.rlike("UniParc|UniRef|UserProtein"))).select(F.get(F.col("f.qualifiers")["locus_tag"], F.lit(0)).alias("id"))
-    return proteins.join(bare, "id", "left_semi")
+def no_hit_records(records: DataFrame, hits: DataFrame) -> DataFrame:
+    """GenBank records with the genes and coding sequences that are still open, without records that have none.
+
+    Open are the locus tags of coding sequences that no hit (id) names and that
+    have a cross-reference, in any record; features without a tag are open if
+    such a coding sequence has none either. Features keep their order.
+    """
+    tag = lambda f: F.get(f["qualifiers"]["locus_tag"], F.lit(0))
+    numbered = settled(records.withColumn("_row", F.monotonically_increasing_id()), "records")
+    each = numbered.select("_row", F.posexplode("features").alias("_at", "f")).select("_row", "_at", F.col("f.kind").alias("kind"), tag(F.col("f")).alias("tag"), F.get(F.col("f.qualifiers")["db_xref"], F.lit(0)).alias("xref"))
+    coding = each.where("kind = 'CDS' and xref is not null").select("tag").distinct()
+    open_ = coding.join(hits.select(F.col("id").alias("tag")), "tag", "left_anti").select(F.col("tag").alias("open"))
+    kept = each.where(F.col("kind").isin("gene", "CDS")).join(open_, F.col("tag").eqNullSafe(F.col("open")), "left_semi").groupBy("_row").agg(F.collect_set("_at").alias("_kept"))
+    found = numbered.join(kept, "_row").withColumn("features", F.filter("features", lambda f, i: F.array_contains(F.col("_kept"), i)))
+    return found.select(*records.columns)
 
 
 def cascade(proteins: DataFrame, steps: Sequence[tuple[str, DataFrame]]) -> tuple[DataFrame, DataFrame]:

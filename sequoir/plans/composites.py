@@ -80,6 +80,9 @@ CASE n_nationkey % 4 WHEN 0 THEN 'L: AB1234' || CAST(n_nationkey AS STRING) || '
 
 
 INPUTS |= {
+    "similar_places": """SELECT 'n' || CAST(l_suppkey % 25 AS STRING) AS r_gene, CAST(l_quantity AS DOUBLE) + 50 AS identity, CASE WHEN l_orderkey % 2 = 0 THEN l_partkey % 550 + 1 ELSE l_partkey % 550 + 1 + l_linenumber * 3 END AS tstart,
+CASE WHEN l_orderkey % 2 = 0 THEN l_partkey % 550 + 1 + l_linenumber * 3 ELSE l_partkey % 550 + 1 END AS tend FROM {lineitem} WHERE l_partkey % 11 = 0""",
+    "placed_in": "SELECT 'n' || CAST(n_nationkey AS STRING) AS id, repeat(translate(md5(n_name), '0123456789abcdef', 'ACGTACGTACGTACGT'), 18) AS seq FROM {nation}",
     "detections": """SELECT p_partkey AS id, CAST(p_size AS DOUBLE) * 0.02 AS virus_score, p_size * 400 AS length,
 CASE p_partkey % 5 WHEN 0 THEN 'Viruses;A;B;C;Caudoviricetes' WHEN 1 THEN 'Viruses;Inoviridae' WHEN 2 THEN 'Unclassified' WHEN 3 THEN 'x;Faserviricetes;Inoviridae' ELSE 'Viruses;Anelloviridae' END AS taxonomy FROM {part}""",
     "checked": """SELECT p_partkey AS id, CAST(p_size * 2 AS DOUBLE) AS aai_completeness, CAST(p_partkey % 9 AS DOUBLE) * 0.2 AS kmer_freq, p_size * 300 AS contig_length,
@@ -87,6 +90,11 @@ CASE WHEN p_partkey % 7 = 0 THEN 'NA' WHEN p_partkey % 11 = 0 THEN '0' ELSE CAST
     "ani": """SELECT 's' || CAST(l_suppkey AS STRING) AS query, 's' || CAST(l_partkey % 40 AS STRING) AS reference, 1.0 - CAST(l_discount AS DOUBLE) AS ani, CAST(l_linenumber AS DOUBLE) * 0.15 AS qcov, CAST(l_tax AS DOUBLE) * 12 AS rcov FROM {lineitem}""",
     "marks": "SELECT p_partkey AS id, p_size % 3 AS PLASMID_HALLMARK, p_partkey % 4 AS VIRUS_HALLMARK FROM {part}",
     "repeats": """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN substr(md5(c_name), 1, 22 + CAST(c_custkey % 5 AS INT)) || md5(c_mktsegment || c_name) || substr(md5(c_name), 1, 22 + CAST(c_custkey % 5 AS INT)) ELSE md5(c_name) || md5(c_mktsegment || c_name) END AS seq FROM {customer}""",
+    "long_repeats": """SELECT n_nationkey AS id, CASE n_nationkey % 4 WHEN 0 THEN repeat(md5(n_name), 1 + n_nationkey * 3) || repeat(md5('z' || n_name), 1 + n_nationkey * 3) WHEN 1 THEN repeat('A', 100 * n_nationkey)
+ELSE repeat(md5(n_name), 1 + n_nationkey * 3) || md5('z' || n_name) || repeat(md5(n_name), 1 + n_nationkey * 3) END AS seq FROM {nation}""",
+    "circles": """SELECT id, CASE k WHEN 0 THEN r || a || r || b || r || c WHEN 1 THEN r || b || r || a || r || c WHEN 2 THEN a || r || b || r || c || r ELSE translate(reverse(r || a || r || b || r || c), 'ACGT', 'TGCA') END AS seq FROM (
+SELECT n_nationkey * 4 + k AS id, k, translate(md5(n_name), '0123456789abcdef', 'ACGTACGTACGTACGT') AS r, translate(md5('a' || n_name), '0123456789abcdef', 'ACGTACGTACGTACGT') AS a,
+translate(md5('b' || n_name), '0123456789abcdef', 'ACGTACGTACGTACGT') AS b, translate(md5('c' || n_name), '0123456789abcdef', 'ACGTACGTACGTACGT') AS c FROM {nation} CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(k)) AS x""",
     "called": "SELECT 'c' || CAST(l_orderkey AS STRING) AS contig, l_linenumber AS number, l_partkey AS start FROM {lineitem}",
     "headers": """SELECT 'UniRef90_P' || CAST(p_partkey AS STRING) || CASE p_size % 3 WHEN 0 THEN ' Uncharacterized protein n=' WHEN 1 THEN ' Tail fiber n=' ELSE ' Phage protein n=' END || CAST(p_size AS STRING) || ' Tax=T TaxID=1 RepID=R' || CAST(p_partkey AS STRING) AS description FROM {part}""",
 }
@@ -339,11 +347,11 @@ s AS (SELECT contig, count(*) AS n, coalesce(sum(ln(p_viral)), 0) - coalesce(sum
   FROM own LEFT JOIN classifier c ON own.hmm = c.hmm GROUP BY 1),
 l AS (SELECT *, CASE WHEN viral > 1 THEN 'Virus' WHEN viral > -1 THEN CASE WHEN n > 2 THEN 'Uncertain - viral or bacterial' ELSE 'Uncertain - too short' END WHEN plasmid > 1 THEN 'Plasmid' WHEN plasmid < -1 THEN 'Chromosome' ELSE 'Uncertain - plasmid or chromosomal' END AS label FROM s)
 SELECT id AS contig, length, circular, CASE WHEN (label IS NULL OR label = 'Uncertain - too short') AND (length > 3000 OR circular = '+') THEN 'Uncertain - viral or bacterial' WHEN label IS NULL THEN 'Uncertain - too short' ELSE label END AS prediction,
-  label IS NOT NULL AS scored, hits FROM contigs LEFT JOIN l ON id = contig""")
+  round(CASE WHEN viral > -1 THEN viral ELSE plasmid END, 2) + 0.0 AS score, hits FROM contigs LEFT JOIN l ON id = contig""")
 def c22_verify(t):
     """Naive Bayes over the domains of each contig."""
     found = verify.verify(t("contigs"), _domains(t), t("classifier"), threshold=1.0)
-    return found.select(F.col("Contig name").alias("contig"), F.col("Length").alias("length"), F.col("Circular").alias("circular"), F.col("Prediction").alias("prediction"), (F.col("Score") != "-").alias("scored"), F.col("Pfam hits").alias("hits"))
+    return found.select(F.col("Contig name").alias("contig"), F.col("Length").alias("length"), F.col("Circular").alias("circular"), F.col("Prediction").alias("prediction"), (F.col("Score").try_cast("double") + 0.0).alias("score"), F.col("Pfam hits").alias("hits"))
 
 
 @composite("training", "hmms", sql="""
@@ -417,12 +425,13 @@ def c30_release(t):
 
     from sequoir.config import Config
     from sequoir.operators.store import shared_dir
+    from sequoir.sources.sinks import read_release
 
     old, new = t("ledger").select("original_id", "hash"), t("hashes").select("original_id", "hash")
     spark, base = old.sparkSession, f"{shared_dir(t('ledger').sparkSession)}/releases-{uuid.uuid4().hex}"
     first = release.update(spark, {"hashes": old}, Config(release="1", output=base))
     second = release.update(spark, {"hashes": new}, Config(release="2", output=base, previous=first))
-    return spark.read.schema(new.schema).parquet(f"{second}/hashes")
+    return read_release(spark, second, "hashes", new.schema)
 
 
 @composite("detections", sql="""
@@ -457,11 +466,31 @@ k AS (SELECT id, seq, unnest(range(20, CAST(length(seq) // 2 AS BIGINT) + 1)) AS
 SELECT r.id, CAST(coalesce(max(CASE WHEN left(k.seq, k.n) = right(k.seq, k.n) THEN k.n END), 0) AS INTEGER) AS repeat_length FROM repeats r LEFT JOIN k ON r.id = k.id GROUP BY 1""")
 def terminal_repeats(t):
     """The longest beginning of a sequence that is its end too."""
-    from sequoir.functions.exprs import terminal_repeat
+    from sequoir.functions.circles import terminal_repeat
 
     return t("repeats").select("id", terminal_repeat("seq").cast("int").alias("repeat_length"))
 
 
+@composite("long_repeats", sql="""
+k AS (SELECT id, seq, unnest(range(20, CAST(length(seq) // 2 AS BIGINT) + 1)) AS n FROM long_repeats)
+SELECT r.id, CAST(coalesce(max(CASE WHEN substr(k.seq, length(k.seq) - k.n + 1, 12) = left(k.seq, 12) AND left(k.seq, k.n) = right(k.seq, k.n) THEN k.n END), 0) AS INTEGER) AS repeat_length FROM long_repeats r LEFT JOIN k ON r.id = k.id GROUP BY 1""")
+def long_terminal_repeats(t):
+    """Repeats of up to some thousand letters at the ends of sequences."""
+    from sequoir.functions.circles import terminal_repeat
+
+    return t("long_repeats").select("id", terminal_repeat("seq").alias("repeat_length"))
+
+
+@composite("circles", sql="""
+b AS (SELECT id, seq, translate(reverse(seq), 'ACGT', 'TGCA') AS back, unnest(range(1, CAST(length(seq) AS BIGINT) + 1)) AS i FROM circles)
+SELECT id, md5(min(least(substr(seq, i) || left(seq, i - 1), substr(back, i) || left(back, i - 1)))) AS hash FROM b GROUP BY 1""")
+def circular_identity(t):
+    """One hash for all rotations and strands of a circle; circles with the same parts in another order differ."""
+    from sequoir.functions.circles import canonical_circular_hash
+
+    return t("circles").select("id", canonical_circular_hash("seq").alias("hash"))
+
+
 @composite("repeats", sql="SELECT id, CASE WHEN id % 3 = 0 THEN seq || substr(seq, CAST(22 + id % 5 + 1 AS BIGINT), CAST(60 - (22 + id % 5) AS BIGINT)) ELSE seq END AS longer FROM repeats")
 def circular_extension(t):
     """Circular sequences lengthened by what follows their overlap."""
@@ -491,6 +520,21 @@ def species_headers(t):
     return rows.select("id", taxonomy.fasta_header().alias("header"))
 
 
+@composite("similar_places", "placed_in", sql="""
+h AS (SELECT DISTINCT r_gene AS id, CASE WHEN tstart <= tend THEN '+' ELSE '-' END AS strand, least(tstart, tend) AS b, greatest(tstart, tend) AS e FROM similar_places WHERE identity >= 60),
+m AS (SELECT *, CASE WHEN b <= max(e) OVER (PARTITION BY id, strand ORDER BY b, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM h),
+i AS (SELECT *, sum(n) OVER (PARTITION BY id, strand ORDER BY b, e ROWS UNBOUNDED PRECEDING) AS k FROM m),
+g AS (SELECT id, strand, greatest(min(b) - 5, 1) AS begin_, max(e) + 5 AS end_ FROM i GROUP BY id, strand, k),
+c AS (SELECT g.*, substr(seq, CAST(begin_ AS BIGINT), CAST(end_ - begin_ + 1 AS BIGINT)) AS s FROM g JOIN placed_in USING (id))
+SELECT id, strand, CAST(begin_ AS BIGINT) AS begin_at, CAST(end_ AS BIGINT) AS end_at, CASE WHEN strand = '-' THEN translate(reverse(s), 'ACGT', 'TGCA') ELSE s END AS seq FROM c""")
+def dgr_candidates(t):
+    """Places that are like known templates, merged where they overlap, with flanks and turned to their strand."""
+    from sequoir.operators import dgr
+
+    found = dgr.candidates(t("similar_places"), t("placed_in"), 5, 60.0)
+    return found.select("id", "strand", F.col("begin").cast("long").alias("begin_at"), F.col("end").cast("long").alias("end_at"), "seq")
+
+
 def retroelements(nations: DataFrame) -> DataFrame:
     """id, seq: made-up sequences, each with a template of 14 codons AAC among others and a copy of it that has GAC for them."""
     letters = lambda *salt: F.translate(F.concat(*(F.md5(F.concat("n_name", F.lit(x))) for x in salt)), "0123456789abcdef", "ACGTACGTACGTACGT")
@@ -507,3 +551,26 @@ def c25_dgr_scan(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES["c25_dgr_scan"] = c25_dgr_scan
+
+
+def fragments(suppliers: DataFrame) -> DataFrame:
+    """id, template, seq: made-up fragments, five by five of one template: like it, with A changed (some turned around), and with C and G changed."""
+    group = F.floor(F.col("s_suppkey") / 5).cast("string")
+    template = F.translate(F.concat(*(F.md5(F.concat(group, F.lit(x))) for x in "abc")), "0123456789abcdef", "ACGTACGTACGTACGT")
+    back = F.translate(F.reverse(F.translate("template", "A", "C")), "ACGT", "TGCA")
+    forms = [F.concat(F.substring("template", 1, 40), F.lit("A"), F.expr("substring(template, 42)")), F.translate("template", "A", "G"), back, F.translate("template", "A", "T"), F.translate("template", "CG", "GC")]
+    rows = suppliers.select(F.format_string("s%08d", "s_suppkey").alias("id"), "s_suppkey", group.alias("part"), template.alias("template"))
+    return rows.select("id", "part", "template", F.element_at(F.array(*forms), (F.col("s_suppkey") % 5 + 1).cast("int")).alias("seq"))
+
+
+def dgr_fragment_tags(spark, sf_dir: str) -> DataFrame:
+    """Fragments as templates, variable repeats or neither, every other group with its template known. Alignments are beyond SQL; a test holds it against the passes one by one."""
+    from sequoir.operators import dgr
+    from sequoir.operators.store import spread
+
+    rows = fragments(spread(spark.read.parquet(f"{sf_dir}/supplier.parquet")))
+    known = rows.where(F.col("part").cast("long") % 2 == 0).select(F.col("part").alias("id"), F.col("template").alias("seq")).distinct()
+    return dgr.tags(rows.select("id", "seq"), known)
+
+
+QUERIES["dgr_fragment_tags"] = dgr_fragment_tags

@@ -165,6 +165,11 @@ def group_metrics_back(t):
     return rank.with_metrics(t("part"), ["p_type"], [F.median("p_size").alias("median_size"), F.max("p_size").alias("max_size"), F.count("*").alias("n")]).select("p_partkey", "median_size", "max_size", "n")
 
 
+def _cluster_members(t) -> DataFrame:
+    c = F.col
+    return t("part").select(c("p_partkey").cast("string").alias("seq_name"), F.concat_ws("/", "p_brand", "p_size").alias("cluster_id"), cents("p_retailprice").cast("double").alias("length"), (c("p_partkey") % 5).alias("viral_genes"), F.when(c("p_type").contains("PROMO"), "DTR").otherwise("AAI").alias("completeness_method"), F.when(c("p_partkey") % 3 == 0, "NA").otherwise("130000").alias("aai_expected_length"), c("p_brand").alias("source_db"))
+
+
 @query("""
 WITH m AS (SELECT p_partkey AS id, p_brand || '/' || p_size AS cl, CAST(round(p_retailprice * 100) AS DOUBLE) AS len, p_partkey % 5 AS genes, CASE WHEN p_type LIKE '%PROMO%' THEN 'DTR' ELSE 'AAI' END AS method, CASE WHEN p_partkey % 3 = 0 THEN 'NA' ELSE '130000' END AS expected FROM part),
 s AS (SELECT *, count(*) OVER (PARTITION BY cl) AS n, max(genes) OVER (PARTITION BY cl) AS mg FROM m), md AS (SELECT cl, median(len) AS med FROM m GROUP BY 1),
@@ -175,9 +180,23 @@ SELECT cl AS cluster_id, CAST(id AS VARCHAR) AS votu_rep FROM (SELECT * FROM sin
 """)
 def rep_selection(t):
     """A representative for each group: alone, else longest of a kind, else nearest to the expected length."""
-    c = F.col
-    members = t("part").select(c("p_partkey").cast("string").alias("seq_name"), F.concat_ws("/", "p_brand", "p_size").alias("cluster_id"), cents("p_retailprice").cast("double").alias("length"), (c("p_partkey") % 5).alias("viral_genes"), F.when(c("p_type").contains("PROMO"), "DTR").otherwise("AAI").alias("completeness_method"), F.when(c("p_partkey") % 3 == 0, "NA").otherwise("130000").alias("aai_expected_length"))
-    return graph.representatives(members)
+    return graph.representatives(_cluster_members(t))
+
+
+@query("""
+WITH m AS (SELECT p_partkey AS id, p_brand || '/' || p_size AS cl, CAST(round(p_retailprice * 100) AS DOUBLE) AS len, p_partkey % 5 AS genes, CASE WHEN p_type LIKE '%PROMO%' THEN 'DTR' ELSE 'AAI' END AS method, CASE WHEN p_partkey % 3 = 0 THEN 'NA' ELSE '130000' END AS expected FROM part),
+s AS (SELECT *, count(*) OVER (PARTITION BY cl) AS n, max(genes) OVER (PARTITION BY cl) AS mg FROM m), md AS (SELECT cl, median(len) AS med FROM m GROUP BY 1),
+single AS (SELECT cl, id FROM s WHERE n = 1),
+dtr AS (SELECT cl, id FROM (SELECT *, row_number() OVER (PARTITION BY cl ORDER BY len DESC, CAST(id AS VARCHAR)) AS k FROM s WHERE n > 1 AND method = 'DTR') WHERE k = 1),
+lin AS (SELECT cl, id FROM (SELECT s.cl, s.id, row_number() OVER (PARTITION BY s.cl ORDER BY abs(len - CASE WHEN expected = 'NA' THEN med ELSE CAST(nullif(expected, 'NA') AS DOUBLE) END), CAST(s.id AS VARCHAR)) AS k FROM s JOIN md ON s.cl = md.cl WHERE n > 1 AND genes = mg AND s.cl NOT IN (SELECT cl FROM dtr)) WHERE k = 1)
+SELECT CAST(s.id AS VARCHAR) AS seq_name, s.cl AS cluster_id, n AS num_seqs, len AS length, med AS median_length, expected AS aai_expected_length, genes AS viral_genes, mg AS max_viral_genes, method AS completeness_method, brand AS source_db, CAST(r.id AS VARCHAR) AS votu_rep
+FROM s JOIN md ON s.cl = md.cl JOIN (SELECT id AS brand_id, brand FROM (SELECT p_partkey AS id, p_brand AS brand FROM part)) b ON brand_id = s.id LEFT JOIN (SELECT * FROM single UNION ALL SELECT * FROM dtr UNION ALL SELECT * FROM lin) r ON s.cl = r.cl
+""")
+def cluster_info(t):
+    """Every member of a cluster with its cluster's numbers and representative."""
+    members = _cluster_members(t)
+    found = graph.cluster_info(members, graph.representatives(members))
+    return found.select("seq_name", "cluster_id", "num_seqs", "length", "median_length", "aai_expected_length", "viral_genes", "max_viral_genes", "completeness_method", "source_db", "votu_rep")
 
 
 @query("SELECT c_custkey, 'ID-' || (500 + row_number() OVER (ORDER BY c_name, c_custkey)) AS new_id FROM customer")

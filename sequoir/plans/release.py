@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from sequoir import schemas
 from sequoir.config import Config
 from sequoir.operators.dedup import ledger_update
-from sequoir.operators.store import read_or_empty, settled
+from sequoir.operators.store import settled
 from sequoir.plans import classify, cluster, host, lifestyle, naming, taxonomy
-from sequoir.sources.sinks import write_release
+from sequoir.sources.sinks import read_release, write_release
 
 
 def unique_sequences(hashes: DataFrame, classified: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -48,7 +48,7 @@ def plan(tables: Mapping[str, DataFrame], config: Config = Config()) -> dict[str
         out["hq"] = classify.hq_filter(tables["completeness"], own, t.complete)
     if on.hcfilter and have("hashes"):
         spark = own.sparkSession
-        ledger = read_or_empty(spark, f"{config.previous}/seqhash" if config.previous else None, schemas.SEQ_LEDGER)
+        ledger = read_release(spark, config.previous, "seqhash", schemas.SEQ_LEDGER)
         out["unique"], out["seqhash"] = unique_sequences(tables["hashes"], own, ledger)
         named, mapping = naming.rename(out["unique"].select(F.col("original_id").alias("id"), "seq"), ledger.count())
         out["renamed"], out["id_mapping"] = named, mapping

@@ -17,12 +17,11 @@ def _path(df: DataFrame, suffix: str = "") -> str:
 
 
 def _text(df: DataFrame, line: Column, *first: str, order: str | None = None) -> str:
-    """Lines of df as one text file, after fixed first lines; returns its folder."""
+    """Lines of df as a text in parts, after fixed first lines; returns its folder."""
     path, spark = _path(df), df.sparkSession
     rows = df.select(F.lit(1).alias("part"), (F.col(order) if order else F.lit(0)).cast("long").alias("place"), line.alias("value"))
     head = spark.range(1).select(F.lit(0).alias("part"), F.posexplode(F.array(*map(F.lit, first))).alias("place", "value")) if first else None
-    every = rows if head is None else head.unionByName(rows)
-    every.orderBy("part", "place", "value").select("value").coalesce(1).write.text(path)
+    sinks.write_lines(rows if head is None else head.unionByName(rows), ["part", "place", "value"], path)
     return path
 
 
@@ -94,11 +93,17 @@ def source_concat(t):
     return sinks.concat_tables(a.sparkSession, paths, "name string, id long")
 
 
-@query("SELECT CASE WHEN n_nationkey % 5 = 0 THEN '#' || n_name ELSE n_name END AS line, CASE WHEN n_nationkey % 5 = 0 THEN 0 ELSE 1 END AS body FROM nation UNION ALL SELECT '#' || r_name, 0 FROM region")
+@query("""
+WITH l AS (SELECT 0 AS part, n_nationkey AS place, CASE WHEN n_nationkey % 5 = 0 THEN '#' || n_name ELSE n_name END AS value FROM nation UNION ALL SELECT 1, r_regionkey, CASE WHEN r_regionkey % 2 = 0 THEN '#' || r_name ELSE r_name END FROM region
+UNION ALL SELECT 2, c_custkey, c_name FROM customer)
+SELECT CAST(row_number() OVER (ORDER BY CASE WHEN starts_with(value, '#') THEN 0 ELSE 1 END, part, place) AS BIGINT) AS line, value FROM l""")
 def sink_gff(t):
-    """Comment lines of all parts first."""
-    a = t("nation").select(F.concat(F.when(F.col("n_nationkey") % 5 == 0, "#").otherwise(""), "n_name").alias("value"))
-    return sinks.gff([a, t("region").select(F.concat(F.lit("#"), "r_name").alias("value"))])
+    """Comment lines of all parts first, then the parts one after another: written, and read back by line."""
+    marked = lambda df, key, n, name: df.orderBy(key).select(F.concat(F.when(F.col(key) % n == 0, "#").otherwise(""), name).alias("value"))
+    parts = [marked(t("nation"), "n_nationkey", 5, "n_name"), marked(t("region"), "r_regionkey", 2, "r_name"), t("customer").orderBy("c_custkey").select(F.col("c_name").alias("value"))]
+    path = _path(parts[0])
+    sinks.write_gff(parts, path)
+    return tables.numbered_lines(parts[0].sparkSession, path)
 
 
 @query("SELECT 's' || CAST(l_suppkey AS VARCHAR) AS q_gene, 'p' || CAST(l_partkey AS VARCHAR) AS r_gene, CAST(l_quantity AS BIGINT) AS length, CAST(round(l_quantity * 4) AS BIGINT) AS score FROM lineitem")
@@ -173,7 +178,8 @@ def source_preamble(t):
 def source_unnamed(t):
     """A table whose first header cell is empty, with NA for null."""
     df = t("nation")
-    path = _text(df, F.concat_ws(",", "n_name", F.when(F.col("n_nationkey") % 3 == 0, "NA").otherwise(s("n_nationkey"))), ",key")
+    path = _path(df)
+    sinks.write_table(df.select(F.col("n_name").alias(""), F.when(F.col("n_nationkey") % 3 == 0, "NA").otherwise(s("n_nationkey")).alias("key")), path, sep=",")
     return tables.unnamed_first(df.sparkSession, path, "name string, key long", null="NA")
 
 
@@ -207,6 +213,37 @@ def source_genbank(t):
     return found.select("record", "seq", value("locus_tag").alias("tag"), value("db_xref").alias("ref"))
 
 
+@query("SELECT 'c' || CAST(c_custkey AS VARCHAR) AS id, 'c' || CAST(c_custkey AS VARCHAR) || ' of > ' || c_name AS description, 'ACGT' AS seq FROM customer")
+def source_fasta_preamble(t):
+    """Records after lines that are none."""
+    df = t("customer")
+    line = F.concat(F.lit(">c"), s("c_custkey"), F.lit(" of > "), F.col("c_name"), F.lit("\nAC\nGT"))
+    return sequences.fasta(df.sparkSession, _text(df, line, "; a comment", "no record", order="c_custkey"))
+
+
+@query("""
+SELECT 'r' || CAST(n_nationkey AS VARCHAR) AS record, f.kind AS kind, 'join(1..3,5..8)' AS location, 'tag_' || CAST(n_nationkey AS VARCHAR) AS tag, translate(left(md5(n_name), 8), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq, 'a ' || n_name || repeat(' and ' || n_name, 9) AS note, repeat(md5(n_name), 5) AS translation
+FROM nation, (VALUES ('gene'), ('CDS')) f(kind) WHERE n_nationkey % 3 > 0 AND n_nationkey % 4 > 0""")
+def genbank_no_hits(t):
+    """Records written and read; of their features those stay that no hit names and that have a cross-reference, and these are written and read again."""
+    from sequoir.plans.annotate import no_hit_records
+
+    df, none = t("nation"), F.array().cast("array<string>")
+    tag = F.concat(F.lit("tag_"), s("n_nationkey"))
+    note = F.concat(F.lit("a "), "n_name", F.repeat(F.concat(F.lit(" and "), "n_name"), F.lit(9)))
+    xref = F.when(F.col("n_nationkey") % 3 > 0, F.array(F.lit("UniRef:X"))).otherwise(none)
+    pairs = F.map_filter(F.create_map(F.lit("locus_tag"), F.array(tag), F.lit("db_xref"), xref, F.lit("note"), F.array(note), F.lit("translation"), F.array(F.repeat(F.md5("n_name"), F.lit(5)))), lambda k, v: F.size(v) > 0)
+    feature = lambda kind: F.struct(F.lit(kind).alias("kind"), F.lit("join(1..3,5..8)").alias("location"), pairs.alias("qualifiers"))
+    rows = df.select(F.concat(F.lit("r"), s("n_nationkey")).alias("record"), F.translate(F.substring(F.md5("n_name"), 1, 8), "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"), F.array(feature("source"), feature("gene"), feature("CDS")).alias("features"))
+    hits_ = df.where("n_nationkey % 4 = 0").select(tag.alias("id"))
+    spark, first, second = df.sparkSession, _path(df), _path(df)
+    sinks.write_genbank(rows, first)
+    sinks.write_genbank(no_hit_records(sequences.genbank(spark, first), hits_), second)
+    found = sequences.genbank(spark, second).select("record", "seq", F.explode("features").alias("f"))
+    value = lambda k: F.get(F.col("f.qualifiers")[k], F.lit(0))
+    return found.select("record", F.col("f.kind").alias("kind"), F.col("f.location").alias("location"), value("locus_tag").alias("tag"), "seq", value("note").alias("note"), value("translation").alias("translation"))
+
+
 @query("SELECT 's' || CAST(c_custkey AS VARCHAR) AS sample, 'g' || CAST(c_nationkey AS VARCHAR) AS grp FROM customer")
 def source_samplesheet(t):
     """A samplesheet that is valid."""
@@ -216,6 +253,30 @@ def source_samplesheet(t):
     return tables.samplesheet(df.sparkSession, path, "sample string, `group` string").withColumnRenamed("group", "grp")
 
 
+SHEET = {
+    "type": "array",
+    "items": {
+        "properties": {"sample": {"type": "string", "pattern": "^\\S+$", "unique": True}, "group": {}, "size": {"type": "integer"}, "kind": {"enum": ["AUTOMOBILE", "BUILDING", "MACHINERY"]}, "acc": {"minLength": 9, "maxLength": 12}},
+        "required": ["sample", "group", "acc"],
+    },
+}
+
+
+@query("""
+WITH c AS (SELECT CASE WHEN c_custkey % 10 = 0 THEN 'twice' WHEN c_custkey % 7 = 0 THEN 'with space ' || CAST(c_custkey AS VARCHAR) ELSE 's' || CAST(c_custkey AS VARCHAR) END AS sample, CASE WHEN c_custkey % 4 > 0 THEN 'g' END AS grp,
+CASE WHEN c_custkey % 6 = 0 THEN 'x' ELSE CAST(c_nationkey AS VARCHAR) END AS size, c_mktsegment AS kind, CASE WHEN c_custkey % 3 > 0 THEN 'a' || CAST(c_custkey * 1000000 AS VARCHAR) END AS acc FROM customer)
+SELECT * FROM (SELECT 'sample' AS col, 'pattern' AS rule, count(*) AS n FROM c WHERE regexp_matches(sample, '\\s') UNION ALL SELECT 'sample', 'unique', count(*) FROM c WHERE sample = 'twice' AND (SELECT count(*) FROM c WHERE sample = 'twice') > 1
+UNION ALL SELECT 'group', 'required', count(*) FROM c WHERE grp IS NULL UNION ALL SELECT 'size', 'type', count(*) FROM c WHERE size = 'x' UNION ALL SELECT 'kind', 'enum', count(*) FROM c WHERE kind NOT IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY')
+UNION ALL SELECT 'acc', 'required', count(*) FROM c WHERE acc IS NULL UNION ALL SELECT 'acc', 'minLength', count(*) FROM c WHERE length(acc) < 9 UNION ALL SELECT 'acc', 'maxLength', count(*) FROM c WHERE length(acc) > 12) WHERE n > 0""")
+def sheet_violations(t):
+    """How many rows of a sheet break each rule of its JSON schema."""
+    key = F.col("c_custkey")
+    sample = F.when(key % 10 == 0, "twice").when(key % 7 == 0, F.concat(F.lit("with space "), s("c_custkey"))).otherwise(F.concat(F.lit("s"), s("c_custkey")))
+    acc = F.when(key % 3 > 0, F.concat(F.lit("a"), (key * 1_000_000).cast("string")))
+    sheet = t("customer").select(sample.alias("sample"), F.when(key % 4 > 0, "g").alias("group"), F.when(key % 6 == 0, "x").otherwise(s("c_nationkey")).alias("size"), F.col("c_mktsegment").alias("kind"), acc.alias("acc"))
+    return tables.violations(sheet, SHEET).withColumnRenamed("column", "col")
+
+
 @query("SELECT n_nationkey AS key FROM nation WHERE false")
 def source_absent(t):
     """A table that isn't there has no rows."""

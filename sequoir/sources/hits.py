@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sequoir import schemas
-from sequoir.operators.rank import numbered
-from sequoir.sources.tables import delimited
+from sequoir.sources.tables import delimited, numbered_lines
 
 
 def _cells(spark: SparkSession, path: str) -> DataFrame:
@@ -41,13 +40,8 @@ def classifier_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def cluster_lines(spark: SparkSession, path: str) -> DataFrame:
-    """member, cluster_id of a list with a cluster in each line; the id is the line's number from 1.
-
-    Lines are numbered in the order of their files, splits and places in these:
-    every task numbers its own, and the counts before them are added.
-    """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
-    ids = numbered(lines, ["file", "block", "place"], "cluster_id")
+    """member, cluster_id of a list with a cluster in each line; the id is the line's number from 1."""
+    ids = numbered_lines(spark, path, "cluster_id")
     return ids.select(F.explode(F.split(F.trim("value"), r"\s+")).alias("member"), "cluster_id").where("member <> ''")
 
 

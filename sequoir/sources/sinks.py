@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sequoir.functions.exprs import fasta_record
 from sequoir.operators.rank import batches
+from sequoir.operators.store import exists, write_whole
+from sequoir.sources.sequences import genbank_text
 
 CODECS = {".gz": "gzip", ".bz2": "bzip2", ".zst": "zstd"}
 
@@ -49,12 +55,28 @@ def write_routed(df: DataFrame, route, path: str, name: str = "route") -> None:
     df.withColumn(name, route).write.partitionBy(name).parquet(path)
 
 
+def write_lines(df: DataFrame, order: Sequence[str], path: str, value: str = "value") -> None:
+    """Lines as a text in numbered parts: read in the order of their names, the parts give the lines in order.
+
+    Every part is a range of the order and written by a task of its own.
+    """
+    df.orderBy(*order).select(F.col(value).alias("value")).write.option("compression", compression(path)).text(path)
+
+
+def write_genbank(records: DataFrame, path: str) -> None:
+    """Records (record, seq, features) as GenBank files, one part a task."""
+    records.select(genbank_text().alias("value")).write.option("compression", compression(path)).text(path)
+
+
 def gff(parts: Sequence[DataFrame]) -> DataFrame:
-    """line, body of several GFF texts (value): first all comment lines, then the others."""
-    from sequoir.operators.dataflow import mix
+    """value, body, part, place of the lines of several GFF texts (value): in the order of body, part and place, comments come first."""
+    marked = [p.select("value", (~F.col("value").startswith("#")).cast("int").alias("body"), F.lit(k).alias("part"), F.monotonically_increasing_id().alias("place")) for k, p in enumerate(parts)]
+    return reduce(DataFrame.unionByName, marked)
+
 
-    marked = mix(*parts).select("value", (~F.col("value").startswith("#")).cast("int").alias("body"))
-    return marked.orderBy("body").select(F.col("value").alias("line"), "body")
+def write_gff(parts: Sequence[DataFrame], path: str) -> None:
+    """Several GFF texts as one: all their comment lines first, then the others."""
+    write_lines(gff(parts), ["body", "part", "place"], path)
 
 
 def concat_tables(spark: SparkSession, paths: Sequence[str], schema: str, header: bool = True, sep: str = "\t") -> DataFrame:
@@ -64,12 +86,37 @@ def concat_tables(spark: SparkSession, paths: Sequence[str], schema: str, header
     return delimited(spark, list(paths), schema, sep=sep, header=header)
 
 
-def write_release(artefacts: dict[str, DataFrame], folder: str, previous: str | None = None) -> None:
-    """A new versioned snapshot: each artefact's new rows with those of the release before."""
-    from sequoir.operators.store import exists
+MANIFEST = "manifest.json"
 
+
+def write_release(artefacts: dict[str, DataFrame], folder: str, previous: str | None = None) -> None:
+    """A new versioned snapshot: each artefact's new rows, with those of the release before by reference.
+
+    Only new rows are written. A release is a manifest, which names the folders
+    of each artefact's rows, old ones included; it is written last and put in
+    place by one rename, so a release is whole or not there. What a killed
+    update has written is named by no manifest.
+    """
+    if not artefacts:
+        raise ValueError("a release has artefacts")
+    spark = next(iter(artefacts.values())).sparkSession
+    if exists(spark, f"{folder}/{MANIFEST}"):
+        raise FileExistsError(f"{folder} is released")
+    named = _manifest(spark, previous) if previous else {}
     for name, new in artefacts.items():
-        spark, rows = new.sparkSession, new
-        if previous and exists(spark, f"{previous}/{name}"):
-            rows = spark.read.schema(new.schema).parquet(f"{previous}/{name}").unionByName(new)
-        rows.write.mode("errorifexists").parquet(f"{folder}/{name}")
+        path = f"{folder}/{name}/rows-{uuid.uuid4().hex}"
+        new.write.parquet(path)
+        named[name] = [*named.get(name, []), path]
+    write_whole(spark, json.dumps(named, indent=1), f"{folder}/{MANIFEST}")
+
+
+def _manifest(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Folders by artefact of a release; none if it is not (or not wholly) there."""
+    path = f"{folder}/{MANIFEST}"
+    return json.loads(spark.read.text(path, wholetext=True).first()[0]) if exists(spark, path) else {}
+
+
+def read_release(spark: SparkSession, folder: str | None, name: str, schema: T.StructType | str) -> DataFrame:
+    """All rows of an artefact of a release; none if there is no such release or artefact."""
+    paths = _manifest(spark, folder).get(name) if folder else None
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 from collections.abc import Mapping, Sequence
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sequoir.operators.rank import numbered
 from sequoir.operators.store import exists
 
 
@@ -56,19 +58,37 @@ def unnamed_first(spark: SparkSession, path: str, schema: str | T.StructType, se
     return text.select(typed(f"`{text.columns[0]}`", first.dataType).alias(first.name), *(typed(f"`{f.name}`", f.dataType).alias(f.name) for f in rest))
 
 
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """value of each line, with the text it is of, and file, block and place, in whose order the lines are.
+
+    A text is a file, or a folder whose parts (part-*) are it in the order of their names.
+    """
+    file = F.col("_metadata.file_path")
+    text = F.regexp_replace(file, "/part-[^/]*$", "")
+    return spark.read.text(path).select("value", text.alias("text"), file.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+
+
+def numbered_lines(spark: SparkSession, path: str, name: str = "line") -> DataFrame:
+    """value and number from 1 of the lines of texts, numbered on from file to file.
+
+    Every task numbers its own lines, and the counts before them are added.
+    """
+    return numbered(text_lines(spark, path), ["file", "block", "place"], name).select("value", name)
+
+
 def with_preamble(spark: SparkSession, path: str, schema: str | T.StructType, skip: int = 5, sep: str = "\t", null: str | None = None) -> DataFrame:
     """A table after `skip` lines of preamble and a header line; the schema names columns of the header.
 
-    Empty lines don't count. Preamble and header must lie in a file's first
-    split; lines are read as they come, and only those first ones are ranked.
+    Empty lines don't count. Of each file `skip` + 1 lines at most are ranked,
+    which must lie in its first split; a text in parts has one preamble.
     """
     own = _schema(schema)
-    line = F.regexp_replace("value", "\r$", "").alias("line")
-    lines = spark.read.text(path).select(line, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place")).where("line <> ''")
-    rank = F.row_number().over(Window.partitionBy("file").orderBy("place"))
-    header = lines.where("block = 0").withColumn("rank", rank).where(F.col("rank") <= skip + 1).where(F.col("rank") == skip + 1)
-    names = header.select("file", F.split("line", sep).alias("names"), F.col("place").alias("header"))
-    body = lines.join(names, "file").where("block > 0 or place > header")
+    lines = text_lines(spark, path).withColumn("line", F.regexp_replace("value", "\r$", "")).where("line <> ''")
+    in_file = F.row_number().over(Window.partitionBy("file").orderBy("place"))
+    first = lines.where("block = 0").withColumn("rank", in_file).where(F.col("rank") <= skip + 1)
+    header = first.withColumn("rank", F.row_number().over(Window.partitionBy("text").orderBy("file", "rank"))).where(F.col("rank") == skip + 1)
+    names = header.select("text", F.split("line", sep).alias("names"), F.col("file").alias("header_file"), F.col("place").alias("header"))
+    body = lines.join(names, "text").where("file > header_file or file = header_file and (block > 0 or place > header)")
     cells = body.select("names", F.split("line", sep).alias("cells"))
     value = lambda f: F.get("cells", (F.array_position("names", f.name) - 1).cast("int"))
     clean = lambda c: F.when((c == "") | (c == null if null is not None else F.lit(False)), None).otherwise(c)
@@ -149,6 +169,52 @@ def samplesheet(spark: SparkSession, path: str, schema: str, required: Sequence[
     return sheet
 
 
+def violations(sheet: DataFrame, rules: Mapping) -> DataFrame:
+    """column, rule, n: how many rows of a sheet (all text) break each rule of a JSON schema of its rows; only broken rules.
+
+    rules: a schema of an array of objects or of one object. Known rules:
+    required, type (string, integer, number, boolean), pattern, enum, minLength,
+    maxLength, and unique. Cells without a value break nothing but required.
+    """
+    own = rules.get("items", rules)
+    kinds = {"integer": r"^[+-]?\d+$", "number": r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$", "boolean": "^(true|false)$"}
+    broken: dict[tuple[str, str], Column] = {}
+    there = set(sheet.columns)
+    for name, rule in own.get("properties", {}).items():
+        c = F.col(f"`{name}`") if name in there else F.lit(None).cast("string")
+        if name in own.get("required", ()):
+            broken[name, "required"] = c.isNull() | (c == "")
+        for key, test in (
+            ("type", lambda c, v: ~c.rlike(kinds[v]) if v in kinds else F.lit(False)),
+            ("pattern", lambda c, v: ~c.rlike(v)),
+            ("enum", lambda c, v: ~c.isin([str(x) for x in v])),
+            ("minLength", lambda c, v: F.length(c) < v),
+            ("maxLength", lambda c, v: F.length(c) > v),
+        ):
+            if key in rule:
+                broken[name, key] = test(c, rule[key])
+    counts = [F.struct(F.lit(name).alias("column"), F.lit(rule).alias("rule"), F.count_if(c).alias("n")) for (name, rule), c in broken.items()]
+    none = F.array().cast("array<struct<column:string,rule:string,n:bigint>>")
+    found = sheet.agg(F.array(*counts).alias("x") if counts else F.first(none).alias("x")).select(F.inline("x"))
+    for name, rule in own.get("properties", {}).items():
+        if rule.get("unique") and name in there:
+            twice = sheet.groupBy(F.col(f"`{name}`").alias("value")).count().where("value is not null and count > 1")
+            found = found.unionByName(twice.agg(F.lit(name).alias("column"), F.lit("unique").alias("rule"), F.coalesce(F.sum("count"), F.lit(0)).alias("n")))
+    return found.where("n > 0")
+
+
+def schema_sheet(spark: SparkSession, path: str, rules_path: str) -> DataFrame:
+    """A samplesheet with the columns of a JSON schema (those that it lacks are null), or ValueError naming what rules are broken, and how often."""
+    rules = json.loads(spark.read.text(rules_path, wholetext=True).first()[0])
+    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    text = text.select(*(F.trim(F.col(f"`{c}`")).alias(c.strip()) for c in text.columns))
+    wrong = sorted((r.column, r.rule, r.n) for r in violations(text, rules).collect())
+    if wrong:
+        raise ValueError("samplesheet: " + "; ".join(f"{column}: {rule} ({n})" for column, rule, n in wrong))
+    names = rules.get("items", rules)["properties"]
+    return text.select(*(F.col(f"`{n}`") if n in text.columns else F.lit(None).cast("string").alias(n) for n in names))
+
+
 def files(spark: SparkSession, pattern: str) -> DataFrame:
     """path, name, stem (name to its first dot), length of the files of a glob, empty ones too; they are listed and not opened."""
     glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)

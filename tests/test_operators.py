@@ -74,6 +74,77 @@ def test_covered_length(spark, spans):
     assert got == ([len({p for s, n in spans for p in range(s, s + n)})] if spans else [])
 
 
+def merged_one_by_one(spans):
+    out = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e), out[-1][2] + 1)
+        else:
+            out.append((s, e, 1))
+    return out
+
+
+@pytest.mark.parametrize(("parts", "longest"), [(1, 5), (7, 5), (7, 400), (40, 3), (40, 5000)])
+def test_islands_over_ranges(spark, parts, longest):
+    """One key has most intervals, which ranges cut anywhere; some reach over many ranges."""
+    r = random.Random(parts * longest)
+    data = [(r.choice(["hot"] * 9 + ["a", None]), r.randint(0, 3000)) for _ in range(600)]
+    data = [(k, s, s + (r.randint(0, longest) if r.random() < 0.1 else 1)) for k, s in data] + [("hot", None, 5), ("hot", 5, None), (None, None, None)]
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = intervals.islands(spark.createDataFrame(data, "k string, s long, e long"), ["k"], "s", "e").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = [(k, *x) for k in ("hot", "a", None) for x in merged_one_by_one([(s, e) for q, s, e in data if q == k and s is not None and e is not None])]
+    assert sorted(((r.k, r.island_start, r.island_end, r.n) for r in found), key=str) == sorted(want, key=str)
+
+
+def test_islands_of_one_key_use_all_ranges(spark):
+    n = 200_000
+    df = spark.range(n).select(F.lit("q").alias("k"), (F.col("id") * 3).alias("s"), (F.col("id") * 3 + F.when(F.col("id") % 1000 < 999, 3).otherwise(1)).alias("e"))
+    found = intervals.islands(df, ["k"], "s", "e")
+    assert found.count() == n // 1000 and found.agg(F.sum("n")).first()[0] == n
+    sizes = df.repartitionByRange(4, "k", "s", "e").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < n / 3
+
+
+@FEW
+@given(st.lists(st.lists(st.integers(0, 30), max_size=14), max_size=8), st.lists(st.lists(st.integers(0, 30), max_size=14), max_size=8), st.integers(1, 4), st.sampled_from([0.0, 0.2, 0.5, 0.8, 1.0]))
+def test_containment_against_all_pairs(spark, left, right, least_shared, least):
+    make = lambda side: spark.createDataFrame([(k, [str(x) for x in g]) for k, g in enumerate(side)], "id int, g array<string>")
+    got = rows(similarity.containment(make(left).withColumnRenamed("id", "q"), make(right).withColumnRenamed("id", "t"), "q", "t", "g", least_shared, least))
+    want = []
+    for i, x in enumerate(left):
+        for j, y in enumerate(right):
+            n, both = min(len(set(x)), len(set(y))), len(set(x) & set(y))
+            if n and both >= least_shared and both / n >= least:
+                want.append((i, j, both, both / n))
+    assert got == sorted(want, key=str)
+
+
+@FEW
+@given(st.lists(st.lists(st.integers(0, 30), max_size=14), max_size=12), st.integers(1, 4), st.sampled_from([0.0, 0.2, 0.5, 0.8, 1.0]))
+def test_pairs_within_one_table(spark, sets, least_shared, least):
+    df = spark.createDataFrame([(k, [str(x) for x in g]) for k, g in enumerate(sets)], "id int, g array<string>")
+    got = rows(similarity.similar_pairs(df, "id", F.col("g"), least_shared, least))
+    want = []
+    for j, y in enumerate(sets):
+        for i, x in enumerate(sets[:j]):
+            n, both = min(len(set(x)), len(set(y))), len(set(x) & set(y))
+            if n and both >= least_shared and both / n >= least:
+                want.append((i, j, both, both / n))
+    assert got == sorted(want, key=str)
+
+
+def test_a_gram_that_all_have_proposes_no_pairs(spark):
+    """Rows share two grams that all have, and else only what few have."""
+    df = spark.range(400).select(F.col("id").alias("q"), F.array(F.lit("all"), F.lit("every"), F.concat(F.lit("x"), (F.col("id") / 2).cast("int").cast("string")), F.concat(F.lit("y"), "id")).alias("g"))
+    found = similarity.containment(df, df.withColumnRenamed("q", "t"), "q", "t", "g", 3, 0.1)
+    assert found.count() == 800  # itself and the other of its two
+
+
 def test_norm_score(spark):
     hits = spark.createDataFrame([("a_1", "b_1", 50.0), ("a_1", "b_2", 60.0), ("a_2", "b_1", 40.0), ("a_1", "a_1", 100.0), ("a_2", "a_2", 100.0), ("a_2", "a_2", 20.0), ("c_1", "b_1", 9.0), ("b_1", "a_1", 1.0), ("b_1", "b_1", 100.0)], "q_gene string, r_gene string, bitscore float")
     selfs = similarity.self_score(hits)

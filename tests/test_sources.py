@@ -1,6 +1,7 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from sequoir import schemas
 from sequoir.sources import hits, sequences, sinks, tables
@@ -85,8 +86,67 @@ def test_genbank(spark, tmp_path):
     assert [(r.record, r.seq, len(r.features)) for r in got] == [("rec1", "ACGTACGTACGTACGTACGT", 3), ("rec2", "AAAA", 0)]
     cds = got[0].features[1]
     assert (cds.kind, cds.location, cds.qualifiers["db_xref"], cds.qualifiers["product"]) == ("CDS", "complement(1..9)", ["UniRef:UniRef50_A", "SO:1"], ["a long name"])
-    proteins = spark.createDataFrame([("g1", "M"), ("g2", "M"), ("g3", "M")], "id string, seq string")
-    assert rows(annotate.no_hit_features(sequences.genbank(spark, str(tmp_path / "a.gbk")), proteins)) == [("g2", "M")]
+    first = sequences.genbank(spark, str(tmp_path / "a.gbk"))
+    tags = lambda df: [[(f.kind, (f.qualifiers.get("locus_tag") or [None])[0]) for f in r.features] for r in df.collect()]
+    assert tags(annotate.no_hit_records(first, hits_of(spark))) == [[("CDS", "g1")]]
+    assert tags(annotate.no_hit_records(first, hits_of(spark, "g1", "other"))) == []
+
+
+FEATURES = [
+    ("source", "1..20", {"organism": ["x"]}),
+    ("gene", "join(" + ",".join(f"{k}..{k + 5}" for k in range(1, 400, 9)) + ")", {"locus_tag": ["a"]}),
+    ("CDS", "complement(1..9)", {"locus_tag": ["a"], "db_xref": ["X:1", "Y:2"], "product": ["words " * 30 + 'and a "quoted" one'], "translation": ["MKV" * 100], "pseudo": [""], "long": ["x" * 90 + " y"]}),
+    ("CDS", "2..9", {"db_xref": ["X:1"]}),
+    ("gene", "2..9", {"note": ["two  spaces  " + "z" * 50 + "  stay"]}),
+    ("CDS", "3..9", {"locus_tag": ["b"]}),
+    ("tRNA", "4..9", {"locus_tag": ["a"]}),
+]
+
+
+def hits_of(spark, *ids):
+    return spark.createDataFrame([(x,) for x in ids], "id string")
+
+
+def test_genbank_there_and_back(spark, tmp_path):
+    from sequoir.plans import annotate
+
+    data = [("r1", "ACGT" * 50 + "ACGTAC", FEATURES), ("r2", "A", []), ("r3", "AC" * 30, FEATURES[2:3])]
+    made = spark.createDataFrame(data, f"record string, seq string, features {sequences.FEATURE}").repartition(2)
+    sinks.write_genbank(made, str(tmp_path / "g"))
+    plain = lambda df: {r.record: (r.seq, [(f.kind, f.location, dict(f.qualifiers)) for f in r.features]) for r in df.collect()}
+    back = sequences.genbank(spark, str(tmp_path / "g"))
+    assert plain(back) == {n: (s, [(k, p, q) for k, p, q in f]) for n, s, f in data}
+    lines = [x for p in (tmp_path / "g").glob("part-*") for x in p.read_text().splitlines()]
+    assert max(len(x) for x in lines if "xxxx" not in x and "zzzz" not in x) <= 79
+    kept = lambda *ids: {n: [k + str(q.get("locus_tag", [""])[0]) for k, _, q in f] for n, (_, f) in plain(annotate.no_hit_records(back, hits_of(spark, *ids))).items()}
+    assert kept() == {"r1": ["genea", "CDSa", "CDS", "gene"], "r3": ["CDSa"]}
+    assert kept("a") == {"r1": ["CDS", "gene"]}
+
+
+def test_fasta_before_the_first_header(spark, tmp_path):
+    put(tmp_path, "a.fa", "; a comment\njunk line\n>a one > two\nAC\nGT\n>b\n\n>c\nA")
+    put(tmp_path, "b.fa", ">d\nTT\n")
+    put(tmp_path, "c.fa", "\n\n>e\nGG")
+    put(tmp_path, "d.fa", "only junk\n")
+    put(tmp_path, "e.fa", "")
+    got = {(r.id, r.description, r.seq) for r in sequences.fasta(spark, str(tmp_path)).collect()}
+    assert got == {("a", "a one > two", "ACGT"), ("b", "b", ""), ("c", "c", "A"), ("d", "d", "TT"), ("e", "e", "GG")}
+
+
+def test_lines_in_order_and_in_parts(spark, tmp_path):
+    lines = spark.range(500).select(((F.col("id") * 7) % 500).alias("k")).select("k", F.concat(F.lit("line "), "k").alias("value")).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sinks.write_lines(lines, ["k"], str(tmp_path / "t"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "t").glob("part-*"))) > 1
+    got = tables.numbered_lines(spark, str(tmp_path / "t")).orderBy("line").collect()
+    assert [(r.line, r.value) for r in got] == [(k + 1, f"line {k}") for k in range(500)]
+    # a preamble may reach over parts, and is one for all of them
+    folder = tmp_path / "p"
+    folder.mkdir()
+    for k, text in enumerate(["# made\n", "\n# v2\na\tb\n", "1\tx\n2\ty\n", "3\tz\n"]):
+        put(folder, f"part-0000{k}.txt", text)
+    assert rows(tables.with_preamble(spark, str(folder), "b string, a long", skip=2)) == [("x", 1), ("y", 2), ("z", 3)]
 
 
 def test_hit_tables(spark, tmp_path):
@@ -173,14 +233,32 @@ def test_sinks(spark, tmp_path):
     assert [spark.read.parquet(str(tmp_path / "chunks" / f"chunk={k}")).count() for k in range(3)] == [4, 4, 2]
     sinks.write_release({"a": df}, str(tmp_path / "r1"))
     sinks.write_release({"a": df}, str(tmp_path / "r2"), str(tmp_path / "r1"))
-    assert spark.read.parquet(str(tmp_path / "r2" / "a")).count() == 4
-    gff = sinks.gff([spark.createDataFrame([("##v",), ("x\t1",)], "value string")] * 2).collect()
-    assert [r.line for r in gff] == ["##v", "##v", "x\t1", "x\t1"]
+    assert sinks.read_release(spark, str(tmp_path / "r2"), "a", df.schema).count() == 4
+    assert spark.read.parquet(str(tmp_path / "r2" / "a" / "*")).count() == 2  # only what is new was written
+    with pytest.raises(FileExistsError):
+        sinks.write_release({"a": df}, str(tmp_path / "r2"))
+    sinks.write_gff([spark.createDataFrame([("##v",), ("x\t1",)], "value string"), spark.createDataFrame([("y\t1",), ("#w",)], "value string")], str(tmp_path / "gff"))
+    assert [r.value for r in tables.numbered_lines(spark, str(tmp_path / "gff")).orderBy("line").collect()] == ["##v", "#w", "x\t1", "y\t1"]
     assert [sinks.compression(n) for n in ("a.gz", "a.zst", "a")] == ["gzip", "zstd", "none"]
     two = [put(tmp_path, f"h{k}.tsv", f"a\tb\n{k}\tx\n") for k in range(2)]
     assert rows(sinks.concat_tables(spark, two, "a long, b string")) == [(0, "x"), (1, "x")]
 
 
+def test_a_killed_update_leaves_the_release_before(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1)], "id string, n long")
+    first, second = str(tmp_path / "r1"), str(tmp_path / "r2")
+    sinks.write_release({"a": df, "b": df}, first)
+    broken = df.select("id", F.raise_error(F.lit("killed")).cast("long").alias("n"))
+    with pytest.raises(Exception, match="killed"):
+        sinks.write_release({"a": df, "b": broken}, second, first)
+    assert sinks.read_release(spark, second, "a", df.schema).count() == 0  # half a release is none
+    assert sinks.read_release(spark, first, "a", df.schema).count() == 1
+    sinks.write_release({"a": df}, second, first)  # and the update can be made again
+    assert [sinks.read_release(spark, second, x, df.schema).count() for x in "abc"] == [2, 1, 0]
+    assert sinks.read_release(spark, None, "a", df.schema).count() == 0
+    assert not [p for p in tmp_path.rglob("manifest.json.*")]
+
+
 def test_results_are_remembered(spark, tmp_path):
     from sequoir.operators.store import once, read_or_empty
 
@@ -207,3 +285,17 @@ def test_workbook(spark, tmp_path):
     for name, schema in (("nothing", "Name string"), ("VMR MSL40", "Gone string")):
         with pytest.raises(Exception, match="no sheet|no columns"):
             tables.workbook(spark, path, name, schema).collect()
+
+
+def test_sheets_by_their_schema(spark, tmp_path):
+    import json
+
+    rules = {"type": "array", "items": {"properties": {"sample": {"type": "string", "pattern": "^\\S+$", "unique": True}, "group": {}, "fna": {"type": "string", "pattern": "^\\S+\\.fna$", "unique": True}, "n": {"type": "number"}}, "required": ["sample", "group"]}}
+    schema = put(tmp_path, "schema.json", json.dumps(rules))
+    good = put(tmp_path, "good.csv", "sample,group,fna,extra\na,g,x.fna,1\nb,g,,2\nc,h,,3\n")
+    assert rows(tables.schema_sheet(spark, good, schema)) == [("a", "g", "x.fna", None), ("b", "g", None, None), ("c", "h", None, None)]
+    bad = put(tmp_path, "bad.csv", "sample,fna,n\na b,x,1\nb,y.fna,two\nb,y.fna,-1.5e3\n,z.fna,\n")
+    with pytest.raises(ValueError, match=r"fna: pattern \(1\); fna: unique \(2\); group: required \(4\); n: type \(1\); sample: pattern \(1\); sample: required \(1\); sample: unique \(2\)"):
+        tables.schema_sheet(spark, bad, schema)
+    assert tables.violations(spark.createDataFrame([], "sample string, group string"), rules).count() == 0
+    assert tables.violations(spark.createDataFrame([("a",)], "x string"), {"properties": {}}).count() == 0
