@@ -153,13 +153,17 @@ def chunked(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for s in seqs:
                 if s is not None:
                     n += np.bincount(s, minlength=len(local))
+            # frequent segments get small numbers, which compress well
+            order = np.argsort(-n, kind="stable")
+            number = np.empty(len(local), np.uint32)
+            number[order] = np.arange(len(local), dtype=np.uint32)
             none = lambda k, t: pa.nulls(k, t)
             d, k = len(ids), len(local)
             yield pa.record_batch(
-                [pa.array(np.full(d, chunk)), pa.array(ids, pa.int64()), pa.array([None if s is None else packed(s) for s in seqs], pa.binary()), pa.array([s is not None for s in seqs], pa.bool_()), none(d, pa.int32()), none(d, pa.string()), none(d, pa.int64())],
+                [pa.array(np.full(d, chunk)), pa.array(ids, pa.int64()), pa.array([None if s is None else packed(number[s]) for s in seqs], pa.binary()), pa.array([s is not None for s in seqs], pa.bool_()), none(d, pa.int32()), none(d, pa.string()), none(d, pa.int64())],
                 schema=schema,
             )
-            yield pa.record_batch([pa.array(np.full(k, chunk)), none(k, pa.int64()), none(k, pa.binary()), none(k, pa.bool_()), pa.array(np.arange(k, dtype=np.int32)), pa.array(list(local), pa.string()), pa.array(n)], schema=schema)
+            yield pa.record_batch([pa.array(np.full(k, chunk)), none(k, pa.int64()), none(k, pa.binary()), none(k, pa.bool_()), pa.array(number.astype(np.int32)), pa.array(list(local), pa.string()), pa.array(n)], schema=schema)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -334,11 +338,11 @@ def align_corpus(docs: DataFrame, path_a: str, path_b: str, with_groups: bool =
     text and CHUNK_BYTES; a segment as long as its text is one row of the
     distinct segments.
     """
-    chunks = materialise(chunked(docs, path_a, path_b), "chunks")
+    chunks = materialise(chunked(docs, path_a, path_b), "chunks", "zstd")
     texts = chunks.where("has_tokens is not null").select("chunk", "doc_id", "seq")
     names = chunks.where("segment is not null").select(*(F.col(c).alias(c) for c in ("chunk", "local", "segment", "n")))
     distinct = names.groupBy("segment").agg(F.sum("n").alias("n"))
-    known = materialise(aligned(distinct, path_a, path_b).withColumn("sid", F.monotonically_increasing_id()), "segments")
+    known = materialise(aligned(distinct, path_a, path_b).withColumn("sid", F.monotonically_increasing_id()), "segments", "zstd")
 
     counted, less = known.where("ok"), None
     bad = known.where("not ok").select("segment")
