@@ -126,7 +126,9 @@ class Encoded:
         return np.add.reduceat(values, self.starts) if len(self.starts) else np.zeros(0, values.dtype)
 
 
-COUNTED = "bucket long, gram int, h binary, c binary"
+#: Bytes of text whose counts, or probes, for a bucket are put together in one group before they meet those of all others.
+SALT_BYTES = 64 << 30
+COUNTED = "bucket long, gram int, h binary, c binary, salt int"
 
 
 def _cut(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,14 +144,15 @@ def _blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-def count_ngrams(train: DataFrame, bits: int) -> DataFrame:
-    """Counts of the n-grams of train (text), as each task has met them: sorted hashes and counts by bucket."""
+def count_ngrams(train: DataFrame, bits: int, salts: int = 1) -> DataFrame:
+    """Counts of the n-grams of train (text), as each task has met them: sorted hashes and counts by bucket, dealt into so many salts."""
     most, held_words, held_bigrams = SLICE_BYTES, HELD_WORDS, HELD_BIGRAMS
 
     def batch_of(gram: int, h: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
         buckets, ends = _cut(h, bits)
-        columns = [pa.array(buckets), pa.array(np.full(len(buckets), gram, np.int32)), _blobs(h, ends), _blobs(c.astype(np.uint32), ends)]
-        return pa.RecordBatch.from_arrays(columns, ["bucket", "gram", "h", "c"])
+        salt = int(h[len(h) // 2] % np.uint64(salts)) if len(h) else 0
+        columns = [pa.array(buckets), pa.array(np.full(len(buckets), gram, np.int32)), _blobs(h, ends), _blobs(c.astype(np.uint32), ends), pa.array(np.full(len(buckets), salt, np.int32))]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "gram", "h", "c", "salt"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, counts, pairs, held = Vocabulary(), np.zeros(0, np.int64), [], 0
@@ -216,29 +219,45 @@ def bucket_bits(h: np.ndarray, c: np.ndarray, bits_per_mark: int) -> bytes:
 BUILT = "bucket long, distinct long, total long, texts long, bits binary, h binary, c binary"
 
 
-def build_filter(counted: DataFrame) -> DataFrame:
+def summed(group: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of order n in rows of COUNTED, with the sums of their counts."""
+    at = np.flatnonzero(group.column("gram").to_numpy() == n).tolist()
+    h, c = ([column[i] for i in at] for column in (group.column("h").to_pylist(), group.column("c").to_pylist()))
+    found, back = np.unique(np.frombuffer(b"".join(h), np.uint64), return_inverse=True)
+    total = np.zeros(len(found), np.int64)
+    counts = [np.frombuffer(y, f"<u{len(y) * 8 // len(x)}").astype(np.int64) for x, y in zip(h, c, strict=True) if x]
+    np.add.at(total, back, np.concatenate(counts) if counts else total[:0])
+    return found, total
+
+
+def merged(counted: DataFrame) -> DataFrame:
+    """counted with one row for each bucket, salt and order."""
+
+    def run(group: pa.Table) -> pa.Table:
+        bucket, salt = (group.column(x)[0].as_py() for x in ("bucket", "salt"))
+        rows = [(n, *(x.tobytes() for x in summed(group, n))) for n in (1, 2)]
+        columns = [pa.array([bucket] * 2), pa.array([n for n, _, _ in rows], pa.int32()), pa.array([h for _, h, _ in rows], pa.binary()), pa.array([c for _, _, c in rows], pa.binary()), pa.array([salt] * 2, pa.int32())]
+        return pa.table(columns, names=["bucket", "gram", "h", "c", "salt"])
+
+    return counted.groupBy("bucket", "salt").applyInArrow(run, COUNTED)
+
+
+def build_filter(counted: DataFrame, salts: int = 1) -> DataFrame:
     """A row for each bucket of counted: its filter, and its unigrams with their exact counts.
 
     distinct, total: unigrams and their occurrences; texts: those of the end.
+    A frequent n-gram's bucket has a row from nearly every slice of the corpus:
+    rows are merged by bucket and salt first, so that no group grows with it.
     """
     end, bits_per_mark = token_hashes([END])[0], BITS_PER_MARK
 
     def build(group: pa.Table) -> pa.Table:
-        gram = group.column("gram").to_numpy()
-        h, c = (group.column(k).to_pylist() for k in ("h", "c"))
-
-        def summed(n: int) -> tuple[np.ndarray, np.ndarray]:
-            at = np.flatnonzero(gram == n).tolist()
-            own = np.frombuffer(b"".join([h[i] for i in at]), np.uint64)
-            found, back = np.unique(own, return_inverse=True)
-            return found, np.bincount(back, np.frombuffer(b"".join([c[i] for i in at]), np.uint32), len(found)).astype(np.int64)
-
-        (one, ones), (two, twos) = summed(1), summed(2)
+        (one, ones), (two, twos) = summed(group, 1), summed(group, 2)
         row = [group.column("bucket")[0].as_py(), len(one), int(ones.sum()), int(ones[one == end].sum()), bucket_bits(np.r_[one, two], np.r_[ones, twos], bits_per_mark), one.tobytes(), ones.tobytes()]
         kinds = [pa.int64()] * 4 + [pa.binary()] * 3
         return pa.table({x.split()[0]: pa.array([v], k) for x, v, k in zip(BUILT.split(", "), row, kinds, strict=True)})
 
-    return counted.groupBy("bucket").applyInArrow(build, BUILT)
+    return (merged(counted) if salts > 1 else counted).groupBy("bucket").applyInArrow(build, BUILT)
 
 
 class LogFrequencyFilter:
@@ -364,12 +383,13 @@ def score(docs: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
     train = docs.where(fold != HELD_OUT).select("text")
     size = train.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     bits = max(1, (size // BUCKET_BYTES).bit_length())
-    built = materialise(build_filter(count_ngrams(train, bits)), "filter")
+    salts = -(-size // SALT_BYTES) or 1
+    built = materialise(build_filter(count_ngrams(train, bits, salts), salts), "filter")
     found = built.agg(F.sum("total"), F.sum("distinct"), F.sum("texts"), F.count("*"), F.sum(F.length("bits"))).first()
     totals, n, filter_bytes = Totals(*(int(x or 0) for x in found[:3])), found[3], int(found[4] or 0)
     marked = docs.select("doc_id", "text", (fold == HELD_OUT).alias("held_out"))
     if filter_bytes + 12 * totals.distinct > sent_bytes:
-        return _asked(marked, built, bits, totals)
+        return _asked(marked, built, bits, totals, salts)
     sent = spark.sparkContext.broadcast(gathered(built, bits, n, filter_bytes, totals.distinct))
     forget(built)
     most, held_words = SLICE_BYTES, HELD_WORDS
@@ -389,12 +409,14 @@ ASKED = "slice string, bucket long, gram int, h binary, body binary"
 ANSWERED = "slice string, bucket long, gram int, body binary"
 
 
-def _asked(marked: DataFrame, built: DataFrame, bits: int, totals: Totals) -> DataFrame:
+def _asked(marked: DataFrame, built: DataFrame, bits: int, totals: Totals, salts: int = 1) -> DataFrame:
     """score() by sending the distinct hashes of every slice of documents to the buckets, and what these know back.
 
     Hashes are sorted, so the answers of a slice, joined in the order of
     buckets, are in the order of its hashes. A slice's body (rows and places as
-    numbers) waits under the bucket -1.
+    numbers) waits under the bucket -1. With several salts, the slices of a
+    salt ask a bucket together, each hash once, so that the bucket of a frequent
+    n-gram isn't asked by every slice.
     """
     most = SLICE_BYTES
 
@@ -438,6 +460,33 @@ def _asked(marked: DataFrame, built: DataFrame, bits: int, totals: Totals) -> Da
 
     asked = materialise(map_arrow(marked, ask, ASKED), "asked")
     probes = asked.where("bucket >= 0").select("slice", "bucket", "gram", "h")
-    answers = probes.groupBy("bucket").cogroup(built.groupBy("bucket")).applyInArrow(answer, ANSWERED)
+
+    def together(group: pa.Table) -> tuple[int, int, dict[int, np.ndarray]]:
+        """Bucket, salt and, by order, the distinct hashes of a group of probes."""
+        gram, h = group.column("gram").to_pylist(), group.column("h").to_pylist()
+        own = {n: np.unique(np.frombuffer(b"".join(x for g, x in zip(gram, h, strict=True) if g == n), np.uint64)) for n in (1, 2)}
+        return group.column("bucket")[0].as_py(), group.column("salt")[0].as_py(), own
+
+    def join_probes(group: pa.Table) -> pa.Table:
+        bucket, salt, own = together(group)
+        return pa.table([pa.array([str(salt)] * 2), pa.array([bucket] * 2), pa.array([1, 2], pa.int32()), pa.array([own[n].tobytes() for n in (1, 2)], pa.binary())], names=["slice", "bucket", "gram", "h"])
+
+    def hand_out(group: pa.Table, answered: pa.Table) -> pa.Table:
+        _, _, own = together(group)
+        known = {g: pickle.loads(x) for g, x in zip(answered.column("gram").to_pylist(), answered.column("body").to_pylist(), strict=True)}
+        out = []
+        for gram, blob in zip(group.column("gram").to_pylist(), group.column("h").to_pylist(), strict=True):
+            at = np.searchsorted(own[gram], np.frombuffer(blob, np.uint64))
+            out.append(pickle.dumps(tuple(None if x is None else x[at] for x in known[gram])))
+        return pa.table([group.column("slice"), group.column("bucket"), group.column("gram"), pa.array(out, pa.binary())], ["slice", "bucket", "gram", "body"])
+
+    if salts > 1:
+        salted = probes.withColumn("salt", F.pmod(F.xxhash64("slice"), F.lit(salts)).cast("int"))
+        few = salted.groupBy("bucket", "salt").applyInArrow(join_probes, "slice string, bucket long, gram int, h binary")
+        known = few.groupBy("bucket").cogroup(built.groupBy("bucket")).applyInArrow(answer, ANSWERED)
+        known = known.select("bucket", F.col("slice").cast("int").alias("salt"), "gram", "body")
+        answers = salted.groupBy("bucket", "salt").cogroup(known.groupBy("bucket", "salt")).applyInArrow(hand_out, ANSWERED)
+    else:
+        answers = probes.groupBy("bucket").cogroup(built.groupBy("bucket")).applyInArrow(answer, ANSWERED)
     bodies = asked.where("bucket < 0").select("slice", "bucket", "gram", "body")
     return bodies.unionByName(answers).groupBy("slice").applyInArrow(finish, SCORED)

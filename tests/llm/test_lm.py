@@ -88,7 +88,7 @@ def built(spark, h, c):
     rows = []
     buckets, ends = lm._cut(h[order], 3)
     for b, i, j in zip(buckets.tolist(), ends, ends[1:], strict=False):
-        rows.append((b, 2, bytearray(h[order][i:j].tobytes()), bytearray(c[order][i:j].astype(np.uint32).tobytes())))
+        rows.append((b, 2, bytearray(h[order][i:j].tobytes()), bytearray(c[order][i:j].astype(np.uint32).tobytes()), 0))
     made = lm.build_filter(spark.createDataFrame(rows, lm.COUNTED))
     return lm.gathered(made, 3, made.count(), sum(len(r.bits) for r in made.collect()), 0)[0]
 
@@ -104,6 +104,34 @@ def test_filter_gives_levels_back(spark):
     assert (part.levels(np.unique(r.integers(0, 1 << 63, 9000).astype(np.uint64) * np.uint64(2) + np.uint64(1))) >= 0).mean() < 0.02
 
 
+def test_salts_give_the_same(spark, monkeypatch):
+    """Counts and probes that meet by bucket and salt first: scores, to the last digit, and no group grows with the corpus."""
+    data = [r for r in rows() if r[0] is not None] + [(1000 + k, "the same frequent words " * (k % 7) + f"own{k}", *[None] * 7) for k in range(120)]
+    scored = lambda sent: sorted(map(tuple, lm.score(frame(spark, data).repartition(6), sent).collect()), key=str)
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 1 << 14)
+    monkeypatch.setattr(lm, "SLICE_BYTES", 1 << 10)
+    monkeypatch.setattr(lm, "HELD_BIGRAMS", 500)
+    monkeypatch.setattr(lm, "HELD_WORDS", 50)
+    want = scored(lm.SENT_BYTES)
+    monkeypatch.setattr(lm, "SALT_BYTES", 1 << 16)
+    assert scored(lm.SENT_BYTES) == want and scored(-1) == want
+
+    train = frame(spark, data).select("text")
+    counted = lm.materialise(lm.count_ngrams(train, 3, 3))
+    largest = lambda df, *keys: df.groupBy(*keys).count().agg({"count": "max"}).first()[0]
+    merged = lm.merged(counted)
+    assert largest(merged, "bucket") <= 6 < largest(counted, "bucket")
+    assert largest(counted, "bucket", "salt") < largest(counted, "bucket")
+
+
+def test_counts_over_four_bytes_add_up(spark):
+    h = np.array([3, 9], np.uint64)
+    row = lambda c, salt: (0, 1, bytearray(h.tobytes()), bytearray(np.array(c, np.uint32).tobytes()), salt)
+    counted = spark.createDataFrame([row([2**32 - 1, 1], k % 3) for k in range(10)], lm.COUNTED)
+    got = lm.build_filter(counted, 3).first()
+    assert np.frombuffer(got.c, np.int64).tolist() == [10 * (2**32 - 1), 10] and got.total == 10 * 2**32
+
+
 def test_buckets_cut_without_loss():
     h = np.sort(np.random.default_rng(2).integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2))
     buckets, ends = lm._cut(h, 4)
