@@ -42,6 +42,8 @@ ITEM_FLIPS = 1
 #: Words and items of the benchmark that go to the workers at once (an item has 68 entries of 4 bytes); a larger benchmark takes several passes.
 WORDS_AT_ONCE, ITEMS_AT_ONCE = 2_000_000, 100_000
 SEED = 42
+#: Windows that are fingerprinted at once begin within so many words.
+SPAN = 4_096
 
 
 def shingles(words: list[bytes], width: int = SHINGLE_WORDS) -> list[bytes]:
@@ -155,23 +157,49 @@ class Items:
                         for first, last in zip(own, own[need - 1 :], strict=False):  # so many spots in a row must lie in the window
                             if last - first < size:
                                 todo.update((start, size) for start in range(max(0, last - size + 1), min(first, n - size) + 1))
+                by_size: dict[int, list[int]] = defaultdict(list)
                 for start, size in sorted(todo):
-                    self._window(words, start, size + SHINGLE_WORDS - 1, best)
+                    by_size[size].append(start)
+                for size, starts in by_size.items():
+                    for start, mark in window_marks(words, starts, size):
+                        self._window(words, start, size + SHINGLE_WORDS - 1, mark, best)
         for m in self.short:  # items of fewer words are one shingle each
             for start in range(len(words) - m + 1):
                 if words[start] in self.place:
-                    self._window(words, start, m, best)
+                    self._window(words, start, m, simhash(Counter(shingles(words[start : start + m]))), best)
         return [(self.ids[i], start, min(self.words[i], len(words)), score) for i, (score, start) in sorted(best.items())]
 
-    def _window(self, words: list[bytes], start: int, length: int, best: dict[int, tuple[float, int]]) -> None:
-        counts = Counter(shingles(words[start : start + length]))
-        for i in self.within(simhash(counts)):
-            if min(self.words[i], len(words)) == length:
+    def _window(self, words: list[bytes], start: int, length: int, mark: int, best: dict[int, tuple[float, int]]) -> None:
+        found = [i for i in self.within(mark) if min(self.words[i], len(words)) == length]
+        if found:
+            counts = Counter(shingles(words[start : start + length]))
+            for i in found:
                 score = similarity(counts, self.counts[i])
                 if score >= self.least - 1e-12 and score > best.get(i, (0.0, 0))[0]:
                     best[i] = score, start
 
 
+def window_marks(words: list[bytes], starts: list[int], size: int) -> Iterator[tuple[int, int]]:
+    """(start, SimHash) of windows of `size` shingles at ascending starts; each shingle between them is hashed once.
+
+    A window's bits are counted as differences of running sums, some thousand shingles at a time.
+    """
+    at = 0
+    while at < len(starts):
+        end = at + 1
+        while end < len(starts) and starts[end] - starts[at] < SPAN and starts[end] - starts[end - 1] <= size:
+            end += 1
+        first = starts[at]
+        own = shingles(words[first : starts[end - 1] + size + SHINGLE_WORDS - 1])
+        bits = np.unpackbits(np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in own), np.uint64, len(own)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        total = np.zeros((len(own) + 1, BITS), np.int32)
+        np.cumsum(bits, axis=0, dtype=np.int32, out=total[1:])
+        places = np.array(starts[at:end]) - first
+        marks = np.packbits(2 * (total[places + size] - total[places]) > size, axis=1, bitorder="little").view(np.uint64).ravel()
+        yield from zip(starts[at:end], marks.tolist(), strict=True)
+        at = end
+
+
 def item_blocks(benchmark: DataFrame, at_once: int = WORDS_AT_ONCE, items: int = ITEMS_AT_ONCE) -> Iterator[Items]:
     """The benchmark (item_id, text) as indexes of bounded size, one after another. Null texts are no items."""
     rows = benchmark.select("item_id", "text").where("text is not null").distinct()

@@ -114,3 +114,32 @@ def test_many_items_take_several_passes(spark):
     bench = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(9))) for k in range(30)], "item_id long, text string")
     parts = list(D.item_blocks(bench, items=8))
     assert len(parts) == 4 and sorted(i for p in parts for i in p.ids) == list(range(30))
+
+
+def test_windows_at_once_have_the_fingerprints_of_each(monkeypatch):
+    import random
+    from collections import Counter
+
+    from sequoir.llm import decontaminate as D
+
+    r = random.Random(4)
+    words = [r.choice([b"a", b"b", b"cc", b"dd", b"e"]) for _ in range(400)]
+    for span in (1, 7, 4096):
+        monkeypatch.setattr(D, "SPAN", span)
+        for size in (1, 2, 30):
+            starts = sorted(r.sample(range(len(words) - size - D.SHINGLE_WORDS + 2), 120))
+            want = [(x, D.simhash(Counter(D.shingles(words[x : x + size + D.SHINGLE_WORDS - 1])))) for x in starts]
+            assert list(D.window_marks(words, starts, size)) == want
+
+
+def test_a_document_that_repeats_an_item():
+    """Work in proportion to its words: an item over and over in a long text."""
+    import time
+
+    from sequoir.llm import decontaminate as D
+
+    item = " ".join(f"word{k}" for k in range(60)).encode()
+    items = D.Items([(1, item)])
+    began = time.process_time()
+    assert items.hits(b" ".join([item] * 500)) == [(1, 0, 60, 1.0)]
+    assert time.process_time() - began < 6
