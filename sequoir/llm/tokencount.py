@@ -278,12 +278,13 @@ def counter(model: Model) -> Callable[[bytes], int]:
     reader, memo = _counters[model]
     marks = sorted((x.encode() for x in model.special), key=len, reverse=True)
     special = re.compile(b"|".join(map(re.escape, marks))) if marks else None
+    begin = {x[:1] for x in marks}
 
     def count(words: list[bytes]) -> int:
         return sum(memo.all(words))
 
     def whole(text: bytes) -> int:
-        parts = special.split(text) if special and marks[0][:1] in text else [text]
+        parts = special.split(text) if special and any(x in text for x in begin) else [text]
         return len(parts) - 1 + sum(Chunks(x, reader, count).total() for x in parts if x)
 
     return whole

@@ -269,6 +269,9 @@ def lookup(urls: DataFrame, top: DataFrame) -> DataFrame:
                         line = json.loads(line)
                         block.setdefault(line[0], []).append(tuple(line))
                 rows += block.get(key, [])
+                if len(rows) >= ROWS_AT_ONCE:  # a batch may ask for any number of blocks of a key that many pages share
+                    yield _rows(rows, CAPTURES)
+                    rows = []
             yield _rows(rows, CAPTURES)
         files.close()
 
@@ -278,6 +281,8 @@ def lookup(urls: DataFrame, top: DataFrame) -> DataFrame:
     return map_arrow(blocks.repartition(_cores(urls), "index_file", "start").sortWithinPartitions("index_file", "start"), read, CAPTURES)
 
 
+#: Captures that are passed on at once.
+ROWS_AT_ONCE = 2_048
 BLOCKS = "surt string, index_file string, start long, length long"
 
 
