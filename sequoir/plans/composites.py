@@ -80,6 +80,8 @@ CASE n_nationkey % 4 WHEN 0 THEN 'L: AB1234' || CAST(n_nationkey AS STRING) || '
 
 
 INPUTS |= {
+    "relatives": """SELECT 's' || CAST(s_suppkey AS STRING) AS id, translate(md5(CAST(floor(s_suppkey / 4) AS STRING)) || substr(md5('y' || CAST(s_suppkey AS STRING)), 1, 4 + 4 * CAST(s_suppkey % 4 AS INT)) || md5('z' || CAST(floor(s_suppkey / 4) AS STRING)),
+'0123456789abcdef', 'ACGTACGTACGTACGT') AS seq FROM {supplier}""",
     "similar_places": """SELECT 'n' || CAST(l_suppkey % 25 AS STRING) AS r_gene, CAST(l_quantity AS DOUBLE) + 50 AS identity, CASE WHEN l_orderkey % 2 = 0 THEN l_partkey % 550 + 1 ELSE l_partkey % 550 + 1 + l_linenumber * 3 END AS tstart,
 CASE WHEN l_orderkey % 2 = 0 THEN l_partkey % 550 + 1 + l_linenumber * 3 ELSE l_partkey % 550 + 1 END AS tend FROM {lineitem} WHERE l_partkey % 11 = 0""",
     "placed_in": "SELECT 'n' || CAST(n_nationkey AS STRING) AS id, repeat(translate(md5(n_name), '0123456789abcdef', 'ACGTACGTACGTACGT'), 18) AS seq FROM {nation}",
@@ -520,6 +522,18 @@ def species_headers(t):
     return rows.select("id", taxonomy.fasta_header().alias("header"))
 
 
+@composite("relatives", sql="""
+g AS (SELECT DISTINCT id, substr(seq, i, 11) AS gram FROM (SELECT id, seq, unnest(range(1, CAST(length(seq) AS BIGINT) - 9)) AS i FROM relatives)),
+n AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
+p AS (SELECT a.id AS src, b.id AS dst, count(*) AS shared FROM g a JOIN g b ON a.gram = b.gram AND a.id < b.id GROUP BY ALL)
+SELECT src, dst, CAST(shared AS DOUBLE) / least(x.n, y.n) AS w FROM p JOIN n x ON src = x.id JOIN n y ON dst = y.id WHERE shared >= 8 AND shared >= 0.6 * least(x.n, y.n)""")
+def edges_kmers(t):
+    """Edges between sequences by the k-mers that they share."""
+    from sequoir.plans.cluster import kmer_edges
+
+    return kmer_edges(t("relatives"), 11, 8, 0.6)
+
+
 @composite("similar_places", "placed_in", sql="""
 h AS (SELECT DISTINCT r_gene AS id, CASE WHEN tstart <= tend THEN '+' ELSE '-' END AS strand, least(tstart, tend) AS b, greatest(tstart, tend) AS e FROM similar_places WHERE identity >= 60),
 m AS (SELECT *, CASE WHEN b <= max(e) OVER (PARTITION BY id, strand ORDER BY b, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM h),

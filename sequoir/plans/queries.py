@@ -326,6 +326,17 @@ def markov_clusters_nations(t):
     return graph.markov_clusters(edges)
 
 
+@query()
+def ladder_suppliers(t):
+    """Nested clusterings of suppliers by thresholds; iterative, so its steps are held against dense matrices and each other in the tests."""
+    key = lambda a, n: F.floor(F.col(a) / n)
+    side = lambda name: t("supplier").select(F.col("s_suppkey").alias(name), key("s_suppkey", 12).alias("part"))
+    w = F.when(key("src", 3) == key("dst", 3), 90.0).when(key("src", 6) == key("dst", 6), 70.0).otherwise(10.0) + (F.col("src") * 7 + F.col("dst") * 3) % 5
+    edges = side("src").join(side("dst"), "part").where("src < dst").select("src", "dst", w.alias("w"))
+    steps = [df.select("member", "cluster_id", F.lit(x).alias("step")) for x, df in graph.ladder(edges).items()]
+    return dataflow.mix(*steps)
+
+
 @query()
 def greedy_clusters_nations(t):
     """Greedy clusters of nations that trade more than the average; sequential by nature, so held against a loop in the tests."""

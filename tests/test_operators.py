@@ -333,5 +333,14 @@ def test_kmers_take_time_in_proportion(spark):
 
 def test_markov_clusters_say_when_they_do_not_settle(spark):
     edges = spark.createDataFrame([("a", "b", 1.0), ("b", "c", 0.9), ("c", "d", 1.0)], "src string, dst string, w double")
-    with pytest.warns(UserWarning, match="did not settle in 1 rounds"):
-        assert graph.markov_clusters(edges, rounds=1, dense=0).count() == 4
+    for dense in (0, 10):
+        with pytest.warns(UserWarning, match="did not settle in 1 rounds"):
+            assert graph.markov_clusters(edges, rounds=1, dense=dense).count() == 4
+
+
+def test_markov_clusters_of_a_star(spark):
+    """A hub's column keeps few entries, its products stay few, and all that hangs on it is one cluster."""
+    edges = spark.range(3000).select(F.lit("hub").alias("src"), F.format_string("leaf%05d", "id").alias("dst"), F.lit(1.0).alias("w"))
+    with pytest.warns(UserWarning, match="of a column's flow"):
+        found = graph.markov_clusters(edges, dense=10, most=40)
+    assert found.count() == 3001 and found.select("cluster_id").distinct().count() == 1

@@ -41,6 +41,22 @@ def test_iterative_queries(spark, small):
     assert all(parts[r] == r for r in parts.values())
 
 
+def test_ladder_of_suppliers(spark, small):
+    """Each step's clusters lie within those of the step before; groups of three of weight 90 and more stay together to the end."""
+    found = {}
+    for r in queries.QUERIES["ladder_suppliers"](spark, small).collect():
+        found.setdefault(r.step, {})[r.member] = r.cluster_id
+    steps = sorted(found)
+    assert steps == [5.5, 32.0, 65.0, 80.0]
+    for above, below in zip(steps, steps[1:], strict=False):
+        inside = {}
+        for member, k in found[below].items():
+            inside.setdefault(k, set()).add(found[above][member])
+        assert all(len(x) == 1 for x in inside.values())
+    last = found[80.0]
+    assert all(last[m] == last[m - m % 3] for m in last if m - m % 3 in last)
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and set(queries.SQL) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
