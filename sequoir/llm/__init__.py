@@ -1,5 +1,6 @@
 """Training-data operators: language id, token counts, archives, BPE, HTML,
-decontamination, LM scoring, URL filtering, quality rules and near-duplicates.
+decontamination, LM scoring, URL filtering, quality rules, near-duplicates,
+alignments of tokenizers, vector codes and secret scans.
 
 Nothing else in the package imports this subpackage.
 """

@@ -220,7 +220,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     start_word, n_words: the window most like the item, the first of equal
     ones. Null and empty texts hold nothing. Repeated rows of docs give
     repeated rows; an item listed twice counts once; items of the same text
-    count each. Other columns aren't read; empty tables give an empty result.
+    count each. Other columns aren't read; empty tables give an empty result. A
+    long text's words are a list while it is searched, about fifteen times the
+    text; overlapping windows are fingerprinted from running sums.
     """
     spark = docs.sparkSession
     found = None
@@ -240,7 +242,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, that hold no passage of the benchmark."""
+    """The rows of docs, with all their columns, that hold no passage of the benchmark.
+
+    Null and empty texts hold none and stay; repeated rows each stay or go; an
+    empty benchmark leaves all rows, and of an empty table nothing is left.
+    """
     for items in item_blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(items)
         docs = keep_rows(docs, "text", lambda texts, sent=sent: [not sent.value.hits(x) for x in texts])

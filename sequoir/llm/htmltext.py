@@ -434,7 +434,7 @@ def extract(pages: DataFrame) -> DataFrame:
     Null, empty and text-free html give an empty text of 0 characters. Tags and
     comments that never end take the rest of the page, as browsers have it.
     Repeated rows stay; other columns aren't read; an empty table gives an
-    empty result.
+    empty result. Time and memory are in proportion to a page's length.
     """
     tree = train()
 

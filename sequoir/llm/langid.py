@@ -255,7 +255,8 @@ def keep_identified(docs: DataFrame, net: Network | None = None, languages: Coll
     languages: the wanted ones, all learned ones if None. Texts without letters
     go, as do texts that are noise or in another language to the network.
     Without a network, one is trained on docs itself. If none could be trained,
-    nothing is known of any text, and all rows stay.
+    nothing is known of any text, and all rows stay. Null texts are without
+    letters; repeated rows each stay or go; of an empty table nothing is left.
     """
     net = net or trained(docs)
     if not net.languages:
@@ -270,6 +271,9 @@ def language_id(docs: DataFrame) -> DataFrame:
 
     Null texts and texts without a letter are `und` with score 0, as is every
     text if no row can be learned from. Rows without a language are predicted
-    and not learned from. Repeated rows stay; other columns aren't read.
+    and not learned from. Repeated rows stay; other columns aren't read; an
+    empty table gives an empty result. Every window of a long text is scored,
+    some at a time, so memory is a few times the text. Of more than LANGUAGES
+    languages those with the fewest texts are not learned, and never predicted.
     """
     return identify(docs, trained(docs))

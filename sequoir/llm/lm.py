@@ -376,7 +376,8 @@ def score(docs: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
     64-bit hash would count as one. score: log10 of the smoothed bigram
     probability. Null text is the end alone. Repeated rows stay and count as
     often as they occur. Without training rows N and V are 0. Other columns
-    aren't read; an empty table gives an empty result.
+    aren't read; an empty table gives an empty result. A text longer than
+    SLICE_BYTES is a slice of its own, about fifteen times its size in memory.
     """
     spark = docs.sparkSession
     fold = crc_mod("doc_id", FOLDS)

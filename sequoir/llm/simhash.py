@@ -90,7 +90,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Null and empty texts have fingerprint zero and link like any other. Ties
     and repeated rows share a fingerprint, hence a component. component_id is
     the smallest doc_id of the component, null if all its doc_ids are null.
-    Other columns aren't read; an empty table gives an empty result.
+    Other columns aren't read; an empty table gives an empty result. A long
+    text's words are a list while it is hashed, about fifteen times the text.
     """
     marked = materialise(fingerprints(docs), "fingerprints")
     roots = _roots(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))

@@ -63,7 +63,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
     longest canonical form wins; of rules listed twice, the smaller verdict.
     A page without a rule gets `default`. Null URLs and URLs without `://` have
     empty host and path. Repeated rows stay; other columns aren't read; an
-    empty list leaves every page at `default`.
+    empty list leaves every page at `default`, and no pages give no rows.
     """
     host, path = host_path(F.col("url"))
     asked = pages.select("page_id", host.alias("host"), path.alias("path"))

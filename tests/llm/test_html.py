@@ -187,5 +187,33 @@ def test_accuracy_on_pages_that_name_nothing():
     assert right / n >= 0.9
 
 
+def held_out_page(r):
+    """A page of a random layout that names nothing: link lists, prose with headings, more link lists, small print."""
+    words = lambda n: " ".join(r.choice(LONG.split()) for _ in range(n))
+    wrap = r.choice(["<p>%s</p>", "<div>%s</div>", "<div class=z9>%s</div>", "<section><p>%s</p></section>"])
+    link = r.choice(["<li><a href=x>%s</a></li>", "<td><a href=x>%s</a></td>", "<div><a href=x>%s</a></div>", "<a href=x><div>%s</div></a>"])
+    lines = [("-", link % words(r.randint(1, 4))) for _ in range(r.randint(3, 9))]
+    lines.append(("+", f"<h{(k := r.randint(1, 2))}>{words(r.randint(3, 9))}</h{k}>"))
+    for _ in range(r.randint(4, 10)):
+        if r.random() < 0.2:
+            lines.append(("+", f"<h3>{words(r.randint(2, 6))}</h3>"))
+        lines.append(("+", wrap % (words(r.randint(25, 150)) + (f" <a href=y>{words(2)}</a>" if r.random() < 0.3 else ""))))
+    lines += [("-", link % words(r.randint(2, 12))) for _ in range(r.randint(2, 7))]
+    if r.random() < 0.5:
+        lines.append(("-", wrap % f"(c) {words(r.randint(2, 5))}"))
+    return lines
+
+
+def test_accuracy_on_held_out_pages_of_many_layouts():
+    right = n = 0
+    for seed in range(60):
+        lines = held_out_page(random.Random(seed))
+        page = H.blocks("\n".join(x for _, x in lines))
+        assert len(page) == len(lines)
+        got = [H.classify(TREE, row) for row in H.features(page)]
+        right, n = right + sum(g == (label == "+") for g, (label, _) in zip(got, lines, strict=True)), n + len(lines)
+    assert n > 800 and right / n >= 0.93, right / n
+
+
 def test_links_that_hold_blocks_count():
     assert [b.links for b in H.blocks("<div><a href=1><div>all of it</div></a></div><p>not this <a>but</a> here<p>and <a href=x>open<p>not here")] == [1.0, 0.25, 0.5, 0.0]
