@@ -80,3 +80,24 @@ def test_retroelements_against_all_places(spark, small):
             a, b = seq[r.template_begin - 1 : r.template_end - 1], seq[r.variable_begin - 1 : r.variable_end - 1]
             wrong = [x for x, y in zip(a, b, strict=True) if x != y]
             assert (r.mismatches, r.at_a, r.at_t) == (len(wrong), wrong.count("A"), wrong.count("T")) and r.at_a >= max(7, 0.7 * r.mismatches)
+
+
+def against_sql(spark, folder, tables, name):
+    """Rows that a query and its SQL give of the tables, written into a folder."""
+    con = duckdb.connect()
+    for table, sql in tables.items():
+        con.execute(f"COPY ({sql}) TO '{folder}/{table}.parquet'")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
+    df = queries.QUERIES[name](spark, str(folder))
+    order = lambda rows: sorted((tuple(plain(v) for v in r) for r in rows), key=str)
+    return order(df.collect()), order(con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.SQL[name]})").fetchall())
+
+
+def test_range_join_rounds_to_the_nearest_second(spark, tmp_path):
+    """Events within a second of a block's ends: SQL rounds their time, halves to even."""
+    base = "TIMESTAMP '1997-12-25 00:00:00'"
+    off = "(VALUES (-1500), (-1000), (-636), (-500), (-400), (0), (400), (499), (500), (636), (1000), (1500)) v(ms)"
+    event = f"SELECT row_number() OVER () AS event_id, {base} + to_days(CAST(883008000 // 86400 + d AS INTEGER)) + to_milliseconds(ms) AS ts, 7 AS user_id FROM {off}, (VALUES (30), (-7), (-8), (31)) w(d)"
+    order = f"SELECT 1 AS o_orderkey, 27 AS o_custkey, {base} AS o_orderdate, 400000.0::DOUBLE AS o_totalprice"
+    got, want = against_sql(spark, tmp_path, {"events": event, "orders": order}, "range_join_events")
+    assert got == want and 0 < len(want) < 48
