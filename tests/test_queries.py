@@ -101,3 +101,10 @@ def test_range_join_rounds_to_the_nearest_second(spark, tmp_path):
     order = f"SELECT 1 AS o_orderkey, 27 AS o_custkey, {base} AS o_orderdate, 400000.0::DOUBLE AS o_totalprice"
     got, want = against_sql(spark, tmp_path, {"events": event, "orders": order}, "range_join_events")
     assert got == want and 0 < len(want) < 48
+
+
+def test_kmer_edges_of_many_relatives(spark, tmp_path):
+    """The made-up sequences are SQL's own, letter by letter: chance repeats within them move weights in some groups of a thousand."""
+    suppliers = "SELECT CAST(i AS BIGINT) AS s_suppkey FROM range(1000) r(i)"
+    got, want = against_sql(spark, tmp_path, {"supplier": suppliers}, "edges_kmers")
+    assert len(want) == 1500 and got == want
