@@ -108,3 +108,11 @@ def test_kmer_edges_of_many_relatives(spark, tmp_path):
     suppliers = "SELECT CAST(i AS BIGINT) AS s_suppkey FROM range(1000) r(i)"
     got, want = against_sql(spark, tmp_path, {"supplier": suppliers}, "edges_kmers")
     assert len(want) == 1500 and got == want
+
+
+def test_coverage_of_odd_dates(spark, tmp_path):
+    """Orders without a date, before 1970, within a second of midnight, and equal ones."""
+    rows = "(1, NULL), (1, NULL), (2, NULL), (2, '1996-03-01'), (3, '1969-12-30 12:00:00'), (3, '1969-12-20'), (4, '1996-03-01 23:59:59.6'), (4, '1996-04-12'), (NULL, '1996-01-01'), (5, '1996-03-01'), (5, '1996-03-01'), (6, '1969-12-31 12:00:00'), (6, '1970-02-10')"
+    orders = f"SELECT CAST(a AS BIGINT) AS o_custkey, CAST(b AS TIMESTAMP) AS o_orderdate FROM (VALUES {rows}) v(a, b)"
+    got, want = against_sql(spark, tmp_path, {"orders": orders}, "coverage_sweep")
+    assert got == want and (1, None) in want and len(want) == 7
