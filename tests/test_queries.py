@@ -116,3 +116,12 @@ def test_coverage_of_odd_dates(spark, tmp_path):
     orders = f"SELECT CAST(a AS BIGINT) AS o_custkey, CAST(b AS TIMESTAMP) AS o_orderdate FROM (VALUES {rows}) v(a, b)"
     got, want = against_sql(spark, tmp_path, {"orders": orders}, "coverage_sweep")
     assert got == want and (1, None) in want and len(want) == 7
+
+
+def test_equal_alignments_cover_their_place_once(spark, tmp_path):
+    """However often an alignment is repeated, a query is covered from its first to its last letter at most. (The SQL's windows order equal rows anyhow, each in its own order.)"""
+    n = 40_000
+    lines = f"SELECT CAST(0 AS BIGINT) AS l_orderkey, CAST(i * 300 % 900 AS BIGINT) AS l_partkey, CAST(5 AS BIGINT) AS l_suppkey, CAST(1 + i // 3 % 3 AS INTEGER) AS l_linenumber FROM range({n}) r(i)"
+    duckdb.connect().execute(f"COPY ({lines}) TO '{tmp_path}/lineitem.parquet'")
+    found = queries.QUERIES["c24_blast_verdict"](spark, str(tmp_path)).collect()
+    assert [(r.query, r.verdict, r.title, r.coverage) for r in found] == [("q0", "Other", "thing", 0.135)]
