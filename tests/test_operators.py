@@ -344,3 +344,21 @@ def test_markov_clusters_of_a_star(spark):
     with pytest.warns(UserWarning, match="of a column's flow"):
         found = graph.markov_clusters(edges, dense=10, most=40)
     assert found.count() == 3001 and found.select("cluster_id").distinct().count() == 1
+
+
+def test_containment_shuffles_no_large_side(spark, monkeypatch):
+    """Where one side's grams are few, they go to the other's: its grams and sets are joined where they lie."""
+    written = {}
+
+    def keep(df, name):
+        written.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return settled(df, name)
+
+    settled = similarity.settled
+    monkeypatch.setattr(similarity, "settled", keep)
+    many = spark.range(300).select("id", F.transform(F.sequence(F.lit(0), F.lit(40)), lambda k: F.col("id") * 20 + k).alias("grams"))
+    few = many.where("id % 100 = 7").select(F.col("id").alias("t"), "grams")
+    found = similarity.containment(many, few, "id", "t", "grams", 5, 0.4)
+    plans = [*written["grams"][1:], *written["proposed"], found._jdf.queryExecution().executedPlan().toString()]
+    assert all("SortMergeJoin" not in p and "BroadcastHashJoin" in p for p in plans)
+    assert rows(found.select("id", "t", "shared")) == sorted(((i, t, 41 - 20 * abs(i - t)) for t in (7, 107, 207) for i in (t - 1, t, t + 1)), key=str)
