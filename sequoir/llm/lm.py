@@ -8,7 +8,7 @@ bits of their hash; a bucket is counted and built by one task, holds no more
 than a few MB, and is a filter of its own, sized by what it holds.
 
 A filter within SENT_BYTES goes to the workers, which probe it. Beyond that the
-probes go to the buckets: every slice of documents sends its distinct hashes,
+probes go to the buckets: every part of documents sends its distinct hashes,
 and gets their levels and counts back. Exact unigram counts, by 64-bit hash,
 give the base score.
 
@@ -20,13 +20,13 @@ one, but for false positives.
 from __future__ import annotations
 
 import pickle
-import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +101,14 @@ class Vocabulary(dict):
         self.hashes = np.concatenate([self.hashes, token_hashes(self.words[len(self.hashes) :])])
 
 
+def bigram_hashes(own: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hash of each token's hash with the one before it; texts begin at starts."""
+    before = np.empty_like(own)
+    before[1:] = own[:-1]
+    before[starts] = START
+    return _scramble(before * MIX[0] + own)
+
+
 class Encoded:
     """Texts as numbers: of each place its token and bigram."""
 
@@ -115,11 +123,7 @@ class Encoded:
 
     def bigrams(self) -> np.ndarray:
         """Hash of each token with the one before it."""
-        own = self.vocabulary.hashes[self.ids]
-        before = np.empty_like(own)
-        before[1:] = own[:-1]
-        before[self.starts] = START
-        return _scramble(before * MIX[0] + own)
+        return bigram_hashes(self.vocabulary.hashes[self.ids], self.starts)
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Sum of the values of every text."""
@@ -406,88 +410,114 @@ def score(docs: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
     return map_arrow(marked, run, SCORED)
 
 
-ASKED = "slice string, bucket long, gram int, h binary, body binary"
-ANSWERED = "slice string, bucket long, gram int, body binary"
+#: Bytes of text that ask the buckets together: each of these parts makes a row for every bucket.
+ASKED_BYTES = 8 << 20
+ASKED = "slice string, bucket long, one binary, two binary, body binary"
+ANSWERED = "slice string, bucket long, one binary, known binary, two binary, body binary"
+ASKED_NAMES, ANSWERED_NAMES = ([x.split()[0] for x in schema.split(", ")] for schema in (ASKED, ANSWERED))
 
 
-def _asked(marked: DataFrame, built: DataFrame, bits: int, totals: Totals, salts: int = 1) -> DataFrame:
-    """score() by sending the distinct hashes of every slice of documents to the buckets, and what these know back.
+def _body(doc_id: pa.Array, held_out: pa.Array, own: Encoded) -> tuple[bytes, np.ndarray]:
+    """What finish() needs of a part besides the answers, compressed, and the sorted hashes of its tokens."""
+    one, at = np.unique(own.vocabulary.hashes, return_inverse=True)
+    whole = pickle.dumps((doc_id.to_pylist(), held_out.to_pylist(), own.sizes, one, at[own.ids].astype(np.int32)))
+    return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True), one
+
+
+def _opened(body: bytes) -> tuple:
+    return pickle.loads(pa.decompress(body[8:], decompressed_size=int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True))
 
-    Hashes are sorted, so the answers of a slice, joined in the order of
-    buckets, are in the order of its hashes. A slice's body (rows and places as
-    numbers) waits under the bucket -1. With several salts, the slices of a
-    salt ask a bucket together, each hash once, so that the bucket of a frequent
-    n-gram isn't asked by every slice.
+
+def _flat(column: pa.ChunkedArray, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a binary column, one after another, and where each row's end."""
+    found = column.to_pylist()
+    return np.frombuffer(b"".join(found), dtype), np.r_[0, np.cumsum([len(x) for x in found])].astype(np.int64) // np.dtype(dtype).itemsize
+
+
+def _asked(marked: DataFrame, built: DataFrame, bits: int, totals: Totals, salts: int = 1) -> DataFrame:
+    """score() by sending the distinct hashes of every part of documents to the buckets, and what these know back.
+
+    Hashes are sorted, so the answers of a part, joined in the order of
+    buckets, are in the order of its hashes. A bucket looks all its probes up at
+    once. A part's body (rows, and places as numbers) goes along under a bucket
+    of its own below zero, so that texts are gone through once and nothing is
+    written. Names are those of a part's place in its partition, which a
+    repeated task gives again. With several salts, the parts of a salt ask a
+    bucket together, each hash once, so that the bucket of a frequent n-gram
+    isn't asked by every part.
     """
-    most = SLICE_BYTES
+    most = ASKED_BYTES
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partition, parts = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = utf8(batch.column(1))
             for part in slices(texts, most):
-                name, own = uuid.uuid4().hex, Encoded(texts[part])
-                one, at = np.unique(own.vocabulary.hashes, return_inverse=True)
-                two, back = np.unique(own.bigrams(), return_inverse=True)
-                rows = batch.select([0, 2]).slice(part.start, part.stop - part.start)
-                body = pickle.dumps((rows.column(0).to_pylist(), rows.column(1).to_pylist(), own.sizes, at[own.ids].astype(np.int32), back.astype(np.int32)))
-                for gram, h in ((1, one), (2, two)):
-                    buckets, ends = _cut(h, bits)
-                    k = len(buckets)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * k), pa.array(buckets), pa.array(np.full(k, gram, np.int32)), _blobs(h, ends), pa.nulls(k, pa.binary())], ["slice", "bucket", "gram", "h", "body"])
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([-1]), pa.array([0], pa.int32()), pa.nulls(1, pa.binary()), pa.array([body], pa.binary())], ["slice", "bucket", "gram", "h", "body"])
+                name, own = f"{partition}-{parts}", Encoded(texts[part])
+                parts += 1
+                doc_id, held_out = (batch.column(k).slice(part.start, part.stop - part.start) for k in (0, 2))
+                body, one = _body(doc_id, held_out, own)
+                two = np.unique(own.bigrams())
+                buckets = np.unique(np.concatenate([_cut(one, bits)[0], _cut(two, bits)[0]]))
+                ends = [np.searchsorted((h >> np.uint64(64 - bits)).astype(np.int64), np.r_[buckets, 1 << bits]) for h in (one, two)]
+                k = len(buckets)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * k), pa.array(buckets), _blobs(one, ends[0]), _blobs(two, ends[1]), pa.nulls(k, pa.binary())], ASKED_NAMES)
+                below = -1 - (xxhash.xxh64_intdigest(name) >> 1)
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([below]), *(pa.nulls(1, pa.binary()) for _ in range(2)), pa.array([body], pa.binary())], ASKED_NAMES)
 
     def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
-        part, counts = None, Counts(np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        out = []
+        n = asked.num_rows
+        none = pa.nulls(n, pa.binary())
+        if n and asked.column("bucket")[0].as_py() < 0:
+            return pa.table([asked.column("slice"), asked.column("bucket"), none, none, none, asked.column("body")], names=ANSWERED_NAMES)
+        part, counts = LogFrequencyFilter(bits, *[np.zeros(0, np.int64)] * 2, np.zeros(0, np.uint8)), Counts(np.zeros(0, np.uint64), np.zeros(0, np.int64))
         if own.num_rows:
             row = own.to_pylist()[0]
             part = LogFrequencyFilter(bits, np.array([row["bucket"]]), np.array([0, len(row["bits"])]), np.frombuffer(row["bits"], np.uint8))
             counts = Counts(np.frombuffer(row["h"], np.uint64), np.frombuffer(row["c"], np.int64))
-        for gram, blob in zip(asked.column("gram").to_pylist(), asked.column("h").to_pylist(), strict=True):
-            h = np.frombuffer(blob, np.uint64)
-            level = part.levels(h) if part else np.full(len(h), -1, np.int8)
-            out.append(pickle.dumps((level, counts.of(h) if gram == 1 else None)))
-        return pa.table([asked.column("slice"), asked.column("bucket"), asked.column("gram"), pa.array(out, pa.binary())], ["slice", "bucket", "gram", "body"])
+        (one, one_ends), (two, two_ends) = (_flat(asked.column(x), np.uint64) for x in ("one", "two"))
+        (one, one_back), (two, two_back) = (np.unique(h, return_inverse=True) for h in (one, two))
+        known = [_blobs(x, e) for x, e in ((part.levels(one)[one_back], one_ends), (counts.of(one)[one_back], one_ends), (part.levels(two)[two_back], two_ends))]
+        return pa.table([asked.column("slice"), asked.column("bucket"), *known, none], names=ANSWERED_NAMES)
 
     def finish(group: pa.Table) -> pa.Table:
-        rows = sorted(zip(group.column("gram").to_pylist(), group.column("bucket").to_pylist(), group.column("body").to_pylist(), strict=True))
-        ids, held, sizes, one, two = pickle.loads(rows[0][2])
-        known = [[pickle.loads(x) for g, _, x in rows if g == gram] for gram in (1, 2)]
-        count = np.concatenate([c for _, c in known[0]])[one]
-        own, pair = (np.concatenate([x for x, _ in part])[at] for part, at in zip(known, (one, two), strict=True))
+        group = group.sort_by("bucket")
+        ids, held, sizes, one, at = _opened(group.column("body")[0].as_py())
+        answers = group.slice(1)
+        own, count, pair = (_flat(answers.column(x), t)[0] for x, t in (("one", np.int8), ("known", np.int64), ("two", np.int8)))
         starts = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
-        sums = [np.add.reduceat(x, starts) for x in ((count > 0).astype(np.int64), totals.base(count), log_probability(own, pair, starts, totals))]
+        back = np.unique(bigram_hashes(one[at], starts), return_inverse=True)[1]
+        sums = [np.add.reduceat(x, starts) for x in ((count > 0).astype(np.int64)[at], totals.base(count)[at], log_probability(own[at], pair[back], starts, totals))]
         return pa.Table.from_batches([_scored_rows(pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), [sizes, *sums], totals)])
 
-    asked = materialise(map_arrow(marked, ask, ASKED), "asked")
-    probes = asked.where("bucket >= 0").select("slice", "bucket", "gram", "h")
+    asked = map_arrow(marked, ask, ASKED)
 
-    def together(group: pa.Table) -> tuple[int, int, dict[int, np.ndarray]]:
-        """Bucket, salt and, by order, the distinct hashes of a group of probes."""
-        gram, h = group.column("gram").to_pylist(), group.column("h").to_pylist()
-        own = {n: np.unique(np.frombuffer(b"".join(x for g, x in zip(gram, h, strict=True) if g == n), np.uint64)) for n in (1, 2)}
-        return group.column("bucket")[0].as_py(), group.column("salt")[0].as_py(), own
+    def together(group: pa.Table) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
+        """The distinct hashes of both orders in a group of probes, and those of its rows with their ends."""
+        rows = [_flat(group.column(x), np.uint64) for x in ("one", "two")]
+        return [np.unique(h) for h, _ in rows], rows
 
     def join_probes(group: pa.Table) -> pa.Table:
-        bucket, salt, own = together(group)
-        return pa.table([pa.array([str(salt)] * 2), pa.array([bucket] * 2), pa.array([1, 2], pa.int32()), pa.array([own[n].tobytes() for n in (1, 2)], pa.binary())], names=["slice", "bucket", "gram", "h"])
+        bucket, salt = (group.column(x)[0].as_py() for x in ("bucket", "salt"))
+        (one, two), _ = together(group)
+        return pa.table([pa.array([str(salt)]), pa.array([bucket]), *(pa.array([h.tobytes()], pa.binary()) for h in (one, two)), pa.nulls(1, pa.binary())], names=ASKED_NAMES)
 
     def hand_out(group: pa.Table, answered: pa.Table) -> pa.Table:
-        _, _, own = together(group)
-        known = {g: pickle.loads(x) for g, x in zip(answered.column("gram").to_pylist(), answered.column("body").to_pylist(), strict=True)}
-        out = []
-        for gram, blob in zip(group.column("gram").to_pylist(), group.column("h").to_pylist(), strict=True):
-            at = np.searchsorted(own[gram], np.frombuffer(blob, np.uint64))
-            out.append(pickle.dumps(tuple(None if x is None else x[at] for x in known[gram])))
-        return pa.table([group.column("slice"), group.column("bucket"), group.column("gram"), pa.array(out, pa.binary())], ["slice", "bucket", "gram", "body"])
+        (one, two), ((ones, one_ends), (twos, two_ends)) = together(group)
+        at, to = np.searchsorted(one, ones), np.searchsorted(two, twos)
+        own, count, pair = (_flat(answered.column(x), t)[0] for x, t in (("one", np.int8), ("known", np.int64), ("two", np.int8)))
+        known = [_blobs(x, e) for x, e in ((own[at], one_ends), (count[at], one_ends), (pair[to], two_ends))]
+        return pa.table([group.column("slice"), group.column("bucket"), *known, pa.nulls(group.num_rows, pa.binary())], names=ANSWERED_NAMES)
 
     if salts > 1:
-        salted = probes.withColumn("salt", F.pmod(F.xxhash64("slice"), F.lit(salts)).cast("int"))
-        few = salted.groupBy("bucket", "salt").applyInArrow(join_probes, "slice string, bucket long, gram int, h binary")
+        asked = materialise(asked, "asked")
+        salted = asked.where("bucket >= 0").withColumn("salt", F.pmod(F.xxhash64("slice"), F.lit(salts)).cast("int"))
+        few = salted.groupBy("bucket", "salt").applyInArrow(join_probes, ASKED)
         known = few.groupBy("bucket").cogroup(built.groupBy("bucket")).applyInArrow(answer, ANSWERED)
-        known = known.select("bucket", F.col("slice").cast("int").alias("salt"), "gram", "body")
+        known = known.withColumn("salt", F.col("slice").cast("int"))
         answers = salted.groupBy("bucket", "salt").cogroup(known.groupBy("bucket", "salt")).applyInArrow(hand_out, ANSWERED)
+        bodies = asked.where("bucket < 0").select("slice", "bucket", *(F.lit(None).cast("binary").alias(x) for x in ("one", "known", "two")), "body")
+        answers = answers.unionByName(bodies)
     else:
-        answers = probes.groupBy("bucket").cogroup(built.groupBy("bucket")).applyInArrow(answer, ANSWERED)
-    bodies = asked.where("bucket < 0").select("slice", "bucket", "gram", "body")
-    return bodies.unionByName(answers).groupBy("slice").applyInArrow(finish, SCORED)
+        answers = asked.groupBy("bucket").cogroup(built.groupBy("bucket")).applyInArrow(answer, ANSWERED)
+    return answers.groupBy("slice").applyInArrow(finish, SCORED)

@@ -155,3 +155,23 @@ def test_slices_lose_nothing():
     parts = list(lm.slices(texts, 10))
     assert [t for s in parts for t in texts[s]] == texts
     assert list(lm.slices([], 10)) == []
+
+
+def test_probes_are_not_written_and_meet_a_bucket_at_once(spark, monkeypatch):
+    """Beyond what is sent, parts of documents ask the buckets in one pass: no table of probes, one row of a part for a bucket, the same scores."""
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 1 << 12)
+    docs = [r for r in data() if r[0] is not None]
+    scored = lambda sent: sorted(map(tuple, lm.score(frame(spark, docs).repartition(3), sent).collect()), key=str)
+    want = scored(lm.SENT_BYTES)
+    monkeypatch.setattr(lm, "ASKED_BYTES", 3000)
+    written = []
+    monkeypatch.setattr(lm, "materialise", lambda df, name, f=lm.materialise: written.append(name) or f(df, name))
+    assert scored(-1) == want and written == ["filter"]
+
+
+def test_a_bucket_answers_rows_in_their_order():
+    h = np.array([7, 3, 3, 9], np.uint64)
+    column = pa.chunked_array([lm._blobs(h, np.array([0, 2, 2])), lm._blobs(h[2:], np.array([0, 2]))])
+    values, ends = lm._flat(column, np.uint64)
+    assert values.tolist() == h.tolist() and ends.tolist() == [0, 2, 2, 4]
+    assert lm._blobs(values.astype(np.int8), ends).to_pylist() == [b"\7\3", b"", b"\3\x09"]
