@@ -117,10 +117,37 @@ def markov_clusters(edges: DataFrame, inflation: float = 2.0, rounds: int = 50,
     share attractors are clusters. Ids are numbered from 1 by size, largest
     first, then by smallest member.
     """
-    known = edges.select("src", "dst", F.col("w").cast("double").alias("w"))
+    return _numbered_clusters(_parts(edges, inflation, rounds, floor, settle, dense, most))
+
+
+def _numbered_clusters(clusters: DataFrame) -> DataFrame:
+    """member, cluster_id of node, component: ids from 1 by size, largest first, then by smallest member."""
+    counted = clusters.groupBy("component").agg(F.count("*").alias("n"))
+    ids = numbered(counted.withColumn("_small", -F.col("n")), ["_small", "component"], "cluster_id").select("component", "cluster_id")
+    return clusters.join(ids, "component").select(F.col("node").alias("member"), "cluster_id")
+
+
+def _placed(known: DataFrame) -> DataFrame:
+    """Edges (src, dst, w) with their component and n, its number of nodes."""
     named = components(known)
     sizes = settled(named.join(named.groupBy("component").agg(F.count("*").alias("n")), "component"), "sizes")
-    placed = known.join(sizes.select(F.col("node").alias("src"), "component", "n"), "src")
+    return known.join(sizes.select(F.col("node").alias("src"), "component", "n"), "src")
+
+
+def _by_component(placed: DataFrame):
+    """Edges grouped by component, over all cores: components are small and their work is not, so their bytes say nothing of it."""
+    cores = placed.sparkSession.sparkContext.defaultParallelism
+    return placed.select("src", "dst", "w", "component").repartition(2 * cores, "component").groupBy("component")
+
+
+def _warn_moving(moving: int, rounds: int) -> None:
+    if moving:
+        warnings.warn(f"Markov clustering of {moving} nodes in small components did not settle in {rounds} rounds", stacklevel=3)
+
+
+def _parts(edges: DataFrame, inflation: float, rounds: int, floor: float, settle: float, dense: int, most: int) -> DataFrame:
+    """node, component (its smallest node) of the Markov clusters of edges."""
+    placed = _placed(edges.select("src", "dst", F.col("w").cast("double").alias("w")))
     kind = edges.schema["src"].dataType.simpleString()
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
@@ -128,18 +155,14 @@ def markov_clusters(edges: DataFrame, inflation: float = 2.0, rounds: int = 50,
         best, still = _dense_flows(frame, {x: i for i, x in enumerate(nodes)}, inflation, rounds, floor, settle)
         return pd.DataFrame({"src": [nodes[i] for i in best], "dst": nodes, "still": still})
 
-    flows = placed.where(F.col("n") <= dense).select("src", "dst", "w", "component").groupBy("component").applyInPandas(one, f"src {kind}, dst {kind}, still boolean")
+    flows = _by_component(placed.where(F.col("n") <= dense)).applyInPandas(one, f"src {kind}, dst {kind}, still boolean")
     flows = settled(flows, "flows")
-    moving = flows.where("not still").count()
-    if moving:
-        warnings.warn(f"Markov clustering of {moving} nodes in small components did not settle in {rounds} rounds", stacklevel=2)
+    _warn_moving(flows.where("not still").count(), rounds)
     flows = flows.select("src", "dst")
-    if sizes.where(F.col("n") > dense).limit(1).count():
-        flows = flows.unionByName(_table_flows(placed.where(F.col("n") > dense).select("src", "dst", "w"), inflation, rounds, floor, settle, most))
-    clusters = components(flows)
-    counted = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    ids = numbered(counted.withColumn("_small", -F.col("n")), ["_small", "component"], "cluster_id").select("component", "cluster_id")
-    return clusters.join(ids, "component").select(F.col("node").alias("member"), "cluster_id")
+    large = placed.where(F.col("n") > dense)
+    if large.limit(1).count():
+        flows = flows.unionByName(_table_flows(large.select("src", "dst", "w"), inflation, rounds, floor, settle, most))
+    return components(flows)
 
 
 def _dense_flows(frame: pd.DataFrame, at: dict, inflation: float, rounds: int, floor: float, settle: float) -> tuple[np.ndarray, bool]:
@@ -259,15 +282,67 @@ def greedy_clusters(nodes: DataFrame, edges: DataFrame, few: int = FEW_LINKS) ->
     return reduce(DataFrame.unionByName, done).unionByName(last)
 
 
-def ladder(edges: DataFrame, thresholds: tuple[float, ...] = (5.5, 32.0, 65.0, 80.0), inflation: float = 2.0) -> dict[float, DataFrame]:
-    """Nested clusterings: each prunes the edges within the last one's clusters at the next threshold and clusters anew."""
+def _joined(links: Iterator[tuple]) -> dict:
+    """The smallest node of its component of every end of links."""
+    root: dict = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {x: find(x) for x in root}
+
+
+def ladder(edges: DataFrame, thresholds: tuple[float, ...] = (5.5, 32.0, 65.0, 80.0), inflation: float = 2.0, rounds: int = 50, floor: float = 1e-5, settle: float = 1e-4, dense: int = DENSE_NODES, most: int = COLUMN_ENTRIES) -> dict[float, DataFrame]:
+    """Nested clusterings: each prunes the edges within the last one's clusters at the next threshold and clusters anew, as markov_clusters() does.
+
+    Clusters lie within components of the first step, so one task goes up the
+    whole ladder with a component of up to `dense` nodes; larger ones go step
+    by step.
+    """
+    first = settled(edges.where(F.col("w") >= thresholds[0]).select("src", "dst", F.col("w").cast("double").alias("w")), "edges")
+    placed = settled(_placed(first), "placed")
+    forget(first)
+    kind = edges.schema["src"].dataType.simpleString()
+
+    def climb(frame: pd.DataFrame) -> pd.DataFrame:
+        rows: list[tuple] = []
+        links = list(zip(frame["src"], frame["dst"], frame["w"], strict=True))
+        for step, t in enumerate(thresholds):
+            if step:  # not under t: NaN stays, as Spark has it above all numbers
+                links = [e for e in links if not e[2] < t and cluster[e[0]] == cluster[e[1]]]  # noqa: F821
+            part = _joined((a, b) for a, b, _ in links)
+            inner: dict = {}
+            for e in links:
+                inner.setdefault(part[e[0]], []).append(e)
+            cluster: dict = {}
+            for own in inner.values():
+                nodes = sorted({x for e in own for x in e[:2]})
+                best, still = _dense_flows(pd.DataFrame(own, columns=["src", "dst", "w"]), {x: i for i, x in enumerate(nodes)}, inflation, rounds, floor, settle)
+                found = _joined(zip((nodes[i] for i in best), nodes, strict=True))
+                cluster |= found
+                rows += [(step, x, found[x], still) for x in nodes]
+        return pd.DataFrame(rows, columns=["step", "node", "component", "still"])
+
+    small = _by_component(placed.where(F.col("n") <= dense))
+    climbed = settled(small.applyInPandas(climb, f"step int, node {kind}, component {kind}, still boolean"), "climbed")
+    _warn_moving(climbed.where("not still").count(), rounds)
+    rest = placed.where(F.col("n") > dense).select("src", "dst", "w")
+    large = rest.limit(1).count() > 0
     found: dict[float, DataFrame] = {}
-    rest = edges.where(F.col("w") >= thresholds[0])
-    for t in thresholds:
-        if found:
-            rest = prune(rest, last, t).select("src", "dst", "w")  # noqa: F821
-        last = settled(markov_clusters(rest, inflation), "clusters")
-        found[t] = last
+    for step, t in enumerate(thresholds):
+        clusters = climbed.where(F.col("step") == step).select("node", "component")
+        if large:
+            if step:
+                rest = settled(prune(rest, last.select(F.col("node").alias("member"), F.col("component").alias("cluster_id")), t).select("src", "dst", "w"), "edges")  # noqa: F821
+            last = _parts(rest, inflation, rounds, floor, settle, dense, most)
+            clusters = clusters.unionByName(last)
+        found[t] = settled(_numbered_clusters(clusters), "clusters")
     return found
 
 

@@ -251,6 +251,22 @@ def test_greedy_clusters_against_a_loop(spark):
         assert {x.member: x.representative for x in got} == want and len(got) == len(want)
 
 
+def test_ladder_goes_up_with_each_component_at_once(spark, monkeypatch):
+    """The same clusters as step by step, with the components of the first step alone if all are small."""
+    r = np.random.default_rng(4)
+    edges = [(f"n{a}", f"n{b}", float(w)) for part, n in enumerate([6, 7, 20, 3]) for a, b, w in zip(*r.integers(part * 100, part * 100 + n, (2, 4 * n)), r.integers(1, 100, 4 * n), strict=True)]
+    edges += [("x", "x", 50.0), ("y", "z", None), (None, "z", 40.0), ("nan", "n1", float("nan"))]
+    df = spark.createDataFrame(edges, "src string, dst string, w double").coalesce(1)
+    rows = lambda df: sorted(map(tuple, df.select("member", "cluster_id").collect()))
+    first = graph.settled(graph.markov_clusters(df.where("w >= 5.5")), "clusters")
+    want = {5.5: rows(first), 60.0: rows(graph.markov_clusters(graph.prune(df, first, 60.0)))}
+    calls = []
+    monkeypatch.setattr(graph, "components", lambda *a, f=graph.components: calls.append(a) or f(*a))
+    assert {t: rows(x) for t, x in graph.ladder(df, (5.5, 60.0)).items()} == want and len(want[60.0]) > 10
+    assert len(calls) == 1
+    assert {t: rows(x) for t, x in graph.ladder(df, (5.5, 60.0), dense=8).items()} == want
+
+
 def test_ladder_nests(spark):
     edges = [("a", "b", 90.0), ("b", "c", 40.0), ("c", "d", 70.0), ("x", "y", 6.0), ("p", "q", 5.0)]
     found = graph.ladder(spark.createDataFrame(edges, "src string, dst string, w double"))
