@@ -30,6 +30,8 @@ RADIUS = 2
 HALF = 1
 #: Shingle hashes that are unpacked to bits at a time.
 SLAB = 8192
+#: Hashes that are counted at a time in counters of one byte, and the odd number that mixes them.
+BYTE, MIX = 254, np.uint64(0x9FB21C651E98DF25)
 
 
 def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
@@ -53,6 +55,22 @@ def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def majority(hashes: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    """The bits of the SimHash of a set of hashes, sorted, of 64 bits for each odd multiplier; where half have a bit the first decides."""
+    n, half = len(hashes), np.uint64(32)
+    counts = np.zeros(len(odd) * BITS, np.int64)
+    for at in range(0, n, BYTE):
+        x = hashes[at : at + BYTE, None] * odd
+        x ^= x >> half
+        x *= MIX
+        x ^= x >> half
+        bits = np.unpackbits(x.view(np.uint8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.uint8)
+        if not at and n % 2 == 0:
+            counts += bits[0]
+    return 2 * counts > n
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fp long (the fingerprint's bits) of every row; null text has fingerprint 0."""
 
